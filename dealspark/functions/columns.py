@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .money import is_money, money_ratio
+
 
 def normalized_region(region: Column, location: Column, split_region: str) -> Column:
     """Region of a ledger line: for the split region, the first comma part of
@@ -34,9 +36,9 @@ def deal_key(df: DataFrame, id_col: str = "deal_id", fallback_col: str = "deal_l
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Double division that yields NULL instead of failing or infinity on a
-    zero denominator."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+    """Ratio of two money amounts (cents) as doubles, NULL on a zero
+    denominator instead of failing or infinity."""
+    return money_ratio(numerator, denominator)
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys, right_prefix: str = "") -> Column:
@@ -44,23 +46,32 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys, right_prefix: str = ""
     return reduce(and_, [left[k].eqNullSafe(right[right_prefix + k]) for k in keys])
 
 
-def money_to_double(df: DataFrame) -> DataFrame:
-    """Final presentation step: exact decimal money columns become doubles."""
-    return df.select(
-        [
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def fill_numeric_zero(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """NULL -> 0 for every numeric column (strings and dates keep NULL)."""
-    return df.select(
-        [
-            F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name)
-            if isinstance(f.dataType, T.NumericType) and f.name not in exclude
-            else F.col(f.name)
+def money_to_double(df: DataFrame) -> DataFrame:
+    """Final presentation step: money in cents and decimal amounts become
+    doubles."""
+    def out(f: T.StructField) -> str:
+        q = _quote(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            return f"CAST({q} AS DOUBLE) AS {q}"
+        if isinstance(f.dataType, T.IntegralType) and is_money(f.name):
+            return f"{q} / 100.0 AS {q}"
+        return q
+
+    return df.selectExpr(*[out(f) for f in df.schema.fields])
+
+
+def fill_numeric_zero(df: DataFrame, only: tuple[str, ...] | None = None) -> DataFrame:
+    """NULL -> 0 for every numeric column, or for the ``only`` columns (strings
+    and dates keep NULL)."""
+    return df.selectExpr(
+        *[
+            f"COALESCE({_quote(f.name)}, CAST(0 AS {f.dataType.simpleString()})) AS {_quote(f.name)}"
+            if isinstance(f.dataType, T.NumericType) and (only is None or f.name in only)
+            else _quote(f.name)
             for f in df.schema.fields
         ]
     )

@@ -50,7 +50,7 @@ def _sum_measures(years: tuple[int, ...]):
 
 def cohort_totals(members: DataFrame, years: tuple[int, ...]) -> DataFrame:
     """12 sums per cohort and principal key; a sum over no values is 0."""
-    aggs = [F.coalesce(F.sum(src), F.lit(0)).alias(name) for src, name in _sum_measures(years)]
+    aggs = [F.coalesce(F.sum(src), F.lit(0).cast("bigint")).alias(name) for src, name in _sum_measures(years)]
     return members.groupBy(*GROUP).agg(*aggs)
 
 
@@ -73,20 +73,18 @@ def with_position(totals: DataFrame) -> DataFrame:
 def positional_share(totals: DataFrame, years: tuple[int, ...], total_cohort: str) -> DataFrame:
     """W1 + J7 + P22: a row's GCI over the GCI of the total-cohort row at the
     same position in the same market (the established report's alignment);
-    the total cohort itself gets 1."""
+    the total cohort itself gets 1.  The total row's value is fetched with a
+    window over (market, position), so the summary is computed once (no
+    self-join)."""
     ranked = with_position(totals)
-    total_side = ranked.filter(F.col("cohort") == F.lit(total_cohort)).select(
-        F.col("market_region").alias("__t_market_region"),
-        F.col("position").alias("__t_position"),
-        *[F.col(f"gci_less_referral_{y}").alias(f"total_gci_at_position_{y}") for y in years],
-    )
-    joined = ranked.join(
-        total_side,
-        (F.col("market_region") == F.col("__t_market_region")) & (F.col("position") == F.col("__t_position")),
-        "left",
-    ).drop("__t_market_region", "__t_position")
     is_total = F.col("cohort") == F.lit(total_cohort)
-    return joined.select(
+    at_position = Window.partitionBy("market_region", "position")
+    fetched = ranked.select(
+        "*",
+        *[F.max(F.when(is_total, F.col(f"gci_less_referral_{y}"))).over(at_position).alias(f"total_gci_at_position_{y}")
+          for y in years],
+    )
+    return fetched.select(
         "*",
         *[F.when(is_total, F.lit(1.0))
           .otherwise(ratio(F.col(f"gci_less_referral_{y}"), F.col(f"total_gci_at_position_{y}")))
@@ -95,20 +93,19 @@ def positional_share(totals: DataFrame, years: tuple[int, ...], total_cohort: st
 
 
 def market_total_share(totals: DataFrame, years: tuple[int, ...], total_cohort: str) -> DataFrame:
-    """A row's GCI over the market's total-cohort GCI.  The market totals
-    are one row per configured market region, so they are broadcast."""
-    market = (
-        totals.filter(F.col("cohort") == F.lit(total_cohort))
-        .groupBy(F.col("market_region").alias("__m_market_region"))
-        .agg(*[F.sum(f"gci_less_referral_{y}").alias(f"market_gci_less_referral_{y}") for y in years])
-    )
-    joined = totals.join(F.broadcast(market), F.col("market_region") == F.col("__m_market_region"), "left").drop(
-        "__m_market_region"
-    )
-    return joined.select(
+    """A row's GCI over the market's total-cohort GCI, summed with a
+    window over the market (one pass, no self-join)."""
+    is_total = F.col("cohort") == F.lit(total_cohort)
+    market = Window.partitionBy("market_region")
+    summed = totals.select(
         "*",
-        *[ratio(F.col(f"gci_less_referral_{y}"), F.col(f"market_gci_less_referral_{y}")).alias(
-            f"pct_gci_less_referral_{y}") for y in years],
+        *[F.sum(F.when(is_total, F.col(f"gci_less_referral_{y}"))).over(market).alias(f"__m_{y}") for y in years],
+    )
+    return summed.select(
+        *totals.columns,
+        *[F.col(f"__m_{y}").alias(f"market_gci_less_referral_{y}") for y in years],
+        *[ratio(F.col(f"gci_less_referral_{y}"), F.col(f"__m_{y}")).alias(f"pct_gci_less_referral_{y}")
+          for y in years],
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import fill_numeric_zero, ratio
 
@@ -15,8 +16,7 @@ def with_splits(reclassed: DataFrame) -> DataFrame:
     happens last, so a missing operand yields 0 rather than a partial sum."""
     c, g = F.col("commission_expense"), F.col("gci_less_referral")
     aep, adj = F.col("aep"), F.col("aep_adjusted")
-    money = reclassed.schema["commission_expense"].dataType
-    zero = F.lit(0).cast(money)
+    zero = F.lit(0).cast("bigint")
     split = ratio(c, g)
     ncd = g + c
     aep_total = aep + F.coalesce(adj, zero)
@@ -36,9 +36,12 @@ def deal_data(reclassed: DataFrame, slim_roster: DataFrame) -> DataFrame:
     """J5 + N6: every deal row, once per principal of its team (NULL team never
     matches); numeric NULLs become 0, strings and dates stay NULL.
 
-    The roster side is left to adaptive execution: it is broadcast when its
-    measured size is under the broadcast threshold, otherwise both sides are
-    shuffled on the team key (with skew splitting of the deal side)."""
-    joined = reclassed.join(slim_roster, F.col("team_id") == F.col("roster_team_id"), "left")
-    ordered = joined.select(*slim_roster.columns, *reclassed.columns)
-    return fill_numeric_zero(with_splits(ordered))
+    Splits and fills depend on deal columns only, so they run once per deal
+    row before the join; after it only the roster's numeric columns are
+    filled.  The roster side is left to adaptive execution: it is broadcast
+    when its measured size is under the broadcast threshold, otherwise both
+    sides are shuffled on the team key (with skew splitting of the deal side)."""
+    deals = fill_numeric_zero(with_splits(reclassed))
+    joined = deals.join(slim_roster, F.col("team_id") == F.col("roster_team_id"), "left")
+    numeric = [f.name for f in slim_roster.schema.fields if isinstance(f.dataType, T.NumericType)]
+    return fill_numeric_zero(joined.select(*slim_roster.columns, *deals.columns), only=tuple(numeric))

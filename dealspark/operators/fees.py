@@ -23,9 +23,7 @@ FEE_KEYS = FEE_NULL_SAFE + FEE_STRICT
 def fee_sums(fee_lines: DataFrame) -> DataFrame:
     """A5: fee amount per deal keys and account (a NULL amount counts as 0)."""
     return fee_lines.groupBy(*FEE_KEYS, "account_number").agg(
-        F.sum(F.coalesce(F.col("amount"), F.lit(0).cast(fee_lines.schema["amount"].dataType))).alias(
-            "flat_fees_isolated"
-        )
+        F.sum(F.coalesce(F.col("amount"), F.lit(0).cast("bigint"))).alias("flat_fees_isolated")
     )
 
 

@@ -8,12 +8,13 @@ group lacks and NULL only when every matching amount is NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReportConfig
 from ..functions.chart import ACCOUNTS, COMPOSITES, account_column
 from ..functions.columns import deal_key, normalized_region
+from ..functions.money import to_cents
 
 GRAIN_KEYS = (
     "market_region", "team_id", "deal_id", "side_represented", "listing_type", "location_name",
@@ -31,23 +32,25 @@ MEASURES = ("total_gci", "gci_less_referral", "commission_expense", "company_dol
 TRAILING = ("vendor_agent_id", "company_agent_id")
 
 
-def _conditional_sum(match: Column, amount: Column, zero: Column) -> Column:
-    return F.sum(F.when(match, amount).otherwise(zero))
+def _conditional_sum(match_sql: str) -> str:
+    return f"SUM(CASE WHEN {match_sql} THEN amount ELSE CAST(0 AS BIGINT) END)"
+
+
+def _in_list(accounts) -> str:
+    return "account_number IN (" + ", ".join(f"'{a}'" for a in accounts) + ")"
 
 
 def deal_ledger(lines: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Aggregate windowed ledger lines to the deal grain (exact decimals)."""
-    amount_type = lines.schema["amount"].dataType
+    """Aggregate windowed ledger lines to the deal grain (money in cents)."""
     keyed = lines.select(
         normalized_region(F.col("market_region"), F.col("location_name"), cfg.split_region).alias("market_region"),
         deal_key(lines).alias("deal_id"),
         *[c for c in GRAIN_KEYS if c not in ("market_region", "deal_id")],
         F.col("account_number").cast("string").alias("account_number"),
-        "amount",
+        to_cents(F.col("amount")).alias("amount"),
     )
-    acct, amount, zero = F.col("account_number"), F.col("amount"), F.lit(0).cast(amount_type)
-    composite_aggs = [_conditional_sum(acct.isin(list(accts)), amount, zero).alias(name) for name, accts in COMPOSITES]
-    account_aggs = [_conditional_sum(acct == F.lit(a), amount, zero).alias(account_column(a)) for a in ACCOUNTS]
+    composite_aggs = [F.expr(_conditional_sum(_in_list(accts))).alias(name) for name, accts in COMPOSITES]
+    account_aggs = [F.expr(_conditional_sum(f"account_number = '{a}'")).alias(account_column(a)) for a in ACCOUNTS]
     grouped = keyed.groupBy(*GRAIN_KEYS).agg(*composite_aggs, *account_aggs)
 
     gci, referral = F.col("total_gci"), F.col("total_referral")

@@ -8,14 +8,19 @@ extract hands its window to the source and the restriction reaches the scan
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ReportConfig
 from ..functions.columns import deal_key, normalized_region
+from ..functions.money import to_cents
+from ..session import ensure_checkpoint_dir
 from . import fixtures
 
 Window = tuple[dt.date, dt.date]
@@ -27,13 +32,36 @@ class Inputs:
     roster: DataFrame  # principal roster history
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+def fixture_view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Inputs as lazy views over the driver tables (every read re-derives the
+    ledger from the TPC-H-style tables)."""
+    base = fixtures.ledger_base(spark, sf_dir)
     return Inputs(
-        ledger=lambda w: fixtures.ledger_lines(spark, sf_dir, w),
+        ledger=lambda w: fixtures.window(base, w),
         roster=fixtures.principal_roster(spark, sf_dir),
     )
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Inputs as stored tables derived once per session from the driver tables:
+    the ledger is written as Parquet partitioned by ``ending_period`` (how a
+    ledger table is kept), the roster as plain Parquet, both under the
+    cluster's checkpoint folder.  Every extract is then a pruned scan of a real
+    table, and reading the ledger twice costs two scans, not two derivations."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _STORED:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-inputs/{uuid.uuid4().hex}"
+        (fixtures.ledger_lines(spark, sf_dir).repartition("ending_period").write.mode("overwrite")
+         .partitionBy("ending_period").parquet(f"{root}/ledger_lines"))
+        fixtures.principal_roster(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{root}/principal_roster")
+        _STORED[key] = root
+    root = _STORED[key]
+    return table_inputs(spark, f"{root}/ledger_lines", f"{root}/principal_roster")
+
+
 def table_inputs(spark: SparkSession, ledger: str, roster: str, fmt: str = "parquet") -> Inputs:
     """Inputs over stored tables: a catalog name, or a path read with ``fmt``.
     Storing the ledger partitioned by ``ending_period`` makes the window a
@@ -76,7 +104,7 @@ def aep_lines(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
         deal_key(lines).alias("deal_id"),
         "team_id",
         "ending_period",
-        "amount",
+        to_cents(F.col("amount")).alias("amount"),
         normalized_region(F.col("market_region"), F.col("location_name"), cfg.split_region).alias("market_region"),
         "location_name",
         "side_represented",
@@ -100,7 +128,7 @@ def fee_lines(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
         deal_key(lines).alias("deal_id"),
         "team_id",
         "ending_period",
-        "amount",
+        to_cents(F.col("amount")).alias("amount"),
         normalized_region(F.col("market_region"), F.col("location_name"), cfg.split_region).alias("market_region"),
         "location_name",
         "side_represented",
@@ -147,20 +175,31 @@ def principal_roster(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
 # --- extract bundle (S5) -----------------------------------------------------
 
 
-@dataclass(frozen=True)
 class Extracts:
-    transactions: DataFrame  # deal ledger (S1), exact decimals
-    aep: DataFrame
-    roster: DataFrame
-    fees: DataFrame
+    """The four extracts (S5), each built on first use."""
 
+    def __init__(self, inputs: Inputs, cfg: ReportConfig):
+        self.inputs, self.cfg = inputs, cfg
 
-def get_extracts(inputs: Inputs, cfg: ReportConfig) -> Extracts:
-    from ..operators.ledger import deal_ledger
+    @cached_property
+    def transactions(self) -> DataFrame:
+        """Deal ledger (S1), exact decimals."""
+        from ..operators.ledger import deal_ledger
 
-    return Extracts(
-        transactions=deal_ledger(ledger_window(inputs, cfg), cfg),
-        aep=aep_lines(inputs, cfg),
-        roster=principal_roster(inputs, cfg),
-        fees=fee_lines(inputs, cfg),
-    )
+        return deal_ledger(ledger_window(self.inputs, self.cfg), self.cfg)
+
+    @cached_property
+    def aep(self) -> DataFrame:
+        return aep_lines(self.inputs, self.cfg)
+
+    @cached_property
+    def roster(self) -> DataFrame:
+        return principal_roster(self.inputs, self.cfg)
+
+    @cached_property
+    def fees(self) -> DataFrame:
+        return fee_lines(self.inputs, self.cfg)
+
+
+def get_extracts(inputs: Inputs, cfg: ReportConfig) -> Extracts:
+    return Extracts(inputs, cfg)

@@ -52,26 +52,12 @@ def _prefixed(prefix: str, n: Column) -> Column:
     return F.concat(F.lit(prefix), n.cast("string"))
 
 
-def ledger_lines(spark: SparkSession, sf_dir: str, period: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-    """Accounting ledger lines (schema: FIXTURES.md section 1).
-
-    ``period`` optionally restricts ``ending_period``; the restriction is also
-    translated into a range on ``o_orderdate`` so it reaches the Parquet scan
-    (the exact filter on the derived column stays in place).
-    """
+def ledger_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ledger lines, plus the source order timestamp ``_order_ts`` that
+    ``window`` uses to bound the scan."""
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"
     )
-    if period is not None:
-        # ending_period = last_day(order month + 240 months) lies in [lo, hi] only
-        # if the order month lies in [lo's month, hi's month] - 240 months.
-        lo, hi = period
-        lo_src = dt.datetime(lo.year - 20, lo.month, 1)
-        hi_src = dt.datetime(hi.year - 20 + hi.month // 12, hi.month % 12 + 1, 1)
-        ts = orders.schema["o_orderdate"].dataType.simpleString()
-        orders = orders.filter(
-            (F.col("o_orderdate") >= F.lit(lo_src).cast(ts)) & (F.col("o_orderdate") < F.lit(hi_src).cast(ts))
-        )
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = F.broadcast(
         _table(spark, sf_dir, "nation")
@@ -92,7 +78,7 @@ def ledger_lines(spark: SparkSession, sf_dir: str, period: tuple[dt.date, dt.dat
     close_date = F.add_months(F.to_date("o_orderdate"), YEARS_SHIFT_MONTHS)
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     item_ids = F.array(*[F.lit(i) for i in FIXTURE_ITEM_IDS])
-    df = df.select(
+    return df.select(
         _null_when(ok % 11 == 0, ok).alias("deal_id"),
         _null_when(ok % 22 == 0, ok).alias("deal_line_id"),
         _null_when(ck % 13 == 0, _prefixed("T", ck % 40)).alias("team_id"),
@@ -116,10 +102,33 @@ def ledger_lines(spark: SparkSession, sf_dir: str, period: tuple[dt.date, dt.dat
         .when((account >= "500000") | account.startswith("4010"), -price)
         .otherwise(price)
         .alias("amount"),
+        F.col("o_orderdate").alias("_order_ts"),
     )
-    if period is not None:
-        df = df.filter(F.col("ending_period").between(F.lit(period[0]), F.lit(period[1])))
-    return df
+
+
+def window(base: DataFrame, period: tuple[dt.date, dt.date] | None) -> DataFrame:
+    """Ledger lines (schema: FIXTURES.md section 1) whose ``ending_period``
+    lies in ``period`` (None: all).  The window is also stated as a range on
+    the source order date, which Catalyst pushes into the orders scan; the
+    exact filter on the derived column stays."""
+    if period is None:
+        return base.drop("_order_ts")
+    # ending_period = last_day(order month + 240 months) lies in [lo, hi] only
+    # if the order month lies in [lo's month, hi's month] - 240 months.
+    lo, hi = period
+    lo_src = dt.datetime(lo.year - 20, lo.month, 1)
+    hi_src = dt.datetime(hi.year - 20 + hi.month // 12, hi.month % 12 + 1, 1)
+    ts = base.schema["_order_ts"].dataType.simpleString()
+    return base.filter(
+        (F.col("_order_ts") >= F.lit(lo_src).cast(ts))
+        & (F.col("_order_ts") < F.lit(hi_src).cast(ts))
+        & F.col("ending_period").between(F.lit(lo), F.lit(hi))
+    ).drop("_order_ts")
+
+
+def ledger_lines(spark: SparkSession, sf_dir: str, period: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """Accounting ledger lines, optionally restricted to a period window."""
+    return window(ledger_base(spark, sf_dir), period)
 
 
 def principal_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
