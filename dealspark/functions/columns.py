@@ -58,7 +58,7 @@ def money_to_double(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             return f"CAST({q} AS DOUBLE) AS {q}"
         if isinstance(f.dataType, T.IntegralType) and is_money(f.name):
-            return f"{q} / 100.0 AS {q}"
+            return f"{q} / 100.0D AS {q}"  # double literal: '100.0' alone is a decimal in SQL
         return q
 
     return df.selectExpr(*[out(f) for f in df.schema.fields])

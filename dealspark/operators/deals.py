@@ -32,16 +32,24 @@ def with_splits(reclassed: DataFrame) -> DataFrame:
     )
 
 
-def deal_data(reclassed: DataFrame, slim_roster: DataFrame) -> DataFrame:
-    """J5 + N6: every deal row, once per principal of its team (NULL team never
-    matches); numeric NULLs become 0, strings and dates stay NULL.
-
-    Splits and fills depend on deal columns only, so they run once per deal
-    row before the join; after it only the roster's numeric columns are
-    filled.  The roster side is left to adaptive execution: it is broadcast
-    when its measured size is under the broadcast threshold, otherwise both
-    sides are shuffled on the team key (with skew splitting of the deal side)."""
-    deals = fill_numeric_zero(with_splits(reclassed))
-    joined = deals.join(slim_roster, F.col("team_id") == F.col("roster_team_id"), "left")
+def deal_rows(reclassed: DataFrame) -> DataFrame:
+    """Splits and the numeric fill on the deal rows, before the roster join:
+    they depend on deal columns only, so they run once per deal row."""
+    return fill_numeric_zero(with_splits(reclassed))
+
+
+def attach_roster(rows: DataFrame, slim_roster: DataFrame) -> DataFrame:
+    """J5 + N6: every deal row once per principal of its team (NULL team never
+    matches); the roster's numeric columns are 0 where no principal matched.
+
+    The roster side is left to adaptive execution: it is broadcast when its
+    measured size is under the broadcast threshold, otherwise both sides are
+    shuffled on the team key (with skew splitting of the deal side)."""
+    joined = rows.join(slim_roster, F.col("team_id") == F.col("roster_team_id"), "left")
     numeric = [f.name for f in slim_roster.schema.fields if isinstance(f.dataType, T.NumericType)]
-    return fill_numeric_zero(joined.select(*slim_roster.columns, *deals.columns), only=tuple(numeric))
+    return fill_numeric_zero(joined.select(*slim_roster.columns, *rows.columns), only=tuple(numeric))
+
+
+def deal_data(reclassed: DataFrame, slim_roster: DataFrame) -> DataFrame:
+    """The deal output: numeric NULLs are 0, strings and dates stay NULL."""
+    return attach_roster(deal_rows(reclassed), slim_roster)

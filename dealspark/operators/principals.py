@@ -16,14 +16,26 @@ SUMMED = ("commission_expense", "gci_less_referral", "net_company_dollar", "aep_
 PIVOTED = ("deal_count", "ncd_margin", "gci_less_referral", "commission_expense", "net_company_dollar", "aep_total")
 
 
-def principal_year(deals: DataFrame) -> DataFrame:
-    """A7 + P18 over the filled deal output: distinct deals (a NULL deal id
-    counts once) and four sums per principal and year, plus the NCD margin.
-
-    Two aggregation levels instead of a distinct aggregate: per deal first,
-    which collapses the deal rows map-side, then per principal and year."""
-    d = deals.withColumnRenamed("team_id", "ledger_team_id").withColumnRenamed("roster_team_id", "team_id")
-    per_deal = d.groupBy(*YEAR_KEYS, "deal_id").agg(*[F.sum(c).alias(c) for c in SUMMED])
+LEDGER_SIDE = ("team_id", "ending_year", "market_region", "location_name", "listing_type", "deal_id")
+
+
+def principal_year(rows: DataFrame, slim_roster: DataFrame) -> DataFrame:
+    """A7 + P18: distinct deals (a NULL deal id counts once) and four sums per
+    principal and year over the filled deal output, plus the NCD margin.
+
+    The deal output repeats each deal row once per principal of its team, so
+    the deal rows are first summed per (team, year, region, location, listing,
+    deal) and only those sums meet the roster.  Then per principal and deal
+    (rows of unmatched teams share the NULL principal) and per principal: two
+    small aggregations instead of a distinct aggregate."""
+    per_team_deal = rows.groupBy(*LEDGER_SIDE).agg(*[F.sum(c).alias(c) for c in SUMMED])
+    joined = per_team_deal.join(slim_roster, F.col("team_id") == F.col("roster_team_id"), "left").select(
+        F.col("roster_team_id").alias("team_id"),
+        *[c for c in YEAR_KEYS if c != "team_id"],
+        "deal_id",
+        *SUMMED,
+    )
+    per_deal = joined.groupBy(*YEAR_KEYS, "deal_id").agg(*[F.sum(c).alias(c) for c in SUMMED])
     per_year = per_deal.groupBy(*YEAR_KEYS).agg(
         F.count(F.lit(1)).alias("deal_count"), *[F.sum(c).alias(c) for c in SUMMED]
     )
@@ -63,6 +75,6 @@ def with_producing_flags(scoped: DataFrame, years: tuple[int, ...]) -> DataFrame
     )
 
 
-def principal_data(deals: DataFrame, spark: SparkSession, cfg: ReportConfig) -> DataFrame:
-    piv = principal_pivot(principal_year(deals), cfg.report_years)
+def principal_data(rows: DataFrame, slim_roster: DataFrame, spark: SparkSession, cfg: ReportConfig) -> DataFrame:
+    piv = principal_pivot(principal_year(rows, slim_roster), cfg.report_years)
     return with_producing_flags(market_scope(piv, crosswalk_frame(spark, cfg)), cfg.report_years)

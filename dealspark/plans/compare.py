@@ -44,6 +44,40 @@ def table_digest(columns: list[str], rows: list[tuple]) -> tuple[int, list[str],
     return len(rows), [columns[i] for i in order], h
 
 
+def spark_kind(dtype) -> str:
+    from pyspark.sql import types as T
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return "float"
+    if isinstance(dtype, T.IntegralType):
+        return "int"
+    if isinstance(dtype, T.DecimalType):
+        return "decimal"
+    if isinstance(dtype, T.StringType):
+        return "str"
+    if isinstance(dtype, T.DateType):
+        return "date"
+    if isinstance(dtype, T.BooleanType):
+        return "bool"
+    return dtype.simpleString()
+
+
+def duck_kind(type_code) -> str:
+    t = str(type_code).upper()
+    if t in ("DOUBLE", "FLOAT", "REAL"):
+        return "float"
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT", "NUMBER") or t.startswith("INT"):
+        return "int"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t in ("VARCHAR", "STRING"):
+        return "str"
+    if t == "DATE":
+        return "date"
+    if t == "BOOLEAN":
+        return "bool"
+    return t.lower()
+
+
 def compare(spark, name: str, query, sql: str, sf_dir: str, con=None) -> dict:
     df = query(spark, sf_dir)
     s_rows = [tuple(r) for r in df.collect()]
@@ -53,8 +87,13 @@ def compare(spark, name: str, query, sql: str, sf_dir: str, con=None) -> dict:
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
     d = table_digest(d_cols, d_rows)
+    s_types = {f.name: spark_kind(f.dataType) for f in df.schema.fields}
+    d_types = {c[0]: duck_kind(c[1]) for c in res.description}
+    type_diff = {k: (s_types[k], d_types.get(k)) for k in s_types if s_types[k] != d_types.get(k)}
     out = {"query": name, "rows_spark": s[0], "rows_oracle": d[0], "columns_match": s[1] == d[1],
-           "hash_match": s[2] == d[2]}
+           "hash_match": s[2] == d[2], "types_match": not type_diff}
+    if type_diff:
+        out["type_diff"] = type_diff
     if not out["hash_match"]:
         out["spark_only_cols"] = sorted(set(s[1]) - set(d[1]))
         out["oracle_only_cols"] = sorted(set(d[1]) - set(s[1]))

@@ -19,13 +19,13 @@ from ..sources.sinks import write_outputs
 
 class Stages:
     """Every intermediate result of the job, built lazily on first use.  Money
-    stays exact decimal throughout; ``money_to_double`` is applied only to
-    what leaves the job."""
+    stays exact (long cents) throughout; ``money_to_double`` is applied only
+    to what leaves the job."""
 
-    def __init__(self, spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_data: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_rows: DataFrame | None = None):
         self.spark, self.inputs, self.cfg = spark, inputs, cfg
-        if deal_data is not None:
-            self.__dict__["deal_data"] = deal_data
+        if deal_rows is not None:
+            self.__dict__["deal_rows"] = deal_rows
 
     @cached_property
     def extracts(self) -> extracts.Extracts:
@@ -47,13 +47,17 @@ class Stages:
     def roster_slim(self) -> DataFrame:
         return roster.roster_slim(self.extracts.roster)
 
+    @cached_property
+    def deal_rows(self) -> DataFrame:
+        return deals.deal_rows(self.reclassed)
+
     @cached_property
     def deal_data(self) -> DataFrame:
-        return deals.deal_data(self.reclassed, self.roster_slim)
+        return deals.attach_roster(self.deal_rows, self.roster_slim)
 
     @cached_property
     def principal_year(self) -> DataFrame:
-        return principals.principal_year(self.deal_data)
+        return principals.principal_year(self.deal_rows, self.roster_slim)
 
     @cached_property
     def principal_pivot(self) -> DataFrame:
@@ -108,9 +112,9 @@ class Outputs:
                 "principal_mix_data": self.principal_mix_data}
 
 
-def build_outputs(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_data: DataFrame | None = None) -> Outputs:
+def build_outputs(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_rows: DataFrame | None = None) -> Outputs:
     """The three outputs as lazy DataFrames (nothing runs until an action)."""
-    st = Stages(spark, inputs, cfg, deal_data)
+    st = Stages(spark, inputs, cfg, deal_rows)
     return Outputs(
         deal_data=money_to_double(st.deal_data),
         principal_data=money_to_double(st.principal_data),
@@ -122,11 +126,12 @@ def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, r
         fmt: str = "csv", null_label: str | None = None) -> dict[str, str]:
     """Run the job and write the three outputs.
 
-    The deal output feeds itself and both summaries, so it is checkpointed
-    (reliably, to the cluster's checkpoint folder) once; the summaries then read
+    The deal rows (ledger pivot + AEP reclass + splits, before the roster
+    fan-out) feed the deal output and both summaries, so they are checkpointed
+    once, reliably, to the cluster's checkpoint folder: the outputs then read
     the checkpoint instead of recomputing the ledger aggregation, and a lost
     executor does not send the job back to the raw ledger."""
     ensure_checkpoint_dir(spark)
-    deal_rows = Stages(spark, inputs, cfg).deal_data.checkpoint(eager=True)
-    outputs = build_outputs(spark, inputs, cfg, deal_data=deal_rows)
+    deal_rows = Stages(spark, inputs, cfg).deal_rows.checkpoint(eager=True)
+    outputs = build_outputs(spark, inputs, cfg, deal_rows=deal_rows)
     return write_outputs(outputs.as_dict(), out_base, run_date, fmt=fmt, null_label=null_label)
