@@ -112,9 +112,16 @@ class Outputs:
                 "principal_mix_data": self.principal_mix_data}
 
 
-def build_outputs(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_rows: DataFrame | None = None) -> Outputs:
-    """The three outputs as lazy DataFrames (nothing runs until an action)."""
+def build_outputs(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_rows: DataFrame | None = None,
+                  checkpoint_summary: bool = False) -> Outputs:
+    """The three outputs as lazy DataFrames (nothing runs until an action).
+
+    With ``checkpoint_summary`` the principal summary, which is both an output
+    and the input of the cohort summary, is checkpointed first (it is one row
+    per principal and market, small) so it is computed once."""
     st = Stages(spark, inputs, cfg, deal_rows)
+    if checkpoint_summary:
+        st.__dict__["principal_data"] = st.principal_data.checkpoint(eager=True)
     return Outputs(
         deal_data=money_to_double(st.deal_data),
         principal_data=money_to_double(st.principal_data),
@@ -133,5 +140,5 @@ def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, r
     executor does not send the job back to the raw ledger."""
     ensure_checkpoint_dir(spark)
     deal_rows = Stages(spark, inputs, cfg).deal_rows.checkpoint(eager=True)
-    outputs = build_outputs(spark, inputs, cfg, deal_rows=deal_rows)
+    outputs = build_outputs(spark, inputs, cfg, deal_rows=deal_rows, checkpoint_summary=True)
     return write_outputs(outputs.as_dict(), out_base, run_date, fmt=fmt, null_label=null_label)

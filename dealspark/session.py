@@ -28,6 +28,9 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DEALSPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+        # Small local inputs: let adaptive coalescing keep one task per core even
+        # where a join fans rows out after a small shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="dealspark-wh-"))
     )
     for k, v in SESSION_DEFAULTS.items():
