@@ -32,6 +32,16 @@ def fee_totals(sums: DataFrame) -> DataFrame:
     return sums.groupBy(*FEE_KEYS).agg(F.sum("flat_fees_isolated").alias("flat_fees_isolated"))
 
 
+def unmapped_fee_accounts(sums: DataFrame) -> DataFrame:
+    """J3's report: fee accounts no measure column carries (they adjust
+    nothing), with their fee lines' total; a distributed result, not a print."""
+    columns = [account_column(a) for a in ACCOUNTS]
+    mapped = [a for a in ACCOUNTS if column_for_account(a, columns) is not None]
+    return (sums.filter(~F.col("account_number").isin(mapped) | F.col("account_number").isNull())
+            .groupBy("account_number")
+            .agg(F.count(F.lit(1)).alias("n_deals"), F.sum("flat_fees_isolated").alias("flat_fees_isolated")))
+
+
 def fee_by_account(deals: DataFrame, sums: DataFrame) -> DataFrame:
     """J2 + J3: one copy of a deal per matching fee account, with that
     account's column reduced by the fee.  Fee accounts outside the chart

@@ -355,6 +355,10 @@ def oracle_queries() -> dict[str, str]:
         "cohort_mix": _with(m, f"SELECT {_out(mix_cols, pv_money)} FROM (SELECT *, {margins}, {variance} FROM cps)"),
         "fee_sums": _with(m, f"SELECT {_out(fee_keys + ['account_number', 'flat_fees_isolated'], ['flat_fees_isolated'])} FROM fs"),
         "fee_totals": _with(m, f"SELECT {_out(fee_keys + ['flat_fees_isolated'], ['flat_fees_isolated'])} FROM ft"),
+        "fee_unmapped_accounts": _with(m, f"""SELECT account_number, COUNT(*) AS n_deals,
+            CAST(SUM(flat_fees_isolated) AS DOUBLE) AS flat_fees_isolated FROM fs
+            WHERE account_number IS NULL OR account_number NOT IN ({', '.join(_q(a) for a in ACCOUNTS)})
+            GROUP BY account_number"""),
         "fee_by_account": _with(m, f"SELECT {_out(rc_cols, rc_money)} FROM fba"),
         "fee_isolated_ledger": _with(m, f"SELECT {_out(rc_cols + ['flat_fees_isolated'], rc_money + ['flat_fees_isolated'])} FROM fil"),
     }

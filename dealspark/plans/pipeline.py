@@ -92,6 +92,10 @@ class Stages:
     def fee_totals(self) -> DataFrame:
         return fees.fee_totals(self.fee_sums)
 
+    @cached_property
+    def unmapped_fee_accounts(self) -> DataFrame:
+        return fees.unmapped_fee_accounts(self.fee_sums)
+
     @cached_property
     def fee_by_account(self) -> DataFrame:
         return fees.fee_by_account(self.reclassed, self.fee_sums)

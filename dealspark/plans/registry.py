@@ -1,7 +1,7 @@
 """Named queries: every operator of the job as a DataFrame over ``sf_dir``.
 
 Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole fixture tables.  Money leaves as double (exact decimal inside).
+whole fixture tables.  Money leaves as double (exact long cents inside).
 """
 
 from __future__ import annotations
@@ -126,6 +126,7 @@ def registry() -> dict[str, Query]:
         # flat-fee isolation
         "fee_sums": _stage("fee_sums"),
         "fee_totals": _stage("fee_totals"),
+        "fee_unmapped_accounts": _stage("unmapped_fee_accounts"),
         "fee_by_account": _stage("fee_by_account"),
         "fee_isolated_ledger": _stage("fee_isolated_ledger"),
     }

@@ -42,7 +42,12 @@ def fixture_view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     )
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str], Inputs] = {}
+
+# Files per period in the stored fixture ledger: rows of one period are spread
+# over this many write tasks, so a period holding a large share of the ledger
+# is not written by a single task.
+BUCKETS_PER_PERIOD = 4
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -50,16 +55,20 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     the ledger is written as Parquet partitioned by ``ending_period`` (how a
     ledger table is kept), the roster as plain Parquet, both under the
     cluster's checkpoint folder.  Every extract is then a pruned scan of a real
-    table, and reading the ledger twice costs two scans, not two derivations."""
+    table, and reading the ledger twice costs two scans, not two derivations.
+    The loaded tables are kept per session, so their file listing is done
+    once."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _STORED:
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-inputs/{uuid.uuid4().hex}"
-        (fixtures.ledger_lines(spark, sf_dir).repartition("ending_period").write.mode("overwrite")
+        lines = fixtures.ledger_lines(spark, sf_dir)
+        bucket = F.pmod(F.xxhash64("deal_id", "deal_line_id", "account_number", "item_id", "amount"),
+                        F.lit(BUCKETS_PER_PERIOD))
+        (lines.repartition("ending_period", bucket).write.mode("overwrite")
          .partitionBy("ending_period").parquet(f"{root}/ledger_lines"))
-        fixtures.principal_roster(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{root}/principal_roster")
-        _STORED[key] = root
-    root = _STORED[key]
-    return table_inputs(spark, f"{root}/ledger_lines", f"{root}/principal_roster")
+        fixtures.principal_roster(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/principal_roster")
+        _STORED[key] = table_inputs(spark, f"{root}/ledger_lines", f"{root}/principal_roster")
+    return _STORED[key]
 
 
 def table_inputs(spark: SparkSession, ledger: str, roster: str, fmt: str = "parquet") -> Inputs:

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The job is a batch report over a closed period window; it has no stream,
+watermark, window-over-time or state (SURVEY section 2.11), so no streaming
+operator is built.
+"""

@@ -219,3 +219,18 @@ def test_config_rejects_unknown_operator():
         CohortBand("bad", (("=>", D(2019, 1, 1)),))
     with pytest.raises(ValueError):
         ReportConfig(begin=D(2020, 1, 1), end=D(2019, 1, 1))
+
+
+def test_unmapped_fee_account_is_reported_not_applied(spark):
+    deals_df = spark.createDataFrame(
+        [("1", "T1", D(2019, 1, 31), "ASIA", "N", "R", "L", "D", 1000)],
+        "deal_id string, team_id string, ending_period date, market_region string, location_name string, "
+        "side_represented string, listing_type string, department_name string, acct_430003 long")
+    sums = spark.createDataFrame(
+        [("1", "T1", D(2019, 1, 31), "ASIA", "N", "R", "L", "D", "999999", 70)],
+        "deal_id string, team_id string, ending_period date, market_region string, location_name string, "
+        "side_represented string, listing_type string, department_name string, account_number string, "
+        "flat_fees_isolated long")
+    assert [tuple(r) for r in fees.unmapped_fee_accounts(sums).collect()] == [("999999", 1, 70)]
+    (row,) = fees.fee_by_account(deals_df, sums).collect()
+    assert row["acct_430003"] == 1000
