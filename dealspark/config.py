@@ -10,7 +10,7 @@ tiny by construction, which is what makes broadcasting them safe.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 D = dt.date
 
@@ -74,8 +74,6 @@ class ReportConfig:
     # 'positional': share against the total-cohort row at the same position
     # (the established report); 'market_total': share of the market's total.
     share_mode: str = "positional"
-    # Money is summed exactly as decimal and only turned into double at the end.
-    money_type: str = "decimal(18,2)"
 
     def __post_init__(self) -> None:
         if self.begin > self.end:

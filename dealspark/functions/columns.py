@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,11 +38,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return money_ratio(numerator, denominator)
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys, right_prefix: str = "") -> Column:
-    """AND of null-safe equalities (NULL matches NULL) over the key columns."""
-    return reduce(and_, [left[k].eqNullSafe(right[right_prefix + k]) for k in keys])
-
-
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -43,10 +43,6 @@ def to_cents(value: Column) -> Column:
     return (value.cast(SOURCE_MONEY) * F.lit(100)).cast("bigint")
 
 
-def to_cents_sql(expr: str) -> str:
-    return f"CAST(CAST({expr} AS {SOURCE_MONEY}) * 100 AS BIGINT)"
-
-
 def as_double(value_cents: Column) -> Column:
     """Cents as the double of the exact decimal amount (correctly rounded)."""
     return value_cents / F.lit(100.0)

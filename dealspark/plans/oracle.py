@@ -336,6 +336,7 @@ def oracle_queries() -> dict[str, str]:
         "deal_splits": _with(m, f"SELECT {_out(sp_cols, sp_money)} FROM sp"),
         "deal_splits_late": _with(LATE, f"SELECT {_out(sp_cols, sp_money)} FROM sp"),
         "deal_data": _with(m, f"SELECT {_out(dd_cols, dd_money)} FROM dd"),
+        "deal_data_late": _with(LATE, f"SELECT {_out(dd_cols, dd_money)} FROM dd"),
         "principal_year": _with(m, f"SELECT {_out(py_cols, MONEY_VALUES)} FROM py"),
         "principal_pivot": _with(m, f"SELECT {_out(pv_cols, pv_money)} FROM pv"),
         "market_scope": _with(m, f"SELECT {_out(pv_cols, pv_money)} FROM ms"),
@@ -353,6 +354,7 @@ def oracle_queries() -> dict[str, str]:
             [f"gci_less_referral_{y}" for y in years] + [f"market_gci_less_referral_{y}" for y in years])
             + " FROM cms"),
         "cohort_mix": _with(m, f"SELECT {_out(mix_cols, pv_money)} FROM (SELECT *, {margins}, {variance} FROM cps)"),
+        "cohort_mix_late": _with(LATE, f"SELECT {_out(mix_cols, pv_money)} FROM (SELECT *, {margins}, {variance} FROM cps)"),
         "fee_sums": _with(m, f"SELECT {_out(fee_keys + ['account_number', 'flat_fees_isolated'], ['flat_fees_isolated'])} FROM fs"),
         "fee_totals": _with(m, f"SELECT {_out(fee_keys + ['flat_fees_isolated'], ['flat_fees_isolated'])} FROM ft"),
         "fee_unmapped_accounts": _with(m, f"""SELECT account_number, COUNT(*) AS n_deals,

@@ -15,7 +15,6 @@ from ..config import LATE, MAIN, ReportConfig
 from ..functions.columns import deal_key as deal_key_col
 from ..functions.columns import money_to_double, normalized_region
 from ..operators import cohorts, deals, roster
-from ..sources import extracts
 from ..sources.extracts import fixture_inputs
 from .pipeline import Stages
 
@@ -111,6 +110,7 @@ def registry() -> dict[str, Query]:
         "deal_splits": deal_splits_q(MAIN),
         "deal_splits_late": deal_splits_q(LATE),
         "deal_data": _stage("deal_data"),
+        "deal_data_late": _stage("deal_data", LATE),
         # principal summary
         "principal_year": _stage("principal_year"),
         "principal_pivot": _stage("principal_pivot"),
@@ -123,6 +123,7 @@ def registry() -> dict[str, Query]:
         "cohort_share_positional": cohort_share_positional_q,
         "cohort_share": cohort_share_q,
         "cohort_mix": _stage("principal_mix_data"),
+        "cohort_mix_late": _stage("principal_mix_data", LATE),
         # flat-fee isolation
         "fee_sums": _stage("fee_sums"),
         "fee_totals": _stage("fee_totals"),

@@ -33,8 +33,9 @@ class Inputs:
 
 
 def fixture_view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """Inputs as lazy views over the driver tables (every read re-derives the
-    ledger from the TPC-H-style tables)."""
+    """Inputs as lazy views over the driver tables: every read re-derives the
+    ledger from the TPC-H-style tables (the period window still reaches the
+    orders scan).  ``fixture_inputs`` stores them once instead."""
     base = fixtures.ledger_base(spark, sf_dir)
     return Inputs(
         ledger=lambda w: fixtures.window(base, w),
@@ -96,12 +97,6 @@ def ledger_window(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
 
 # --- AEP lines (S2: F2, F4) --------------------------------------------------
 
-AEP_LINE_COLUMNS = (
-    "deal_id", "team_id", "ending_period", "amount", "market_region",
-    "location_name", "side_represented", "listing_type", "department_name",
-)
-
-
 def aep_lines(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
     """Agent-equity lines booked to commission expense, up to the AEP cut-off.
     No aggregation; duplicates are kept."""
@@ -124,12 +119,6 @@ def aep_lines(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
 
 # --- flat-fee lines (S3: F3, F4) ---------------------------------------------
 
-FEE_LINE_COLUMNS = (
-    "deal_id", "team_id", "ending_period", "amount", "market_region", "location_name",
-    "side_represented", "listing_type", "account_number", "item_id", "item_name", "department_name",
-)
-
-
 def fee_lines(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
     """Flat-fee item lines up to the fee cut-off. No aggregation."""
     lines = inputs.ledger((cfg.side_begin, cfg.fee_cutoff)).filter(F.col("item_id").isin(list(cfg.fee_items)))
