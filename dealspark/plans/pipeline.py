@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import ReportConfig
 from ..functions.columns import money_to_double
 from ..operators import aep, cohorts, deals, fees, principals, roster
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from ..sources import extracts
 from ..sources.extracts import Inputs
 from ..sources.sinks import write_outputs
@@ -125,7 +125,7 @@ def build_outputs(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_r
     per principal and market, small) so it is computed once."""
     st = Stages(spark, inputs, cfg, deal_rows)
     if checkpoint_summary:
-        st.__dict__["principal_data"] = st.principal_data.checkpoint(eager=True)
+        st.__dict__["principal_data"] = materialize(st.principal_data, "principal_data")
     return Outputs(
         deal_data=money_to_double(st.deal_data),
         principal_data=money_to_double(st.principal_data),
@@ -138,11 +138,11 @@ def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, r
     """Run the job and write the three outputs.
 
     The deal rows (ledger pivot + AEP reclass + splits, before the roster
-    fan-out) feed the deal output and both summaries, so they are checkpointed
-    once, reliably, to the cluster's checkpoint folder: the outputs then read
-    the checkpoint instead of recomputing the ledger aggregation, and a lost
-    executor does not send the job back to the raw ledger."""
-    ensure_checkpoint_dir(spark)
-    deal_rows = Stages(spark, inputs, cfg).deal_rows.checkpoint(eager=True)
+    fan-out) feed the deal output and both summaries, so they are written once
+    as a Parquet table in the cluster's checkpoint folder (``materialize``):
+    the outputs read that table - the summaries only the columns they use -
+    instead of recomputing the ledger aggregation, and a lost executor does
+    not send the job back to the raw ledger."""
+    deal_rows = materialize(Stages(spark, inputs, cfg).deal_rows, "deal_rows")
     outputs = build_outputs(spark, inputs, cfg, deal_rows=deal_rows, checkpoint_summary=True)
     return write_outputs(outputs.as_dict(), out_base, run_date, fmt=fmt, null_label=null_label)
