@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import ReportConfig
 from ..functions.columns import money_to_double
 from ..operators import aep, cohorts, deals, fees, principals, roster
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources import extracts
 from ..sources.extracts import Inputs
 from ..sources.sinks import write_outputs
@@ -121,11 +121,13 @@ def build_outputs(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_r
     """The three outputs as lazy DataFrames (nothing runs until an action).
 
     With ``checkpoint_summary`` the principal summary, which is both an output
-    and the input of the cohort summary, is checkpointed first (it is one row
-    per principal and market, small) so it is computed once."""
+    and the input of the cohort summary, is checkpointed first (reliably, to
+    the checkpoint folder; it is one row per principal and market, small) so
+    it is computed once."""
     st = Stages(spark, inputs, cfg, deal_rows)
     if checkpoint_summary:
-        st.__dict__["principal_data"] = materialize(st.principal_data, "principal_data")
+        ensure_checkpoint_dir(spark)
+        st.__dict__["principal_data"] = st.principal_data.checkpoint(eager=True)
     return Outputs(
         deal_data=money_to_double(st.deal_data),
         principal_data=money_to_double(st.principal_data),
