@@ -74,6 +74,9 @@ class ReportConfig:
     # 'positional': share against the total-cohort row at the same position
     # (the established report); 'market_total': share of the market's total.
     share_mode: str = "positional"
+    # A data-derived side (AEP totals, fee sums, roster) is broadcast only after
+    # a count shows at most this many rows; beyond it, shuffle joins.
+    broadcast_max_rows: int = 2_000_000
 
     def __post_init__(self) -> None:
         if self.begin > self.end:

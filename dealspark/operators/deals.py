@@ -38,18 +38,19 @@ def deal_rows(reclassed: DataFrame) -> DataFrame:
     return fill_numeric_zero(with_splits(reclassed))
 
 
-def attach_roster(rows: DataFrame, slim_roster: DataFrame) -> DataFrame:
+def attach_roster(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False) -> DataFrame:
     """J5 + N6: every deal row once per principal of its team (NULL team never
     matches); the roster's numeric columns are 0 where no principal matched.
 
-    The roster side is left to adaptive execution: it is broadcast when its
-    measured size is under the broadcast threshold, otherwise both sides are
-    shuffled on the team key (with skew splitting of the deal side)."""
-    joined = rows.join(slim_roster, F.col("team_id") == F.col("roster_team_id"), "left")
+    ``broadcast_roster`` (only after a size check of the roster) keeps the
+    deal rows where they are; otherwise both sides are shuffled on the team
+    key, with adaptive skew splitting of the deal side."""
+    roster_side = F.broadcast(slim_roster) if broadcast_roster else slim_roster
+    joined = rows.join(roster_side, F.col("team_id") == F.col("roster_team_id"), "left")
     numeric = [f.name for f in slim_roster.schema.fields if isinstance(f.dataType, T.NumericType)]
     return fill_numeric_zero(joined.select(*slim_roster.columns, *rows.columns), only=tuple(numeric))
 
 
-def deal_data(reclassed: DataFrame, slim_roster: DataFrame) -> DataFrame:
+def deal_data(reclassed: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False) -> DataFrame:
     """The deal output: numeric NULLs are 0, strings and dates stay NULL."""
-    return attach_roster(deal_rows(reclassed), slim_roster)
+    return attach_roster(deal_rows(reclassed), slim_roster, broadcast_roster)

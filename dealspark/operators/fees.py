@@ -42,11 +42,11 @@ def unmapped_fee_accounts(sums: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_deals"), F.sum("flat_fees_isolated").alias("flat_fees_isolated")))
 
 
-def fee_by_account(deals: DataFrame, sums: DataFrame) -> DataFrame:
+def fee_by_account(deals: DataFrame, sums: DataFrame, broadcast_fees: bool = False) -> DataFrame:
     """J2 + J3: one copy of a deal per matching fee account, with that
     account's column reduced by the fee.  Fee accounts outside the chart
     adjust nothing."""
-    joined = left_merge(deals, sums, null_safe=FEE_NULL_SAFE, strict=FEE_STRICT)
+    joined = left_merge(deals, sums, null_safe=FEE_NULL_SAFE, strict=FEE_STRICT, broadcast_side=broadcast_fees)
     acct, fee = F.col("account_number"), F.col("flat_fees_isolated")
     columns = [account_column(a) for a in ACCOUNTS]
     adjusted = {}
@@ -62,9 +62,10 @@ def fee_by_account(deals: DataFrame, sums: DataFrame) -> DataFrame:
     )
 
 
-def fee_isolated_ledger(by_account: DataFrame, totals: DataFrame) -> DataFrame:
+def fee_isolated_ledger(by_account: DataFrame, totals: DataFrame, broadcast_fees: bool = False) -> DataFrame:
     """Full outer merge with the per-deal fee totals; the flat-fee account
     gains the total (NULL where either side is missing)."""
-    merged = outer_merge(by_account, totals, null_safe=FEE_NULL_SAFE, strict=FEE_STRICT)
+    merged = outer_merge(by_account, totals, null_safe=FEE_NULL_SAFE, strict=FEE_STRICT,
+                         broadcast_side=broadcast_fees)
     flat = account_column(FLAT_FEE_ACCOUNT)
     return merged.withColumn(flat, F.col(flat) + F.col("flat_fees_isolated"))

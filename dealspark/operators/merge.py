@@ -1,17 +1,23 @@
 """Keyed merges with per-key NULL rules.
 
 ``outer_merge`` is a full outer join of a large frame with a keyed side frame,
-written as
+written as a left join plus the side rows no large row meets, instead of one
+``full_outer`` join (which Spark can neither broadcast nor split for skew).
+Which plan is used follows a size check of the side (``fits_broadcast``):
 
-    large LEFT JOIN side                              (every large row, side columns or NULL)
-  ∪ side LEFT ANTI (large keys LEFT SEMI side keys)   (side rows no large row meets)
+small side (checked row bound, broadcast):
+    large LEFT JOIN broadcast(side)
+  ∪ side LEFT ANTI broadcast((large keys LEFT SEMI broadcast(side keys)).distinct())
+  - the large frame is never shuffled; the semi join filters it where it is
+    read, and the anti join meets at most one row per side key.
 
-instead of one ``full_outer`` join: Spark can run the left and semi joins as
-broadcast joins when adaptive execution measures the side frame small (full
-outer joins are never broadcast), adaptive skew splitting applies to them (it
-does not to full outer), and the anti join only meets the distinct matched
-keys, at most one row per side key.  Same rows as a full outer join, NULL keys
-included.
+large side (shuffle joins, adaptive skew splitting of hot keys):
+    large LEFT JOIN side
+  ∪ side LEFT ANTI (large keys).distinct()
+  - the large frame is shuffled once on the keys for the left join, and only
+    its distinct keys (partially aggregated map-side) for the anti join.
+
+Same rows as a full outer join, NULL keys included.
 """
 
 from __future__ import annotations
@@ -35,25 +41,39 @@ def _prefixed(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return df.select([F.col(c).alias(SIDE + c) if c in keys else F.col(c) for c in df.columns])
 
 
-def left_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=()) -> DataFrame:
+def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
+    """Size check before broadcasting: True when ``df`` has at most
+    ``max_rows`` rows.  Counting stops after ``max_rows + 1`` rows, so a large
+    frame is not read to the end."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def left_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broadcast_side: bool = False) -> DataFrame:
     """Left join keeping the large frame's key columns; NULL keys match NULL
-    for ``null_safe`` keys and never for ``strict`` keys."""
+    for ``null_safe`` keys and never for ``strict`` keys.  ``broadcast_side``
+    only after a size check of the side."""
     null_safe, strict = tuple(null_safe), tuple(strict)
     keys = null_safe + strict
     right = _prefixed(side, keys)
+    right = F.broadcast(right) if broadcast_side else right
     joined = large.join(right, _on(large, right, null_safe, strict), "left")
     return joined.drop(*[SIDE + k for k in keys])
 
 
-def outer_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=()) -> DataFrame:
+def outer_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broadcast_side: bool = False) -> DataFrame:
     """Full outer join on the keys; key columns are merged (from whichever side
-    has the row).  Columns: the large frame's, then the side's non-key ones."""
+    has the row).  Columns: the large frame's, then the side's non-key ones.
+    ``broadcast_side`` selects the broadcast plan and must follow a size check
+    of the side (``fits_broadcast``)."""
     null_safe, strict = tuple(null_safe), tuple(strict)
     keys = null_safe + strict
-    matched = left_merge(large, side, null_safe, strict)
-    side_keys = _prefixed(side.select(*keys), keys)
+    matched = left_merge(large, side, null_safe, strict, broadcast_side)
     large_keys = large.select(*keys)
-    hit = large_keys.join(side_keys, _on(large_keys, side_keys, null_safe, strict), "left_semi").distinct()
-    hit = _prefixed(hit, keys)
-    side_only = side.join(hit, _on(side, hit, null_safe, strict), "left_anti")
+    if broadcast_side:
+        side_keys = F.broadcast(_prefixed(side.select(*keys), keys))
+        met = large_keys.join(side_keys, _on(large_keys, side_keys, null_safe, strict), "left_semi").distinct()
+        met = F.broadcast(_prefixed(met, keys))  # at most one row per side key
+    else:
+        met = _prefixed(large_keys.distinct(), keys)
+    side_only = side.join(met, _on(side, met, null_safe, strict), "left_anti")
     return matched.unionByName(side_only, allowMissingColumns=True)

@@ -19,7 +19,7 @@ PIVOTED = ("deal_count", "ncd_margin", "gci_less_referral", "commission_expense"
 LEDGER_SIDE = ("team_id", "ending_year", "market_region", "location_name", "listing_type", "deal_id")
 
 
-def principal_year(rows: DataFrame, slim_roster: DataFrame) -> DataFrame:
+def principal_year(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False) -> DataFrame:
     """A7 + P18: distinct deals (a NULL deal id counts once) and four sums per
     principal and year over the filled deal output, plus the NCD margin.
 
@@ -29,7 +29,8 @@ def principal_year(rows: DataFrame, slim_roster: DataFrame) -> DataFrame:
     (rows of unmatched teams share the NULL principal) and per principal: two
     small aggregations instead of a distinct aggregate."""
     per_team_deal = rows.groupBy(*LEDGER_SIDE).agg(*[F.sum(c).alias(c) for c in SUMMED])
-    joined = per_team_deal.join(slim_roster, F.col("team_id") == F.col("roster_team_id"), "left").select(
+    roster_side = F.broadcast(slim_roster) if broadcast_roster else slim_roster
+    joined = per_team_deal.join(roster_side, F.col("team_id") == F.col("roster_team_id"), "left").select(
         F.col("roster_team_id").alias("team_id"),
         *[c for c in YEAR_KEYS if c != "team_id"],
         "deal_id",
@@ -75,6 +76,7 @@ def with_producing_flags(scoped: DataFrame, years: tuple[int, ...]) -> DataFrame
     )
 
 
-def principal_data(rows: DataFrame, slim_roster: DataFrame, spark: SparkSession, cfg: ReportConfig) -> DataFrame:
-    piv = principal_pivot(principal_year(rows, slim_roster), cfg.report_years)
+def principal_data(rows: DataFrame, slim_roster: DataFrame, spark: SparkSession, cfg: ReportConfig,
+                   broadcast_roster: bool = False) -> DataFrame:
+    piv = principal_pivot(principal_year(rows, slim_roster, broadcast_roster), cfg.report_years)
     return with_producing_flags(market_scope(piv, crosswalk_frame(spark, cfg)), cfg.report_years)

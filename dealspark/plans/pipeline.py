@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import ReportConfig
 from ..functions.columns import money_to_double
 from ..operators import aep, cohorts, deals, fees, principals, roster
+from ..operators.merge import fits_broadcast
 from ..session import ensure_checkpoint_dir, materialize
 from ..sources import extracts
 from ..sources.extracts import Inputs
@@ -35,9 +36,23 @@ class Stages:
     def aep_totals(self) -> DataFrame:
         return aep.aep_totals(self.extracts.aep)
 
+    # size checks before broadcasting a data-derived side (counting stops
+    # after the limit): AEP lines bound the AEP totals, fee lines the fee sums
+    @cached_property
+    def aep_small(self) -> bool:
+        return fits_broadcast(self.extracts.aep, self.cfg.broadcast_max_rows)
+
+    @cached_property
+    def fees_small(self) -> bool:
+        return fits_broadcast(self.extracts.fees, self.cfg.broadcast_max_rows)
+
+    @cached_property
+    def roster_small(self) -> bool:
+        return fits_broadcast(self.roster_slim, self.cfg.broadcast_max_rows)
+
     @cached_property
     def deal_aep_outer(self) -> DataFrame:
-        return aep.deal_aep_outer(self.extracts.transactions, self.aep_totals)
+        return aep.deal_aep_outer(self.extracts.transactions, self.aep_totals, self.aep_small)
 
     @cached_property
     def reclassed(self) -> DataFrame:
@@ -53,11 +68,11 @@ class Stages:
 
     @cached_property
     def deal_data(self) -> DataFrame:
-        return deals.attach_roster(self.deal_rows, self.roster_slim)
+        return deals.attach_roster(self.deal_rows, self.roster_slim, self.roster_small)
 
     @cached_property
     def principal_year(self) -> DataFrame:
-        return principals.principal_year(self.deal_rows, self.roster_slim)
+        return principals.principal_year(self.deal_rows, self.roster_slim, self.roster_small)
 
     @cached_property
     def principal_pivot(self) -> DataFrame:
@@ -98,11 +113,11 @@ class Stages:
 
     @cached_property
     def fee_by_account(self) -> DataFrame:
-        return fees.fee_by_account(self.reclassed, self.fee_sums)
+        return fees.fee_by_account(self.reclassed, self.fee_sums, self.fees_small)
 
     @cached_property
     def fee_isolated_ledger(self) -> DataFrame:
-        return fees.fee_isolated_ledger(self.fee_by_account, self.fee_totals)
+        return fees.fee_isolated_ledger(self.fee_by_account, self.fee_totals, self.fees_small)
 
 
 @dataclass(frozen=True)

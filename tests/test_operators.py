@@ -83,22 +83,24 @@ def test_deal_ledger_grain_and_deal_key_fallback(spark):
     assert out == {"9": 300, None: 400}
 
 
-def test_outer_merge_equals_null_safe_full_outer(spark):
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_outer_merge_equals_null_safe_full_outer(spark, broadcast):
     big = spark.createDataFrame([(1, "a", 10), (None, "b", 20), (None, None, 30), (2, "c", 40), (2, "c", 41)],
                                 "k1 int, k2 string, v int")
     side = spark.createDataFrame([(None, None, 1), (2, "c", 2), (3, "d", 3), (None, "z", 4)],
                                  "k1 int, k2 string, w int")
-    got = rows_key(outer_merge(big, side, null_safe=("k1", "k2")).collect())
+    got = rows_key(outer_merge(big, side, null_safe=("k1", "k2"), broadcast_side=broadcast).collect())
     cond = big.k1.eqNullSafe(side.k1) & big.k2.eqNullSafe(side.k2)
     want = rows_key(big.join(side, cond, "full_outer").select(
         F.coalesce(big.k1, side.k1), F.coalesce(big.k2, side.k2), big.v, side.w).collect())
     assert got == want
 
 
-def test_outer_merge_strict_key_never_matches_null(spark):
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_outer_merge_strict_key_never_matches_null(spark, broadcast):
     big = spark.createDataFrame([(1, None, 10)], "k int, dept string, v int")
     side = spark.createDataFrame([(1, None, 5)], "k int, dept string, w int")
-    got = rows_key(outer_merge(big, side, null_safe=("k",), strict=("dept",)).collect())
+    got = rows_key(outer_merge(big, side, null_safe=("k",), strict=("dept",), broadcast_side=broadcast).collect())
     assert got == rows_key([(1, None, 10, None), (1, None, None, 5)])
 
 
@@ -234,3 +236,9 @@ def test_unmapped_fee_account_is_reported_not_applied(spark):
     assert [tuple(r) for r in fees.unmapped_fee_accounts(sums).collect()] == [("999999", 1, 70)]
     (row,) = fees.fee_by_account(deals_df, sums).collect()
     assert row["acct_430003"] == 1000
+
+
+def test_size_check_stops_at_the_bound(spark):
+    from dealspark.operators.merge import fits_broadcast
+    df = spark.range(100)
+    assert fits_broadcast(df, 100) and not fits_broadcast(df, 99)

@@ -47,3 +47,11 @@ def test_no_python_udf_and_no_cartesian(spark, name):
 def test_full_outer_is_not_used_for_the_aep_merge(spark):
     text = plan_text(registry()["deal_aep_outer"](spark, SF_SMALL))
     assert "FullOuter" not in text and "LeftAnti" in text
+
+
+def test_checked_small_sides_are_broadcast_and_the_ledger_is_filtered_where_read(spark):
+    text = plan_text(registry()["deal_aep_outer"](spark, SF_SMALL))
+    assert "BroadcastHashJoin LeftOuter BuildRight" in text
+    assert "BroadcastHashJoin LeftSemi BuildRight" in text
+    text = plan_text(registry()["deal_data"](spark, SF_SMALL))
+    assert text.count("BroadcastHashJoin LeftOuter BuildRight") >= 2  # AEP totals and roster

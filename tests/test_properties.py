@@ -19,12 +19,12 @@ def _key(rs):
     return sorted(tuple(repr(v) for v in r) for r in rs)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(big_rows=rows, side_rows=rows)
-def test_outer_merge_is_full_outer(spark, big_rows, side_rows):
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(big_rows=rows, side_rows=rows, broadcast=st.booleans())
+def test_outer_merge_is_full_outer(spark, big_rows, side_rows, broadcast):
     big = spark.createDataFrame(big_rows, "k1 int, k2 string, v int")
     side = spark.createDataFrame(side_rows, "k1 int, k2 string, w int")
-    got = _key(outer_merge(big, side, null_safe=("k1",), strict=("k2",)).collect())
+    got = _key(outer_merge(big, side, null_safe=("k1",), strict=("k2",), broadcast_side=broadcast).collect())
     cond = big.k1.eqNullSafe(side.k1) & (big.k2 == side.k2)
     want = _key(big.join(side, cond, "full_outer").select(
         F.when(big.v.isNotNull(), big.k1).otherwise(side.k1),
@@ -50,3 +50,24 @@ def test_market_total_shares_sum_to_one(spark):
     for r in sums:
         if r["m"]:
             assert abs(r["s"] - 1.0) < 1e-9
+
+
+def test_shuffle_plans_equal_broadcast_plans(spark):
+    """Above the broadcast bound the job switches to shuffle joins; the results
+    must not change."""
+    import dataclasses
+
+    from dealspark.config import LATE
+    from dealspark.functions.columns import money_to_double
+    from dealspark.plans.pipeline import Stages
+    from dealspark.sources.extracts import fixture_inputs
+
+    inputs = fixture_inputs(spark, SF_SMALL)
+    for cfg in (LATE,):
+        big = dataclasses.replace(cfg, broadcast_max_rows=0)
+        for stage in ("deal_data", "principal_data", "fee_isolated_ledger"):
+            a = money_to_double(getattr(Stages(spark, inputs, cfg), stage))
+            b = money_to_double(getattr(Stages(spark, inputs, big), stage))
+            assert _key(a.collect()) == _key(b.collect()), stage
+        plan = Stages(spark, inputs, big).deal_aep_outer._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" not in plan and "LeftAnti" in plan
