@@ -242,3 +242,49 @@ def test_size_check_stops_at_the_bound(spark):
     from dealspark.operators.merge import fits_broadcast
     df = spark.range(100)
     assert fits_broadcast(df, 100) and not fits_broadcast(df, 99)
+
+
+def test_deal_matched_by_two_fee_accounts_fans_out(spark):
+    deals_df = spark.createDataFrame(
+        [("1", "T1", D(2019, 1, 31), "ASIA", "N", "R", "L", "D", 1000, 500)],
+        "deal_id string, team_id string, ending_period date, market_region string, location_name string, "
+        "side_represented string, listing_type string, department_name string, acct_430003 long, acct_430011 long")
+    sums = spark.createDataFrame(
+        [("1", "T1", D(2019, 1, 31), "ASIA", "N", "R", "L", "D", "430003", 100),
+         ("1", "T1", D(2019, 1, 31), "ASIA", "N", "R", "L", "D", "430011", 40)],
+        "deal_id string, team_id string, ending_period date, market_region string, location_name string, "
+        "side_represented string, listing_type string, department_name string, account_number string, "
+        "flat_fees_isolated long")
+    by = sorted((r["acct_430003"], r["acct_430011"]) for r in fees.fee_by_account(deals_df, sums).collect())
+    assert by == [(900, 500), (1000, 460)]  # one copy per account, that account reduced
+    iso = sorted(r["acct_430011"] for r in fees.fee_isolated_ledger(
+        fees.fee_by_account(deals_df, sums), fees.fee_totals(sums)).collect())
+    assert iso == [460 + 140, 500 + 140]  # the full total lands on each copy
+
+
+PY_SCHEMA = ("team_id string, account_team_name string, ending_year string, market_region string, "
+             "location_name string, listing_type string, market string, original_start_date date, "
+             "commission_expense long, gci_less_referral long, net_company_dollar long, aep_total long, "
+             "deal_count long, ncd_margin double")
+
+
+def test_pivot_missing_year_is_null_and_not_producing(spark):
+    py = spark.createDataFrame(
+        [("T1", "A", "2020", "ASIA", "X", "L", "MKT_0", D(2018, 1, 1), -10, 100, 90, 0, 2, 0.9),
+         ("T2", "B", "2018", "ASIA", "X", "L", "MKT_0", D(2018, 1, 1), -10, 100, 90, 0, 1, 0.9)], PY_SCHEMA)
+    piv = principals.principal_pivot(py, (2019, 2020))
+    flagged = {r["team_id"]: r for r in principals.with_producing_flags(piv, (2019, 2020)).collect()}
+    assert flagged["T1"]["gci_less_referral_2019"] is None and flagged["T1"]["deal_count_2020"] == 2
+    assert flagged["T1"]["num_producing_principals_2019"] == 0
+    assert flagged["T1"]["num_producing_principals_2020"] == 1
+    # a principal active only outside the report years keeps its row, all NULL
+    assert flagged["T2"]["gci_less_referral_2020"] is None and flagged["T2"]["num_producing_principals_2020"] == 0
+
+
+def test_duplicate_crosswalk_pair_does_not_duplicate_rows(spark):
+    import dataclasses
+    cfg = dataclasses.replace(MAIN, crosswalk=(("ASIA", "MKT_0"), ("ASIA", "MKT_0"), ("ASIA", "MKT_1")))
+    piv = spark.createDataFrame([("T1", "ASIA", "MKT_0"), ("T2", "ASIA", "MKT_2"), ("T3", None, "MKT_0")],
+                                "team_id string, market_region string, market string")
+    kept = principals.market_scope(piv, principals.crosswalk_frame(spark, cfg))
+    assert [r["team_id"] for r in kept.collect()] == ["T1"]

@@ -71,3 +71,18 @@ def test_shuffle_plans_equal_broadcast_plans(spark):
             assert _key(a.collect()) == _key(b.collect()), stage
         plan = Stages(spark, inputs, big).deal_aep_outer._jdf.queryExecution().executedPlan().toString()
         assert "LeftSemi" not in plan and "LeftAnti" in plan
+
+
+def test_each_cohort_is_within_the_total_and_deals_keep_every_row(spark):
+    q = registry()
+    members = q["cohort_members"](spark, SF_SMALL)
+    keys = ["market_region", "market", "location_name", "team_id", "account_team_name", "listing_type",
+            "original_start_date"]
+    total = members.filter(F.col("cohort") == "Total Principal Cohorts").select(*keys)
+    outside = members.filter(F.col("cohort") != "Total Principal Cohorts").select(*keys).exceptAll(total)
+    assert outside.count() == 0
+    splits = q["deal_splits"](spark, SF_SMALL)
+    data = q["deal_data"](spark, SF_SMALL)
+    # every deal row survives the roster join (at least once)
+    assert data.select("deal_id", "team_id", "ending_period", "side_represented").distinct().count() == \
+        splits.select("deal_id", "team_id", "ending_period", "side_represented").distinct().count()
