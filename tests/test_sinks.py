@@ -29,3 +29,12 @@ def test_pipeline_round_trip(spark, tmp_out):
     assert os.path.isdir(os.path.join(tmp_out, "deal_data", "run_date=2026-01-02"))
     back = spark.read.parquet(paths["deal_data"])
     assert back.count() == q["deal_data"](spark, SF_SMALL).count()
+
+
+def test_cli_over_fixture_tables(spark, tmp_out):
+    from dealspark.__main__ import main
+
+    paths = main(["--fixtures", SF_SMALL, "--out", tmp_out, "--run-date", "2026-02-03", "--format", "parquet",
+                  "--begin", "2020-09-01", "--end", "2020-12-31"])
+    assert set(paths) == {"deal_data", "principal_data", "principal_mix_data"}
+    assert spark.read.parquet(paths["deal_data"]).count() == registry()["deal_data_late"](spark, SF_SMALL).count()
