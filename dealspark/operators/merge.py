@@ -43,9 +43,12 @@ def _prefixed(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     """Size check before broadcasting: True when ``df`` has at most
-    ``max_rows`` rows.  Counting stops after ``max_rows + 1`` rows, so a large
-    frame is not read to the end."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    ``max_rows`` rows.  A distributed count (partial counts per task, one
+    number per task shuffled) - not ``limit(n).count()``, which funnels up to
+    ``n`` rows from every task into a single partition when the frame is big.
+    The frames checked are filtered extracts, so the count reads only the
+    columns their filters need."""
+    return df.count() <= max_rows
 
 
 def left_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broadcast_side: bool = False) -> DataFrame:

@@ -238,7 +238,7 @@ def test_unmapped_fee_account_is_reported_not_applied(spark):
     assert row["acct_430003"] == 1000
 
 
-def test_size_check_stops_at_the_bound(spark):
+def test_size_check_bound(spark):
     from dealspark.operators.merge import fits_broadcast
     df = spark.range(100)
     assert fits_broadcast(df, 100) and not fits_broadcast(df, 99)
