@@ -181,7 +181,7 @@ class Extracts:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        """Deal ledger (S1), exact decimals."""
+        """Deal ledger (S1), money in exact long cents."""
         from ..operators.ledger import deal_ledger
 
         return deal_ledger(ledger_window(self.inputs, self.cfg), self.cfg)

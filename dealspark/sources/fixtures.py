@@ -1,7 +1,7 @@
 """The two input relations realised over the driver's TPC-H-style tables.
 
 A real deployment points ``ledger_lines`` / ``principal_roster`` at its own
-tables (see ``sources.tables``); these builders give the same schema over
+tables (``extracts.table_inputs``); these builders give the same schema over
 ``{sf_dir}/*.parquet`` so every query grows with the generated data.  The
 mapping is the one specified in FIXTURES.md; the DuckDB oracles carry the same
 text as SQL.
