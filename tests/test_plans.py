@@ -55,3 +55,57 @@ def test_checked_small_sides_are_broadcast_and_the_ledger_is_filtered_where_read
     assert "BroadcastHashJoin LeftSemi BuildRight" in text
     text = plan_text(registry()["deal_data"](spark, SF_SMALL))
     assert text.count("BroadcastHashJoin LeftOuter BuildRight") >= 2  # AEP totals and roster
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture()
+def skew_session(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def _hot_rows(spark):
+    from pyspark.sql import functions as F
+    # 80% of the deal rows on one team, one key holding most of the data
+    return spark.range(200000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("HOT")).otherwise(F.concat(F.lit("T"), (F.col("id") % 50).cast("string")))
+        .alias("team_id"),
+        F.col("id").cast("string").alias("deal_id"),
+        (F.col("id") * 7).alias("net_company_dollar"),
+    )
+
+
+def test_hot_team_is_split_in_the_shuffled_roster_join(skew_session):
+    from dealspark.operators.deals import attach_roster
+    spark = skew_session
+    slim = spark.createDataFrame([("HOT", "A", 1), ("HOT", "B", 2), ("T3", "C", 3)],
+                                 "roster_team_id string, account_team_name string, number_of_agents int")
+    out = attach_roster(_hot_rows(spark), slim, broadcast_roster=False)
+    assert len(out.collect()) == 160000 * 2 + 40000
+    assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_is_split_in_the_shuffled_outer_merge(skew_session):
+    from dealspark.operators.merge import outer_merge
+    spark = skew_session
+    side = spark.createDataFrame([("HOT", 5), ("T3", 6), ("NEW", 7)], "team_id string, aep_adjusted long")
+    out = outer_merge(_hot_rows(spark), side, null_safe=("team_id",), broadcast_side=False)
+    # every large row, plus the side rows no large row meets ('T3' never occurs on the large side, nor 'NEW')
+    assert len(out.collect()) == 200000 + 2
+    assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
