@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     p.add_argument("--run-date", type=dt.date.fromisoformat, default=dt.date.today())
     p.add_argument("--format", choices=("csv", "parquet"), default="csv")
     p.add_argument("--null-label", default=None, help="text written for NULL in CSV output")
+    p.add_argument("--partition-deals-by-year", action="store_true",
+                   help="write the deal output in one folder per ending_year")
     a = p.parse_args(argv)
     if a.ledger and not a.roster:
         p.error("--roster is required with --ledger")
@@ -43,7 +45,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     inputs = fixture_inputs(spark, a.fixtures) if a.fixtures else table_inputs(spark, a.ledger, a.roster,
                                                                               a.input_format)
     cfg = MAIN.with_window(a.begin, a.end)
-    paths = run(spark, inputs, cfg, a.out, a.run_date, fmt=a.format, null_label=a.null_label)
+    paths = run(spark, inputs, cfg, a.out, a.run_date, fmt=a.format, null_label=a.null_label,
+                partition_deals_by_year=a.partition_deals_by_year)
     print(json.dumps(paths))
     return paths
 

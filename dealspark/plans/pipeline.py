@@ -151,7 +151,7 @@ def build_outputs(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_r
 
 
 def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, run_date: dt.date,
-        fmt: str = "csv", null_label: str | None = None) -> dict[str, str]:
+        fmt: str = "csv", null_label: str | None = None, partition_deals_by_year: bool = False) -> dict[str, str]:
     """Run the job and write the three outputs.
 
     The deal rows (ledger pivot + AEP reclass + splits, before the roster
@@ -159,7 +159,10 @@ def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, r
     as a Parquet table in the cluster's checkpoint folder (``materialize``):
     the outputs read that table - the summaries only the columns they use -
     instead of recomputing the ledger aggregation, and a lost executor does
-    not send the job back to the raw ledger."""
+    not send the job back to the raw ledger.  ``partition_deals_by_year``
+    writes the deal output in one folder per ``ending_year``."""
     deal_rows = materialize(Stages(spark, inputs, cfg).deal_rows, "deal_rows")
     outputs = build_outputs(spark, inputs, cfg, deal_rows=deal_rows, checkpoint_summary=True)
-    return write_outputs(outputs.as_dict(), out_base, run_date, fmt=fmt, null_label=null_label)
+    partition_by = {"deal_data": ("ending_year",)} if partition_deals_by_year else None
+    return write_outputs(outputs.as_dict(), out_base, run_date, fmt=fmt, null_label=null_label,
+                         partition_by=partition_by)

@@ -35,6 +35,11 @@ def test_cli_over_fixture_tables(spark, tmp_out):
     from dealspark.__main__ import main
 
     paths = main(["--fixtures", SF_SMALL, "--out", tmp_out, "--run-date", "2026-02-03", "--format", "parquet",
-                  "--begin", "2020-09-01", "--end", "2020-12-31"])
+                  "--begin", "2020-09-01", "--end", "2020-12-31", "--partition-deals-by-year"])
     assert set(paths) == {"deal_data", "principal_data", "principal_mix_data"}
-    assert spark.read.parquet(paths["deal_data"]).count() == registry()["deal_data_late"](spark, SF_SMALL).count()
+    years = sorted(d for d in os.listdir(paths["deal_data"]) if d.startswith("ending_year="))
+    assert years and all(d.split("=")[1].isdigit() for d in years)
+    back = spark.read.parquet(paths["deal_data"])
+    want = registry()["deal_data_late"](spark, SF_SMALL)
+    assert back.count() == want.count()
+    assert back.groupBy("ending_year").count().count() == want.select("ending_year").distinct().count()
