@@ -1,6 +1,6 @@
-"""spark-submit entry point.
+"""Command-line entry point (``python -m dealspark`` or ``run_job.py``).
 
-    spark-submit -m dealspark --ledger <table|path> --roster <table|path> \
+    spark-submit --py-files dealspark.zip run_job.py --ledger <table|path> --roster <table|path> \
         --begin 2019-01-01 --end 2020-12-31 --out <shared folder> [--run-date YYYY-MM-DD] [--format csv|parquet]
 
 or, over the driver's test tables: ``--fixtures /root/testdata/sf0.1``.
