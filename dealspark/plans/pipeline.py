@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import ReportConfig
 from ..functions.columns import money_to_double
@@ -36,19 +37,27 @@ class Stages:
     def aep_totals(self) -> DataFrame:
         return aep.aep_totals(self.extracts.aep)
 
-    # size checks before broadcasting a data-derived side (counting stops
-    # after the limit): AEP lines bound the AEP totals, fee lines the fee sums
+    # size checks before broadcasting a data-derived side: AEP lines bound the
+    # AEP totals, fee lines the fee sums
     @cached_property
-    def aep_small(self) -> bool:
-        return fits_broadcast(self.extracts.aep, self.cfg.broadcast_max_rows)
+    def _core_sizes(self) -> dict[str, int]:
+        """Rows of the AEP lines and of the roster, counted in one job (two
+        rows come back to the driver)."""
+        tagged = self.extracts.aep.select(F.lit("aep").alias("side")).unionByName(
+            self.roster_slim.select(F.lit("roster").alias("side")))
+        return {r["side"]: r["n"] for r in tagged.groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     @cached_property
-    def fees_small(self) -> bool:
-        return fits_broadcast(self.extracts.fees, self.cfg.broadcast_max_rows)
+    def aep_small(self) -> bool:
+        return self._core_sizes.get("aep", 0) <= self.cfg.broadcast_max_rows
 
     @cached_property
     def roster_small(self) -> bool:
-        return fits_broadcast(self.roster_slim, self.cfg.broadcast_max_rows)
+        return self._core_sizes.get("roster", 0) <= self.cfg.broadcast_max_rows
+
+    @cached_property
+    def fees_small(self) -> bool:
+        return fits_broadcast(self.extracts.fees, self.cfg.broadcast_max_rows)
 
     @cached_property
     def deal_aep_outer(self) -> DataFrame:
