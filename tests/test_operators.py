@@ -288,3 +288,16 @@ def test_duplicate_crosswalk_pair_does_not_duplicate_rows(spark):
                                 "team_id string, market_region string, market string")
     kept = principals.market_scope(piv, principals.crosswalk_frame(spark, cfg))
     assert [r["team_id"] for r in kept.collect()] == ["T1"]
+
+
+def test_money_leaves_as_the_double_of_the_exact_decimal(spark):
+    from dealspark.functions.columns import money_to_double
+    from dealspark.functions.money import is_money, to_cents
+
+    assert is_money("gci_less_referral_2019") and is_money("acct_430011") and not is_money("deal_count_2019")
+    df = spark.createDataFrame([(Decimal("1234.56"), 7, Decimal("-0.10"))], "amount decimal(18,2), deal_count long, cap decimal(18,2)")
+    cents = df.select(to_cents(F.col("amount")).alias("amount"), "deal_count", "cap")
+    out = money_to_double(cents)
+    assert dict(out.dtypes) == {"amount": "double", "deal_count": "bigint", "cap": "double"}
+    (r,) = out.collect()
+    assert r["amount"] == 1234.56 and r["deal_count"] == 7 and r["cap"] == -0.1
