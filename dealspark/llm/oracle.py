@@ -81,7 +81,22 @@ WITH normalised AS (
 SELECT doc_id, keep_id, group_size::BIGINT AS group_size, pos = 1 AS kept, sha256(norm) AS text_sha256 FROM ranked
 """
 
+WARC_TRANSACTIONS = r"""
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages
+), digested AS (
+  SELECT *, min(page_id) OVER (PARTITION BY sha) AS first_id,
+    list_reduce([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, 1 + 5 * (d // 4), 5))::BIGINT >> (15 - 5 * (d % 4))) & 31)::INT + 1, 1)
+      FOR d IN range(32)], lambda x, y: x || y) AS payload_digest
+  FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM digested
+"""
+
 ORACLE = {
+    "op6_warc_transactions": WARC_TRANSACTIONS,
     "op3_rule_ledger": RULE_LEDGER,
     "op4_water_filling": WATER_FILLING,
     "op8_extendible_hash": EXTENDIBLE_HASH,

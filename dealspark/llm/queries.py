@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, rule_ledger, simhash
+from . import exact_dedup, hilbert, html_extract, mixing, packing, quality_classifier, rule_ledger, simhash, toxicity, warc
 from .common import table
 
 
@@ -18,6 +18,14 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_subword_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = rule_ledger.build_ledger(table(spark, sf_dir, "documents"))
     ledger = ledger.withColumn("base_failed", rule_ledger.fails(F.col("fail_bits"), rule_ledger.BASE))
@@ -30,6 +38,20 @@ def op4_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = hilbert.shards(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op8_extendible_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -43,6 +65,7 @@ def op10_column_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_rule_ledger, op4_water_filling, op8_extendible_hash, op9_pigeonring_simhash,
+    f.__name__: f for f in (op1_subword_embeddings, op2_classifier_chain, op3_rule_ledger, op4_water_filling, op5_host_suffix_array,
+                            op6_warc_transactions, op7_hilbert_shards, op8_extendible_hash, op9_pigeonring_simhash,
                             op10_column_generation)
 }
