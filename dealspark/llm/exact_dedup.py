@@ -35,6 +35,7 @@ from .common import SPACE, packed
 
 CAPACITY = 100_000  # hashes a bucket holds before it splits
 MAX_DEPTH = 16  # the directory has at most 2 ** MAX_DEPTH slots
+FILTER_BITS = 24  # 2 MiB
 
 
 def normalised(text: Column) -> Column:
@@ -75,11 +76,23 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
     return keys, materialize(index.sortWithinPartitions("bucket", "h"), "dedup-index")
 
 
+def _marked(hashed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``hashed`` without most rows whose hash is not in ``crowded``: those
+    whose leading ``FILTER_BITS`` bits no such hash has.  The bitmap is of
+    fixed size, 4 KiB for each of ``2 ** FILTER_BITS / 32768`` rows; where it
+    fills up, more rows pass, and the join behind it decides."""
+    slot = F.shiftrightunsigned("h", 64 - FILTER_BITS) + 1
+    maps = crowded.groupBy(F.bitmap_bucket_number(slot).alias("map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    rows = hashed.withColumn("map", F.bitmap_bucket_number(slot)).withColumn("bit", F.bitmap_bit_position(slot))
+    rows = rows.join(F.broadcast(maps), "map")
+    byte = "CAST(conv(hex(substring(bits, CAST(bit DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    return rows.where(f"shiftright({byte}, CAST(bit % 8 AS INT)) & 1 = 1").drop("map", "bit", "bits")
+
+
 def _chains(docs: DataFrame, index: DataFrame, doc_id: str, text: str, hash_bits: int) -> DataFrame:
-    """Documents whose hash is not alone, dealt to owners by key range.  How
-    the hashes reach the scan is Spark's choice, by the stored index's size."""
+    """Documents whose hash is not alone, dealt to owners by key range."""
     crowded = index.where("documents > 1").select("bucket", "h")
-    out = _hashed(docs, doc_id, text, hash_bits).join(crowded, "h")
+    out = _marked(_hashed(docs, doc_id, text, hash_bits), crowded).join(crowded, "h")
     return out.repartitionByRange("bucket", "h", "id").sortWithinPartitions("bucket", "h", "id")
 
 
@@ -99,6 +112,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacit
     groups = chains.groupBy("bucket", "h", "norm").agg(best, F.count("*").alias("group_size"))
     groups = groups.select("bucket", "h", "norm", "group_size", F.bitwise_not("best.id").alias("keep_id"),
                            F.bitwise_not("best.at").alias("keep_at"))
+    # Stored, so that the join has shuffles of its own and can split a large group.
+    groups = materialize(groups, "dedup-groups")
     members = chains.join(groups, ["bucket", "h", "norm"]).select(
         F.col("id").alias("doc_id"), "keep_id", F.col("group_size").cast("bigint").alias("group_size"),
         (F.col("at") == F.col("keep_at")).alias("kept"), F.sha2("norm", 256).alias("text_sha256"))
