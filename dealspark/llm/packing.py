@@ -60,8 +60,6 @@ class WordTokenizer:
 
     def _learn(self, words: set[bytes]) -> None:
         known = self.known
-        if len(known) > CACHED_WORDS:
-            known.clear()
         tailed = [w for w in words if len(w) > 1 and w[-1:] in b".,"]
         need = {w for w in words if not (len(w) > 1 and w[-1:] in b".,")}.union(*((w[:-1], w[-1:]) for w in tailed))
         letters = []
@@ -86,12 +84,9 @@ class WordTokenizer:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         words = [None if "<|" in t else t.encode().lower().split() for t in texts]
-        new = set().union(*(w for w in words if w)).difference(self.known)
-        if new:
-            before = self.known
-            self._learn(new)
-            if len(before) < len(new):  # emptied meanwhile
-                self._learn(set().union(*(w for w in words if w)).difference(self.known))
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        self._learn(set().union(*(w for w in words if w)).difference(self.known))
         get = self.known.__getitem__
         return [self.whole(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, words)]
 

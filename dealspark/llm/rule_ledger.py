@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import words_of
 
@@ -67,7 +68,7 @@ def measure_text(text: str | None) -> tuple[int, ...]:
             capitals)
 
 
-@F.pandas_udf(", ".join(f"{m} long" for m in MEASURES))
+@F.pandas_udf(T.StructType([T.StructField(m, T.LongType()) for m in MEASURES]))
 def measure(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([measure_text(t) for t in text], columns=list(MEASURES))
 

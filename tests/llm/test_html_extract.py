@@ -1,0 +1,81 @@
+from dealspark.llm import html_extract as X
+
+CHROME = ("<nav><ul><li><a href=/a>Home</a><li><a>News</a></ul></nav>", "<div class='ad'>Buy now</div>")
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, page string, host string")
+
+
+def extract(spark, rows, **more):
+    return {r["page_id"]: r["text"] for r in X.extract(pages(spark, rows), **more).collect()}
+
+
+def test_marked_article(spark):
+    html = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t=\"</p><p>no\";</script></head><body>"
+            "<header>Site</header>" + "".join(CHROME) + "<!-- <p>no</p> --><article class='post'><header><h1>A &amp;\n B</h1></header>"
+            "<p><b>first   line<br>goes on<p>2 &lt; 3 < 4 &#233;&nbsp;x<form>f<input></form><div id=comments>c<p>c2</p></div><p>last</article>"
+            "<aside>side</aside><div class='cookie-notice'>We use</div><footer>&copy; me</footer></body></html>")
+    got = extract(spark, [(1, "https://h/1", html)])
+    assert got[1] == "A & B\n\nfirst line goes on\n\n2 < 3 < 4 é x\n\nlast"
+
+
+def test_article_keeps_what_others_repeat(spark):
+    body = "<article><p>the same long passage of ten words in every article</p><p>own {}</p></article>"
+    got = extract(spark, [(i, "https://h/x", "".join(CHROME) + body.format(i)) for i in range(30)])
+    assert got == {i: f"the same long passage of ten words in every article\n\nown {i}" for i in range(30)}
+
+
+def test_suffix_array_finds_unmarked_boilerplate(spark):
+    line = "all rights reserved by the owner of this little site"
+    rows = [(i, f"https://h/{i}", f"<div>Welcome to our lovely site where you find {line}</div><p>page {i} says {i * 7} things nobody else says</p><div>{line}</div>")
+            for i in range(40)]
+    rows += [(100, "https://other/1", f"<p>{line}</p>"), (101, None, f"<p>{line}</p>")]  # repeated, but on other hosts
+    got = extract(spark, rows)
+    assert all(got[i] == f"page {i} says {i * 7} things nobody else says" for i in range(40))
+    assert got[100] == line == got[101]
+
+
+def test_unique_run_inside_a_block_stays(spark):
+    shared = "please follow us on all of the usual networks"
+    got = extract(spark, [(i, "http://h", f"<p>only page {i} {shared} tail{i}</p>") for i in range(3)])
+    assert got == {i: f"only page {i} tail{i}" for i in range(3)}
+
+
+def brute_repeated(streams, run):
+    seen = {}
+    for page, tokens in streams:
+        for i in range(len(tokens) - run + 1):
+            seen.setdefault(tuple(tokens[i:i + run]), set()).add(page)
+    return {k for k, v in seen.items() if len(v) > 1}
+
+
+def test_repeats_match_brute_force(spark):
+    import random
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 40))) for _ in range(25)]
+    got = extract(spark, [(i, "http://h", f"<p>{t}") for i, t in enumerate(texts)], run=5)
+    common = brute_repeated([(i, t.split()) for i, t in enumerate(texts)], 5)
+    for i, t in enumerate(texts):
+        tokens = t.split()
+        gone = {p for j in range(len(tokens) - 4) if tuple(tokens[j:j + 5]) in common for p in range(j, j + 5)}
+        assert got[i] == " ".join(w for j, w in enumerate(tokens) if j not in gone)
+
+
+def test_hard_rows(spark):
+    rows = [(1, "u", None), (2, "u", ""), (3, None, "plain"), (None, "u", "<article>n</article>"), (4, "u", "<article><p>cut &am"),
+            (5, "u", "<article>a<div cla"), (6, "u", "<article>" + "<p>w </p>" * 20_000), (7, "same", "<p>x y z x y z w</p>"), (7, "same", "<p>x y z x y z w</p>"),
+            (8, "u", "<article><p title=\"a > b\">q</p><a href='unclosed>r</a></article>"), (9, "u", "<script>only"), (10, "u", "<" * 3000)]
+    df = X.extract(pages(spark, rows))
+    assert df.columns == ["page_id", "url", "text", "n_chars"]
+    got = [(r["page_id"], r["text"], r["n_chars"]) for r in df.collect()]
+    assert all(n == len(t) for _, t, n in got)
+    texts = {i: t for i, t, _ in got}
+    assert len(got) == len(rows) and texts[1] == texts[2] == texts[9] == "" and texts[3] == "plain" and texts[None] == "n"
+    assert texts[4] == "cut &am" and texts[5] == "a" and texts[6].count("w") == 20_000
+    assert [t for i, t, _ in got if i == 7] == ["x y z x y z w"] * 2  # one page, twice in the table
+    assert texts[8].startswith("q")
+
+
+def test_empty_table(spark):
+    assert X.extract(pages(spark, [])).count() == 0

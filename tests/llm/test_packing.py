@@ -1,0 +1,113 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from dealspark.llm import packing as P
+
+from .helpers import doc, documents, empty, hard_documents
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(VOCABULARY)
+
+
+def test_ids_equal_the_whole_text(tokenizer):
+    rng = random.Random(2)
+    letters = ["a", "B", "é", "é", "ß", "İ", "Σ", "'s", "1", ".", ",", "!!", "|", "中", " ", "\x85", "\x1c", "🙂", "<|endoftext|>", "<|", "it's", "don't.", "word."]
+    texts = ["".join(rng.choice(letters + [" ", " ", "\n"]) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    own = P.WordTokenizer(VOCABULARY)
+    for low in range(0, 400, 50):
+        got = own.ids(texts[low:low + 50])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[low:low + 50]]
+
+
+def test_the_cache_may_be_emptied(tokenizer, monkeypatch):
+    monkeypatch.setattr(P, "CACHED_WORDS", 3)
+    own = P.WordTokenizer(VOCABULARY)
+    texts = [["one two three four five"], ["six two seven, eight."], ["one nine"]]
+    for t in texts:
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(t)] == [tokenizer.encode(t[0], add_special_tokens=False).ids]
+
+
+def check_packing(got, want, capacity):
+    """got: pieces; want: ids of each document (with repeats)."""
+    spans, sequences = {}, {}
+    for r in got:
+        spans.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], r["length"], r["ids_crc32"]))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    expect = {}
+    for i, ids in want:
+        raw = np.array(ids, "<u4").tobytes()
+        cut = [(s, min(capacity, len(ids) - s), zlib.crc32(raw[4 * s:4 * (s + capacity)])) for s in range(0, len(ids), capacity)]
+        expect.setdefault((i, len(ids)), []).extend(cut)
+    assert {k: sorted(v) for k, v in spans.items()} == {k: sorted(v) for k, v in expect.items()}
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_pack_hard_rows(spark, tokenizer):
+    rows = hard_documents()
+    want = [(r[0], tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [2]) for r in rows]
+    used = check_packing(P.pack(documents(spark), VOCABULARY).collect(), want, 4096)
+    assert used <= 1 + sum(len(ids) for _, ids in want) / 4096 * 1.05
+
+
+def test_little_padding_over_many_documents(spark):
+    rng = random.Random(9)
+    rows = [doc(i, "a " * rng.choice([5, 700, 1500, 1500, 1500, 2100, int(rng.expovariate(1 / 900))])) for i in range(3000)]
+    got = P.pack(documents(spark, rows).repartition(5), VOCABULARY).collect()
+    want = [(r[0], [320] * (len(r[1]) // 2) + [2]) for r in rows]
+    used = check_packing(got, want, 4096)
+    assert sum(len(ids) for _, ids in want) / (used * 4096) > 0.97
+
+
+def brute_bins(demand, capacity):
+    """A lower bound of the number of sequences: their total length."""
+    return sum((i + 1) * n for i, n in enumerate(demand)) / capacity
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_solution_covers_demand_exactly(seed):
+    rng = np.random.default_rng(seed)
+    capacity = 32
+    demand = rng.integers(0, 1000, capacity) * (rng.random(capacity) < 0.5)
+    patterns, times = P.solve(demand, capacity)
+    assert ((patterns * times[:, None]).sum(axis=0) == demand).all()
+    assert ((patterns * np.arange(1, capacity + 1)).sum(axis=1) <= capacity).all()
+    relaxed, x = P.linear_program(demand, capacity)
+    assert x.sum() >= brute_bins(demand, capacity) - 1e-6
+    assert times.sum() <= np.ceil(x.sum()) + capacity  # rounding costs less than one sequence a pattern
+
+
+def test_column_generation_beats_one_class_patterns():
+    demand = np.zeros(10, np.int64)
+    demand[[5, 3]] = 100  # sixes and fours: a six with a four leaves nothing
+    patterns, times = P.solve(demand, 10)
+    assert times.sum() == 100
+
+
+def test_knapsack_against_search():
+    rng = np.random.default_rng(1)
+    price = rng.random(12)
+    best = np.zeros(13)
+    for room in range(1, 13):
+        best[room] = max(best[room - 1], *(best[room - s] + price[s - 1] for s in range(1, room + 1)))
+    value, pattern = P._knapsack(price, 12)
+    assert abs(value - best[12]) < 1e-12 and abs(pattern @ price - value) < 1e-12 and pattern @ np.arange(1, 13) <= 12
+
+
+def test_empty_table(spark):
+    assert P.pack(empty(spark), VOCABULARY).count() == 0

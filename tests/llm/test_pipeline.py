@@ -1,0 +1,79 @@
+import pytest
+
+import corpus_pipeline as C
+from dealspark.llm.queries import QUERIES, word_vocabulary
+
+from .helpers import documents, empty
+from .test_exact_dedup import brute as brute_classes
+from .test_mixing import brute_targets
+from .test_packing import check_packing
+from .test_rule_ledger import brute as brute_measures
+from .test_simhash import brute_components, brute_fingerprint
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages():
+    assert [n for n, _ in C.STAGES] == ["quality_rules", "exact_dedup", "simhash_near_dedup", "source_mixing", "packing"]
+
+
+def keeps(text):
+    m = brute_measures(text)
+    return not (m["n_words"] < 20 or 100 * m["n_repeat_words"] > 30 * m["n_words"] or 100 * m["n_symbols"] > 30 * m["n_words"]
+                or 100 * m["n_dup_lines"] > 50 * m["n_lines"] or 100 * m["n_adjacent_words"] > 30 * m["n_words"]
+                or 100 * m["n_capitals"] > 50 * m["n_letters"] or not 2 * m["n_words"] <= m["word_chars"] <= 40 * m["n_words"])
+
+
+def test_pipeline_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    now = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()]
+    now = [r for r in now if keeps(r[1])]
+    stay = {i for i, _, _, kept, _ in brute_classes(now) if kept}
+    now = [r for r in now if r[0] in stay]
+    stay = {i for i, _, c in brute_components([(r[0], brute_fingerprint(r[1])) for r in now]) if i == c}
+    now = [r for r in now if r[0] in stay]
+    got = docs
+    for name, stage in C.STAGES[:3]:
+        got = stage(spark, got, SF)
+        assert got.schema == docs.schema
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(r[0] for r in now)
+
+    mixed = C.source_mix(spark, got, SF)
+    assert mixed.schema == docs.schema
+    sizes, copies = {}, {}
+    for r in now:
+        sizes[r[3]] = sizes.get(r[3], 0) + len(r[1].split())
+    for r in mixed.collect():
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+    assert max(copies.values()) <= 2
+    largest = max(len(r[1].split()) for r in now)
+    for s, target in brute_targets(sizes).items():
+        assert abs(sum(len(r[1].split()) * copies.get(r[0], 0) for r in now if r[3] == s) - target) <= largest
+
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(word_vocabulary())
+    want = [(r[0], tokenizer.encode(r[1], add_special_tokens=False).ids + [2]) for r in now for _ in range(copies.get(r[0], 0))]
+    packed = C.run(spark, SF).collect()
+    check_packing(packed, want, 4096)
+
+
+def test_stages_take_hard_rows_and_empty_tables(spark):
+    for docs in (documents(spark), empty(spark)):
+        now = docs
+        for name, stage in C.STAGES:
+            now = stage(spark, now, SF)
+            if name != "packing":
+                assert now.schema == docs.schema
+        assert (now.count() > 0) == (docs.count() > 0)
+
+
+@pytest.mark.parametrize("stage", [s for s, _ in C.STAGES])
+def test_each_stage_takes_hard_rows(spark, stage):
+    assert dict(C.STAGES)[stage](spark, documents(spark), SF).count() > 0
+
+
+def test_queries_are_registered():
+    import __spark_entry__ as e
+    names = e.queries()
+    assert {*QUERIES, "pipeline"} <= set(names)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
