@@ -21,12 +21,15 @@ result.  Only id and text are read, other columns may have any name.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,58 +40,69 @@ from .common import worker_store
 
 CAPACITY, END_ID = 4096, 2
 UNIT = 16  # tokens; lengths are rounded up to it in the linear program
-CACHED_WORDS = 400_000  # in a Python worker
+CACHED_WORDS = 800_000  # in a Python worker, some 200 bytes each
+PLAIN = re.compile(r"[!-&(-~\u00a1-\u024f]+").fullmatch
+PIECE = regex.compile(r"\p{L}+|\p{N}|[^\p{L}\p{N}]+").findall
+# The byte-level alphabet: printable Latin-1 signs stand for themselves, the
+# other bytes, in order, for the signs from U+0100 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int, task int, at long"
 
 
 class WordTokenizer:
-    """Ids of a whole text, word by word through a cache.  The tokenizer cuts
-    at white space, so a text's ids are those of its words one after another;
-    a text that may hold a special token's string goes to it whole."""
+    """Ids of a whole text, word by word through a cache.
+
+    The tokenizer cuts at white space, so a text's ids are those of its words
+    one after another, and cuts words into runs of letters, single digits and
+    runs of other signs.  Words of plain signs (``PLAIN``: Latin letters that
+    no normalisation changes, no apostrophe) are cut here, and their pieces go
+    straight to the byte-pair model; any other word goes to the tokenizer, and
+    so does, whole, a text that may hold a special token's string."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        known = self.known
-        tailed = [w for w in words if len(w) > 1 and w[-1:] in b".,"]
-        need = {w for w in words if not (len(w) > 1 and w[-1:] in b".,")}.union(*((w[:-1], w[-1:]) for w in tailed))
-        letters = []
-        for w in (w.decode() for w in need if w not in known):
-            if w.isalpha():
-                letters.append(w)
-            else:
-                known[w.encode()] = self.whole(w)
-        if letters:  # one call for all, cut where a word's last piece ends
-            ids = np.frombuffer(self.whole(" ".join(letters)), "<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(stops) == len(letters):
-                raw, at = ids.tobytes(), 0
-                for w, to in zip(letters, stops.tolist()):
-                    known[w.encode()] = raw[at:to]
-                    at = to
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def piece(self, text: str) -> bytes:
+        """Ids of a piece: its UTF-8 bytes, each as the model's sign for it."""
+        signs = text if text.isascii() else text.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+
+    def learn(self, word: bytes) -> bytes:
+        """Ids of a word not yet known; pieces of mixed words are known words too."""
+        if word.isalpha():  # ASCII letters
+            ids = self.piece(word.decode())
+        elif (head := word[:-1]).isalpha() and word[-1] in b".,":
+            ids = (self.known.get(head) or self.learn(head)) + (self.known.get(word[-1:]) or self.learn(word[-1:]))
+        else:
+            text = word.decode().lower()
+            if not PLAIN(text):
+                ids = self.whole(word.decode())
+            elif len(pieces := PIECE(text)) == 1:
+                ids = self.piece(text)
             else:
-                known.update((w.encode(), self.whole(w)) for w in letters)
-        for w in tailed:
-            # Letters before a full stop or comma are a piece of their own.
-            known[w] = known[w[:-1]] + known[w[-1:]] if w[:-1].decode().isalpha() else self.whole(w.decode())
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        words = [None if "<|" in t else t.encode().lower().split() for t in texts]
+                ids = b"".join([self.known.get(p) or self.learn(p) for p in map(str.encode, pieces)])
+        self.known[word] = ids
+        return ids
+
+    def ids(self, text: bytes) -> bytes:
+        """Ids of a text (UTF-8), as little-endian 32-bit numbers."""
+        if b"<|" in text:
+            return self.whole(text.decode())
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        self._learn(set().union(*(w for w in words if w)).difference(self.known))
-        get = self.known.__getitem__
-        return [self.whole(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, words)]
+        words = text.lower().split()  # ASCII capitals and ASCII white space, as the tokenizer does
+        found = list(map(self.known.get, words))
+        if None in found:
+            found = [self.known.get(w) or self.learn(w) if f is None else f for w, f in zip(words, found)]
+        return b"".join(found)
 
 
 def cut_pieces(ids: bytes, end_id: int, capacity: int) -> tuple[list[tuple[int, int, int]], int]:
@@ -110,10 +124,10 @@ def pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
                 store[vocabulary] = WordTokenizer(vocabulary)
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                texts = [t or "" for t in part.column("text").to_pylist()]
+                texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
                 rows, of = [], []
-                for i, raw in enumerate(store[vocabulary].ids(texts)):
-                    cut, n = cut_pieces(raw, end_id, capacity)
+                for i, text in enumerate(texts):
+                    cut, n = cut_pieces(store[vocabulary].ids(text), end_id, capacity)
                     rows += [(s, m, crc, n) for s, m, crc in cut]
                     of += [i] * len(cut)
                 start, length, crc, tokens = np.array(rows, np.int64).T

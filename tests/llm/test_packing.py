@@ -1,8 +1,11 @@
+import functools
 import random
 import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from dealspark.llm import packing as P
 
@@ -24,17 +27,34 @@ def test_ids_equal_the_whole_text(tokenizer):
     letters = ["a", "B", "é", "é", "ß", "İ", "Σ", "'s", "1", ".", ",", "!!", "|", "中", " ", "\x85", "\x1c", "🙂", "<|endoftext|>", "<|", "it's", "don't.", "word."]
     texts = ["".join(rng.choice(letters + [" ", " ", "\n"]) for _ in range(rng.randint(0, 60))) for _ in range(400)]
     own = P.WordTokenizer(VOCABULARY)
-    for low in range(0, 400, 50):
-        got = own.ids(texts[low:low + 50])
-        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[low:low + 50]]
+    for t in texts + texts:
+        assert np.frombuffer(own.ids(t.encode()), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_ids_of_every_sign_up_to_latin_extended(tokenizer):
+    own = P.WordTokenizer(VOCABULARY)
+    for c in map(chr, range(0x300)):
+        for t in (c, f"a{c}b", f"x {c}1{c} É{c}", f"{c}{c}'s"):
+            assert np.frombuffer(own.ids(t.encode()), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=40))
+def test_ids_of_any_text(text):
+    own = _own()
+    assert np.frombuffer(own.ids(text.encode()), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@functools.cache
+def _own():
+    return P.WordTokenizer(VOCABULARY)
 
 
 def test_the_cache_may_be_emptied(tokenizer, monkeypatch):
     monkeypatch.setattr(P, "CACHED_WORDS", 3)
     own = P.WordTokenizer(VOCABULARY)
-    texts = [["one two three four five"], ["six two seven, eight."], ["one nine"]]
-    for t in texts:
-        assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(t)] == [tokenizer.encode(t[0], add_special_tokens=False).ids]
+    for t in ["one two three four five", "six two seven, eight.", "one nine"]:
+        assert np.frombuffer(own.ids(t.encode()), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
 def check_packing(got, want, capacity):
@@ -67,7 +87,7 @@ def test_pack_hard_rows(spark, tokenizer):
 
 def test_little_padding_over_many_documents(spark):
     rng = random.Random(9)
-    rows = [doc(i, "a " * rng.choice([5, 700, 1500, 1500, 1500, 2100, int(rng.expovariate(1 / 900))])) for i in range(3000)]
+    rows = [doc(i, "a " * rng.choice([5, 1500, 1500, *(1 + int(rng.expovariate(1 / 900)) for _ in range(4))])) for i in range(3000)]
     got = P.pack(documents(spark, rows).repartition(5), VOCABULARY).collect()
     want = [(r[0], [320] * (len(r[1]) // 2) + [2]) for r in rows]
     used = check_packing(got, want, 4096)
