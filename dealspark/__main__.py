@@ -1,10 +1,16 @@
 """Command-line entry point (``python -m dealspark`` or ``run_job.py``).
 
     spark-submit --py-files dealspark.zip run_job.py --ledger <table|path> --roster <table|path> \
-        --begin 2019-01-01 --end 2020-12-31 --out <shared folder> [--run-date YYYY-MM-DD] [--format csv|parquet]
+        --config report.json --out <shared folder> [--begin YYYY-MM-DD] [--end YYYY-MM-DD] \
+        [--run-date YYYY-MM-DD] [--format csv|parquet]
 
-or, over the driver's test tables: ``--fixtures /root/testdata/sf0.1``.
-Failures propagate (non-zero exit status).
+or, over the driver's test tables: ``--fixtures /root/testdata/sf0.1`` (whose
+configuration is built in; ``--config`` replaces it).
+
+The config file holds the settings of ``ReportConfig`` (``config.from_mapping``)
+and, where the source's column names differ, ``ledger_names`` and
+``roster_names`` (source name -> job's name).  Failures propagate (non-zero
+exit status).
 """
 
 from __future__ import annotations
@@ -12,13 +18,15 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
-from .config import MAIN
+from .config import from_mapping
 from .plans.pipeline import run
 from .session import apply_defaults
-from .sources.extracts import fixture_inputs, table_inputs
+from .sources.extracts import fixture_view_inputs, table_inputs
+from .sources.fixtures import MAIN
 
 
 def main(argv: list[str] | None = None) -> dict[str, str]:
@@ -28,8 +36,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     src.add_argument("--ledger", help="ledger lines: catalog table or path")
     p.add_argument("--roster", help="principal roster: catalog table or path")
     p.add_argument("--input-format", default="parquet")
-    p.add_argument("--begin", type=dt.date.fromisoformat, default=MAIN.begin)
-    p.add_argument("--end", type=dt.date.fromisoformat, default=MAIN.end)
+    p.add_argument("--config", help="JSON file with the report's settings; required with --ledger")
+    p.add_argument("--begin", type=dt.date.fromisoformat, help="replaces the config's")
+    p.add_argument("--end", type=dt.date.fromisoformat, help="replaces the config's")
     p.add_argument("--out", required=True)
     p.add_argument("--run-date", type=dt.date.fromisoformat, default=dt.date.today())
     p.add_argument("--format", choices=("csv", "parquet"), default="csv")
@@ -37,14 +46,21 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     p.add_argument("--partition-deals-by-year", action="store_true",
                    help="write the deal output in one folder per ending_year")
     a = p.parse_args(argv)
-    if a.ledger and not a.roster:
-        p.error("--roster is required with --ledger")
+    if a.ledger and not (a.roster and a.config):
+        p.error("--roster and --config are required with --ledger")
+    names: dict[str, dict[str, str]] = {}
+    cfg = MAIN
+    if a.config:
+        with open(a.config) as f:
+            settings = json.load(f)
+        names = {k: settings.pop(k) for k in ("ledger_names", "roster_names") if k in settings}
+        cfg = from_mapping(settings)
+    cfg = replace(cfg, begin=a.begin or cfg.begin, end=a.end or cfg.end)
 
     spark = SparkSession.builder.appName("dealspark").getOrCreate()
     apply_defaults(spark)
-    inputs = fixture_inputs(spark, a.fixtures) if a.fixtures else table_inputs(spark, a.ledger, a.roster,
-                                                                              a.input_format)
-    cfg = MAIN.with_window(a.begin, a.end)
+    inputs = fixture_view_inputs(spark, a.fixtures) if a.fixtures else table_inputs(
+        spark, a.ledger, a.roster, a.input_format, **names)
     paths = run(spark, inputs, cfg, a.out, a.run_date, fmt=a.format, null_label=a.null_label,
                 partition_deals_by_year=a.partition_deals_by_year)
     print(json.dumps(paths))

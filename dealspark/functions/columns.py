@@ -43,8 +43,8 @@ def _quote(name: str) -> str:
 
 
 def money_to_double(df: DataFrame) -> DataFrame:
-    """Final presentation step: money in cents and decimal amounts become
-    doubles."""
+    """Presentation of the registered queries: money in cents and decimal amounts
+    become doubles."""
     def out(f: T.StructField) -> str:
         q = _quote(f.name)
         if isinstance(f.dataType, T.DecimalType):
@@ -56,6 +56,19 @@ def money_to_double(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[out(f) for f in df.schema.fields])
 
 
+def money_to_decimal(df: DataFrame) -> DataFrame:
+    """Money as the sinks write it: every amount as ``decimal(38,2)``."""
+    def out(f: T.StructField) -> str:
+        q = _quote(f.name)
+        if isinstance(f.dataType, T.DecimalType) and f.dataType.scale <= 2:
+            return f"CAST({q} AS DECIMAL(38,2)) AS {q}"
+        if isinstance(f.dataType, T.IntegralType) and is_money(f.name):
+            return f"CAST(CAST({q} AS DECIMAL(20,0)) * 0.01BD AS DECIMAL(38,2)) AS {q}"
+        return q
+
+    return df.selectExpr(*[out(f) for f in df.schema.fields])
+
+
 def fill_numeric_zero(df: DataFrame, only: tuple[str, ...] | None = None) -> DataFrame:
     """NULL -> 0 for every numeric column, or for the ``only`` columns (strings
     and dates keep NULL)."""

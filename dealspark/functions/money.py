@@ -1,15 +1,16 @@
 """Exact money arithmetic on the fast path: amounts as long cents.
 
 Inputs carry money as ``decimal(18,2)``.  Inside the job every amount is its
-unscaled value in cents, a primitive ``bigint``: sums and differences are
-exact, stay in whole-stage codegen without per-value objects (decimal values
+unscaled value in cents, a primitive ``bigint`` (the input contract rejects
+finer amounts): sums and differences are exact, stay in whole-stage codegen without per-value objects (decimal values
 are materialised as objects in Spark's row format, about 30x slower here), and
-overflow raises under ANSI mode instead of wrapping.  Money leaves the job as
-``cents / 100.0`` - the same double as casting the exact decimal - and ratios
-divide those doubles.
+overflow raises under ANSI mode instead of wrapping.  The written outputs
+carry ``decimal(38,2)``; the registered queries carry ``cents / 100.0``, the
+same double as casting the exact decimal, and ratios divide those doubles.
 
-Money columns are recognised by name (``MONEY_NAMES``, ``acct_*``, and the
-same with a ``_<year>`` suffix).
+Money columns are those of the fixed lists (``MONEY_NAMES``, also with a
+``_<year>`` suffix, and the chart's account columns); every column of the job
+comes from such a list, so a source's own columns cannot be taken for money.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .chart import ACCOUNT_COLUMNS
+
 SOURCE_MONEY = "decimal(18,2)"
 
 # --- fixed values -----------------------------------------------------------
@@ -35,11 +38,11 @@ _YEAR_SUFFIX = re.compile(r"_\d{4}$")
 
 def is_money(name: str) -> bool:
     base = _YEAR_SUFFIX.sub("", name)
-    return base in MONEY_NAMES or base.startswith("acct_")
+    return base in MONEY_NAMES or name in ACCOUNT_COLUMNS
 
 
 def to_cents(value: Column) -> Column:
-    """Exact unscaled cents of a 2-decimal amount."""
+    """Exact unscaled cents of an amount with at most two decimals."""
     return (value.cast(SOURCE_MONEY) * F.lit(100)).cast("bigint")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import CohortBand, ReportConfig
 from ..functions.columns import ratio
+from ..session import materialize
 
 _OPS = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge, "==": operator.eq,
         "!=": operator.ne}
@@ -63,11 +64,25 @@ def with_margins(totals: DataFrame, years: tuple[int, ...]) -> DataFrame:
 
 
 def with_position(totals: DataFrame) -> DataFrame:
-    """1-based position of each row inside its (market, cohort) group."""
-    w = Window.partitionBy("market_region", "cohort").orderBy(
-        *[F.coalesce(F.col(c), F.lit(NULL_TEXT)) for c in POSITION_ORDER]
-    )
-    return totals.withColumn("position", F.row_number().over(w))
+    """1-based position of each row inside its (market, cohort) group.
+
+    No task sorts a group: the rows are range-partitioned by (market, cohort,
+    order), numbered where they are and stored; a row's place is its number
+    plus the rows of the partitions before, its position the distance to the
+    first place of its group."""
+    order = ["market_region", "cohort", *[F.coalesce(F.col(c), F.lit(NULL_TEXT)) for c in POSITION_ORDER]]
+    lined = totals.repartitionByRange(*order).sortWithinPartitions(*order)
+    lined = materialize(lined.withColumn("__line", F.monotonically_increasing_id()), "cohort-positions")
+    part = F.shiftright("__line", 33).alias("__part")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = lined.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))  # one row per shuffle partition
+    parts = parts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    placed = lined.withColumn("__part", part).join(F.broadcast(parts), "__part")
+    placed = placed.withColumn("__at", F.col("__before") + F.col("__line").bitwiseAND(F.lit((1 << 33) - 1)))
+    first = placed.groupBy(F.col("market_region").alias("__m"), F.col("cohort").alias("__c")).agg(F.min("__at").alias("__first"))
+    # One row per region in scope and cohort band, both from the config.
+    out = placed.join(F.broadcast(first), placed["market_region"].eqNullSafe(first["__m"]) & (placed["cohort"] == first["__c"]))
+    return out.select(*totals.columns, (F.col("__at") - F.col("__first") + 1).cast("int").alias("position"))
 
 
 def positional_share(totals: DataFrame, years: tuple[int, ...], total_cohort: str) -> DataFrame:
@@ -93,18 +108,18 @@ def positional_share(totals: DataFrame, years: tuple[int, ...], total_cohort: st
 
 
 def market_total_share(totals: DataFrame, years: tuple[int, ...], total_cohort: str) -> DataFrame:
-    """A row's GCI over the market's total-cohort GCI, summed with a
-    window over the market (one pass, no self-join)."""
+    """A row's GCI over the market's total-cohort GCI: one sum per market
+    (partial sums in each task), joined back by broadcast - the markets in
+    scope come from the config.  ``totals`` is read twice, so hand in a stored
+    frame."""
     is_total = F.col("cohort") == F.lit(total_cohort)
-    market = Window.partitionBy("market_region")
-    summed = totals.select(
-        "*",
-        *[F.sum(F.when(is_total, F.col(f"gci_less_referral_{y}"))).over(market).alias(f"__m_{y}") for y in years],
-    )
+    markets = totals.where(is_total).groupBy(F.col("market_region").alias("__m")).agg(
+        *[F.sum(f"gci_less_referral_{y}").alias(f"market_gci_less_referral_{y}") for y in years])
+    summed = totals.join(F.broadcast(markets), totals["market_region"].eqNullSafe(markets["__m"]), "left")
     return summed.select(
         *totals.columns,
-        *[F.col(f"__m_{y}").alias(f"market_gci_less_referral_{y}") for y in years],
-        *[ratio(F.col(f"gci_less_referral_{y}"), F.col(f"__m_{y}")).alias(f"pct_gci_less_referral_{y}")
+        *[f"market_gci_less_referral_{y}" for y in years],
+        *[ratio(F.col(f"gci_less_referral_{y}"), F.col(f"market_gci_less_referral_{y}")).alias(f"pct_gci_less_referral_{y}")
           for y in years],
     )
 
@@ -112,14 +127,13 @@ def market_total_share(totals: DataFrame, years: tuple[int, ...], total_cohort:
 MIX_LEADING = ("cohort", "market", "location_name", "team_id", "account_team_name", "listing_type")
 
 
-def cohort_mix(principals: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """principal_mix_data: cohort sums, margins, variance and GCI share."""
+def cohort_mix(totals: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """principal_mix_data: cohort sums with margins, variance and GCI share."""
     years = cfg.report_years
-    totals = cohort_totals(cohort_members(principals, cfg.cohorts), years)
     if cfg.share_mode == "positional":
         shared = positional_share(totals, years, cfg.total_cohort)
     else:
-        shared = market_total_share(totals, years, cfg.total_cohort)
+        shared = market_total_share(materialize(totals, "cohort-totals"), years, cfg.total_cohort)
     out = with_margins(shared, years)
     sums = [name for _, name in _sum_measures(years)]
     return out.select(

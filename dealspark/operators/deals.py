@@ -50,7 +50,3 @@ def attach_roster(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: boo
     numeric = [f.name for f in slim_roster.schema.fields if isinstance(f.dataType, T.NumericType)]
     return fill_numeric_zero(joined.select(*slim_roster.columns, *rows.columns), only=tuple(numeric))
 
-
-def deal_data(reclassed: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False) -> DataFrame:
-    """The deal output: numeric NULLs are 0, strings and dates stay NULL."""
-    return attach_roster(deal_rows(reclassed), slim_roster, broadcast_roster)

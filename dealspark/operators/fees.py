@@ -34,12 +34,13 @@ def fee_totals(sums: DataFrame) -> DataFrame:
 
 def unmapped_fee_accounts(sums: DataFrame) -> DataFrame:
     """J3's report: fee accounts no measure column carries (they adjust
-    nothing), with their fee lines' total; a distributed result, not a print."""
+    nothing), with the number of (deal, account) sums and their total; a
+    distributed result, not a print."""
     columns = [account_column(a) for a in ACCOUNTS]
     mapped = [a for a in ACCOUNTS if column_for_account(a, columns) is not None]
     return (sums.filter(~F.col("account_number").isin(mapped) | F.col("account_number").isNull())
             .groupBy("account_number")
-            .agg(F.count(F.lit(1)).alias("n_deals"), F.sum("flat_fees_isolated").alias("flat_fees_isolated")))
+            .agg(F.count(F.lit(1)).alias("n_sums"), F.sum("flat_fees_isolated").alias("flat_fees_isolated")))
 
 
 def fee_by_account(deals: DataFrame, sums: DataFrame, broadcast_fees: bool = False) -> DataFrame:
@@ -62,10 +63,13 @@ def fee_by_account(deals: DataFrame, sums: DataFrame, broadcast_fees: bool = Fal
     )
 
 
-def fee_isolated_ledger(by_account: DataFrame, totals: DataFrame, broadcast_fees: bool = False) -> DataFrame:
+def fee_isolated_ledger(by_account: DataFrame, totals: DataFrame, broadcast_fees: bool = False,
+                        key_rows: DataFrame | None = None) -> DataFrame:
     """Full outer merge with the per-deal fee totals; the flat-fee account
-    gains the total (NULL where either side is missing)."""
+    gains the total (NULL where either side is missing).  ``key_rows``: the
+    deal ledger, whose keys are all that a total can meet (J2 changes no key,
+    and an AEP-only row has no department)."""
     merged = outer_merge(by_account, totals, null_safe=FEE_NULL_SAFE, strict=FEE_STRICT,
-                         broadcast_side=broadcast_fees)
+                         broadcast_side=broadcast_fees, key_rows=key_rows)
     flat = account_column(FLAT_FEE_ACCOUNT)
     return merged.withColumn(flat, F.col(flat) + F.col("flat_fees_isolated"))

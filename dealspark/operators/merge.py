@@ -5,7 +5,7 @@ written as a left join plus the side rows no large row meets, instead of one
 ``full_outer`` join (which Spark can neither broadcast nor split for skew).
 Which plan is used follows a size check of the side (``fits_broadcast``):
 
-small side (checked row bound, broadcast):
+small side (checked byte bound, broadcast):
     large LEFT JOIN broadcast(side)
   ∪ side LEFT ANTI broadcast((large keys LEFT SEMI broadcast(side keys)).distinct())
   - the large frame is never shuffled; the semi join filters it where it is
@@ -28,6 +28,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored_bytes
+
 SIDE = "__r_"
 
 
@@ -41,14 +43,10 @@ def _prefixed(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return df.select([F.col(c).alias(SIDE + c) if c in keys else F.col(c) for c in df.columns])
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Size check before broadcasting: True when ``df`` has at most
-    ``max_rows`` rows.  A distributed count (partial counts per task, one
-    number per task shuffled) - not ``limit(n).count()``, which funnels up to
-    ``n`` rows from every task into a single partition when the frame is big.
-    The frames checked are filtered extracts, so the count reads only the
-    columns their filters need."""
-    return df.count() <= max_rows
+def fits_broadcast(stored: DataFrame, max_bytes: int) -> bool:
+    """Size check before broadcasting a stored frame: by the bytes of its
+    files, which no job has to count."""
+    return stored_bytes(stored) <= max_bytes
 
 
 def left_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broadcast_side: bool = False) -> DataFrame:
@@ -63,15 +61,17 @@ def left_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broad
     return joined.drop(*[SIDE + k for k in keys])
 
 
-def outer_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broadcast_side: bool = False) -> DataFrame:
+def outer_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broadcast_side: bool = False,
+                key_rows: DataFrame | None = None) -> DataFrame:
     """Full outer join on the keys; key columns are merged (from whichever side
     has the row).  Columns: the large frame's, then the side's non-key ones.
     ``broadcast_side`` selects the broadcast plan and must follow a size check
-    of the side (``fits_broadcast``)."""
+    of the side (``fits_broadcast``).  ``key_rows`` may name a cheaper frame
+    that holds the same matchable keys as ``large``."""
     null_safe, strict = tuple(null_safe), tuple(strict)
     keys = null_safe + strict
     matched = left_merge(large, side, null_safe, strict, broadcast_side)
-    large_keys = large.select(*keys)
+    large_keys = (large if key_rows is None else key_rows).select(*keys)
     if broadcast_side:
         side_keys = F.broadcast(_prefixed(side.select(*keys), keys))
         met = large_keys.join(side_keys, _on(large_keys, side_keys, null_safe, strict), "left_semi").distinct()

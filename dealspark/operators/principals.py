@@ -47,7 +47,8 @@ def principal_year(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bo
 
 def principal_pivot(per_year: DataFrame, years: tuple[int, ...]) -> DataFrame:
     """R1 + R2: one row per principal index, ``<value>_<year>`` columns for the
-    configured years (no discovery job); a missing year gives NULLs."""
+    given years (no discovery job), which are all the windows can hold; a
+    missing year gives NULLs."""
     labels = [str(y) for y in years]
     piv = per_year.groupBy(*INDEX).pivot("ending_year", labels).agg(*[F.max(v).alias(v) for v in PIVOTED])
     return piv.select(
@@ -75,8 +76,3 @@ def with_producing_flags(scoped: DataFrame, years: tuple[int, ...]) -> DataFrame
           for y in years],
     )
 
-
-def principal_data(rows: DataFrame, slim_roster: DataFrame, spark: SparkSession, cfg: ReportConfig,
-                   broadcast_roster: bool = False) -> DataFrame:
-    piv = principal_pivot(principal_year(rows, slim_roster, broadcast_roster), cfg.report_years)
-    return with_producing_flags(market_scope(piv, crosswalk_frame(spark, cfg)), cfg.report_years)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Roster columns carried into the deal output, in order (those present).
+# Roster columns carried into the deal output, in order.
 SLIM_COLUMNS = (
     "team_id", "account_team_name", "original_start_date", "market", "separation_date", "number_of_agents",
     "total_split", "base_split", "resource_fee_type", "resource_fee_option", "resource_fee_pct",
@@ -23,4 +23,4 @@ def roster_slim(roster: DataFrame) -> DataFrame:
     """F8 + P24: principals with a team, reduced to the columns the deal output
     carries; the team key is renamed so both team columns can coexist."""
     kept = roster_agents(roster).filter(F.col("team_id").isNotNull())
-    return kept.select([c for c in SLIM_COLUMNS if c in roster.columns]).withColumnRenamed("team_id", "roster_team_id")
+    return kept.select(*SLIM_COLUMNS).withColumnRenamed("team_id", "roster_team_id")

@@ -13,7 +13,7 @@ import sys
 from ..session import local_session
 from .registry import registry
 
-HEADLINE = ("deal_ledger", "deal_data", "principal_data", "cohort_mix")
+HEADLINE = ("deal_ledger", "deal_data", "principal_data", "cohort_mix", "fee_isolated_ledger")
 SCAN_FIELDS = ("Location", "PartitionFilters", "PushedFilters", "ReadSchema")
 
 

@@ -1,20 +1,56 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
 Written independently of the DataFrame code: plain SQL over the base tables,
-with the two fixture relations as CTEs (FIXTURES.md text).  Money is summed as
-DECIMAL and cast to DOUBLE only in the final projection, as on the Spark side.
+with the two fixture relations as CTEs (FIXTURES.md text).  Accounts, account
+sets, dates, bounds, crosswalk and years stand here as literals of their own;
+nothing is imported from the job.  Money is summed as DECIMAL and cast to
+DOUBLE only in the final projection, as on the Spark side.
 """
 
 from __future__ import annotations
 
-from ..config import LATE, MAIN, ReportConfig
-from ..functions.chart import ACCOUNTS, COMPOSITES, account_column
+from types import SimpleNamespace
+
+# --- fixed values -----------------------------------------------------------
+ACCOUNTS = (
+    "400001", "400002", "400003", "400004", "400005", "400006", "400007", "400009", "400090", "400097", "400098",
+    "400099", "401001", "401002", "401003", "401004", "410001", "411001", "430001", "430002", "430003", "430006",
+    "430009", "430011", "502001", "502006", "503001", "510002", "510003", "510004", "510005", "510006",
+)
+COMPOSITES = (
+    ("total_gci", ("400001", "400002", "400003", "400004", "400005", "400006", "400007", "400009", "400090", "400097",
+                   "400098", "400099", "401001", "401002", "401003", "401004", "410001", "411001")),
+    ("total_referral", ("510002", "510004", "510005")),
+    ("commission_expense", ("502001", "510003", "510006")),
+    ("aep", ("502006",)),
+)
+COHORTS = (
+    ("Total Principal Cohorts", None),
+    ("2018 and Prior", "original_start_date < DATE '2019-01-01'"),
+    ("Jan 2019 to Aug 2019", "original_start_date > DATE '2019-01-01' AND original_start_date < DATE '2019-09-01'"),
+    ("Sept 2019 to Aug 2020", "original_start_date > DATE '2019-09-01' AND original_start_date < DATE '2020-09-01'"),
+)
+CROSSWALK = (("ASIA", "MKT_0"), ("ASIA", "MKT_1"), ("EUROPE", "MKT_2"), ("AFRICA", "MKT_0"), ("MIDDLE EAST", "MKT_1"),
+             ("AMERICA", "MKT_0"), ("NATION_1", "MKT_1"))
+# ---------------------------------------------------------------------------
+
+# The two windows; a begin after 2020-08-31 moves the side extracts' begin to
+# 2018-01-01.  Years: all that the rows can have, and the compared pair.
+MAIN = SimpleNamespace(begin="2019-01-01", end="2020-12-31", side_begin="2019-01-01", years=(2019, 2020), pair=(2019, 2020),
+                       split="AMERICA", excluded=("PARENT_2",), crosswalk=CROSSWALK)
+LATE = SimpleNamespace(begin="2020-09-01", end="2020-12-31", side_begin="2018-01-01", years=(2018, 2019, 2020), pair=(2019, 2020),
+                       split="AMERICA", excluded=("PARENT_2",), crosswalk=CROSSWALK)
+
+
+def account_column(account: str) -> str:
+    return "acct_" + account
+
 
 LEDGER_LINES_SQL = """
 SELECT
   CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE o.o_orderkey END AS deal_id,
   CASE WHEN o.o_orderkey % 22 = 0 THEN NULL ELSE o.o_orderkey END AS deal_line_id,
-  CASE WHEN o.o_custkey % 13 = 0 THEN NULL ELSE CONCAT('T', CAST(o.o_custkey % 40 AS STRING)) END AS team_id,
+  CASE WHEN o.o_custkey % 13 = 0 THEN NULL WHEN o.o_custkey % 8 = 5 THEN CONCAT('T', CAST(o.o_custkey % 3 AS STRING)) ELSE CONCAT('T', CAST(CAST(FLOOR(o.o_custkey / 30) AS BIGINT) AS STRING)) END AS team_id,
   r.r_name AS market_region,
   CASE WHEN o.o_orderkey % 17 = 0 THEN NULL ELSE CONCAT(n.n_name, ', ', r.r_name) END AS location_name,
   CASE WHEN o.o_orderkey % 19 = 0 THEN NULL ELSE c.c_mktsegment END AS department_name,
@@ -37,23 +73,29 @@ JOIN orders o ON o.o_orderkey = l.l_orderkey
 JOIN customer c ON c.c_custkey = o.o_custkey
 JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey
-JOIN (VALUES (0,'400001'),(1,'400002'),(2,'400003'),(3,'400004'),(4,'400005'),(5,'400006'),
+JOIN (VALUES (-1,'439901'),(0,'400001'),(1,'400002'),(2,'400003'),(3,'400004'),(4,'400005'),(5,'400006'),
              (6,'400007'),(7,'400009'),(8,'401001'),(9,'410001'),(10,'411001'),(11,'502001'),
              (12,'502006'),(13,'503001'),(14,'510002'),(15,'510003'),(16,'510004'),(17,'510005'),
              (18,'510006'),(19,'400090'),(20,'400097'),(21,'400098'),(22,'400099'),(23,'401002'),
              (24,'401003'),(25,'401004'),(26,'430001'),(27,'430002'),(28,'430003'),(29,'430006'),
              (30,'430009'),(31,'430011')) AS a(slot, account_number)
-  ON a.slot = (l.l_partkey + l.l_linenumber) % 32
+  ON a.slot = CASE WHEN l.l_partkey % 97 = 5 THEN -1 ELSE (l.l_partkey + l.l_linenumber) % 32 END
 """
 
 PRINCIPAL_ROSTER_SQL = """
 SELECT
-  CASE WHEN s.s_suppkey % 31 = 30 THEN NULL ELSE CONCAT('T', CAST(s.s_suppkey % 40 AS STRING)) END AS team_id,
+  CONCAT('A', CAST(s.s_suppkey AS STRING)) AS agent_id,
+  CASE WHEN s.s_suppkey % 31 = 30 THEN NULL ELSE CONCAT('T', CAST(CAST(FLOOR(s.s_suppkey / 2) AS BIGINT) AS STRING)) END AS team_id,
   s.s_name AS account_team_name,
   CASE WHEN s.s_suppkey % 9 = 8 THEN NULL ELSE CONCAT('PARENT_', CAST(s.s_suppkey % 9 AS STRING)) END AS parent_account_name,
+  CONCAT('Agent ', s.s_name) AS agent_name,
   CASE WHEN s.s_suppkey % 6 = 5 THEN 'Agent' ELSE 'Principal' END AS agent_role,
+  CASE WHEN s.s_suppkey % 7 = 6 THEN NULL ELSE CONCAT('Manager ', CAST(s.s_suppkey % 7 AS STRING)) END AS sales_manager_name,
   CASE WHEN s.s_suppkey % 10 = 7 THEN 'N' ELSE 'Y' END AS primary_principal_flag,
   CONCAT('MKT_', CAST(s.s_suppkey % 3 AS STRING)) AS market,
+  CONCAT('SUB_', CAST(s.s_suppkey % 5 AS STRING)) AS sub_market,
+  CONCAT('Office ', CAST(s.s_suppkey % 11 AS STRING)) AS office,
+  CASE WHEN s.s_suppkey % 4 = 3 THEN 'Inactive' ELSE 'Active' END AS contact_status,
   CASE WHEN s.s_suppkey % 14 = 13 THEN NULL
        WHEN s.s_suppkey % 8 = 0 THEN DATE '2019-01-01'
        WHEN s.s_suppkey % 8 = 1 THEN DATE '2019-09-01'
@@ -61,9 +103,24 @@ SELECT
        WHEN s.s_suppkey % 8 = 3 THEN DATE '2020-02-10'
        WHEN s.s_suppkey % 8 = 4 THEN DATE '2020-10-01'
        ELSE DATE '2017-03-01' END AS original_start_date,
-  CASE WHEN s.s_suppkey % 5 = 0 THEN DATE '2021-01-31' ELSE NULL END AS separation_date,
   CAST(s.s_suppkey % 4 AS INTEGER) AS number_of_agents,
-  CAST(s.s_acctbal AS DECIMAL(18,2)) AS resource_fee_cap
+  DATE '2018-01-01' + CAST(s.s_suppkey % 365 AS INTEGER) AS contract_start_date,
+  CASE WHEN s.s_suppkey % 3 = 2 THEN NULL ELSE DATE '2018-01-01' + CAST(s.s_suppkey % 365 + 730 AS INTEGER) END AS contract_end_date,
+  DATE '2018-01-01' + CAST(s.s_suppkey % 365 + 900 AS INTEGER) AS ica_expiration_date,
+  CASE WHEN s.s_suppkey % 5 = 0 THEN DATE '2021-01-31' ELSE NULL END AS separation_date,
+  CASE WHEN s.s_suppkey % 5 = 0 THEN 'Y' ELSE 'N' END AS separated_flag,
+  CAST(s.s_acctbal AS DECIMAL(18,2)) AS opportunity_gci,
+  CASE WHEN s.s_suppkey % 8 = 7 THEN NULL ELSE CAST(s.s_suppkey % 100 AS DECIMAL(18,2)) END AS total_split,
+  CAST(s.s_suppkey % 90 AS DECIMAL(18,2)) AS base_split,
+  CASE WHEN s.s_suppkey % 2 = 0 THEN 'Flat' ELSE 'Percent' END AS resource_fee_type,
+  CASE WHEN s.s_suppkey % 6 = 4 THEN NULL ELSE CONCAT('Option ', CAST(s.s_suppkey % 6 AS STRING)) END AS resource_fee_option,
+  CAST(s.s_suppkey % 20 AS DECIMAL(18,2)) AS resource_fee_pct,
+  CAST(s.s_acctbal AS DECIMAL(18,2)) AS resource_fee_cap,
+  CASE WHEN s.s_suppkey % 12 = 11 THEN NULL ELSE CAST(s.s_suppkey % 500 AS DECIMAL(18,2)) END AS actual_resource_fee,
+  CAST(s.s_suppkey % 400 AS DECIMAL(18,2)) AS policy_resource_fee,
+  CONCAT('AMA', CAST(s.s_suppkey AS STRING)) AS ama_id,
+  CONCAT('C', CAST(s.s_suppkey AS STRING)) AS contact_id,
+  CONCAT('ACC', CAST(s.s_suppkey AS STRING)) AS account_id
 FROM supplier s
 """
 
@@ -76,10 +133,18 @@ DL_COLS = DL_LEADING + DL_MEASURES + ACCTS + ["vendor_agent_id", "company_agent_
 DL_MONEY = ["final_close_price"] + DL_MEASURES + ACCTS
 AEP_KEYS = ["deal_id", "team_id", "ending_period", "market_region", "side_represented", "listing_type"]
 FEE_NS = ["deal_id", "team_id", "ending_period", "market_region", "location_name", "side_represented", "listing_type"]
-ROSTER_COLS = ["team_id", "account_team_name", "parent_account_name", "agent_role", "market", "original_start_date",
-               "number_of_agents", "separation_date", "resource_fee_cap"]
-SLIM_COLS = ["roster_team_id", "account_team_name", "original_start_date", "market", "separation_date",
-             "number_of_agents", "resource_fee_cap"]
+ROSTER_MONEY = ["opportunity_gci", "total_split", "base_split", "resource_fee_pct", "resource_fee_cap", "actual_resource_fee",
+                "policy_resource_fee"]
+ROSTER_COLS = ["agent_id", "team_id", "account_team_name", "parent_account_name", "agent_name", "agent_role",
+               "sales_manager_name", "market", "sub_market", "office", "contact_status", "original_start_date",
+               "number_of_agents", "contract_start_date", "contract_end_date", "ica_expiration_date", "separation_date",
+               "separated_flag", "opportunity_gci", "total_split", "base_split", "resource_fee_type", "resource_fee_option",
+               "resource_fee_pct", "resource_fee_cap", "actual_resource_fee", "policy_resource_fee", "ama_id", "contact_id",
+               "account_id"]
+SLIM_MONEY = ["total_split", "base_split", "resource_fee_pct", "resource_fee_cap", "actual_resource_fee", "policy_resource_fee"]
+SLIM_COLS = ["roster_team_id", "account_team_name", "original_start_date", "market", "separation_date", "number_of_agents",
+             "total_split", "base_split", "resource_fee_type", "resource_fee_option", "resource_fee_pct", "resource_fee_cap",
+             "actual_resource_fee", "policy_resource_fee"]
 SPLIT_COLS = ["agent_split", "company_split", "net_company_dollar", "aep_total", "ncd_and_aep_total", "ending_year"]
 PY_KEYS = ["team_id", "account_team_name", "ending_year", "market_region", "location_name", "listing_type", "market",
            "original_start_date"]
@@ -91,16 +156,15 @@ GROUP = ["cohort", "market_region", "market", "location_name", "team_id", "accou
 
 
 def _d(day) -> str:
-    return f"DATE '{day.isoformat()}'"
+    return f"DATE '{day}'"
 
 
 def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _region(cfg: ReportConfig) -> str:
-    return (f"CASE WHEN market_region = {_q(cfg.split_region)} THEN split_part(location_name, ',', 1) "
-            f"ELSE market_region END")
+def _region(cfg: SimpleNamespace) -> str:
+    return f"CASE WHEN market_region = {_q(cfg.split)} THEN split_part(location_name, ',', 1) ELSE market_region END"
 
 
 DEAL_KEY = "CAST(CAST(COALESCE(deal_id, deal_line_id) AS BIGINT) AS VARCHAR)"
@@ -127,16 +191,16 @@ def _ratio(n: str, d: str) -> str:
     return f"CAST({n} AS DOUBLE) / NULLIF(CAST({d} AS DOUBLE), 0)"
 
 
-def ctes(cfg: ReportConfig) -> str:
-    years = cfg.report_years
+def ctes(cfg: SimpleNamespace) -> str:
+    years, pair = cfg.years, cfg.pair
     comp = ",\n    ".join(
         f"SUM(CASE WHEN account_number IN ({', '.join(_q(a) for a in accts)}) THEN amount ELSE 0 END) AS {name}"
         for name, accts in COMPOSITES)
     single = ",\n    ".join(
         f"SUM(CASE WHEN account_number = {_q(a)} THEN amount ELSE 0 END) AS {account_column(a)}" for a in ACCOUNTS)
-    xwalk = ", ".join(f"({_q(r)}, {_q(m)})" for r, m in sorted(set(cfg.crosswalk)))
+    xwalk = ", ".join(f"({_q(r)}, {_q(m)})" for r, m in cfg.crosswalk)
     rc_cols = DL_COLS + ["aep_adjusted"]
-    dd_fill = {c: f"COALESCE({c}, 0) AS {c}" for c in DL_MONEY + ["number_of_agents", "resource_fee_cap"]}
+    dd_fill = {c: f"COALESCE({c}, 0) AS {c}" for c in DL_MONEY + ["number_of_agents"] + SLIM_MONEY}
     dd_cols = ", ".join(dd_fill.get(c, c) for c in SLIM_COLS + DL_COLS) + ", aep_adjusted, " + ", ".join(SPLIT_COLS)
     pivot = ",\n    ".join(
         f"MAX(CASE WHEN ending_year = '{y}' THEN {v} END) AS {v}_{y}" for v in PIVOTED for y in years)
@@ -144,18 +208,14 @@ def ctes(cfg: ReportConfig) -> str:
         f"CASE WHEN gci_less_referral_{y} IS NOT NULL THEN 1 ELSE 0 END AS num_producing_principals_{y}"
         for y in years)
     members = "\n  UNION ALL ".join(
-        f"SELECT {_q(b.name)} AS cohort, * FROM pdata"
-        + ("" if not b.bounds else " WHERE " + " AND ".join(
-            f"original_start_date {'=' if op == '==' else '<>' if op == '!=' else op} {_d(day)}"
-            for op, day in b.bounds))
-        for b in cfg.cohorts)
+        f"SELECT {_q(name)} AS cohort, * FROM pdata" + (f" WHERE {bounds}" if bounds else "") for name, bounds in COHORTS)
     sums = []
-    for y in years:
+    for y in pair:
         sums.append(f"CAST(COALESCE(SUM(num_producing_principals_{y}), 0) AS BIGINT) AS num_producing_principals_{y}")
-    for y in years:
+    for y in pair:
         sums.append(f"CAST(COALESCE(SUM(deal_count_{y}), 0) AS BIGINT) AS unit_total_{y}")
     for v in MONEY_VALUES:
-        for y in years:
+        for y in pair:
             sums.append(f"COALESCE(SUM({v}_{y}), 0) AS {v}_{y}")
     fee_adjust = ", ".join(
         f"CASE WHEN f_acct = {_q(a)} AND f_fee IS NOT NULL THEN {account_column(a)} - f_fee "
@@ -192,27 +252,23 @@ aep_l AS (
   SELECT {DEAL_KEY} AS deal_id, team_id, ending_period, amount, {_region(cfg)} AS market_region, location_name,
     side_represented, listing_type, department_name
   FROM ledger_lines
-  WHERE ending_period BETWEEN {_d(cfg.side_begin)} AND {_d(cfg.aep_cutoff)}
-    AND item_type_name = {_q(cfg.aep_item_type)} AND account_number = {_q(cfg.aep_account)}),
+  WHERE ending_period BETWEEN {_d(cfg.side_begin)} AND DATE '2020-08-31'
+    AND item_type_name = 'AEP' AND account_number = '502001'),
 fee_l AS (
   SELECT {DEAL_KEY} AS deal_id, team_id, ending_period, amount, {_region(cfg)} AS market_region, location_name,
     side_represented, listing_type, account_number, item_id, item_name, department_name
   FROM ledger_lines
-  WHERE item_id IN ({', '.join(_q(i) for i in cfg.fee_items)})
-    AND ending_period BETWEEN {_d(cfg.side_begin)} AND {_d(cfg.fee_cutoff)}),
+  WHERE item_id IN ('470', '469', '111', '86', '799')
+    AND ending_period BETWEEN {_d(cfg.side_begin)} AND DATE '2020-07-31'),
 ros AS (
   SELECT {', '.join(ROSTER_COLS)} FROM principal_roster
-  WHERE agent_role = {_q(cfg.principal_role)} AND primary_principal_flag = {_q(cfg.primary_flag)}
+  WHERE agent_role = 'Principal' AND primary_principal_flag = 'Y'
     AND original_start_date IS NOT NULL
-    AND parent_account_name NOT IN ({', '.join(_q(p) for p in cfg.excluded_parents)})),
+    AND parent_account_name NOT IN ({', '.join(_q(x) for x in cfg.excluded)})),
 ros_agents AS (
-  SELECT team_id, account_team_name, parent_account_name, agent_role, market, original_start_date,
-    CASE WHEN number_of_agents = 0 THEN 1 ELSE number_of_agents END AS number_of_agents,
-    separation_date, resource_fee_cap
-  FROM ros),
+  SELECT * REPLACE (CASE WHEN number_of_agents = 0 THEN 1 ELSE number_of_agents END AS number_of_agents) FROM ros),
 rs AS (
-  SELECT team_id AS roster_team_id, account_team_name, original_start_date, market, separation_date,
-    number_of_agents, resource_fee_cap
+  SELECT team_id AS roster_team_id, {', '.join(SLIM_COLS[1:])}
   FROM ros_agents WHERE team_id IS NOT NULL),
 aep_t AS (SELECT {', '.join(AEP_KEYS)}, SUM(amount) AS aep_adjusted FROM aep_l GROUP BY ALL),
 j1 AS (
@@ -260,16 +316,16 @@ cpos AS (
   SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY market_region, cohort ORDER BY {order}) AS INTEGER) AS position
   FROM ct),
 cps AS (
-  SELECT c.*, {', '.join(f't.gci_less_referral_{y} AS total_gci_at_position_{y}' for y in years)},
-    {', '.join(f"CASE WHEN c.cohort = {_q(cfg.total_cohort)} THEN 1.0 ELSE {_ratio(f'c.gci_less_referral_{y}', f't.gci_less_referral_{y}')} END AS pct_gci_less_referral_{y}" for y in years)}
-  FROM cpos c LEFT JOIN (SELECT * FROM cpos WHERE cohort = {_q(cfg.total_cohort)}) t
+  SELECT c.*, {', '.join(f't.gci_less_referral_{y} AS total_gci_at_position_{y}' for y in pair)},
+    {', '.join(f"CASE WHEN c.cohort = 'Total Principal Cohorts' THEN 1.0 ELSE {_ratio(f'c.gci_less_referral_{y}', f't.gci_less_referral_{y}')} END AS pct_gci_less_referral_{y}" for y in pair)}
+  FROM cpos c LEFT JOIN (SELECT * FROM cpos WHERE cohort = 'Total Principal Cohorts') t
     ON c.market_region = t.market_region AND c.position = t.position),
 mkt AS (
-  SELECT market_region, {', '.join(f'SUM(gci_less_referral_{y}) AS market_gci_less_referral_{y}' for y in years)}
-  FROM ct WHERE cohort = {_q(cfg.total_cohort)} GROUP BY market_region),
+  SELECT market_region, {', '.join(f'SUM(gci_less_referral_{y}) AS market_gci_less_referral_{y}' for y in pair)}
+  FROM ct WHERE cohort = 'Total Principal Cohorts' GROUP BY market_region),
 cms AS (
-  SELECT c.*, {', '.join(f'm.market_gci_less_referral_{y}' for y in years)},
-    {', '.join(f"{_ratio(f'c.gci_less_referral_{y}', f'm.market_gci_less_referral_{y}')} AS pct_gci_less_referral_{y}" for y in years)}
+  SELECT c.*, {', '.join(f'm.market_gci_less_referral_{y}' for y in pair)},
+    {', '.join(f"{_ratio(f'c.gci_less_referral_{y}', f'm.market_gci_less_referral_{y}')} AS pct_gci_less_referral_{y}" for y in pair)}
   FROM ct c LEFT JOIN mkt m ON c.market_region = m.market_region),
 fs AS (
   SELECT {', '.join(fee_keys)}, account_number, SUM(COALESCE(amount, 0)) AS flat_fees_isolated
@@ -285,32 +341,40 @@ fil AS (
 """
 
 
-def _with(cfg: ReportConfig, select: str) -> str:
+def _with(cfg: SimpleNamespace, select: str) -> str:
     return f"WITH {ctes(cfg)}\n{select}"
 
 
-def oracle_queries() -> dict[str, str]:
-    m, years = MAIN, MAIN.report_years
+def oracle_queries(main: SimpleNamespace = MAIN) -> dict[str, str]:
+    """SQL by query name; ``main`` may be another case than the fixture's."""
+    m, pair = main, main.pair
     rc_cols = DL_COLS + ["aep_adjusted"]
     rc_money = DL_MONEY + ["aep_adjusted"]
     sp_cols = rc_cols + SPLIT_COLS
     sp_money = rc_money + ["net_company_dollar", "aep_total", "ncd_and_aep_total"]
     dd_cols = SLIM_COLS + sp_cols
-    dd_money = sp_money + ["resource_fee_cap"]
+    dd_money = sp_money + SLIM_MONEY
     py_cols = PY_KEYS + ["commission_expense", "gci_less_referral", "net_company_dollar", "aep_total", "deal_count",
                          "ncd_margin"]
-    pv_cols = PV_INDEX + [f"{v}_{y}" for v in PIVOTED for y in years]
-    pv_money = [f"{v}_{y}" for v in MONEY_VALUES for y in years]
-    pdata_cols = pv_cols + [f"num_producing_principals_{y}" for y in years]
-    ct_sums = ([f"num_producing_principals_{y}" for y in years] + [f"unit_total_{y}" for y in years]
-               + pv_money)
+    def pv_cols(c):
+        return PV_INDEX + [f"{v}_{y}" for v in PIVOTED for y in c.years]
+
+    def pv_money(c):
+        return [f"{v}_{y}" for v in MONEY_VALUES for y in c.years]
+
+    def pdata_cols(c):
+        return pv_cols(c) + [f"num_producing_principals_{y}" for y in c.years]
+
+    ct_money = [f"{v}_{y}" for v in MONEY_VALUES for y in pair]
+    ct_sums = ([f"num_producing_principals_{y}" for y in pair] + [f"unit_total_{y}" for y in pair]
+               + ct_money)
     mix_cols = (["cohort", "market", "location_name", "team_id", "account_team_name", "listing_type"] + ct_sums
-                + [f"ncd_margin_{y}" for y in years] + ["ncd_variance"] + [f"pct_gci_less_referral_{y}" for y in years]
+                + [f"ncd_margin_{y}" for y in pair] + ["ncd_variance"] + [f"pct_gci_less_referral_{y}" for y in pair]
                 + ["market_region"])
     margins = ", ".join(f"{_ratio(f'net_company_dollar_{y}', f'gci_less_referral_{y}')} AS ncd_margin_{y}"
-                        for y in years)
-    variance = (f"{_ratio(f'net_company_dollar_{years[-1]}', f'gci_less_referral_{years[-1]}')} - "
-                f"{_ratio(f'net_company_dollar_{years[0]}', f'gci_less_referral_{years[0]}')} AS ncd_variance")
+                        for y in pair)
+    variance = (f"{_ratio(f'net_company_dollar_{pair[-1]}', f'gci_less_referral_{pair[-1]}')} - "
+                f"{_ratio(f'net_company_dollar_{pair[0]}', f'gci_less_referral_{pair[0]}')} AS ncd_variance")
     fee_keys = FEE_NS + ["department_name"]
     fl_cols = ["deal_id", "team_id", "ending_period", "amount", "market_region", "location_name", "side_represented",
                "listing_type", "account_number", "item_id", "item_name", "department_name"]
@@ -322,13 +386,13 @@ def oracle_queries() -> dict[str, str]:
         "aep_lines_reset": _with(LATE, f"SELECT {_out(aep_cols, ['amount'])} FROM aep_l"),
         "fee_lines": _with(m, f"SELECT {_out(fl_cols, ['amount'])} FROM fee_l"),
         "fee_lines_reset": _with(LATE, f"SELECT {_out(fl_cols, ['amount'])} FROM fee_l"),
-        "principal_roster": _with(m, f"SELECT {_out(ROSTER_COLS, ['resource_fee_cap'])} FROM ros"),
+        "principal_roster": _with(m, f"SELECT {_out(ROSTER_COLS, ROSTER_MONEY)} FROM ros"),
         "normalized_region": _with(m, f"""SELECT market_region, location_name, {_region(m)} AS normalized_region,
             COUNT(*) AS n_lines FROM ledger_lines GROUP BY market_region, location_name"""),
         "deal_key": _with(m, f"""SELECT deal_id, deal_line_id, {DEAL_KEY} AS deal_key, COUNT(*) AS n_lines
             FROM ledger_lines GROUP BY deal_id, deal_line_id"""),
-        "roster_agents": _with(m, f"SELECT {_out(ROSTER_COLS, ['resource_fee_cap'])} FROM ros_agents"),
-        "roster_slim": _with(m, f"SELECT {_out(SLIM_COLS, ['resource_fee_cap'])} FROM rs"),
+        "roster_agents": _with(m, f"SELECT {_out(ROSTER_COLS, ROSTER_MONEY)} FROM ros_agents"),
+        "roster_slim": _with(m, f"SELECT {_out(SLIM_COLS, SLIM_MONEY)} FROM rs"),
         "aep_totals": _with(m, f"SELECT {_out(AEP_KEYS + ['aep_adjusted'], ['aep_adjusted'])} FROM aep_t"),
         "deal_aep_outer": _with(m, f"SELECT {_out(rc_cols, rc_money)} FROM j1"),
         "deal_aep_outer_late": _with(LATE, f"SELECT {_out(rc_cols, rc_money)} FROM j1"),
@@ -338,26 +402,27 @@ def oracle_queries() -> dict[str, str]:
         "deal_data": _with(m, f"SELECT {_out(dd_cols, dd_money)} FROM dd"),
         "deal_data_late": _with(LATE, f"SELECT {_out(dd_cols, dd_money)} FROM dd"),
         "principal_year": _with(m, f"SELECT {_out(py_cols, MONEY_VALUES)} FROM py"),
-        "principal_pivot": _with(m, f"SELECT {_out(pv_cols, pv_money)} FROM pv"),
-        "market_scope": _with(m, f"SELECT {_out(pv_cols, pv_money)} FROM ms"),
-        "principal_data": _with(m, f"SELECT {_out(pdata_cols, pv_money)} FROM pdata"),
-        "principal_data_late": _with(LATE, f"SELECT {_out(pdata_cols, pv_money)} FROM pdata"),
-        "cohort_members": _with(m, f"SELECT cohort, {_out(pdata_cols, pv_money)} FROM cm"),
-        "cohort_totals": _with(m, f"SELECT {_out(GROUP + ct_sums, pv_money)} FROM ct"),
+        "principal_pivot": _with(m, f"SELECT {_out(pv_cols(m), pv_money(m))} FROM pv"),
+        "principal_pivot_late": _with(LATE, f"SELECT {_out(pv_cols(LATE), pv_money(LATE))} FROM pv"),
+        "market_scope": _with(m, f"SELECT {_out(pv_cols(m), pv_money(m))} FROM ms"),
+        "principal_data": _with(m, f"SELECT {_out(pdata_cols(m), pv_money(m))} FROM pdata"),
+        "principal_data_late": _with(LATE, f"SELECT {_out(pdata_cols(LATE), pv_money(LATE))} FROM pdata"),
+        "cohort_members": _with(m, f"SELECT cohort, {_out(pdata_cols(m), pv_money(m))} FROM cm"),
+        "cohort_totals": _with(m, f"SELECT {_out(GROUP + ct_sums, ct_money)} FROM ct"),
         "cohort_share_positional": _with(m, "SELECT " + _out(
-            GROUP + ["position"] + [f"gci_less_referral_{y}" for y in years]
-            + [f"total_gci_at_position_{y}" for y in years] + [f"pct_gci_less_referral_{y}" for y in years],
-            [f"gci_less_referral_{y}" for y in years] + [f"total_gci_at_position_{y}" for y in years]) + " FROM cps"),
+            GROUP + ["position"] + [f"gci_less_referral_{y}" for y in pair]
+            + [f"total_gci_at_position_{y}" for y in pair] + [f"pct_gci_less_referral_{y}" for y in pair],
+            [f"gci_less_referral_{y}" for y in pair] + [f"total_gci_at_position_{y}" for y in pair]) + " FROM cps"),
         "cohort_share": _with(m, "SELECT " + _out(
-            GROUP + [f"gci_less_referral_{y}" for y in years]
-            + [f"market_gci_less_referral_{y}" for y in years] + [f"pct_gci_less_referral_{y}" for y in years],
-            [f"gci_less_referral_{y}" for y in years] + [f"market_gci_less_referral_{y}" for y in years])
+            GROUP + [f"gci_less_referral_{y}" for y in pair]
+            + [f"market_gci_less_referral_{y}" for y in pair] + [f"pct_gci_less_referral_{y}" for y in pair],
+            [f"gci_less_referral_{y}" for y in pair] + [f"market_gci_less_referral_{y}" for y in pair])
             + " FROM cms"),
-        "cohort_mix": _with(m, f"SELECT {_out(mix_cols, pv_money)} FROM (SELECT *, {margins}, {variance} FROM cps)"),
-        "cohort_mix_late": _with(LATE, f"SELECT {_out(mix_cols, pv_money)} FROM (SELECT *, {margins}, {variance} FROM cps)"),
+        "cohort_mix": _with(m, f"SELECT {_out(mix_cols, ct_money)} FROM (SELECT *, {margins}, {variance} FROM cps)"),
+        "cohort_mix_late": _with(LATE, f"SELECT {_out(mix_cols, ct_money)} FROM (SELECT *, {margins}, {variance} FROM cps)"),
         "fee_sums": _with(m, f"SELECT {_out(fee_keys + ['account_number', 'flat_fees_isolated'], ['flat_fees_isolated'])} FROM fs"),
         "fee_totals": _with(m, f"SELECT {_out(fee_keys + ['flat_fees_isolated'], ['flat_fees_isolated'])} FROM ft"),
-        "fee_unmapped_accounts": _with(m, f"""SELECT account_number, COUNT(*) AS n_deals,
+        "fee_unmapped_accounts": _with(m, f"""SELECT account_number, COUNT(*) AS n_sums,
             CAST(SUM(flat_fees_isolated) AS DOUBLE) AS flat_fees_isolated FROM fs
             WHERE account_number IS NULL OR account_number NOT IN ({', '.join(_q(a) for a in ACCOUNTS)})
             GROUP BY account_number"""),

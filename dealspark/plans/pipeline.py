@@ -1,4 +1,4 @@
-"""The job as one lazy DAG: extracts -> deal output -> two summaries -> sinks."""
+"""The job: extracts -> deal output -> two summaries -> sinks."""
 
 from __future__ import annotations
 
@@ -7,27 +7,25 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import ReportConfig
-from ..functions.columns import money_to_double
+from ..functions.columns import money_to_decimal
 from ..operators import aep, cohorts, deals, fees, principals, roster
 from ..operators.merge import fits_broadcast
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import materialize
 from ..sources import extracts
 from ..sources.extracts import Inputs
 from ..sources.sinks import write_outputs
 
 
 class Stages:
-    """Every intermediate result of the job, built lazily on first use.  Money
-    stays exact (long cents) throughout; ``money_to_double`` is applied only
-    to what leaves the job."""
+    """Every intermediate result of the job, built on first use.  Building a
+    stage after the AEP or fee merge, or a positional share, runs jobs: it
+    stores the merge's side or the numbered cohort rows.  Money stays exact
+    (long cents) throughout."""
 
-    def __init__(self, spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_rows: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, inputs: Inputs, cfg: ReportConfig):
         self.spark, self.inputs, self.cfg = spark, inputs, cfg
-        if deal_rows is not None:
-            self.__dict__["deal_rows"] = deal_rows
 
     @cached_property
     def extracts(self) -> extracts.Extracts:
@@ -37,31 +35,28 @@ class Stages:
     def aep_totals(self) -> DataFrame:
         return aep.aep_totals(self.extracts.aep)
 
-    # size checks before broadcasting a data-derived side: AEP lines bound the
-    # AEP totals, fee lines the fee sums
+    # The merges read their side frame several times (join, key filter, rows
+    # without a partner), so it is stored once on first use; the size check
+    # before broadcasting then reads its bytes, not its rows.
     @cached_property
-    def _core_sizes(self) -> dict[str, int]:
-        """Rows of the AEP lines and of the roster, counted in one job (two
-        rows come back to the driver)."""
-        tagged = self.extracts.aep.select(F.lit("aep").alias("side")).unionByName(
-            self.roster_slim.select(F.lit("roster").alias("side")))
-        return {r["side"]: r["n"] for r in tagged.groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    def aep_stored(self) -> DataFrame:
+        return materialize(self.aep_totals, "aep-totals")
 
     @cached_property
-    def aep_small(self) -> bool:
-        return self._core_sizes.get("aep", 0) <= self.cfg.broadcast_max_rows
+    def fees_stored(self) -> DataFrame:
+        return materialize(self.fee_sums, "fee-sums")
 
-    @cached_property
-    def roster_small(self) -> bool:
-        return self._core_sizes.get("roster", 0) <= self.cfg.broadcast_max_rows
+    def _small(self, stored: DataFrame) -> bool:
+        return fits_broadcast(stored, self.cfg.broadcast_max_bytes)
 
     @cached_property
-    def fees_small(self) -> bool:
-        return fits_broadcast(self.extracts.fees, self.cfg.broadcast_max_rows)
+    def roster_small(self) -> bool:
+        """The roster's source files bound what is left of it after filters."""
+        return self._small(self.inputs.roster)
 
     @cached_property
     def deal_aep_outer(self) -> DataFrame:
-        return aep.deal_aep_outer(self.extracts.transactions, self.aep_totals, self.aep_small)
+        return aep.deal_aep_outer(self.extracts.transactions, self.aep_stored, self._small(self.aep_stored))
 
     @cached_property
     def reclassed(self) -> DataFrame:
@@ -85,7 +80,7 @@ class Stages:
 
     @cached_property
     def principal_pivot(self) -> DataFrame:
-        return principals.principal_pivot(self.principal_year, self.cfg.report_years)
+        return principals.principal_pivot(self.principal_year, self.cfg.pivot_years)
 
     @cached_property
     def market_scope(self) -> DataFrame:
@@ -93,7 +88,7 @@ class Stages:
 
     @cached_property
     def principal_data(self) -> DataFrame:
-        return principals.with_producing_flags(self.market_scope, self.cfg.report_years)
+        return principals.with_producing_flags(self.market_scope, self.cfg.pivot_years)
 
     @cached_property
     def cohort_members(self) -> DataFrame:
@@ -105,7 +100,7 @@ class Stages:
 
     @cached_property
     def principal_mix_data(self) -> DataFrame:
-        return cohorts.cohort_mix(self.principal_data, self.cfg)
+        return cohorts.cohort_mix(self.cohort_totals, self.cfg)
 
     # flat-fee isolation: standalone, not used by the outputs
     @cached_property
@@ -116,17 +111,28 @@ class Stages:
     def fee_totals(self) -> DataFrame:
         return fees.fee_totals(self.fee_sums)
 
+    @cached_property
+    def fee_totals_stored(self) -> DataFrame:
+        return materialize(fees.fee_totals(self.fees_stored), "fee-totals")
+
     @cached_property
     def unmapped_fee_accounts(self) -> DataFrame:
         return fees.unmapped_fee_accounts(self.fee_sums)
 
     @cached_property
     def fee_by_account(self) -> DataFrame:
-        return fees.fee_by_account(self.reclassed, self.fee_sums, self.fees_small)
+        return fees.fee_by_account(self.reclassed, self.fees_stored, self._small(self.fees_stored))
 
     @cached_property
     def fee_isolated_ledger(self) -> DataFrame:
-        return fees.fee_isolated_ledger(self.fee_by_account, self.fee_totals, self.fees_small)
+        return fees.fee_isolated_ledger(self.fee_by_account, self.fee_totals_stored, self._small(self.fee_totals_stored),
+                                        key_rows=self.extracts.transactions)
+
+    def store(self, name: str) -> DataFrame:
+        """Cut lineage at a stage: store it once; all that builds on it reads
+        the stored table."""
+        self.__dict__[name] = materialize(getattr(self, name), name)
+        return self.__dict__[name]
 
 
 @dataclass(frozen=True)
@@ -140,22 +146,12 @@ class Outputs:
                 "principal_mix_data": self.principal_mix_data}
 
 
-def build_outputs(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, deal_rows: DataFrame | None = None,
-                  checkpoint_summary: bool = False) -> Outputs:
-    """The three outputs as lazy DataFrames (nothing runs until an action).
-
-    With ``checkpoint_summary`` the principal summary, which is both an output
-    and the input of the cohort summary, is checkpointed first (reliably, to
-    the checkpoint folder; it is one row per principal and market, small) so
-    it is computed once."""
-    st = Stages(spark, inputs, cfg, deal_rows)
-    if checkpoint_summary:
-        ensure_checkpoint_dir(spark)
-        st.__dict__["principal_data"] = st.principal_data.checkpoint(eager=True)
+def build_outputs(stages: Stages) -> Outputs:
+    """The three outputs, money as ``decimal(38,2)``."""
     return Outputs(
-        deal_data=money_to_double(st.deal_data),
-        principal_data=money_to_double(st.principal_data),
-        principal_mix_data=money_to_double(st.principal_mix_data),
+        deal_data=money_to_decimal(stages.deal_data),
+        principal_data=money_to_decimal(stages.principal_data),
+        principal_mix_data=money_to_decimal(stages.principal_mix_data),
     )
 
 
@@ -164,14 +160,15 @@ def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, r
     """Run the job and write the three outputs.
 
     The deal rows (ledger pivot + AEP reclass + splits, before the roster
-    fan-out) feed the deal output and both summaries, so they are written once
-    as a Parquet table in the cluster's checkpoint folder (``materialize``):
-    the outputs read that table - the summaries only the columns they use -
-    instead of recomputing the ledger aggregation, and a lost executor does
-    not send the job back to the raw ledger.  ``partition_deals_by_year``
-    writes the deal output in one folder per ``ending_year``."""
-    deal_rows = materialize(Stages(spark, inputs, cfg).deal_rows, "deal_rows")
-    outputs = build_outputs(spark, inputs, cfg, deal_rows=deal_rows, checkpoint_summary=True)
+    fan-out) feed the deal output and both summaries, and the principal summary
+    is an output and the cohorts' input, so both are stored once in the
+    cluster's checkpoint folder: the outputs read those tables - the summaries
+    only the columns they use - and a lost executor does not send the job back
+    to the raw ledger.  ``partition_deals_by_year`` writes the deal output in
+    one folder per ``ending_year``."""
+    stages = Stages(spark, inputs, cfg)
+    stages.store("deal_rows")
+    stages.store("principal_data")
     partition_by = {"deal_data": ("ending_year",)} if partition_deals_by_year else None
-    return write_outputs(outputs.as_dict(), out_base, run_date, fmt=fmt, null_label=null_label,
+    return write_outputs(build_outputs(stages).as_dict(), out_base, run_date, fmt=fmt, null_label=null_label,
                          partition_by=partition_by)

@@ -1,7 +1,9 @@
 """Named queries: every operator of the job as a DataFrame over ``sf_dir``.
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole fixture tables.  Money leaves as double (exact long cents inside).
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+given tables.  Extracts and their aggregates are lazy; what builds on the AEP
+or fee merge stores the merge's side first (``Stages``).  Money leaves as
+double (exact long cents inside).
 """
 
 from __future__ import annotations
@@ -11,18 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import LATE, MAIN, ReportConfig
+from ..config import ReportConfig
 from ..functions.columns import deal_key as deal_key_col
 from ..functions.columns import money_to_double, normalized_region
 from ..operators import cohorts, deals, roster
-from ..sources.extracts import fixture_inputs
+from ..sources.extracts import fixture_view_inputs
+from ..sources.fixtures import LATE, MAIN
 from .pipeline import Stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _stages(spark: SparkSession, sf_dir: str, cfg: ReportConfig) -> Stages:
-    return Stages(spark, fixture_inputs(spark, sf_dir), cfg)
+    return Stages(spark, fixture_view_inputs(spark, sf_dir), cfg)
 
 
 def _stage(name: str, cfg: ReportConfig = MAIN) -> Query:
@@ -36,7 +39,7 @@ def _extract(name: str, cfg: ReportConfig = MAIN) -> Query:
 def normalized_region_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 over the whole ledger: lines per (region, location) with the region
     the job uses."""
-    lines = fixture_inputs(spark, sf_dir).ledger(None)
+    lines = fixture_view_inputs(spark, sf_dir).ledger(None)
     return lines.groupBy("market_region", "location_name").agg(F.count(F.lit(1)).alias("n_lines")).select(
         "market_region", "location_name",
         normalized_region(F.col("market_region"), F.col("location_name"), MAIN.split_region).alias("normalized_region"),
@@ -47,7 +50,7 @@ def normalized_region_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deal_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2-P4 over the whole ledger: lines per (deal id, line id) with the
     canonical deal key."""
-    lines = fixture_inputs(spark, sf_dir).ledger(None)
+    lines = fixture_view_inputs(spark, sf_dir).ledger(None)
     return lines.groupBy("deal_id", "deal_line_id").agg(F.count(F.lit(1)).alias("n_lines")).select(
         "deal_id", "deal_line_id", deal_key_col(lines).alias("deal_key"), "n_lines"
     )
@@ -79,7 +82,7 @@ def cohort_share_positional_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cohort_share_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = _stages(spark, sf_dir, MAIN)
     years = MAIN.report_years
-    shared = cohorts.market_total_share(st.cohort_totals, years, MAIN.total_cohort)
+    shared = cohorts.market_total_share(st.store("cohort_totals"), years, MAIN.total_cohort)
     return money_to_double(shared.select(
         *cohorts.GROUP,
         *[f"gci_less_referral_{y}" for y in years],
@@ -114,6 +117,7 @@ def registry() -> dict[str, Query]:
         # principal summary
         "principal_year": _stage("principal_year"),
         "principal_pivot": _stage("principal_pivot"),
+        "principal_pivot_late": _stage("principal_pivot", LATE),
         "market_scope": _stage("market_scope"),
         "principal_data": _stage("principal_data"),
         "principal_data_late": _stage("principal_data", LATE),

@@ -49,19 +49,27 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder named by the cluster (``spark.checkpoint.dir``); only
-    when none is configured (local tests) a fresh temporary one is set."""
+    """Checkpoint folder named by the cluster (``spark.checkpoint.dir``).  A
+    local master without one gets a fresh temporary folder; any other fails,
+    since executors would write to disks that nobody else sees."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="dealspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def stored_bytes(df) -> int:
+    """Bytes of the files behind a stored frame, as the planner knows them."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` once as a Parquet table in the cluster's
     checkpoint folder and reading it back.  Unlike ``Dataset.checkpoint`` this

@@ -8,19 +8,17 @@ extract hands its window to the source and the restriction reaches the scan
 from __future__ import annotations
 
 import datetime as dt
-import os
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import ReportConfig
 from ..functions.columns import deal_key, normalized_region
 from ..functions.money import to_cents
-from ..session import ensure_checkpoint_dir
 from . import fixtures
 
 Window = tuple[dt.date, dt.date]
@@ -35,7 +33,7 @@ class Inputs:
 def fixture_view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """Inputs as lazy views over the driver tables: every read re-derives the
     ledger from the TPC-H-style tables (the period window still reaches the
-    orders scan).  ``fixture_inputs`` stores them once instead."""
+    orders scan).  Nothing is stored, no job runs."""
     base = fixtures.ledger_base(spark, sf_dir)
     return Inputs(
         ledger=lambda w: fixtures.window(base, w),
@@ -43,47 +41,70 @@ def fixture_view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     )
 
 
-_STORED: dict[tuple[str, str], Inputs] = {}
-
-# Files per period in the stored fixture ledger: rows of one period are spread
-# over this many write tasks, so a period holding a large share of the ledger
-# is not written by a single task.
-BUCKETS_PER_PERIOD = 4
-
-
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """Inputs as stored tables derived once per session from the driver tables:
-    the ledger is written as Parquet partitioned by ``ending_period`` (how a
-    ledger table is kept), the roster as plain Parquet, both under the
-    cluster's checkpoint folder.  Every extract is then a pruned scan of a real
-    table, and reading the ledger twice costs two scans, not two derivations.
-    The loaded tables are kept per session, so their file listing is done
-    once."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _STORED:
-        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-inputs/{uuid.uuid4().hex}"
-        lines = fixtures.ledger_lines(spark, sf_dir)
-        bucket = F.pmod(F.xxhash64("deal_id", "deal_line_id", "account_number", "item_id", "amount"),
-                        F.lit(BUCKETS_PER_PERIOD))
-        (lines.repartition("ending_period", bucket).write.mode("overwrite")
-         .partitionBy("ending_period").parquet(f"{root}/ledger_lines"))
-        fixtures.principal_roster(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/principal_roster")
-        _STORED[key] = table_inputs(spark, f"{root}/ledger_lines", f"{root}/principal_roster")
-    return _STORED[key]
-
-
-def table_inputs(spark: SparkSession, ledger: str, roster: str, fmt: str = "parquet") -> Inputs:
-    """Inputs over stored tables: a catalog name, or a path read with ``fmt``.
-    Storing the ledger partitioned by ``ending_period`` makes the window a
-    partition filter."""
+def store_inputs(inputs: Inputs, root: str) -> tuple[str, str]:
+    """Write ``inputs`` as tables under ``root``: the ledger partitioned by
+    ``ending_period`` (how a ledger table is kept), the roster as plain
+    Parquet; the paths are returned.  The rebalance hint sizes the write
+    tasks by the data: a large period is split, small ones share a task."""
+    ledger, roster = f"{root.rstrip('/')}/ledger_lines", f"{root.rstrip('/')}/principal_roster"
+    inputs.ledger(None).hint("rebalance", "ending_period").write.mode("overwrite").partitionBy("ending_period").parquet(ledger)
+    inputs.roster.write.mode("overwrite").parquet(roster)
+    return ledger, roster
+
+
+# --- input contract ------------------------------------------------------------
+
+# Ledger columns and the kinds of types they may have.
+LEDGER_COLUMNS = {
+    "deal_id": "id", "deal_line_id": "id", "team_id": "text", "market_region": "text", "location_name": "text",
+    "department_name": "text", "side_represented": "text", "listing_type": "text", "close_date": "date",
+    "ending_period": "date", "final_close_price": "money", "vendor_agent_id": "text", "company_agent_id": "text",
+    "account_number": "id", "item_type_name": "text", "item_id": "text", "item_name": "text", "amount": "money",
+}
+
+
+def _is(kind: str, dtype: T.DataType) -> bool:
+    if kind == "text":
+        return isinstance(dtype, T.StringType)
+    if kind == "date":
+        return isinstance(dtype, T.DateType)
+    if kind == "money":  # whole cents: nothing is rounded on the way in
+        return isinstance(dtype, T.IntegralType) or (isinstance(dtype, T.DecimalType) and dtype.scale <= 2)
+    return isinstance(dtype, (T.StringType, T.IntegralType, T.DecimalType))
+
+
+def checked_ledger(lines: DataFrame) -> DataFrame:
+    """The ledger columns of ``lines``; a column that is missing, or of a type
+    that would lose money or dates silently (a finer scale than cents, a
+    double, a text date), fails here."""
+    types = dict((f.name, f.dataType) for f in lines.schema.fields)
+    if missing := [c for c in LEDGER_COLUMNS if c not in types]:
+        raise ValueError(f"ledger lacks columns {missing}")
+    if wrong := [f"{c} {types[c].simpleString()}" for c, kind in LEDGER_COLUMNS.items() if not _is(kind, types[c])]:
+        raise ValueError(f"ledger columns of unsupported types: {wrong}")
+    return lines.select(*LEDGER_COLUMNS)
+
+
+def renamed(df: DataFrame, names: dict[str, str] | None) -> DataFrame:
+    """``df`` with source column names mapped to the job's."""
+    if missing := [c for c in names or {} if c not in df.columns]:
+        raise ValueError(f"columns to rename are missing: {missing}")
+    return df.select(*[F.col(f"`{c}`").alias((names or {}).get(c, c)) for c in df.columns])
+
+
+def table_inputs(spark: SparkSession, ledger: str, roster: str, fmt: str = "parquet",
+                 ledger_names: dict[str, str] | None = None, roster_names: dict[str, str] | None = None) -> Inputs:
+    """Inputs over stored tables: a catalog name, or a path read with ``fmt``,
+    with columns renamed from the source's names.  Storing the ledger
+    partitioned by ``ending_period`` makes the window a partition filter."""
 
     def load(name: str) -> DataFrame:
         return spark.read.format(fmt).load(name) if "/" in name else spark.table(name)
 
-    base = load(ledger)
+    base = checked_ledger(renamed(load(ledger), ledger_names))
     return Inputs(
         ledger=lambda w: base if w is None else base.filter(F.col("ending_period").between(F.lit(w[0]), F.lit(w[1]))),
-        roster=load(roster),
+        roster=renamed(load(roster), roster_names),
     )
 
 
@@ -140,23 +161,27 @@ def fee_lines(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
 
 # --- principal roster (S4: F5, F6, P6) ---------------------------------------
 
-# Roster columns in output order; the ones a source lacks are skipped. Role and
+# Roster columns in output order with the type a missing one gets.  Role and
 # sales-manager name are two columns.
-ROSTER_COLUMNS = (
-    "agent_id", "team_id", "account_team_name", "parent_account_name", "agent_name", "agent_role",
-    "sales_manager_name", "market", "sub_market", "office", "contact_status", "original_start_date",
-    "number_of_agents", "contract_start_date", "contract_end_date", "ica_expiration_date",
-    "separation_date", "separated_flag", "opportunity_gci", "total_split", "base_split",
-    "resource_fee_type", "resource_fee_option", "resource_fee_pct", "resource_fee_cap",
-    "actual_resource_fee", "policy_resource_fee", "ama_id", "contact_id", "account_id",
-)
+ROSTER_COLUMNS = {
+    "agent_id": "string", "team_id": "string", "account_team_name": "string", "parent_account_name": "string",
+    "agent_name": "string", "agent_role": "string", "sales_manager_name": "string", "market": "string",
+    "sub_market": "string", "office": "string", "contact_status": "string", "original_start_date": "date",
+    "number_of_agents": "int", "contract_start_date": "date", "contract_end_date": "date", "ica_expiration_date": "date",
+    "separation_date": "date", "separated_flag": "string", "opportunity_gci": "decimal(18,2)",
+    "total_split": "decimal(18,2)", "base_split": "decimal(18,2)", "resource_fee_type": "string",
+    "resource_fee_option": "string", "resource_fee_pct": "decimal(18,2)", "resource_fee_cap": "decimal(18,2)",
+    "actual_resource_fee": "decimal(18,2)", "policy_resource_fee": "decimal(18,2)", "ama_id": "string",
+    "contact_id": "string", "account_id": "string",
+}
 ROSTER_REQUIRED = ("team_id", "account_team_name", "parent_account_name", "agent_role", "market",
                    "original_start_date", "primary_principal_flag")
 
 
 def principal_roster(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
     """Primary principals with a start date, outside the excluded parent
-    accounts. A NULL parent account is excluded as well (three-valued NOT IN)."""
+    accounts. A NULL parent account is excluded as well (three-valued NOT IN).
+    All 30 columns come out; one the source lacks is a typed NULL."""
     roster = inputs.roster
     missing = [c for c in ROSTER_REQUIRED if c not in roster.columns]
     if missing:
@@ -167,7 +192,7 @@ def principal_roster(inputs: Inputs, cfg: ReportConfig) -> DataFrame:
         & F.col("original_start_date").isNotNull()
         & ~F.col("parent_account_name").isin(list(cfg.excluded_parents))
     )
-    return kept.select([c for c in ROSTER_COLUMNS if c in roster.columns])
+    return kept.select([F.col(c) if c in roster.columns else F.lit(None).cast(t).alias(c) for c, t in ROSTER_COLUMNS.items()])
 
 
 # --- extract bundle (S5) -----------------------------------------------------

@@ -19,6 +19,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import ReportConfig, crosswalk_pairs
 from ..functions.chart import ACCOUNTS
 
 # --- fixed values -----------------------------------------------------------
@@ -29,6 +30,8 @@ FIXTURE_ACCOUNT_SLOTS = (
     "510004", "510005", "510006", "400090", "400097", "400098", "400099", "401002",
     "401003", "401004", "430001", "430002", "430003", "430006", "430009", "430011",
 )
+# Account of the lines with l_partkey % 97 = 5, outside the chart.
+FIXTURE_OTHER_ACCOUNT = "439901"
 # Fixture item ids by l_partkey % 12 for residues 0..4 (other residues: '1').
 FIXTURE_ITEM_IDS = ("470", "469", "111", "86", "799")
 # Roster start dates by s_suppkey % 8 for residues 0..4 (other residues: 2017-03-01).
@@ -37,6 +40,21 @@ FIXTURE_START_DATES = ("2019-01-01", "2019-09-01", "2019-05-15", "2020-02-10", "
 
 assert sorted(FIXTURE_ACCOUNT_SLOTS) == sorted(ACCOUNTS)
 
+# Configurations over the fixture tables (FIXTURES.md section 3).
+FIXTURE_CROSSWALK = crosswalk_pairs(
+    {
+        "ASIA": ["MKT_0", "MKT_1"],
+        "EUROPE": "MKT_2",
+        "AFRICA": "MKT_0",
+        "MIDDLE EAST": "MKT_1",
+        "AMERICA": "MKT_0",
+        "NATION_1": "MKT_1",
+    }
+)
+MAIN = ReportConfig(begin=dt.date(2019, 1, 1), end=dt.date(2020, 12, 31), split_region="AMERICA",
+                    excluded_parents=("PARENT_2",), crosswalk=FIXTURE_CROSSWALK, report_years=(2019, 2020))
+LATE = MAIN.with_window(dt.date(2020, 9, 1), dt.date(2020, 12, 31))
+
 YEARS_SHIFT_MONTHS = 240  # fixture dates move by 20 years
 
 
@@ -74,14 +92,15 @@ def ledger_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ok, ck, pk = F.col("o_orderkey"), F.col("o_custkey"), F.col("l_partkey")
     slots = F.array(*[F.lit(a) for a in FIXTURE_ACCOUNT_SLOTS])
-    account = F.element_at(slots, ((pk + F.col("l_linenumber")) % 32 + 1).cast("int"))
+    account = F.when(pk % 97 == 5, F.lit(FIXTURE_OTHER_ACCOUNT)).otherwise(
+        F.element_at(slots, ((pk + F.col("l_linenumber")) % 32 + 1).cast("int")))
     close_date = F.add_months(F.to_date("o_orderdate"), YEARS_SHIFT_MONTHS)
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     item_ids = F.array(*[F.lit(i) for i in FIXTURE_ITEM_IDS])
     return df.select(
         _null_when(ok % 11 == 0, ok).alias("deal_id"),
         _null_when(ok % 22 == 0, ok).alias("deal_line_id"),
-        _null_when(ck % 13 == 0, _prefixed("T", ck % 40)).alias("team_id"),
+        _null_when(ck % 13 == 0, F.when(ck % 8 == 5, _prefixed("T", ck % 3)).otherwise(_prefixed("T", F.floor(ck / 30)))).alias("team_id"),
         F.col("r_name").alias("market_region"),
         _null_when(ok % 17 == 0, F.concat(F.col("n_name"), F.lit(", "), F.col("r_name"))).alias("location_name"),
         _null_when(ok % 19 == 0, F.col("c_mktsegment")).alias("department_name"),
@@ -139,15 +158,37 @@ def principal_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     for residue, day in enumerate(FIXTURE_START_DATES):
         start = start.when(sk % 8 == residue, F.lit(dt.date.fromisoformat(day)))
     start = start.otherwise(F.lit(dt.date(2017, 3, 1)))
+    day = dt.date(2018, 1, 1)
     return s.select(
-        _null_when(sk % 31 == 30, _prefixed("T", sk % 40)).alias("team_id"),
+        _prefixed("A", sk).alias("agent_id"),
+        _null_when(sk % 31 == 30, _prefixed("T", F.floor(sk / 2))).alias("team_id"),
         F.col("s_name").alias("account_team_name"),
         _null_when(sk % 9 == 8, _prefixed("PARENT_", sk % 9)).alias("parent_account_name"),
+        F.concat(F.lit("Agent "), F.col("s_name")).alias("agent_name"),
         F.when(sk % 6 == 5, F.lit("Agent")).otherwise(F.lit("Principal")).alias("agent_role"),
+        _null_when(sk % 7 == 6, _prefixed("Manager ", sk % 7)).alias("sales_manager_name"),
         F.when(sk % 10 == 7, F.lit("N")).otherwise(F.lit("Y")).alias("primary_principal_flag"),
         _prefixed("MKT_", sk % 3).alias("market"),
+        _prefixed("SUB_", sk % 5).alias("sub_market"),
+        _prefixed("Office ", sk % 11).alias("office"),
+        F.when(sk % 4 == 3, F.lit("Inactive")).otherwise(F.lit("Active")).alias("contact_status"),
         start.alias("original_start_date"),
-        F.when(sk % 5 == 0, F.lit(dt.date(2021, 1, 31))).alias("separation_date"),
         (sk % 4).cast("int").alias("number_of_agents"),
+        F.date_add(F.lit(day), (sk % 365).cast("int")).alias("contract_start_date"),
+        _null_when(sk % 3 == 2, F.date_add(F.lit(day), (sk % 365 + 730).cast("int"))).alias("contract_end_date"),
+        F.date_add(F.lit(day), (sk % 365 + 900).cast("int")).alias("ica_expiration_date"),
+        F.when(sk % 5 == 0, F.lit(dt.date(2021, 1, 31))).alias("separation_date"),
+        F.when(sk % 5 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("separated_flag"),
+        F.col("s_acctbal").cast("decimal(18,2)").alias("opportunity_gci"),
+        _null_when(sk % 8 == 7, (sk % 100).cast("decimal(18,2)")).alias("total_split"),
+        (sk % 90).cast("decimal(18,2)").alias("base_split"),
+        F.when(sk % 2 == 0, F.lit("Flat")).otherwise(F.lit("Percent")).alias("resource_fee_type"),
+        _null_when(sk % 6 == 4, _prefixed("Option ", sk % 6)).alias("resource_fee_option"),
+        (sk % 20).cast("decimal(18,2)").alias("resource_fee_pct"),
         F.col("s_acctbal").cast("decimal(18,2)").alias("resource_fee_cap"),
+        _null_when(sk % 12 == 11, (sk % 500).cast("decimal(18,2)")).alias("actual_resource_fee"),
+        (sk % 400).cast("decimal(18,2)").alias("policy_resource_fee"),
+        _prefixed("AMA", sk).alias("ama_id"),
+        _prefixed("C", sk).alias("contact_id"),
+        _prefixed("ACC", sk).alias("account_id"),
     )

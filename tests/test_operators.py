@@ -11,11 +11,13 @@ def rows_key(rows):
     return sorted((tuple(repr(v) for v in r) for r in rows))
 from pyspark.sql import types as T
 
-from dealspark.config import MAIN, CohortBand, ReportConfig
+from dealspark.config import CohortBand, ReportConfig, from_mapping
 from dealspark.functions.columns import canonical_id, normalized_region
 from dealspark.operators import aep, cohorts, deals, fees, ledger, principals, roster
 from dealspark.operators.merge import outer_merge
-from dealspark.sources.extracts import Inputs, principal_roster
+from dealspark.session import materialize
+from dealspark.sources.extracts import ROSTER_COLUMNS, Inputs, checked_ledger, principal_roster, renamed
+from dealspark.sources.fixtures import MAIN
 
 D = dt.date
 
@@ -216,11 +218,73 @@ def test_fee_department_null_never_matches_and_account_adjusted(spark):
     assert flat[("1", "D")] == 600 and flat[("2", None)] in (None,)
 
 
-def test_config_rejects_unknown_operator():
+SETTINGS = {"begin": "2019-01-01", "end": "2020-12-31", "split_region": "R", "excluded_parents": [], "crosswalk": {"R": ["M"]},
+            "report_years": [2019, 2020]}
+
+
+def test_config_rejects_wrong_settings():
     with pytest.raises(ValueError):
         CohortBand("bad", (("=>", D(2019, 1, 1)),))
+    for wrong in ({"begin": "2021-01-01"}, {"crosswalk": {}}, {"report_years": [2015, 2019]}, {"share_mode": "x"}, {"colour": 1}):
+        with pytest.raises(ValueError):
+            from_mapping({**SETTINGS, **wrong})
+    for name in SETTINGS:
+        with pytest.raises(ValueError, match=name):
+            from_mapping({k: v for k, v in SETTINGS.items() if k != name})
+
+
+def test_config_from_plain_values():
+    cfg = from_mapping({**SETTINGS, "crosswalk": {"A": ["M", "N"], "B": "M"}, "fee_items": ["1"], "aep_cutoff": "2021-02-28",
+                        "cohorts": {"Total Principal Cohorts": [], "new": [[">=", "2020-01-01"]]}})
+    assert isinstance(cfg, ReportConfig) and cfg.crosswalk == (("A", "M"), ("A", "N"), ("B", "M"))
+    assert cfg.fee_items == ("1",) and cfg.pivot_years == (2019, 2020, 2021)
+    assert cfg.cohorts[1] == CohortBand("new", ((">=", D(2020, 1, 1)),))
+
+
+def test_no_fixture_value_in_the_production_config():
+    import inspect
+
+    from dealspark import config
+    text = inspect.getsource(config)
+    assert not any(x in text for x in ("AMERICA", "PARENT_", "MKT_", "NATION", "ASIA"))
+
+
+def test_pivot_years_cover_both_windows():
+    assert MAIN.pivot_years == (2019, 2020)
+    assert MAIN.with_window(D(2020, 9, 1), D(2020, 12, 31)).pivot_years == (2018, 2019, 2020)
+    cfg = from_mapping({**SETTINGS, "begin": "2021-01-01", "end": "2022-12-31", "report_years": [2021, 2022]})
+    assert cfg.pivot_years == (2018, 2019, 2020, 2021, 2022)
+
+
+def test_ledger_contract(spark):
+    df = lines_df(spark, [line(1, "400001", "1.00")])
+    assert checked_ledger(df.withColumn("extra", F.lit(1))).columns == checked_ledger(df).columns
+    with pytest.raises(ValueError, match="item_id"):
+        checked_ledger(df.drop("item_id"))
+    for column, kind in (("amount", "decimal(18,4)"), ("amount", "double"), ("ending_period", "string"), ("deal_id", "double")):
+        with pytest.raises(ValueError, match=column):
+            checked_ledger(df.withColumn(column, F.col(column).cast(kind)))
+    assert checked_ledger(df.withColumn("amount", F.col("amount").cast("int"))).count() == 1
+
+
+def test_source_names_are_mapped(spark):
+    df = spark.createDataFrame([(1, "x")], "`Number of Agents` int, TEAM string")
+    out = renamed(df, {"Number of Agents": "number_of_agents", "TEAM": "team_id"})
+    assert out.columns == ["number_of_agents", "team_id"] and renamed(df, None).columns == df.columns
     with pytest.raises(ValueError):
-        ReportConfig(begin=D(2020, 1, 1), end=D(2019, 1, 1))
+        renamed(df, {"nope": "team_id"})
+
+
+def test_absent_roster_columns_are_typed_nulls(spark):
+    r = spark.createDataFrame([("T1", "A", "P1", "Principal", "Y", "M", D(2018, 1, 1))],
+                              "team_id string, account_team_name string, parent_account_name string, agent_role string, "
+                              "primary_principal_flag string, market string, original_start_date date")
+    kept = principal_roster(Inputs(ledger=lambda w: None, roster=r), MAIN)
+    assert kept.columns == list(ROSTER_COLUMNS) and len(kept.columns) == 30
+    assert dict(kept.dtypes)["sales_manager_name"] == "string" and dict(kept.dtypes)["resource_fee_cap"] == "decimal(18,2)"
+    assert roster.roster_slim(kept).first()["number_of_agents"] is None
+    with pytest.raises(ValueError, match="market"):
+        principal_roster(Inputs(ledger=lambda w: None, roster=r.drop("market")), MAIN)
 
 
 def test_unmapped_fee_account_is_reported_not_applied(spark):
@@ -238,10 +302,30 @@ def test_unmapped_fee_account_is_reported_not_applied(spark):
     assert row["acct_430003"] == 1000
 
 
-def test_size_check_bound(spark):
+def test_size_check_is_by_stored_bytes(spark):
     from dealspark.operators.merge import fits_broadcast
-    df = spark.range(100)
-    assert fits_broadcast(df, 100) and not fits_broadcast(df, 99)
+    df = materialize(spark.range(10_000), "size-check")
+    assert fits_broadcast(df, 1 << 20) and not fits_broadcast(df, 1000)
+
+
+@pytest.mark.parametrize("rows", [1, 3000])
+def test_positions_of_a_hot_market_equal_the_window(spark, rows):
+    from pyspark.sql import Window
+    total = "Total Principal Cohorts"
+    df = spark.range(rows).select(
+        F.when(F.col("id") % 3 > 0, total).otherwise("c").alias("cohort"), F.when(F.col("id") % 10 > 0, "HOT").otherwise("R").alias("market_region"),
+        F.concat(F.lit("M"), F.col("id") % 3).alias("market"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("L"), F.col("id") % 5)).alias("location_name"),
+        F.when(F.col("id") % 11 > 0, F.col("id").cast("string")).alias("team_id"), F.col("id").cast("string").alias("account_team_name"),
+        F.lit("x").alias("listing_type"), F.col("id").alias("gci_less_referral_2019")).repartition(6)
+    w = Window.partitionBy("market_region", "cohort").orderBy(*[F.coalesce(F.col(c), F.lit("tmp")) for c in cohorts.POSITION_ORDER])
+    got = cohorts.with_position(df)
+    assert rows_key(got.collect()) == rows_key(df.withColumn("position", F.row_number().over(w)).collect())
+    shares = cohorts.market_total_share(materialize(df, "totals"), (2019,), total).collect()
+    sums = {}
+    for r in df.collect():
+        if r["cohort"] == total:
+            sums[r["market_region"]] = sums.get(r["market_region"], 0) + r["gci_less_referral_2019"]
+    assert len(shares) == rows and all(r["market_gci_less_referral_2019"] == sums.get(r["market_region"]) for r in shares)
 
 
 def test_deal_matched_by_two_fee_accounts_fans_out(spark):
@@ -294,10 +378,21 @@ def test_money_leaves_as_the_double_of_the_exact_decimal(spark):
     from dealspark.functions.columns import money_to_double
     from dealspark.functions.money import is_money, to_cents
 
-    assert is_money("gci_less_referral_2019") and is_money("acct_430011") and not is_money("deal_count_2019")
+    assert is_money("gci_less_referral_2019") and is_money("acct_430011")
+    assert not any(map(is_money, ("deal_count_2019", "acct_manager", "amount_due", "aep_rank")))
     df = spark.createDataFrame([(Decimal("1234.56"), 7, Decimal("-0.10"))], "amount decimal(18,2), deal_count long, cap decimal(18,2)")
     cents = df.select(to_cents(F.col("amount")).alias("amount"), "deal_count", "cap")
     out = money_to_double(cents)
     assert dict(out.dtypes) == {"amount": "double", "deal_count": "bigint", "cap": "double"}
     (r,) = out.collect()
     assert r["amount"] == 1234.56 and r["deal_count"] == 7 and r["cap"] == -0.1
+
+
+def test_money_is_written_as_exact_decimal(spark):
+    from dealspark.functions.columns import money_to_decimal
+    df = spark.createDataFrame([(123456789101, Decimal("-0.10"), 0.5, 3), (None, None, None, None)],
+                               "acct_400001 long, cap decimal(18,2), agent_split double, deal_count long")
+    out = money_to_decimal(df)
+    assert dict(out.dtypes) == {"acct_400001": "decimal(38,2)", "cap": "decimal(38,2)", "agent_split": "double", "deal_count": "bigint"}
+    a, b = out.collect()
+    assert tuple(a) == (Decimal("1234567891.01"), Decimal("-0.10"), 0.5, 3) and tuple(b) == (None,) * 4

@@ -3,7 +3,7 @@ names and kinds, order-insensitive value hash) on the smallest tables."""
 
 import pytest
 
-from dealspark.plans.compare import compare, duck
+from .compare import compare, duck
 from dealspark.plans.oracle import oracle_queries
 from dealspark.plans.registry import registry
 

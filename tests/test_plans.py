@@ -6,7 +6,10 @@ import io
 
 import pytest
 
+from dealspark.plans.pipeline import Stages
 from dealspark.plans.registry import registry
+from dealspark.sources.extracts import fixture_view_inputs, store_inputs, table_inputs
+from dealspark.sources.fixtures import MAIN
 
 from .conftest import SF_SMALL
 
@@ -18,8 +21,23 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-def test_period_window_is_a_partition_filter(spark):
-    text = plan_text(registry()["deal_ledger"](spark, SF_SMALL))
+@pytest.fixture(scope="module")
+def stored_stages(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("plans"))
+    return lambda cfg=MAIN: Stages(spark, table_inputs(spark, *paths), cfg) if (paths := _store(spark, root)) else None
+
+
+_PATHS = {}
+
+
+def _store(spark, root):
+    if root not in _PATHS:
+        _PATHS[root] = store_inputs(fixture_view_inputs(spark, SF_SMALL), root)
+    return _PATHS[root]
+
+
+def test_period_window_is_a_partition_filter(stored_stages):
+    text = plan_text(stored_stages().extracts.transactions)
     blocks = [b.strip() for b in text.split("\n\n")]
     scans = [b for b in blocks if b.startswith("(") and "Scan parquet" in b.splitlines()[0]]
     assert scans and all("PartitionFilters: [isnotnull(ending_period" in b for b in scans)
@@ -57,6 +75,48 @@ def test_checked_small_sides_are_broadcast_and_the_ledger_is_filtered_where_read
     assert text.count("BroadcastHashJoin LeftOuter BuildRight") >= 2  # AEP totals and roster
 
 
+def ledger_scans(df) -> int:
+    text = plan_text(df)
+    return text.count("Location: InMemoryFileIndex") and sum(
+        1 for b in text.split("\n\n") if "Scan parquet" in b and "ledger_lines" in b)
+
+
+def test_merges_read_the_ledger_a_few_times_only(stored_stages):
+    st = stored_stages()
+    assert 1 <= ledger_scans(st.deal_data) <= 3
+    assert 1 <= ledger_scans(st.fee_isolated_ledger) <= 4
+    assert ledger_scans(st.extracts.transactions) == 1
+
+
+def jobs_of(spark, build) -> int:
+    spark.sparkContext.setJobGroup("count-jobs", "count-jobs")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("count-jobs"))
+    build()
+    n = len(spark.sparkContext.statusTracker().getJobIdsForGroup("count-jobs")) - before
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return n
+
+
+def test_extracts_start_no_job_and_a_merge_stores_its_side_once(spark, stored_stages):
+    q = registry()
+    # Reading a Parquet folder's schema is a job of its own, counted by the plain reads.
+    files = jobs_of(spark, lambda: [spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in
+                                    ("orders", "customer", "nation", "region", "lineitem", "supplier")])
+    for name in ("principal_roster", "deal_ledger", "aep_totals"):
+        assert jobs_of(spark, lambda: q[name](spark, SF_SMALL)) <= files
+    st = stored_stages()
+    first = jobs_of(spark, lambda: st.deal_data)
+    assert first > 0 and jobs_of(spark, lambda: (st.deal_data, st.principal_data, st.reclassed)) == 0
+
+
+def test_shares_use_no_window_over_a_market(spark):
+    for name in ("cohort_share", "cohort_share_positional", "cohort_mix"):
+        text = plan_text(registry()[name](spark, SF_SMALL))
+        for line in text.splitlines():
+            if line.strip().startswith("Arguments: ") and "windowspecdefinition" in line:
+                assert "windowspecdefinition(market_region" not in line or "position" in line, (name, line)
+
+
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -109,3 +169,15 @@ def test_hot_key_is_split_in_the_shuffled_outer_merge(skew_session):
     # every large row, plus the side rows no large row meets ('T3' never occurs on the large side, nor 'NEW')
     assert len(out.collect()) == 200000 + 2
     assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_teams_are_split_too(skew_session):
+    """A NULL key never matches, but as many rows as a hot key may have it."""
+    from pyspark.sql import functions as F
+
+    from dealspark.operators.deals import attach_roster
+    spark = skew_session
+    rows = _hot_rows(spark).withColumn("team_id", F.when(F.col("team_id") != "HOT", F.col("team_id")))
+    slim = spark.createDataFrame([("T3", "C", 3)], "roster_team_id string, account_team_name string, number_of_agents int")
+    out = attach_roster(rows, slim, broadcast_roster=False)
+    assert len(out.collect()) == 200000

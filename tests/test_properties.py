@@ -57,14 +57,14 @@ def test_shuffle_plans_equal_broadcast_plans(spark):
     must not change."""
     import dataclasses
 
-    from dealspark.config import LATE
+    from dealspark.sources.fixtures import LATE
     from dealspark.functions.columns import money_to_double
     from dealspark.plans.pipeline import Stages
-    from dealspark.sources.extracts import fixture_inputs
+    from dealspark.sources.extracts import fixture_view_inputs
 
-    inputs = fixture_inputs(spark, SF_SMALL)
+    inputs = fixture_view_inputs(spark, SF_SMALL)
     for cfg in (LATE,):
-        big = dataclasses.replace(cfg, broadcast_max_rows=0)
+        big = dataclasses.replace(cfg, broadcast_max_bytes=0)
         for stage in ("deal_data", "principal_data", "fee_isolated_ledger"):
             a = money_to_double(getattr(Stages(spark, inputs, cfg), stage))
             b = money_to_double(getattr(Stages(spark, inputs, big), stage))
@@ -88,16 +88,34 @@ def test_each_cohort_is_within_the_total_and_deals_keep_every_row(spark):
         splits.select("deal_id", "team_id", "ending_period", "side_represented").distinct().count()
 
 
-def test_view_inputs_equal_stored_inputs(spark):
+def test_view_inputs_equal_stored_inputs(spark, tmp_out):
     """The lazy fixture views (window pushed to the orders scan as a date
     range) give the same extracts as the stored, partitioned tables."""
-    from dealspark.config import LATE, MAIN
     from dealspark.functions.columns import money_to_double
-    from dealspark.sources.extracts import Extracts, fixture_inputs, fixture_view_inputs
+    from dealspark.sources.extracts import Extracts, fixture_view_inputs, store_inputs, table_inputs
+    from dealspark.sources.fixtures import LATE, MAIN
 
-    views, stored = fixture_view_inputs(spark, SF_SMALL), fixture_inputs(spark, SF_SMALL)
+    views = fixture_view_inputs(spark, SF_SMALL)
+    stored = table_inputs(spark, *store_inputs(views, tmp_out))
     for cfg in (MAIN, LATE):
         for name in ("transactions", "aep", "fees", "roster"):
             a = money_to_double(getattr(Extracts(views, cfg), name))
             b = money_to_double(getattr(Extracts(stored, cfg), name))
             assert _key(a.collect()) == _key(b.collect()), (cfg.begin, name)
+
+
+def test_no_row_of_an_early_year_is_lost_in_the_pivot(spark):
+    q = registry()
+    years = {r["ending_year"] for r in q["deal_data_late"](spark, SF_SMALL).select("ending_year").distinct().collect()}
+    assert "2018" in years
+    pivot = q["principal_pivot_late"](spark, SF_SMALL)
+    assert {f"deal_count_{y}" for y in years} <= set(pivot.columns)
+    empty = pivot.where(" AND ".join(f"deal_count_{y} IS NULL" for y in (2018, 2019, 2020)))
+    assert pivot.count() > 0 and empty.count() == 0
+
+
+def test_fixture_teams_keep_a_fixed_number_of_principals(spark):
+    from dealspark.sources.extracts import fixture_view_inputs
+    for sf in ("0.001", "0.01", "0.1"):
+        r = fixture_view_inputs(spark, f"/root/testdata/sf{sf}").roster.where("team_id IS NOT NULL").groupBy("team_id").count()
+        assert r.agg(F.max("count")).first()[0] <= 2
