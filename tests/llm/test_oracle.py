@@ -2,7 +2,7 @@ import pytest
 
 from dealspark.llm.oracle import ORACLE
 from dealspark.llm.queries import QUERIES
-from dealspark.plans.compare import compare, duck
+from ..compare import compare, duck
 
 from ..conftest import SF_SMALL
 
