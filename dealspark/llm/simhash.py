@@ -15,9 +15,9 @@ all pairs: what is already connected is not compared again.
 
 Defined results: null and empty texts, and texts without words, have the
 fingerprint zero and are linked like any other; a null id cannot name a
-component while another id can; rows that share an id are one document.  Only
-id and text are read, other columns may have any name; empty tables give empty
-results.
+component while another id can; rows that share id and text are one document.
+Only id and text are read, other columns may have any name; empty tables give
+empty results.
 """
 
 from __future__ import annotations
@@ -57,12 +57,14 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): the fingerprint as the signed 64-bit number of its bits."""
+    """(id, fp, text_hash): the fingerprint as the signed 64-bit number of its
+    bits, and a hash of the text that tells rows of one id apart."""
     @F.pandas_udf("long")
     def fingerprint(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([text_fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(F.col(f"`{text}`")).alias("fp"))
+    body = F.col(f"`{text}`")
+    return docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(body).alias("fp"), F.xxhash64(body).alias("text_hash"))
 
 
 def budgets(max_bits: int) -> list[tuple[int, int]]:
@@ -161,11 +163,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, small: int = 8) -> Data
     return by_key.mapInPandas(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits) and
-    ``component_id``, the smallest id reachable over links of at most
-    ``max_bits`` differing bits."""
+def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int) -> DataFrame:
+    """(id, fp, text_hash, component) for every row."""
     if not 1 <= max_bits <= 7:
         raise ValueError("max_bits must lie between 1 and 7")
     prints = materialize(fingerprints(docs, doc_id, text, shingle), "simhash-fingerprints")
@@ -174,14 +173,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     root = connected(links(distinct, max_bits)).withColumnRenamed("node", "rep")
     of_print = distinct.join(root, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component"))
     out = prints.join(of_print, "fp")
-    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                      F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id"))
+    return out.withColumn("component", F.when(F.col("component") != NO_ID, F.col("component")))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits) and
+    ``component_id``, the smallest id reachable over links of at most
+    ``max_bits`` differing bits."""
+    return _classes(docs, doc_id, text, shingle, max_bits).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                          max_bits: int = MAX_BITS) -> DataFrame:
     """The documents whose id names their component, all their columns unchanged."""
-    found = near_duplicates(docs, doc_id, text, shingle, max_bits)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"))
+    found = _classes(docs, doc_id, text, shingle, max_bits)
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    # Stored, so that Spark knows its size and joins accordingly.
     gone = materialize(gone.distinct(), "simhash-dropped")
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["gone_id"]), "left_anti")
+    same = docs[doc_id].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs[text]) == gone["gone_hash"])
+    return docs.join(gone, same, "left_anti")
