@@ -160,6 +160,27 @@ def _knapsack(price: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return best[capacity], pattern
 
 
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    # Here and below without the linear-algebra library: its thread pool may
+    # stall in a Spark driver, and a few hundred rows do not need it.
+    return (matrix * vector).sum(axis=1)
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By Gauss-Jordan elimination with row pivots."""
+    n = len(matrix)
+    a = np.hstack([matrix, np.eye(n)])
+    for i in range(n):
+        pivot = i + int(np.argmax(np.abs(a[i:, i])))
+        if pivot != i:
+            a[[i, pivot]] = a[[pivot, i]]
+        a[i] /= a[i, i]
+        factors = a[:, i].copy()
+        factors[i] = 0
+        a -= factors[:, None] * a[i]
+    return a[:, n:]
+
+
 def linear_program(demand: np.ndarray, capacity: int, rounds: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows) and how often each is used in the relaxed program that
     covers ``demand[i]`` pieces of ``i + 1`` units with fewest sequences.
@@ -171,9 +192,9 @@ def linear_program(demand: np.ndarray, capacity: int, rounds: int = 20_000) -> t
     basis = np.diag(capacity // sizes).astype(float)  # column j: the pattern of basic variable j
     inverse, x = np.diag(1.0 / np.diag(basis)), need / np.diag(basis)
     for step in range(rounds):
-        if step % 100 == 99:  # against rounding errors
-            inverse = np.linalg.inv(basis)
-            x = inverse @ need
+        if step % 300 == 299:  # against rounding errors
+            inverse = _inverse(basis)
+            x = _times(inverse, need)
         dual = inverse.sum(axis=0)
         price = np.zeros(capacity)
         price[sizes - 1] = np.maximum(dual, 0)
@@ -181,7 +202,7 @@ def linear_program(demand: np.ndarray, capacity: int, rounds: int = 20_000) -> t
         if value <= 1 + 1e-7:
             break
         column = pattern[sizes - 1].astype(float)
-        move = inverse @ column
+        move = _times(inverse, column)
         able = move > 1e-9
         if not able.any():
             break
@@ -195,7 +216,7 @@ def linear_program(demand: np.ndarray, capacity: int, rounds: int = 20_000) -> t
         inverse[out] = row
     patterns = np.zeros((k, len(demand)), np.int64)
     patterns[:, sizes - 1] = basis.T.round().astype(np.int64)
-    return patterns, np.maximum(np.linalg.solve(basis, need), 0)
+    return patterns, np.maximum(_times(_inverse(basis), need), 0)
 
 
 def first_fit(left: np.ndarray, capacity: int) -> list[np.ndarray]:

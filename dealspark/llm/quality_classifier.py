@@ -119,15 +119,16 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS, ra
             step += 1
             if not len(ids):
                 continue
-            mean = weights @ vectors[ids]
+            own = vectors[ids]
+            mean = (weights[:, None] * own).sum(axis=0)
             z = mean @ outputs
             p = np.exp(z - z.max())
             error = p / p.sum()
             error[y] -= 1
             back = outputs @ error
             outputs -= lr * np.outer(mean, error)
-            vectors[ids] -= (lr * weights)[:, None] * back
-    return Model((vectors @ (outputs[:, 1] - outputs[:, 0])).astype(np.float32))
+            vectors[ids] = own - (lr * weights)[:, None] * back
+    return Model((vectors * (outputs[:, 1] - outputs[:, 0])).sum(axis=1).astype(np.float32))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:
