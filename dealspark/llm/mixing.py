@@ -117,8 +117,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     """One row per document: ``doc_id, size, source_size, target, taken`` and
     its repetitions, ``whole`` and the ``extra`` words."""
     sizes = materialize(sized(docs, doc_id, source, text, seed), "mix-sizes")
-    out = _taken(sizes, plan(sizes, targets(sizes, weights, share, max_epochs)))
-    return out.select("doc_id", "size", "source_size", "target",
+    # Stored, one row per source, so that Spark knows its size and need not
+    # shuffle the documents by source to meet it.
+    chosen = materialize(plan(sizes, targets(sizes, weights, share, max_epochs)), "mix-plan")
+    return _taken(sizes, chosen).select("doc_id", "size", "source_size", "target",
                       (F.col("whole") * F.col("size") + F.col("extra")).cast("bigint").alias("taken"), "whole",
                       F.col("extra").cast("bigint").alias("extra"))
 
@@ -129,10 +131,10 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "sour
     """The corpus of the mix: each document as often as it is taken, a part of
     a document counting as a whole one from one half on; columns unchanged."""
     sizes = materialize(sized(docs, doc_id, source, text, seed), "mix-sizes")
-    chosen = plan(sizes, targets(sizes, weights, share, max_epochs))
+    chosen = materialize(plan(sizes, targets(sizes, weights, share, max_epochs)), "mix-plan")
     edge = _taken(sizes, chosen).where("cell = cut AND 2 * extra >= size AND extra > 0")
     edge = materialize(edge.select(F.col("source").alias("edge_source"), F.col("at").alias("edge_at")).distinct(), "mix-edge")
-    chosen = materialize(chosen.select(F.col("source").alias("goal"), "whole", "cut"), "mix-plan")
+    chosen = chosen.select(F.col("source").alias("goal"), "whole", "cut")
     rows = packed(docs).withColumn("source", F.col(f"row.`{source}`")).withColumn("at", seeded_order(F.col(f"row.`{doc_id}`"), seed))
     rows = rows.join(chosen, rows["source"].eqNullSafe(chosen["goal"]))
     rows = rows.join(edge, rows["source"].eqNullSafe(edge["edge_source"]) & (rows["at"] == edge["edge_at"]), "left")
