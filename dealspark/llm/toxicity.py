@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .hashing import blocks_of, bucket, points_of, powers, word_bounds, word_hashes
 from .quality_classifier import held_out, sample
 
-BITS, PREFIXES, FOLDS = 18, (3, 4, 5, 6), 3
-TOXIC, CLEAN, EPOCHS, RATE, L1, L2, SEED = 1500, 3000, 6, 0.3, 8.0, 0.1, 23
+BITS, PREFIXES, FOLDS = 18, (3, 4, 5, 6, 7, 8), 3
+TOXIC, CLEAN, EPOCHS, RATE, L1, L2, HEAVIEST, SEED = 1500, 3000, 6, 0.3, 12.0, 0.1, 10.0, 23
 # --- fixed values: seed words of the categories -----------------------------------
 SEEDS = {
     "insult": ("idiot", "moron", "loser", "clown", "fool", "imbecile", "dumb"),
@@ -92,7 +92,9 @@ class Link:
 def fit_link(rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, seed: int) -> Link:
     """Follow-the-regularised-leader with an L1 term (McMahan et al. 2013):
     only features with steady evidence get a weight, so the many words of a
-    long clean text add up to nothing."""
+    long clean text add up to nothing.  A rare class weighs more, up to
+    ``HEAVIEST`` times, until it has half the weight of the other."""
+    rare = float(np.clip((len(y) - y.sum()) / (2 * max(1.0, y.sum())), 1, HEAVIEST))
     rng = np.random.default_rng(seed)
     z, n, weights = (np.zeros(1 << BITS, np.float32) for _ in range(3))
     before, bias, wide = np.zeros(earlier.shape[1]), 0.0, np.full(earlier.shape[1] + 1, 1.0)
@@ -100,7 +102,7 @@ def fit_link(rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, seed: i
         for i in rng.permutation(len(rows)):
             ids = rows[i]
             score = bias + float(weights[ids].sum()) + float(before @ earlier[i])
-            g = 1 / (1 + np.exp(-np.clip(score, -50, 50))) - y[i]
+            g = (1 / (1 + np.exp(-np.clip(score, -50, 50))) - y[i]) * (rare if y[i] else 1.0)
             if len(ids):
                 was = np.sqrt(n[ids])
                 n[ids] += np.float32(g * g)
