@@ -28,11 +28,11 @@ def test_article_keeps_what_others_repeat(spark):
 
 def test_suffix_array_finds_unmarked_boilerplate(spark):
     line = "all rights reserved by the owner of this little site"
-    rows = [(i, f"https://h/{i}", f"<div>Welcome to our lovely site where you find {line}</div><p>page {i} says {i * 7} things nobody{i} else{i}</p><div>{line}</div>")
+    rows = [(i, f"https://h/{i}", f"<div>Welcome to our lovely site where you find {line}</div><p>text{i} says {i * 7} things nobody{i} else{i}</p><div>{line}</div>")
             for i in range(40)]
     rows += [(100, "https://other/1", f"<p>{line}</p>"), (101, None, f"<p>{line}</p>")]  # repeated, but on other hosts
     got = extract(spark, rows)
-    assert all(got[i] == f"page {i} says {i * 7} things nobody{i} else{i}" for i in range(40))
+    assert all(got[i] == f"text{i} says {i * 7} things nobody{i} else{i}" for i in range(40))
     assert got[100] == line == got[101]
 
 
