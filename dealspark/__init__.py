@@ -2,7 +2,7 @@
 
 Entry points:
     dealspark.plans.pipeline.run(spark, inputs, cfg, out_base, run_date)   # the whole job, three outputs
-    dealspark.plans.pipeline.build_outputs(spark, inputs, cfg)             # the three outputs, lazy
+    dealspark.plans.pipeline.Stages(spark, inputs, cfg)                    # every intermediate result
     dealspark.plans.registry.registry()                                    # every operator as a named query
     dealspark.sources.extracts.table_inputs / fixture_view_inputs            # where the ledger and roster come from
     dealspark.config.ReportConfig                                           # everything else
