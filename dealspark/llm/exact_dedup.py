@@ -77,22 +77,21 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
 
 
 def _marked(hashed: DataFrame, crowded: DataFrame) -> DataFrame:
-    """``hashed`` without most rows whose hash is not in ``crowded``: those
-    whose leading ``FILTER_BITS`` bits no such hash has.  The bitmap is of
-    fixed size, 4 KiB for each of ``2 ** FILTER_BITS / 32768`` rows; where it
-    fills up, more rows pass, and the join behind it decides."""
+    """``hashed`` with ``marked``: whether the leading ``FILTER_BITS`` bits of
+    the hash are those of some hash in ``crowded``; where not, the hash is not
+    there.  The bitmap is of fixed size, 4 KiB for each of ``2 ** FILTER_BITS /
+    32768`` rows; where it fills up, more rows are marked, and a join decides."""
     slot = F.shiftrightunsigned("h", 64 - FILTER_BITS) + 1
     maps = crowded.groupBy(F.bitmap_bucket_number(slot).alias("map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
     rows = hashed.withColumn("map", F.bitmap_bucket_number(slot)).withColumn("bit", F.bitmap_bit_position(slot))
-    rows = rows.join(F.broadcast(maps), "map")
+    rows = rows.join(F.broadcast(maps), "map", "left")
     byte = "CAST(conv(hex(substring(bits, CAST(bit DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
-    return rows.where(f"shiftright({byte}, CAST(bit % 8 AS INT)) & 1 = 1").drop("map", "bit", "bits")
+    return rows.withColumn("marked", F.expr(f"coalesce(shiftright({byte}, CAST(bit % 8 AS INT)) & 1 = 1, false)")).drop("map", "bit", "bits")
 
 
-def _chains(docs: DataFrame, index: DataFrame, doc_id: str, text: str, hash_bits: int) -> DataFrame:
+def _chains(marked: DataFrame, crowded: DataFrame) -> DataFrame:
     """Documents whose hash is not alone, dealt to owners by key range."""
-    crowded = index.where("documents > 1").select("bucket", "h")
-    out = _marked(_hashed(docs, doc_id, text, hash_bits), crowded).join(crowded, "h")
+    out = marked.where("marked").join(crowded, "h")
     return out.repartitionByRange("bucket", "h", "id").sortWithinPartitions("bucket", "h", "id")
 
 
@@ -103,7 +102,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacit
     alone = keys.join(index.where("documents > 1"), "h", "left_anti").select(
         F.col("id").alias("doc_id"), F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
-    chains = _chains(docs.select(doc_id, text), index, doc_id, text, hash_bits)
+    crowded = index.where("documents > 1").select("bucket", "h")
+    chains = _chains(_marked(_hashed(docs.select(doc_id, text), doc_id, text, hash_bits), crowded), crowded)
     # Written once, so that the row numbers below stay as they are.
     chains = materialize(chains.select("bucket", "h", "norm", "id", "points", F.monotonically_increasing_id().alias("at")),
                          "dedup-chains")
@@ -124,8 +124,12 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cap
                 max_depth: int = MAX_DEPTH, hash_bits: int = 64) -> DataFrame:
     """The documents that stay, one of each group, all their columns unchanged."""
     _, index = build_index(docs, doc_id, text, capacity, max_depth, hash_bits)
-    alone = _hashed(docs, doc_id, text, hash_bits).join(index.where("documents > 1"), "h", "left_anti").select("row")
-    chains = _chains(docs, index, doc_id, text, hash_bits)
+    crowded = index.where("documents > 1").select("bucket", "h")
+    marked = _marked(_hashed(docs, doc_id, text, hash_bits), crowded)
+    # Unmarked documents are unique and stay where they are; only marked ones,
+    # copies and a few others, are moved.
+    alone = marked.where("NOT marked").select("row").unionByName(marked.where("marked").join(crowded, "h", "left_anti").select("row"))
+    chains = _chains(marked, crowded)
     order = F.struct("points", F.bitwise_not("id"), F.xxhash64("row"))
     stays = chains.groupBy("bucket", "h", "norm").agg(F.max_by("row", order).alias("row")).select("row")
     return alone.unionByName(stays).select("row.*")
