@@ -31,6 +31,16 @@ def packed(df: DataFrame, row: str = "row") -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session handing texts to Python in batches of some hundred
+    rows: the default of 10,000 whole texts would fill a worker's memory.  A
+    setting other than the default stays."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    return df
+
+
 def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker, across its tasks (the
     functions of this package arrive anew with each task)."""

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import small_batches
 
 RUN = 6  # tokens a repeated substring has at least
 
@@ -184,7 +185,7 @@ STREAM = "page long, host string, loose boolean, hashes array<long>"
 
 
 def _pages(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
-    ids = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
+    ids = small_batches(pages).select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
     return ids.withColumn("page", F.xxhash64("page_id", "url", "html"))
 
 

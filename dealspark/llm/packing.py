@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..session import materialize
-from .common import worker_store
+from .common import small_batches, worker_store
 
 CAPACITY, END_ID = 4096, 2
 UNIT = 16  # tokens; lengths are rounded up to it in the linear program
-CACHED_WORDS = 800_000  # in a Python worker, some 200 bytes each
+CACHED_WORDS = 400_000  # in a Python worker, some 200 bytes each
 PLAIN = re.compile(r"[!-&(-~\u00a1-\u024f]+").fullmatch
 PIECE = regex.compile(r"\p{L}+|\p{N}|[^\p{L}\p{N}]+").findall
 # The byte-level alphabet: printable Latin-1 signs stand for themselves, the
@@ -142,7 +142,7 @@ def pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
                      pa.array(group.astype(np.int32)), pa.array(np.full(len(group), task, np.int32)), pa.array(at)],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "class", "task", "at"])
 
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(tokenize, PIECES)
+    return small_batches(docs).select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(tokenize, PIECES)
 
 
 def _knapsack(price: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .hashing import BASE, blocks_of, bucket, points_of, word_bounds, word_hashes
 
 BITS, DIM, NGRAMS = 16, 16, (3, 4, 5)
@@ -100,7 +101,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int,
     for value, most in per_class.items():
         part = known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("text"))
+    texts = small_batches(docs).select(F.col("doc_id").alias("id"), F.col("text"))
     return texts.join(F.broadcast(chosen), "id").select("text", "label")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import words_of
+from .common import small_batches, words_of
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_adjacent_words",
             "n_letters", "n_capitals")
@@ -119,7 +119,7 @@ def fail_bits() -> Column:
 
 def build_ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, measurements, ``fail_bits``."""
-    out = docs.select(F.col(doc_id).alias("doc_id"), measure(F.col(text)).alias("m"))
+    out = small_batches(docs).select(F.col(doc_id).alias("doc_id"), measure(F.col(text)).alias("m"))
     return out.select("doc_id", "m.*").withColumn("fail_bits", fail_bits())
 
 
@@ -153,6 +153,6 @@ def ablations(ledger: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> Dat
 
 def filter_documents(docs: DataFrame, policy: Policy = CLEAN, text: str = "text") -> DataFrame:
     """The documents the policy keeps, all their columns unchanged."""
-    measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), measure(F.col(text)).alias("m"))
+    measured = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), measure(F.col(text)).alias("m"))
     bits = measured.select("row", "m.*").withColumn("fail_bits", fail_bits())
     return bits.where(~fails(F.col("fail_bits"), policy)).select("row.*")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import words_of
+from .common import small_batches, words_of
 from .components import connected
 
 SHINGLE, MAX_BITS, SEGMENTS, SEED = 3, 3, 16, 42
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
         return pd.Series(np.array([text_fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
     body = F.col(f"`{text}`")
-    return docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(body).alias("fp"), F.xxhash64(body).alias("text_hash"))
+    return small_batches(docs).select(F.col(f"`{doc_id}`").alias("id"), fingerprint(body).alias("fp"), F.xxhash64(body).alias("text_hash"))
 
 
 def budgets(max_bits: int) -> list[tuple[int, int]]:
