@@ -40,7 +40,7 @@ from .common import small_batches, worker_store
 
 CAPACITY, END_ID = 4096, 2
 UNIT = 16  # tokens; lengths are rounded up to it in the linear program
-CACHED_WORDS = 400_000  # in a Python worker, some 200 bytes each
+CACHED_WORDS = 700_000  # in a Python worker, some 200 bytes each
 PLAIN = re.compile(r"[!-&(-~\u00a1-\u024f]+").fullmatch
 PIECE = regex.compile(r"\p{L}+|\p{N}|[^\p{L}\p{N}]+").findall
 # The byte-level alphabet: printable Latin-1 signs stand for themselves, the
