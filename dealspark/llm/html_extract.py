@@ -54,6 +54,15 @@ NAMES = ("ad", "ads", "advert", "adverts", "advertisement", "advertising", "spon
          "breadcrumb", "breadcrumbs", "footer", "masthead", "comment", "comments", "disqus", "reply", "replies", "respond",
          "related", "recommended", "share", "sharing", "social", "toolbar", "login", "signup", "search", "widget", "widgets",
          "pager", "pagination", "copyright", "skip")
+BOXES = ("area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "form", "global", "group",
+         "inner", "item", "items", "left", "link", "links", "list", "main", "module", "page", "panel", "primary", "right",
+         "row", "secondary", "section", "site", "slot", "text", "thread", "title", "to", "top", "unit", "us", "wrap", "wrapper")
+REPLIES = ("comment", "comments", "disqus", "reply", "replies", "respond")
+SLUGGED = ("section", "h1", "h2", "h3", "h4", "h5", "h6")  # their id may be the slug of a heading
+# What a start tag closes whose end tag may be left out, and what stops the search for it.
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th")}
+PASSED = ("address", "div", "p", "li", "dt", "dd", "option", "td", "th", "tr")
+KEEPS_P = ("caption", "dd", "dt", "legend", "option", "summary", "tbody", "td", "tfoot", "th", "thead", "tr", "body", "head", "html")
 # -----------------------------------------------------------------------------
 TRUSTED, LOOSE, CHROMED = 0, 1, 2
 
@@ -62,30 +71,66 @@ LABELS = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\
 PARTS = re.compile(r"[^a-z0-9]+")
 
 
-def _is_chrome(tag: str, attributes: str, in_main: bool) -> bool:
+def _names_chrome(token: str, more: tuple[str, ...]) -> bool:
+    """Whether a class or id says chrome by all its parts (``ad-slot``, not
+    ``has-sidebar`` or ``related-work``)."""
+    words = [w for w in PARTS.split(token) if w]
+    named = [w in NAMES or w in more for w in words]
+    return any(named) and all(n or w in BOXES or any(c.isdigit() for c in w) for n, w in zip(named, words))
+
+
+def _is_named(tag: str, attributes: str, in_main: bool) -> bool:
+    """Whether class or id call the element chrome."""
+    if not attributes or tag in MAIN or tag in ("body", "html"):
+        return False
+    more = () if in_main else ("header",)
+    for name, *values in LABELS.findall(attributes):
+        tokens = "".join(values).lower().split()
+        if name.lower() == "id" and tag in SLUGGED:
+            tokens = [t for t in tokens if tag == "section" and PARTS.split(t)[0] in REPLIES]
+        if name.lower() in ("class", "id") and any(_names_chrome(t, more) for t in tokens):
+            return True
+    return False
+
+
+def _is_marked(tag: str, attributes: str, in_main: bool) -> bool:
+    """Whether tag, role or visibility make the element chrome."""
     if tag in CHROME or (tag == "header" and not in_main):
         return True
-    for name, *values in LABELS.findall(attributes):
+    for name, *values in LABELS.findall(attributes) if attributes else ():
         name, value = name.lower(), "".join(values).lower()
-        if name in ("class", "id"):
-            words = PARTS.split(value)
-            if tag not in MAIN and tag not in ("body", "html") and any(w in NAMES for w in words):
-                return True
-            if not in_main and tag not in ("body", "html", "article", "main") and "header" in words:
-                return True
-        elif (name == "role" and value in ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if (name == "role" and value in ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
-        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
     return False
 
 
+def _is_reply(attributes: str) -> bool:
+    """Whether an article is a comment on another one."""
+    return any(PARTS.split(t)[0] in REPLIES for name, *values in LABELS.findall(attributes) if name.lower() == "class"
+               for t in "".join(values).lower().split())
+
+
 def blocks(page: str | None) -> list[tuple[int, str]]:
     """(kind, text) of a page's blocks in order: in a marked article, loose, or
-    in an element the markup tells to be no content."""
+    in an element the markup tells to be no content.  A name does not make an
+    element chrome that encloses an article."""
+    around: set[int] = set()
+    while True:
+        out, found = _parse(page or "", around)
+        if found <= around:
+            return out
+        around |= found
+
+
+def _parse(page: str, around: set[int]) -> tuple[list[tuple[int, str]], set[int]]:
+    """The blocks, and the places of the elements called chrome that enclose an
+    article; those in ``around`` are none."""
     out: list[tuple[int, str]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, chrome, main: with all around it
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, chrome, main: with all around it; place if called chrome
+    found: set[int] = set()
     chrome = main = False
 
     def flush() -> None:
@@ -94,7 +139,32 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
         if text:
             out.append((CHROMED if chrome else TRUSTED if main else LOOSE, text))
 
-    page = page or ""
+    def close(i: int) -> None:
+        nonlocal chrome, main
+        del stack[i:]
+        chrome, main = stack[-1][1:3] if stack else (False, False)
+
+    def close_implied(tag: str) -> None:
+        if tag not in KEEPS_P:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == "p":
+                    close(i)
+                    break
+                if stack[i][0] in BREAK:
+                    break
+        ends = ENDS.get(tag, ())
+        if ends:
+            last = None
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in ends:
+                    last = i
+                    if tag != "tr":
+                        break
+                elif stack[i][0] in BREAK and stack[i][0] not in PASSED:
+                    break
+            if last is not None:
+                close(last)
+
     at = 0
     while True:
         m = MARKUP.search(page, at)
@@ -114,27 +184,31 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
                 if stack[i][0] == tag:
                     if tag not in BREAK and stack[i][1] != (stack[i - 1][1] if i else False):
                         flush()
-                    del stack[i:]
-                    chrome, main = stack[-1][1:] if stack else (False, False)
+                    close(i)
                     break
             continue
         if tag in RAW and not attributes.endswith("/"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        if stack and tag in BREAK:
+            close_implied(tag)
         if tag in VOID or attributes.endswith("/"):
             continue
         if tag == "body":  # a head that was not closed ends here
             stack.clear()
             chrome = main = False
-        now_chrome = chrome or _is_chrome(tag, attributes, main)
-        if now_chrome or tag in MAIN or tag in ("div", "section", "header", "ul", "ol", "table", "span"):
+        named = _is_named(tag, attributes, main)
+        if tag in MAIN and not _is_reply(attributes):
+            found.update(f[3] for f in stack if f[3] >= 0)
+        now_chrome = chrome or (named and at not in around) or _is_marked(tag, attributes, main)
+        if now_chrome or tag in BREAK or tag == "span":
             if now_chrome != chrome and tag not in BREAK:
                 flush()
-            stack.append((tag, now_chrome, main or tag in MAIN))
-            chrome, main = stack[-1][1:]
+            stack.append((tag, now_chrome, main or tag in MAIN, at if named else -1))
+            chrome, main = stack[-1][1:3]
     flush()
-    return out
+    return out, found
 
 
 def stream(found: list[tuple[int, str]], run: int) -> tuple[list[int], list[int], np.ndarray]:

@@ -79,3 +79,24 @@ def test_hard_rows(spark):
 
 def test_empty_table(spark):
     assert X.extract(pages(spark, [])).count() == 0
+
+
+def test_names_around_an_article_do_not_hide_it():
+    for name in ("layout has-sidebar", "no-sidebar", "search-results", "modal-open", "with-comments", "sidebar", "widget-area"):
+        found = X.blocks(f"<body><div class='{name}'><div class=ad>Buy</div><article><p>text</p></article><div class=sidebar>side</div></div>")
+        assert [t for k, t in found if k == X.TRUSTED] == ["text"] and X.CHROMED in {k for k, t in found if t != "text"}, name
+    thread = "<main><article><p>text</p></article><div id=comments><article class='comment-body'><p>me too</p></article></div></main>"
+    assert [t for k, t in X.blocks(thread) if k != X.CHROMED] == ["text"]
+    assert X.blocks("<div class='layout has-sidebar'><p>unmarked</p></div>") == [(X.LOOSE, "unmarked")]
+
+
+def test_slugs_inside_an_article_stay():
+    html = ("<article><section id='social-impact'><h2 id='related-work'>Related work</h2><p>a</p></section><h2 id='search-algorithm'>Search</h2>"
+            "<h3 id='comments'>On comments</h3><p class='search-heading-note'>b</p><div class='ad-slot'>x</div><div class='social-share'>y</div></article>")
+    assert [t for k, t in X.blocks(html) if k == X.TRUSTED] == ["Related work", "a", "Search", "On comments", "b"]
+
+
+def test_end_tags_left_out():
+    html = ("<article><p class='notice'>n<p>one<p class='ad'>a<ul><li class='ad'>b<li>two<li class=promo><b>c</ul><blockquote><p class=ad>d</blockquote>three"
+            "<dl><dt class=ad>e<dd>four</dl><table><tr><td class=ad>f<td>five<tr><td class=ad>g</table>six</article>")
+    assert [t for k, t in X.blocks(html) if k == X.TRUSTED] == ["one", "two", "three", "four", "five", "six"]
