@@ -3,11 +3,14 @@
 A page's blocks outside its marked article, and all blocks where none is
 marked, form its token stream.  The streams of a host make up one text whose
 suffixes are ordered by their first ``RUN`` tokens: suffixes with equal
-prefixes are neighbours, and a neighbourhood that spans distinct pages is a
-substring repeated across pages.  The array is distributed by (host, prefix),
-copies being collapsed in each task, so one large host or one line on all of
-its pages is no hot spot.  Tokens under such a substring are boilerplate; the
-unique runs between them stay.
+prefixes are neighbours, and a neighbourhood is a substring repeated across
+pages.  Boilerplate is what belongs to the host and not to its texts: a
+substring on at least ``LEAST`` distinct page bodies and on the share ``SHARE``
+of all distinct bodies of the host.  Pages with equal blocks are one body, so
+copies of an article, and passages or phrases that some pages share, stay.
+The array is distributed by (host, prefix, body), then counted by (host,
+prefix) from partial counts, so one large host or one line on all of its pages
+is no hot spot.  The unique runs between boilerplate stay.
 
 What the markup says outright is checked afterwards: nothing stays from menus,
 page headers, footers, sidebars, notices, adverts, forms, comments or scripts,
@@ -37,6 +40,7 @@ from ..session import materialize
 from .common import small_batches
 
 RUN = 6  # tokens a repeated substring has at least
+LEAST, SHARE = 3, 0.5  # distinct bodies of a host that boilerplate is on
 
 # --- fixed values: HTML element and attribute names ----------------------------
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes")
@@ -255,7 +259,7 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-STREAM = "page long, host string, loose boolean, hashes array<long>"
+STREAM = "page long, host string, loose boolean, body long, hashes array<long>"
 
 
 def _pages(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
@@ -263,32 +267,49 @@ def _pages(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
     return ids.withColumn("page", F.xxhash64("page_id", "url", "html"))
 
 
+def _body(found: list[tuple[int, str]]) -> int:
+    """A number for the page's text, equal for copies whose chrome differs."""
+    text = "\n".join(t for k, t in found if k != CHROMED)
+    return int(np.uint64(xxhash.xxh64_intdigest(text)).astype(np.int64))
+
+
 def streams(pages: DataFrame, run: int = RUN) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for h in batch.column("html"):
                 found = blocks(h.as_py())
-                rows.append((any(k == LOOSE for k, _ in found), stream(found, run)[2]))
+                rows.append((any(k == LOOSE for k, _ in found), _body(found), stream(found, run)[2]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page"), batch.column("host"), pa.array([x for x, _ in rows], pa.bool_()),
-                 pa.array([x for _, x in rows], pa.list_(pa.int64()))], names=["page", "host", "loose", "hashes"])
+                [batch.column("page"), batch.column("host"), pa.array([x for x, _, _ in rows], pa.bool_()),
+                 pa.array([x for _, x, _ in rows], pa.int64()), pa.array([x for _, _, x in rows], pa.list_(pa.int64()))],
+                names=["page", "host", "loose", "body", "hashes"])
 
     return pages.select("page", host_of(F.col("url")).alias("host"), "html").mapInArrow(scan, STREAM)
 
 
-def repeated(found: DataFrame) -> DataFrame:
-    """(host, hash): substrings that distinct pages of a host share."""
-    suffixes = found.select("host", "page", F.explode("hashes").alias("hash")).where("hash <> 0")
-    spans = suffixes.groupBy("host", "hash").agg(F.min("page").alias("low"), F.max("page").alias("high"))
-    return spans.where("low <> high").select("host", "hash")
-
-
-def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", run: int = RUN) -> DataFrame:
-    """One row per page: ``page_id, url, text, n_chars``."""
+def repeated(found: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
+    """(host, hash): substrings on ``least`` distinct bodies of a host, and on
+    the ``share`` of all of them."""
+    suffixes = found.select("host", "body", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash <> 0")
+    spans = suffixes.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    if not share:
+        return spans.select("host", "hash")
+    hosts = found.select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("bodies"))
+    # Stored, so that Spark knows its size and joins accordingly.
+    hosts = materialize(hosts.where(F.col("bodies") >= least), "html-hosts")
+    return spans.join(hosts, "host").where(F.col("n") >= F.col("bodies") * F.lit(share)).select("host", "hash")
+
+
+def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", run: int | None = None) -> DataFrame:
+    """One row per page: ``page_id, url, text, n_chars``.  With ``run`` given,
+    every substring of so many tokens that two distinct bodies of a host share
+    is boilerplate; otherwise ``RUN``, ``LEAST`` and ``SHARE`` tell it."""
+    least, share = (LEAST, SHARE) if run is None else (2, 0.0)
+    run = run or RUN
     rows = _pages(pages, page_id, url, html)
     found = materialize(streams(rows, run), "html-streams")
-    common = materialize(repeated(found), "html-repeated")
+    common = materialize(repeated(found, least, share), "html-repeated")
     loose = found.where("loose").select("page", "host", F.posexplode("hashes").alias("at", "hash"))
     covered = loose.join(common, ["host", "hash"]).groupBy("page").agg(F.collect_set("at").alias("covered"))
     # Pages all of whose blocks the markup explains are not among them.

@@ -100,3 +100,18 @@ def test_end_tags_left_out():
     html = ("<article><p class='notice'>n<p>one<p class='ad'>a<ul><li class='ad'>b<li>two<li class=promo><b>c</ul><blockquote><p class=ad>d</blockquote>three"
             "<dl><dt class=ad>e<dd>four</dl><table><tr><td class=ad>f<td>five<tr><td class=ad>g</table>six</article>")
     assert [t for k, t in X.blocks(html) if k == X.TRUSTED] == ["one", "two", "three", "four", "five", "six"]
+
+
+def test_copies_and_shared_passages_stay(spark):
+    """Without marks: copies of an article under several ids, a quoted passage on some pages, common phrases."""
+    line = "all rights reserved by the owner of this little site"
+    quote = "ask not what your country can do for you but what you can do"
+    texts = [f"start{i} {quote} end{i}" if i < 4 else f"at the end of the day it was{i // 2} so{i}" if i < 8 else f"own words number {i} of this very page x{i}" for i in range(20)]
+    copy = " ".join(f"copied{i}" for i in range(60))
+    texts += [copy] * 40
+    rows = [(i, "https://h/x", f"<div>{t}</div><nav>menu {i}</nav><div>{line}</div>") for i, t in enumerate(texts)]
+    rows += [(900 + i, "https://two/x", f"<p>{copy}") for i in range(2)]  # a host with copies only
+    rows += [(950, "https://pair/1", f"<p>one {quote}"), (951, "https://pair/2", f"<p>two {quote}")]
+    got = extract(spark, rows)
+    assert [got[i] for i in range(len(texts))] == texts
+    assert got[900] == got[901] == copy and got[950] == f"one {quote}" and got[951] == f"two {quote}"
