@@ -15,7 +15,8 @@ all pairs: what is already connected is not compared again.
 
 Defined results: null and empty texts, and texts without words, have the
 fingerprint zero and are linked like any other; a null id cannot name a
-component while another id can; rows that share id and text are one document.
+component while another id can, and ids that are null or repeat link nothing;
+rows that share id and text are one document.
 Only id and text are read, other columns may have any name; empty tables give
 empty results.
 """
@@ -36,7 +37,6 @@ from .components import connected
 
 SHINGLE, MAX_BITS, SEGMENTS, SEED = 3, 3, 16, 42
 WIDTH = 64 // SEGMENTS
-NO_ID = 2**63 - 1
 
 
 def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -164,16 +164,22 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, small: int = 8) -> Data
 
 
 def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int) -> DataFrame:
-    """(id, fp, text_hash, component) for every row."""
+    """(id, fp, text_hash, best) for every row, ``best`` being the first (id,
+    text_hash) of its component, rows without an id last.  Fingerprints are the
+    nodes of the graph: ids may be null or repeat."""
     if not 1 <= max_bits <= 7:
         raise ValueError("max_bits must lie between 1 and 7")
     prints = materialize(fingerprints(docs, doc_id, text, shingle), "simhash-fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(NO_ID).cast("bigint"))).alias("rep"))
-    distinct = materialize(distinct, "simhash-distinct")
-    root = connected(links(distinct, max_bits)).withColumnRenamed("node", "rep")
-    of_print = distinct.join(root, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component"))
-    out = prints.join(of_print, "fp")
-    return out.withColumn("component", F.when(F.col("component") != NO_ID, F.col("component")))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")).alias("best")
+    distinct = materialize(prints.groupBy("fp").agg(first), "simhash-distinct")
+    root = connected(links(distinct.select("fp", F.col("fp").alias("rep")), max_bits))
+    # Only fingerprints with a link can take their row from another one.
+    linked = distinct.join(root, distinct["fp"] == root["node"]).select("fp", "component", "best")
+    linked = materialize(linked, "simhash-linked")
+    chosen = linked.groupBy("component").agg(F.min("best").alias("chosen"))
+    chosen = linked.join(chosen, "component").select(F.col("fp").alias("linked_fp"), "chosen")
+    of_print = distinct.join(chosen, distinct["fp"] == chosen["linked_fp"], "left").select("fp", F.coalesce("chosen", "best").alias("best"))
+    return prints.join(of_print, "fp")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -182,14 +188,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``component_id``, the smallest id reachable over links of at most
     ``max_bits`` differing bits."""
     return _classes(docs, doc_id, text, shingle, max_bits).select(
-        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best.id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                          max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents whose id names their component, all their columns unchanged."""
+    """One document of each component, with the smallest id and of its texts
+    the one with the smallest hash, all columns unchanged."""
     found = _classes(docs, doc_id, text, shingle, max_bits)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("text_hash") == F.col("best.text_hash"))
+    gone = found.where(~stays).select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
     # Stored, so that Spark knows its size and joins accordingly.
     gone = materialize(gone.distinct(), "simhash-dropped")
     same = docs[doc_id].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs[text]) == gone["gone_hash"])

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from dealspark.llm import components, simhash as S
 
-from .helpers import documents, empty, hard_documents
+from .helpers import doc, documents, empty, hard_documents
 
 
 def brute_fingerprint(text):
@@ -118,3 +118,31 @@ def test_components_of_a_long_path(spark):
 
 def test_empty_table(spark):
     assert S.near_duplicates(empty(spark)).count() == 0 == S.drop_near_duplicates(empty(spark)).count()
+
+
+def test_null_and_repeated_ids_link_nothing(spark):
+    """Many texts without an id or with one repeated id, some of them near each other or near a text with an id."""
+    rng = random.Random(8)
+
+    def text():
+        return " ".join(f"w{rng.randint(0, 10**9)}" for _ in range(300))
+
+    def near(t):
+        while True:
+            words = t.split()
+            words[rng.randrange(300)] = "changed"
+            if 0 < (brute_fingerprint(t) ^ brute_fingerprint(" ".join(words))).bit_count() <= 3:
+                return " ".join(words)
+
+    alone, five, pair, seven, ten = [text() for _ in range(9)], text(), text(), [text() for _ in range(4)], text()
+    rows = [(None, t) for t in alone] + [(5, five), (None, near(five)), (None, pair), (None, near(pair))]
+    rows += [(7, t) for t in seven] + [(10, near(seven[0])), (10, ten), (6, near(seven[1])), (8, pair + " own"), (7, near(seven[2]))]
+    docs = documents(spark, [doc(i, t) for i, t in rows])
+    prints = [(i, brute_fingerprint(t)) for i, t in rows]
+    got = S.near_duplicates(docs).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute_components(prints), key=repr)
+    whole = brute_components([(n, f) for n, (_, f) in enumerate(prints)])  # rows numbered: the true components
+    kept = [r["text"] for r in S.drop_near_duplicates(docs).collect()]
+    of = {t: c for (_, t), (_, _, c) in zip(rows, whole)}
+    assert sorted(of[t] for t in kept) == sorted(set(of.values()))  # one of each
+    assert set(alone) | {five} <= set(kept)
