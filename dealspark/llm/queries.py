@@ -31,7 +31,9 @@ def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = ledger.withColumn("base_failed", rule_ledger.fails(F.col("fail_bits"), rule_ledger.BASE))
     judged = rule_ledger.apply_policy(ledger, rule_ledger.CLEAN)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         "kept", "n_lines", "n_adjacent_words", "n_letters", "n_capitals", "fail_bits")
+                         "kept", "n_lines", "n_adjacent_words", "n_letters", "n_capitals",
+                         # The column has the bits of version 1; ``kept`` follows the current version.
+                         F.col("fail_bits").bitwiseAND(F.lit(rule_ledger.CLEAN_1.mask).cast("bigint")).alias("fail_bits"))
 
 
 def op4_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:

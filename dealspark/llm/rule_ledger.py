@@ -89,6 +89,9 @@ RULES = (
     Rule(4, "adjacent_repeats", "100 * n_adjacent_words > 30 * n_words"),
     Rule(5, "capitals", "100 * n_capitals > 50 * n_letters"),
     Rule(6, "word_length", "word_chars < 2 * n_words OR word_chars > 40 * n_words"),
+    # Only where most characters are ASCII: other scripts may have no capitals, or no spaces between words.
+    Rule(7, "ascii_capitals", "100 * n_capitals > 50 * n_letters AND 2 * n_wide <= word_chars"),
+    Rule(8, "ascii_word_length", "word_chars < 2 * n_words OR (word_chars > 40 * n_words AND 2 * n_wide <= word_chars)"),
 )
 
 
@@ -105,8 +108,15 @@ class Policy:
 
 
 BASE = Policy("base", 1, ("few_words", "repeated_windows"))
-CLEAN = Policy("clean", 1, tuple(r.name for r in RULES))
-POLICIES = (BASE, CLEAN)
+CLEAN_1 = Policy("clean", 1, tuple(r.name for r in RULES[:7]))
+CLEAN = Policy("clean", 2, ("few_words", "repeated_windows", "symbols", "duplicate_lines", "adjacent_repeats", "ascii_capitals",
+                            "ascii_word_length"))
+POLICIES = (BASE, CLEAN_1, CLEAN)
+
+
+def wide(text: Column) -> Column:
+    """``n_wide``: UTF-8 continuation bytes, none in ASCII, one to three in any other character."""
+    return F.coalesce(F.octet_length(text) - F.char_length(text), F.lit(0)).cast("bigint")
 
 
 def fail_bits() -> Column:
@@ -119,8 +129,8 @@ def fail_bits() -> Column:
 
 def build_ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, measurements, ``fail_bits``."""
-    out = small_batches(docs).select(F.col(doc_id).alias("doc_id"), measure(F.col(text)).alias("m"))
-    return out.select("doc_id", "m.*").withColumn("fail_bits", fail_bits())
+    out = small_batches(docs).select(F.col(doc_id).alias("doc_id"), measure(F.col(text)).alias("m"), wide(F.col(text)).alias("n_wide"))
+    return out.select("doc_id", "m.*", "n_wide").withColumn("fail_bits", fail_bits())
 
 
 def fails(bits: Column, policy: Policy) -> Column:
@@ -153,6 +163,7 @@ def ablations(ledger: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> Dat
 
 def filter_documents(docs: DataFrame, policy: Policy = CLEAN, text: str = "text") -> DataFrame:
     """The documents the policy keeps, all their columns unchanged."""
-    measured = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), measure(F.col(text)).alias("m"))
-    bits = measured.select("row", "m.*").withColumn("fail_bits", fail_bits())
+    measured = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), measure(F.col(text)).alias("m"),
+                                           wide(F.col(text)).alias("n_wide"))
+    bits = measured.select("row", "m.*", "n_wide").withColumn("fail_bits", fail_bits())
     return bits.where(~fails(F.col("fail_bits"), policy)).select("row.*")

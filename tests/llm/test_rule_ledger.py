@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from hypothesis import given, settings
@@ -70,3 +71,21 @@ def test_filter_keeps_columns(spark):
 
 def test_empty_table(spark):
     assert R.build_ledger(empty(spark)).count() == 0 == R.filter_documents(empty(spark)).count()
+
+
+def test_clean_policy_keeps_other_scripts(spark):
+    """Clean texts whose only Latin text is an acronym, and texts without spaces between words."""
+    rng = random.Random(9)
+
+    def prose(first, n, words, length, least=2):
+        return " ".join("".join(chr(first + rng.randrange(n)) for _ in range(least + i % length)) for i in range(words))
+
+    kept = [prose(0x430, 32, 300, 9) + " NATO", prose(0x3B1, 24, 300, 9) + " USA", prose(0x627, 26, 300, 7) + " OPEC",
+            prose(0xAC00, 2000, 300, 5) + " KBS", prose(0x4E00, 3000, 30, 40, 50), prose(0x3042, 80, 30, 40, 50), prose(0xE01, 46, 30, 40, 50)]
+    base = [f"Word{i}" for i in range(60)]
+    gone = [" ".join(base).upper(), " ".join(w + "x" * 60 for w in base), " ".join("ÉTÉ" + w.upper() for w in base), " ".join("é" for _ in base)]
+    df = spark.createDataFrame(list(enumerate(kept + gone)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in R.filter_documents(df).collect()) == list(range(len(kept)))
+    ledger = R.build_ledger(df)
+    assert sorted(r["doc_id"] for r in R.apply_policy(ledger, R.CLEAN).where("kept").collect()) == list(range(len(kept)))
+    assert R.apply_policy(ledger, R.CLEAN_1).where("kept").count() == 0  # version 1 keeps its meaning
