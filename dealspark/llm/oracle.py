@@ -95,9 +95,45 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT
 FROM digested
 """
 
+def vector_codes(rounds: int = 4) -> str:
+    """Four parts of 16 components, 256 entries; every round written out."""
+    def nearest(books: str) -> str:
+        return f"""(
+  SELECT v.rid, v.p, min((list_inner_product(v.x, v.x) - 2 * list_inner_product(v.x, b.y) + list_inner_product(b.y, b.y))::HUGEINT * 256 + b.e) AS best
+  FROM parts v JOIN {books} b ON v.p = b.p GROUP BY v.rid, v.p)"""
+    steps = ""
+    for k in range(1, rounds + 1):
+        steps += f""", near{k} AS MATERIALIZED {nearest(f'books{k - 1}')}, moved{k} AS (
+  SELECT p, e, list(m ORDER BY i) AS y FROM (
+    SELECT n.p, (n.best % 256)::BIGINT AS e, u.i, floor(sum(v.x[u.i]) / count(*)) AS m
+    FROM near{k} n JOIN parts v ON v.rid = n.rid AND v.p = n.p CROSS JOIN range(1, 17) u(i) GROUP BY 1, 2, 3) GROUP BY p, e
+), books{k} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.y, b.y) AS y FROM books{k - 1} b LEFT JOIN moved{k} m ON m.p = b.p AND m.e = b.e
+)"""
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, p, list_slice(q, 16 * p + 1, 16 * p + 16) AS x FROM kept CROSS JOIN range(4) r(p)
+), firsts AS (
+  SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, q) - 1 AS e FROM kept QUALIFY e < 256
+), books0 AS MATERIALIZED (
+  SELECT v.p, f.e, v.x AS y FROM firsts f JOIN parts v USING (rid)
+){steps}, final AS MATERIALIZED {nearest(f'books{rounds}')}, coded AS (
+  SELECT rid, string_agg(printf('%02x', (best % 256)::INT), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error FROM final GROUP BY rid
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(y, lambda v: v::BIGINT::VARCHAR), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM books{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (rid) CROSS JOIN digest
+"""
+
+
 ORACLE = {
     "op6_warc_transactions": WARC_TRANSACTIONS,
     "op3_rule_ledger": RULE_LEDGER,
     "op4_water_filling": WATER_FILLING,
     "op8_extendible_hash": EXTENDIBLE_HASH,
+    "op11_memoised_cells": vector_codes(),
 }

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, hilbert, html_extract, mixing, packing, quality_classifier, rule_ledger, simhash, toxicity, warc
+from . import (exact_dedup, hilbert, html_extract, mixing, packing, quality_classifier, rule_ledger, simhash, toxicity, vector_codes,
+               warc)
 from .common import table
 
 
@@ -66,8 +67,12 @@ def op10_column_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op11_memoised_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_subword_embeddings, op2_classifier_chain, op3_rule_ledger, op4_water_filling, op5_host_suffix_array,
                             op6_warc_transactions, op7_hilbert_shards, op8_extendible_hash, op9_pigeonring_simhash,
-                            op10_column_generation)
+                            op10_column_generation, op11_memoised_cells)
 }

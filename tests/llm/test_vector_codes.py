@@ -1,0 +1,118 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from dealspark.llm import vector_codes as V
+
+from .helpers import empty  # noqa: F401
+
+ROWS = T.StructType([
+    T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType()),
+    # Names that the operator uses inside.
+    T.StructField("id", T.StringType()), T.StructField("q", T.StringType()), T.StructField("error", T.StringType()),
+])
+
+
+def brute(rows, parts, entries, rounds):
+    """Plain Python: integers, codebooks of the first rows, full search."""
+    kept = []
+    for r in rows:
+        v = r[1]
+        if not v or any(x is None or math.isnan(x) or math.isinf(x) for x in v):
+            continue
+        kept.append((r[0], r[2], tuple(math.floor(1024 * float(np.float32(x))) for x in v)))
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    if not kept:
+        return []
+    length = len(kept[0][2])
+    kept = [r for r in kept if len(r[2]) == length]
+    w = length // parts
+    cut = [[list(r[2][p * w:(p + 1) * w]) for p in range(parts)] for r in kept]
+    books = [[cut[i][p] for i in range(min(entries, len(cut)))] for p in range(parts)]
+
+    def nearest(p, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), i) for i, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        sums = {}
+        for c in cut:
+            for p in range(parts):
+                n, s = sums.get((p, nearest(p, c[p])[1]), (0, [0] * w))
+                sums[p, nearest(p, c[p])[1]] = (n + 1, [a + b for a, b in zip(s, c[p])])
+        books = [[[x // sums[p, i][0] for x in sums[p, i][1]] if (p, i) in sums else e for i, e in enumerate(books[p])] for p in range(parts)]
+    sha = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    out, by = [], {}
+    for (i, label, _), c in zip(kept, cut):
+        found = [nearest(p, c[p]) for p in range(parts)]
+        out.append([i, "".join(f"{e:02x}" for _, e in found), sum(d for d, _ in found), label])
+        by[label] = by.get(label, 0) + out[-1][2]
+    return [(i, code, err, by[label], sha) for i, code, err, label in out]
+
+
+def hard_rows(seed=1, n=60):
+    rng = random.Random(seed)
+    vec = lambda: [rng.gauss(0, 0.2) for _ in range(8)]
+    rows = [(i, vec(), rng.choice([1, 2, None])) for i in range(n)]
+    same = vec()
+    rows += [(100 + i, same, 7) for i in range(40)]  # one vector, one label: hot
+    rows += [(3, vec(), 1), (3, rows[3][1], 1), (None, vec(), None), (None, vec(), 2)]  # repeated and null ids
+    rows += [(500, None, 1), (501, [], 1), (502, [0.1, None] * 4, 1), (503, [float("nan")] * 8, 1), (504, [float("inf")] + [0.0] * 7, 2),
+             (505, [0.5] * 7, 1), (506, [200.0, -200.0] * 4, 1), (507, [-0.0] * 8, 1)]
+    return [(*r, "x", "y", "z") for r in rows]
+
+
+@pytest.mark.parametrize("entries,rounds", [(5, 3), (256, 2), (16, 0)])
+def test_codes_of_hard_rows(spark, entries, rounds):
+    rows = hard_rows()
+    got = V.compress(spark.createDataFrame(rows, ROWS).repartition(3), parts=4, entries=entries, rounds=rounds, cell=32).collect()
+    want = brute(rows, 4, entries, rounds)
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 40), st.integers(1, 30), st.integers(1, 5), st.sampled_from([1, 7, 64, 1000]), st.integers(0, 10**6))
+def test_cells_find_the_nearest(n, entries, width, cell, seed):
+    rng = np.random.default_rng(seed)
+    book, parts = rng.integers(-200, 200, (entries, width)), rng.integers(-300, 300, (n, width))
+    cells = V.Cells(book, cell)
+    dist = ((parts[:, None] - book[None]) ** 2).sum(axis=2)
+    for _ in range(2):  # the second time from the cache
+        entry, error = cells.nearest(parts)
+        assert (entry == dist.argmin(axis=1)).all() and (error == dist.min(axis=1)).all()
+    assert len(cells.memo) == len(np.unique(parts // cell, axis=0))
+
+
+def test_only_entries_left_in_a_cell_are_evaluated():
+    rng = np.random.default_rng(2)
+    cells = V.Cells(rng.integers(-500, 500, (256, 16)), 16)
+    cells.nearest(rng.integers(-500, 500, (300, 16)))
+    assert np.mean([len(e) for e in cells.memo.values()]) < 32  # of 256
+
+
+def test_the_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(V, "CACHE_BYTES", 5_000)
+    rng = np.random.default_rng(3)
+    book = rng.integers(-100, 100, (20, 3))
+    cells = V.Cells(book, 4)
+    parts = rng.integers(-100, 100, (500, 3))
+    entry, _ = cells.nearest(parts)
+    assert (entry == ((parts[:, None] - book[None]) ** 2).sum(axis=2).argmin(axis=1)).all()
+    assert len(cells.memo) < 25
+
+
+def test_too_large_components_and_uneven_parts_fail(spark):
+    with pytest.raises(Exception, match="exceeds"):
+        V.compress(spark.createDataFrame([(1, [1e6] * 8, 1, "", "", "")], ROWS))
+    with pytest.raises(ValueError, match="equal parts"):
+        V.compress(spark.createDataFrame([(1, [1.0] * 7, 1, "", "", "")], ROWS))
+
+
+def test_empty_table(spark):
+    assert V.compress(spark.createDataFrame([], ROWS)).count() == 0
+    assert V.compress(spark.createDataFrame([(1, None, 1, "", "", "")], ROWS)).count() == 0
