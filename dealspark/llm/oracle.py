@@ -95,6 +95,39 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT
 FROM digested
 """
 
+PREFIX_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id AS conv, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, strlen(text), sha256(strlen(role) || ':' || role || text)) AS t
+  FROM turns GROUP BY conv
+), heads AS (
+  SELECT conv, t, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+    4294967295) % 9 AS h
+  FROM convs
+), rebuilt AS (
+  SELECT c.conv, list_concat(coalesce(list_slice(b.t, 1, c.h), []), list_slice(c.t, c.h + 1, len(c.t))) AS t
+  FROM heads c LEFT JOIN convs b ON b.conv = c.conv - c.conv % 5
+), prefixes AS (
+  SELECT conv, d, list_slice(t, 1, d) AS p, len(t) AS n FROM (SELECT conv, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), members AS (
+  SELECT d, p, min(conv) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (n = d), '')) AS ends_sha256,
+    CASE WHEN d > 0 THEN strlen(p[d].text) ELSE 0 END AS bytes
+  FROM prefixes GROUP BY d, p
+), children AS (
+  SELECT d - 1 AS d, list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM members WHERE d > 0 GROUP BY 1, 2
+), nodes AS (
+  SELECT m.*, coalesce(c.n_children, 0) AS n_children FROM members m LEFT JOIN children c ON c.d = m.d AND c.p = m.p
+), subtrees AS (
+  SELECT k, list_slice(p, 1, k) AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM nodes) GROUP BY 1, 2
+)
+SELECT m.conv_id, m.d::BIGINT AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, m.ends_sha256
+FROM nodes m JOIN subtrees s ON s.k = m.d AND s.p = m.p LEFT JOIN members u ON u.d = m.d - 1 AND u.p = list_slice(m.p, 1, m.d - 1)
+"""
+
+
 def vector_codes(rounds: int = 4) -> str:
     """Four parts of 16 components, 256 entries; every round written out."""
     def nearest(books: str) -> str:
@@ -136,4 +169,5 @@ ORACLE = {
     "op4_water_filling": WATER_FILLING,
     "op8_extendible_hash": EXTENDIBLE_HASH,
     "op11_memoised_cells": vector_codes(),
+    "op12_turn_rollup": PREFIX_TRIE,
 }
