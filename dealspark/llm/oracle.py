@@ -128,6 +128,34 @@ FROM nodes m JOIN subtrees s ON s.k = m.d AND s.p = m.p LEFT JOIN members u ON u
 """
 
 
+JACCARD_JOIN = r"""
+WITH RECURSIVE worded AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 3 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+  FROM worded
+), classes AS MATERIALIZED (
+  SELECT s, row_number() OVER () AS c, len(s) AS n, first_id FROM (SELECT s, min(doc_id) AS first_id FROM sets WHERE len(s) > 0 GROUP BY s)
+), shingles AS MATERIALIZED (
+  SELECT c, n, unnest(s) AS g FROM classes
+), links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.c AS a, y.c AS b, any_value(x.n + y.n) AS total, count(*) AS common FROM shingles x JOIN shingles y ON x.g = y.g
+    AND x.c < y.c AND 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n) GROUP BY 1, 2)
+  WHERE 100 * common >= 90 * (total - common)
+), reach(c, r) AS (
+  SELECT c, c FROM classes
+  UNION
+  SELECT reach.c, e.b FROM reach JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) e ON e.a = reach.r
+), components AS (
+  SELECT reach.c, min(t.first_id) AS component_id FROM reach JOIN classes t ON t.c = reach.r GROUP BY reach.c
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, CASE WHEN len(d.s) = 0 THEN d.doc_id ELSE m.component_id END AS component_id
+FROM sets d LEFT JOIN classes k ON k.s = d.s LEFT JOIN components m ON m.c = k.c
+"""
+
+
 def vector_codes(rounds: int = 4) -> str:
     """Four parts of 16 components, 256 entries; every round written out."""
     def nearest(books: str) -> str:
@@ -170,4 +198,5 @@ ORACLE = {
     "op8_extendible_hash": EXTENDIBLE_HASH,
     "op11_memoised_cells": vector_codes(),
     "op12_turn_rollup": PREFIX_TRIE,
+    "op13_banded_tiles": JACCARD_JOIN,
 }

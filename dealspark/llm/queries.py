@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, hilbert, html_extract, mixing, packing, prefix_trie, quality_classifier, rule_ledger, simhash, toxicity,
-               vector_codes, warc)
+from . import (exact_dedup, hilbert, html_extract, jaccard_join, mixing, packing, prefix_trie, quality_classifier, rule_ledger, simhash,
+               toxicity, vector_codes, warc)
 from .common import table
 
 
@@ -75,8 +75,12 @@ def op12_turn_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
 
 
+def op13_banded_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_subword_embeddings, op2_classifier_chain, op3_rule_ledger, op4_water_filling, op5_host_suffix_array,
                             op6_warc_transactions, op7_hilbert_shards, op8_extendible_hash, op9_pigeonring_simhash,
-                            op10_column_generation, op11_memoised_cells, op12_turn_rollup)
+                            op10_column_generation, op11_memoised_cells, op12_turn_rollup, op13_banded_tiles)
 }
