@@ -19,13 +19,15 @@ macro segment that hashes to it.  Differing bits are at most the differing
 shingles, so their count bounds the overlap from above.  Only pairs whose
 sizes and bitmaps allow it reach the exact intersection of sorted arrays.
 
-1. Tiles are sorted by ranges of (tile, size), which also cuts a tile that
-   many sets share, and each row is tried with its ``WINDOW`` neighbours
-   before it: a group of near copies is linked by a few pairs per row.
+1. Tiles are sorted by ranges of (tile, set), which also cuts a tile that
+   many sets share, and each row is tried with the first one of its tile and
+   ``WINDOW`` neighbours before it: a group of near copies is linked by a few
+   pairs per row.
 2. In tiles that still hold more than one component all pairs of different
    components are tried.  Beyond ``LIMIT`` rows a tile is cut into blocks: the
    rows of its largest component meet those of the others, and these each
-   other, never all rows all rows.
+   other, never all rows all rows.  A longer bitmap of the whole sets, which
+   only these rows carry, bounds their overlap a second time.
 
 Defined results: words are runs between ASCII white space, A-Z lower-cased; a
 text with fewer words than a shingle is one shingle; null texts and texts
@@ -42,7 +44,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -58,6 +59,8 @@ GROWTH = 1.5  # of one band's least size to the next one's
 WINDOW = 3  # neighbours a row is tried with at first
 LIMIT = 2048  # rows of a tile, or of a block of it, compared in one go
 STEP = 256  # rows of a block compared with all others at once
+SMALL = 8  # rows of units that are compared many at once
+SIGNATURE = 1024  # bits of a whole set's bitmap
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))  # odd multipliers
 
 
@@ -114,6 +117,12 @@ def tiles_of(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndar
     return np.concatenate(keys), np.concatenate(maps), np.concatenate(counts)
 
 
+def signature_of(s: np.ndarray) -> bytes:
+    """A bitmap of the whole set, each bit flipped by what hashes to it."""
+    odd = np.bincount(((s >> np.uint64(6)) & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def digest_of(s: np.ndarray) -> bytes:
     return hashlib.sha256(s.tobytes()).digest()[:16]
 
@@ -123,16 +132,17 @@ def _node(digest: bytes) -> int:
 
 
 def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(id, text_hash, n, digest, tiles) of every document."""
+    """(id, text_hash, n, digest, signature, tiles) of every document."""
     kind = pa.struct([("key", pa.int64()), ("bitmap", pa.int64()), ("macros", pa.int32())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digests, keys, maps, counts, ends = [], [], [], [], [], [0]
+            n, digests, signs, keys, maps, counts, ends = [], [], [], [], [], [], [0]
             for t in batch.column("body"):
                 s = shingle_set(t.as_py(), shingle)
                 n.append(len(s))
                 digests.append(digest_of(s) if len(s) else None)
+                signs.append(signature_of(s) if len(s) else None)
                 if len(s):
                     for found, part in zip((keys, maps, counts), tiles_of(s, percent)):
                         found.append(part)
@@ -141,11 +151,12 @@ def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
             tiles = pa.StructArray.from_arrays([pa.array(join(keys, np.int64)), pa.array(join(maps, np.int64)), pa.array(join(counts, np.int32))], fields=list(kind))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tiles)], names=["id", "text_hash", "n", "digest", "tiles"])
+                 pa.array(signs, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tiles)],
+                names=["id", "text_hash", "n", "digest", "signature", "tiles"])
 
     body = F.col(f"`{text}`")
     rows = small_batches(docs).select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
-    return rows.mapInArrow(scan, f"id {dict(rows.dtypes)['id']}, text_hash long, n long, digest binary, "
+    return rows.mapInArrow(scan, f"id {dict(rows.dtypes)['id']}, text_hash long, n long, digest binary, signature binary, "
                                  "tiles array<struct<key: long, bitmap: long, macros: int>>")
 
 
@@ -155,10 +166,15 @@ class _May:
     def __init__(self, percent: int):
         self.percent = percent
 
+    def differ(self, n1, n2):
+        return (n1 + n2) * (100 - self.percent) // (100 + self.percent)
+
     def __call__(self, n1, map1, n2, map2, macros):
-        least, most = np.minimum(n1, n2), np.maximum(n1, n2)
-        allowed = (least + most) * (100 - self.percent) // (100 + self.percent) // macros
-        return (100 * least >= self.percent * most) & (np.bitwise_count(map1 ^ map2) <= allowed)
+        return (100 * np.minimum(n1, n2) >= self.percent * np.maximum(n1, n2)) & (np.bitwise_count(map1 ^ map2) <= self.differ(n1, n2) // macros)
+
+    def whole(self, n1, sign1, n2, sign2):
+        """By the bitmaps of the whole sets."""
+        return np.bitwise_count(sign1 ^ sign2).sum(axis=-1, dtype=np.int64) <= self.differ(n1, n2)
 
 
 TILE = ["key", "node", "n", "bitmap", "macros"]
@@ -166,111 +182,127 @@ TILE = ["key", "node", "n", "bitmap", "macros"]
 
 def shared_tiles(classes: DataFrame, percent: int = PERCENT, window: int = WINDOW) -> DataFrame:
     """The rows of tiles that more than one class may share, each with the
-    neighbours before it (``p1``..) that it may link to."""
-    near = [f"p{d}" for d in range(1, window + 1)]
+    first row of the tile in its task (``p0``) and the neighbours before it
+    (``p1``..) where it may link to them."""
+    near = [f"p{d}" for d in range(window + 1)]
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = _May(percent)
-        done = 0  # rows of ``held`` that were given out before
-        held, first = None, True
+        done, first = 0, True  # rows of ``held`` that were given out before
+        held, leader = None, None
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            yield given(held, done, len(held) - 1, first, may)
+            new = [batch.column(c).to_numpy() for c in TILE]
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+            out, leader = given(held, done, len(held[0]) - 1, first, leader, may)
+            yield out
             first = False
-            cut = max(0, len(held) - 1 - window)
-            done, held = len(held) - 1 - cut, held.iloc[cut:].reset_index(drop=True)
+            cut = max(0, len(held[0]) - 1 - window)
+            done, held = len(held[0]) - 1 - cut, [x[cut:] for x in held]
         if held is not None:
-            yield given(held, done, len(held), first, may, last=True)
-
-    def given(rows: pd.DataFrame, start: int, stop: int, first: bool, may: _May, last: bool = False) -> pd.DataFrame:
-        """The rows from ``start`` to ``stop`` whose tile has other rows; a
-        tile may go on beyond both ends of a task."""
-        key = rows["key"].to_numpy()
-        same = np.r_[first, key[1:] == key[:-1], last]
+            yield given(held, done, len(held[0]), first, leader, may, last=True)[0]
+
+    def given(rows: list, start: int, stop: int, first: bool, leader: tuple | None, may: _May, last: bool = False) -> tuple:
+        """The rows from ``start`` to ``stop`` whose tile has other rows (it
+        may go on beyond both ends of a task), and the leader of the last tile."""
+        key, node, n, bits, macros = rows
+        new = np.r_[True, key[1:] != key[:-1]]
+        head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+        lead = [x[head] for x in (node, n, bits)]
+        if leader is not None:  # a tile that began before the rows held
+            for x, value in zip(lead, leader[1:]):
+                x[key == leader[0]] = value
+        same = np.r_[first, ~new[1:], last]
         at = np.arange(start, stop)
         at = at[same[at] | same[at + 1]]
-        out = rows.iloc[at].copy()
-        n, bits, macros, node = (rows[c].to_numpy() for c in ("n", "bitmap", "macros", "node"))
-        for d, c in enumerate(near, 1):
-            i = at[at >= d]
-            ok = (key[i] == key[i - d]) & may(n[i], bits[i], n[i - d], bits[i - d], macros[i])
-            partner = pd.array([None] * len(rows), dtype="Int64")
-            partner[i[ok]] = node[i[ok] - d]
-            out[c] = partner[at]
-        return out
+        partners = [(lead[0][at], (lead[0][at] != node[at]) & may(n[at], bits[at], lead[1][at], lead[2][at], macros[at]))]
+        for d in range(1, window + 1):
+            i = np.maximum(at - d, 0)
+            partners.append((node[i], (at >= d) & (key[at] == key[i]) & may(n[at], bits[at], n[i], bits[i], macros[at])))
+        arrays = [pa.array(x[at]) for x in rows] + [pa.array(x, mask=~ok) for x, ok in partners]
+        return pa.RecordBatch.from_arrays(arrays, names=[*TILE, *near]), (key[-1], *[x[-1] for x in lead])
 
     tiles = classes.select("node", "n", F.explode("tiles").alias("t")).select("t.key", "node", "n", "t.bitmap", "t.macros")
-    tiles = tiles.repartitionByRange("key", "n", "node").sortWithinPartitions("key", "n", "node")
-    return tiles.mapInPandas(scan, "key long, node long, n long, bitmap long, macros int, " + ", ".join(f"{c} long" for c in near))
-
-
-def _pairs(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    tiles = tiles.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    return tiles.mapInArrow(scan, "key long, node long, n long, bitmap long, macros int, " + ", ".join(f"{c} long" for c in near))
 
 
 def first_pairs(tiles: DataFrame, window: int = WINDOW) -> DataFrame:
-    by = tiles.select("node", F.explode(F.array(*[F.col(f"p{d}") for d in range(1, window + 1)])).alias("other")).where("other IS NOT NULL")
-    return by.select(*_pairs("node", "other")).distinct()
+    by = tiles.select("node", F.explode(F.array(*[F.col(f"p{d}") for d in range(window + 1)])).alias("other")).where("other IS NOT NULL")
+    return by.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def other_pairs(tiles: DataFrame, components: DataFrame, percent: int = PERCENT, limit: int = LIMIT) -> DataFrame:
-    """All pairs of different components in a tile that may link."""
-    # A node without a component is one; 8 bytes are none of the 16 of a component.
-    own = F.coalesce("component", F.unhex(F.lpad(F.hex("node"), 16, "0")))
-    rows = tiles.select(*TILE).join(components, "node", "left").select(*TILE, own.alias("component"))
+def other_pairs(tiles: DataFrame, components: DataFrame, signatures: DataFrame, percent: int = PERCENT, limit: int = LIMIT) -> DataFrame:
+    """All pairs of different components in a tile that may link; given
+    (node, component) where linked and (node, signature)."""
+    half = lambda at: F.conv(F.hex(F.substring("component", at, 8)), 16, -10).cast("bigint")
+    # A node without a component is one.
+    rows = tiles.select(*TILE).join(components, "node", "left")
+    rows = rows.select(*TILE, F.coalesce(half(1), "node").alias("of1"), F.coalesce(half(9), F.lit(0)).alias("of2"))
     rows = materialize(rows, "jaccard-tiles")
-    parts = rows.groupBy("key", "component").agg(F.count("*").alias("rows"))
-    open_ = parts.groupBy("key").agg(F.count("*").alias("components"), F.sum("rows").alias("rows"), F.max_by("component", F.struct("rows", "component")).alias("largest"),
-                                     F.max("rows").alias("most")).where("components > 1")
+    parts = rows.groupBy("key", "of1", "of2").agg(F.count("*").alias("rows"))
+    open_ = parts.groupBy("key").agg(F.count("*").alias("components"), F.sum("rows").alias("rows"), F.max(F.struct("rows", "of1", "of2")).alias("most"))
     blocks = lambda c: F.ceil(c / limit).cast("long")
-    open_ = materialize(open_.select("key", F.col("rows") <= limit, "largest", blocks(F.col("most")).alias("majors"),
-                                     blocks(F.col("rows") - F.col("most")).alias("minors")).toDF("key", "small", "largest", "majors", "minors"), "jaccard-open")
-    rows = rows.join(open_, "key").withColumn("major", F.col("component") == F.col("largest"))
-    block = F.pmod(F.xxhash64("node", "key"), F.when(F.col("major"), F.col("majors")).otherwise(F.col("minors")))
-    rows = rows.withColumn("block", block)
+    open_ = open_.where("components > 1").select("key", (F.col("rows") <= limit).alias("small"), "most.of1", "most.of2", blocks(F.col("most.rows")).alias("majors"),
+                                                 blocks(F.col("rows") - F.col("most.rows")).alias("minors"))
+    open_ = materialize(open_.withColumnsRenamed({"of1": "top1", "of2": "top2"}), "jaccard-open")
+    rows = rows.join(open_, "key").withColumn("major", (F.col("of1") == F.col("top1")) & (F.col("of2") == F.col("top2")))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.when(F.col("major"), F.col("majors")).otherwise(F.col("minors"))))
     unit = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"))
     upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
     units = (F.when(F.col("small"), F.array(unit(0, F.lit(0), F.lit(0))))
              .when(F.col("major"), F.transform(upto("minors"), lambda j: unit(1, F.col("block"), j)))
              .otherwise(F.concat(F.transform(upto("majors"), lambda i: unit(1, i, F.col("block"))),
                                  F.transform(upto("minors"), lambda j: unit(2, F.least(j, F.col("block")), F.greatest(j, F.col("block")))))))
-    rows = rows.select(*TILE, "component", "major", F.explode(units).alias("u")).select(*TILE, "component", "major", "u.*")
-    where = ["key", "kind", "i", "j"]
+    where, of = ["key", "kind", "i", "j"], ["of1", "of2", "major"]
+    rows = rows.join(signatures, "node").select(*TILE, *of, "signature", F.explode(units).alias("u")).select(*TILE, *of, "signature", "u.*")
+    columns = [*where, "node", "n", "bitmap", "macros", *of]
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may, rest = _May(percent), None
         for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            if not len(rows):
+            if not batch.num_rows:
                 continue
-            new = np.r_[True, (rows[where].iloc[1:].to_numpy() != rows[where].iloc[:-1].to_numpy()).any(axis=1)]
-            first = np.flatnonzero(new)
-            for at, stop in zip(first[:-1], first[1:]):
-                yield from within(rows.iloc[at:stop], may)
-            rest = rows.iloc[first[-1]:]  # its unit may go on; a unit is bounded
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+            rows.append(np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u8").reshape(batch.num_rows, -1))
+            rows = rows if rest is None else [np.concatenate(x) for x in zip(rest, rows)]
+            first = np.flatnonzero(starts(rows))
+            yield from within([x[:first[-1]] for x in rows], may)
+            rest = [x[first[-1]:] for x in rows]  # its unit may go on; a unit is bounded
         if rest is not None:
             yield from within(rest, may)
 
-    def within(rows: pd.DataFrame, may: _May) -> Iterator[pd.DataFrame]:
-        if len(rows) < 2:
+    def starts(rows: list) -> np.ndarray:
+        return np.r_[True, np.any([x[1:] != x[:-1] for x in rows[:len(where)]], axis=0)]
+
+    def within(rows: list, may: _May) -> Iterator[pa.RecordBatch]:
+        _, kind, _, _, node, n, bits, macros, of1, of2, major, sign = rows
+        if len(node) < 2:
             return
-        n, bits, node, macros = (rows[c].to_numpy() for c in ("n", "bitmap", "node", "macros"))
-        component = pd.factorize(rows["component"])[0]
-        major = rows["major"].to_numpy() if rows["kind"].iloc[0] == 1 else None
-        for at in range(0, len(rows), STEP):
-            x = slice(at, at + STEP)
-            ok = may(n[x, None], bits[x, None], n[None], bits[None], macros[0]) & (component[x, None] != component[None])
-            ok &= np.arange(len(rows))[None] > np.arange(len(rows))[x, None]
-            if major is not None:
-                ok &= major[x, None] != major[None]
-            i, j = np.nonzero(ok)
-            if len(i):
-                yield pd.DataFrame({"a": np.minimum(node[at + i], node[j]), "b": np.maximum(node[at + i], node[j])})
-
-    dealt = rows.repartition(*where).sortWithinPartitions(*where)
-    return dealt.mapInPandas(compare, "a long, b long").distinct()
+        first = np.flatnonzero(starts(rows))
+        size = np.diff(np.r_[first, len(node)])
+        unit, of = np.repeat(np.arange(len(first)), size), np.repeat(size, size)
+
+        def passed(i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+            ok = ((of1[i] != of1[j]) | (of2[i] != of2[j])) & ((kind[i] != 1) | (major[i] != major[j])) & may(n[i], bits[i], n[j], bits[j], macros[i])
+            i, j = i[ok], j[ok]
+            ok = may.whole(n[i], sign[i], n[j], sign[j])
+            a, b = node[i[ok]], node[j[ok]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for d in range(1, SMALL):
+            i = np.flatnonzero((unit[d:] == unit[:-d]) & (of[d:] <= SMALL))
+            yield from passed(i, i + d)
+        for f, m in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist()):
+            for x in range(f, f + m, STEP):
+                i, j = np.meshgrid(np.arange(x, min(x + STEP, f + m)), np.arange(x, f + m), indexing="ij")
+                yield from passed(i[i < j], j[i < j])
+
+    # By number, as few bytes make much work here: adaptive coalescing goes by bytes.
+    dealt = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *where).sortWithinPartitions(*where)
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -320,7 +352,8 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int
         raise ValueError("percent must lie between 1 and 100")
     found = materialize(sets(docs, doc_id, text, shingle, percent), "jaccard-documents")
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")).alias("best")
-    classes = found.where("n > 0").groupBy("digest").agg(first, F.first("n").alias("n"), F.first("tiles").alias("tiles"))
+    classes = found.where("n > 0").groupBy("digest").agg(first, F.first("n").alias("n"), F.first("signature").alias("signature"),
+                                                          F.first("tiles").alias("tiles"))
     # The node is the first 8 bytes; classes that share one are told apart when pairs are verified.
     node = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("bigint")
     classes = materialize(classes.withColumn("node", node), "jaccard-classes")
@@ -329,7 +362,8 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int
     links = materialize(verified(pairs, classes, docs, doc_id, text, shingle, percent), "jaccard-links")
     components = connected(links)
     named = classes.select("digest", "node").join(components, F.col("digest") == components["node"]).select(classes["node"], "component")
-    rest = other_pairs(tiles, materialize(named, "jaccard-components"), percent, limit).join(pairs, ["a", "b"], "left_anti")
+    rest = other_pairs(tiles, materialize(named, "jaccard-components"), classes.select("node", "signature"), percent, limit)
+    rest = rest.join(pairs, ["a", "b"], "left_anti")
     rest = materialize(rest, "jaccard-rest")
     if not rest.isEmpty():
         more = materialize(verified(rest, classes, docs, doc_id, text, shingle, percent), "jaccard-links")

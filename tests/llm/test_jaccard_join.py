@@ -118,6 +118,8 @@ def test_linked_sets_share_a_tile_that_lets_them_pass(n, seed, percent):
     both = tiles[0].merge(tiles[1], on=["key", "macros"])
     may = J._May(percent)(np.full(len(both), len(x)), both["bitmap_x"].to_numpy(), np.full(len(both), len(y)), both["bitmap_y"].to_numpy(), both["macros"].to_numpy())
     assert may.any()
+    signs = [np.frombuffer(J.signature_of(s), "<u8") for s in (x, y)]
+    assert J._May(percent).whole(len(x), signs[0], len(y), signs[1])
 
 
 def test_unlike_texts_do_not_reach_the_intersection(spark):
@@ -128,11 +130,11 @@ def test_unlike_texts_do_not_reach_the_intersection(spark):
     found = J.sets(docs).where("n > 0")
     classes = found.groupBy("digest").agg({"n": "max"}).count()
     assert classes == 300
-    nodes = found.selectExpr("cast(conv(hex(substring(digest, 1, 8)), 16, -10) as bigint) as node", "n", "tiles")
+    nodes = found.selectExpr("cast(conv(hex(substring(digest, 1, 8)), 16, -10) as bigint) as node", "n", "signature", "tiles")
     shared = J.shared_tiles(nodes)
     assert shared.count() > 0 and J.first_pairs(shared).count() < 30  # of 44,850
     none = spark.createDataFrame([], "node long, component binary")
-    assert J.other_pairs(shared, none).count() < 30
+    assert J.other_pairs(shared, none, nodes.select("node", "signature")).count() < 30
 
 
 @settings(max_examples=200, deadline=None)
