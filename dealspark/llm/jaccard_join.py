@@ -41,7 +41,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +83,6 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(out)
 
 
-@cache
 def bands(percent: int) -> tuple[list[int], list[int], list[int], list[int]]:
     """Per band its least size, differences, macro segments, small segments of each."""
     least = [1]
@@ -95,9 +93,10 @@ def bands(percent: int) -> tuple[list[int], list[int], list[int], list[int]]:
     return least, differ, macros, [d // m + 1 for d, m in zip(differ, macros)]
 
 
-def tiles_of(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the tiles of a set, the bitmap at each and its band's macro segments."""
-    least, _, macros, smalls = bands(percent)
+def tiles_of(s: np.ndarray, percent: int, table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the tiles of a set, the bitmap at each and its band's macro
+    segments; ``table`` holds the bands."""
+    least, _, macros, smalls = table
     own = int(np.searchsorted(least, len(s), "right")) - 1
     keys, maps, counts = [], [], []
     for band in (own, own + 1):
@@ -133,6 +132,7 @@ def _node(digest: bytes) -> int:
 
 def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(id, text_hash, n, digest, signature, tiles) of every document."""
+    table = bands(percent)
     kind = pa.struct([("key", pa.int64()), ("bitmap", pa.int64()), ("macros", pa.int32())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +144,7 @@ def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
                 digests.append(digest_of(s) if len(s) else None)
                 signs.append(signature_of(s) if len(s) else None)
                 if len(s):
-                    for found, part in zip((keys, maps, counts), tiles_of(s, percent)):
+                    for found, part in zip((keys, maps, counts), tiles_of(s, percent, table)):
                         found.append(part)
                 ends.append(ends[-1] + (len(keys[-1]) if len(s) else 0))
             join = lambda x, t: np.concatenate(x).view(t) if x else np.zeros(0, t)

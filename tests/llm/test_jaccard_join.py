@@ -114,7 +114,7 @@ def test_linked_sets_share_a_tile_that_lets_them_pass(n, seed, percent):
         if 100 * both < percent * (len(x) + len(z) - both):
             break
         y = z
-    tiles = [pd.DataFrame(dict(zip(("key", "bitmap", "macros"), J.tiles_of(s, percent)))) for s in (x, y)]
+    tiles = [pd.DataFrame(dict(zip(("key", "bitmap", "macros"), J.tiles_of(s, percent, J.bands(percent))))) for s in (x, y)]
     both = tiles[0].merge(tiles[1], on=["key", "macros"])
     may = J._May(percent)(np.full(len(both), len(x)), both["bitmap_x"].to_numpy(), np.full(len(both), len(y)), both["bitmap_y"].to_numpy(), both["macros"].to_numpy())
     assert may.any()
