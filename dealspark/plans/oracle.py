@@ -30,6 +30,7 @@ COHORTS = (
     ("Jan 2019 to Aug 2019", "original_start_date > DATE '2019-01-01' AND original_start_date < DATE '2019-09-01'"),
     ("Sept 2019 to Aug 2020", "original_start_date > DATE '2019-09-01' AND original_start_date < DATE '2020-09-01'"),
 )
+NULL_LABEL = "tmp"
 CROSSWALK = (("ASIA", "MKT_0"), ("ASIA", "MKT_1"), ("EUROPE", "MKT_2"), ("AFRICA", "MKT_0"), ("MIDDLE EAST", "MKT_1"),
              ("AMERICA", "MKT_0"), ("NATION_1", "MKT_1"))
 # ---------------------------------------------------------------------------
@@ -429,4 +430,14 @@ def oracle_queries(main: SimpleNamespace = MAIN) -> dict[str, str]:
         "fee_by_account": _with(m, f"SELECT {_out(rc_cols, rc_money)} FROM fba"),
         "fee_isolated_ledger": _with(m, f"SELECT {_out(rc_cols + ['flat_fees_isolated'], rc_money + ['flat_fees_isolated'])} FROM fil"),
     }
+
+    def labelled(sql, columns):
+        """The keys of a published summary carry a label for NULL, as text."""
+        return f"SELECT * REPLACE ({', '.join(f'COALESCE(CAST({c} AS VARCHAR), {_q(NULL_LABEL)}) AS {c}' for c in columns)}) FROM ({sql})"
+
+    q["published_deal_data"] = q["deal_data"]
+    q["published_principal_data"] = labelled(q["principal_data"], PV_INDEX)
+    q["published_principal_mix_data"] = labelled(q["cohort_mix"], GROUP)
+    q["published_rows"] = " UNION ALL ".join(f"SELECT {_q(name)} AS output, COUNT(*) AS n_rows FROM ({q[source]})" for name, source in (
+        ("deal_data", "deal_data"), ("principal_data", "principal_data"), ("principal_mix_data", "cohort_mix")))
     return q

@@ -19,6 +19,7 @@ from ..functions.columns import money_to_double, normalized_region
 from ..operators import cohorts, deals, roster
 from ..sources.extracts import fixture_view_inputs
 from ..sources.fixtures import LATE, MAIN
+from .operations import operations
 from .pipeline import Stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,4 +135,6 @@ def registry() -> dict[str, Query]:
         "fee_unmapped_accounts": _stage("unmapped_fee_accounts"),
         "fee_by_account": _stage("fee_by_account"),
         "fee_isolated_ledger": _stage("fee_isolated_ledger"),
+        # how results are kept and published
+        **operations(),
     }

@@ -14,7 +14,8 @@ from dealspark.plans import oracle
 from dealspark.plans.pipeline import run
 from dealspark.sources.extracts import fixture_view_inputs, store_inputs
 from dealspark.sources.fixtures import MAIN
-from dealspark.sources.sinks import write_frame
+from dealspark.sources import files
+from dealspark.sources.sinks import OUTPUT_NAMES, read_manifest, read_outputs, remove_unpublished, write_frame, write_outputs
 
 from .compare import duck, table_digest
 from .conftest import SF_SMALL
@@ -40,12 +41,13 @@ def test_outputs_read_back_with_the_oracle_values(spark, tmp_out):
     day = dt.date(2026, 1, 2)
     inputs = fixture_view_inputs(spark, SF_SMALL)
     paths = run(spark, inputs, MAIN, tmp_out, day, fmt="parquet")
-    assert all(path.endswith(f"{name}/run_date=2026-01-02") for name, path in paths.items())
+    assert all(f"{name}/run_date=2026-01-02/run=" in path for name, path in paths.items())
     schemas = {n: spark.read.parquet(p).schema for n, p in paths.items()}
-    check_outputs({n: spark.read.parquet(p) for n, p in paths.items()}, oracle.MAIN)
+    check_outputs(read_outputs(spark, tmp_out), oracle.MAIN)
     # a rerun on the same day replaces that day's output, here by CSV
-    assert run(spark, inputs, MAIN, tmp_out, day, fmt="csv") == paths
-    back = {n: spark.read.option("header", True).schema(schemas[n]).csv(p) for n, p in paths.items()}
+    paths = run(spark, inputs, MAIN, tmp_out, day, fmt="csv")
+    back = read_outputs(spark, tmp_out, day)
+    assert {n: df.schema for n, df in back.items()} == schemas
     check_outputs(back, oracle.MAIN)
     for n, p in paths.items():
         text = spark.read.option("header", True).csv(p)
@@ -63,7 +65,58 @@ def test_csv_nulls_empty_texts_and_large_amounts(spark, tmp_out):
         return open(f"{tmp_out}/{name}/{part}").read().splitlines()
 
     assert written("plain") == ["i,s,m,d", "1,,123456789.10,2020-01-02", '2,"",-10000000.00,', '3,"a,\\"b",,']
-    assert written("label", null_label="tmp") == ["i,s,m,d", "1,tmp,123456789.10,2020-01-02", '2,"",-10000000.00,tmp', '3,"a,\\"b",tmp,tmp']
+    # The label stands in the named columns only: a missing number stays empty.
+    assert written("label", null_label="tmp", labelled_columns=("s", "d")) == [
+        "i,s,m,d", "1,tmp,123456789.10,2020-01-02", '2,"",-10000000.00,tmp', '3,"a,\\"b",,tmp']
+
+
+def small_outputs(spark, n):
+    return {name: spark.range(n).select(F.col("id").alias("k"), F.lit(name).alias("name")) for name in OUTPUT_NAMES}
+
+
+def published(spark, base, day=None):
+    return {n: sorted(r["k"] for r in df.collect()) for n, df in read_outputs(spark, base, day).items()}
+
+
+@pytest.mark.parametrize("broken", [0, 2])
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_run_that_breaks_leaves_the_outputs_published_before(spark, tmp_out, broken, fmt):
+    yesterday, today = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    write_outputs(small_outputs(spark, 3), tmp_out, yesterday, fmt)
+    before = {n: [0, 1, 2] for n in OUTPUT_NAMES}
+    bad = small_outputs(spark, 5)
+    name = OUTPUT_NAMES[broken]
+    bad[name] = bad[name].withColumn("k", F.when(F.col("k") < 4, F.col("k")).otherwise(F.raise_error(F.lit("broken")).cast("long")))
+    with pytest.raises(Exception, match="broken"):
+        write_outputs(bad, tmp_out, today, fmt)
+    assert published(spark, tmp_out) == before and read_manifest(spark, tmp_out)["run_date"] == "2026-01-01"
+    with pytest.raises(Exception, match="broken"):  # a rerun of the same day
+        write_outputs(bad, tmp_out, yesterday, fmt)
+    assert published(spark, tmp_out, yesterday) == before
+    write_outputs(small_outputs(spark, 4), tmp_out, today, fmt)
+    assert published(spark, tmp_out) == {n: [0, 1, 2, 3] for n in OUTPUT_NAMES} and published(spark, tmp_out, yesterday) == before
+    assert {n: o["rows"] for n, o in read_manifest(spark, tmp_out, today)["outputs"].items()} == {n: 4 for n in OUTPUT_NAMES}
+
+
+def test_only_old_folders_that_no_manifest_names_are_removed(spark, tmp_out):
+    day = dt.date(2026, 1, 1)
+    first = write_outputs(small_outputs(spark, 1), tmp_out, day)
+    second = write_outputs(small_outputs(spark, 2), tmp_out, day)
+    assert remove_unpublished(spark, tmp_out, older_than_hours=1) == []  # a run may be writing
+    gone = remove_unpublished(spark, tmp_out, older_than_hours=-1)
+    assert sorted(p.removeprefix("file:") for p in gone) == sorted(first.values())
+    assert all(os.path.isdir(p) for p in second.values()) and not any(os.path.isdir(p) for p in first.values())
+    assert published(spark, tmp_out) == {n: [0, 1] for n in OUTPUT_NAMES}
+
+
+def test_a_manifest_is_replaced_in_one_step(spark, tmp_out):
+    for text in ("one", "zwei", "drei \u00e9"):
+        files.replace_text(spark, f"{tmp_out}/m/x.json", text)
+        assert files.read_text(spark, f"{tmp_out}/m/x.json") == text
+    assert [e.name for e in files.listed(spark, f"{tmp_out}/m") if not e.name.startswith(".")] == ["x.json"]
+    assert files.listed(spark, f"{tmp_out}/none") == []
+    with pytest.raises(FileNotFoundError):
+        read_manifest(spark, f"{tmp_out}/none")
 
 
 # Another company: other split region, excluded parents, crosswalk, window and years.
