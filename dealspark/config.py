@@ -12,6 +12,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import MISSING, dataclass, fields, replace
 
+from .functions.chart import DEFAULT_CHART, Chart, chart_from_mapping
+
 D = dt.date
 
 # Comparison operators allowed in a cohort bound (replaces evaluating config text).
@@ -83,6 +85,8 @@ class ReportConfig:
     fee_items: tuple[str, ...] = FEE_ITEMS
     principal_role: str = PRINCIPAL_ROLE
     primary_flag: str = PRIMARY_FLAG
+    # Accounts with a measure column and the composites over them.
+    chart: Chart = DEFAULT_CHART
     cohorts: tuple[CohortBand, ...] = DEFAULT_COHORTS
     total_cohort: str = TOTAL_COHORT
     # 'positional': share against the total-cohort row at the same position
@@ -132,7 +136,7 @@ def crosswalk_pairs(mapping: dict[str, str | list[str]]) -> tuple[tuple[str, str
 def from_mapping(values: dict) -> ReportConfig:
     """Config from plain values as JSON has them: ISO dates, ``crosswalk`` as
     region -> market or markets, ``cohorts`` as name -> list of [operator,
-    date].  Unknown names fail."""
+    date], ``chart`` as ``chart_from_mapping`` takes it.  Unknown names fail."""
     known = {f.name: f for f in fields(ReportConfig)}
     if unknown := sorted(set(values) - set(known)):
         raise ValueError(f"unknown settings {unknown}")
@@ -146,6 +150,8 @@ def from_mapping(values: dict) -> ReportConfig:
         if name in out:
             out[name] = tuple(out[name])
     out["crosswalk"] = crosswalk_pairs(out["crosswalk"])
+    if "chart" in out:
+        out["chart"] = chart_from_mapping(out["chart"])
     if "cohorts" in out:
         out["cohorts"] = tuple(CohortBand(n, tuple((op, dt.date.fromisoformat(d)) for op, d in bounds)) for n, bounds in out["cohorts"].items())
     return ReportConfig(**out)

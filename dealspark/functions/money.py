@@ -9,8 +9,9 @@ carry ``decimal(38,2)``; the registered queries carry ``cents / 100.0``, the
 same double as casting the exact decimal, and ratios divide those doubles.
 
 Money columns are those of the fixed lists (``MONEY_NAMES``, also with a
-``_<year>`` suffix, and the chart's account columns); every column of the job
-comes from such a list, so a source's own columns cannot be taken for money.
+``_<year>`` suffix) and the account columns of the chart (``acct_<number>``);
+every column of the job comes from such a list, so a source's own columns
+cannot be taken for money.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .chart import ACCOUNT_COLUMNS
 
 SOURCE_MONEY = "decimal(18,2)"
 
@@ -34,11 +34,12 @@ MONEY_NAMES = frozenset({
 # ---------------------------------------------------------------------------
 
 _YEAR_SUFFIX = re.compile(r"_\d{4}$")
+_ACCOUNT_COLUMN = re.compile(r"acct_\d")
 
 
 def is_money(name: str) -> bool:
     base = _YEAR_SUFFIX.sub("", name)
-    return base in MONEY_NAMES or name in ACCOUNT_COLUMNS
+    return base in MONEY_NAMES or _ACCOUNT_COLUMN.match(name) is not None
 
 
 def to_cents(value: Column) -> Column:

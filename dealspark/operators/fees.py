@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.chart import ACCOUNTS, FLAT_FEE_ACCOUNT, account_column, column_for_account
+from ..functions.chart import DEFAULT_CHART, Chart, account_column, column_for_account
 from .merge import left_merge, outer_merge
 
 FEE_NULL_SAFE = ("deal_id", "team_id", "ending_period", "market_region", "location_name", "side_represented",
@@ -32,26 +32,26 @@ def fee_totals(sums: DataFrame) -> DataFrame:
     return sums.groupBy(*FEE_KEYS).agg(F.sum("flat_fees_isolated").alias("flat_fees_isolated"))
 
 
-def unmapped_fee_accounts(sums: DataFrame) -> DataFrame:
+def unmapped_fee_accounts(sums: DataFrame, chart: Chart = DEFAULT_CHART) -> DataFrame:
     """J3's report: fee accounts no measure column carries (they adjust
     nothing), with the number of (deal, account) sums and their total; a
     distributed result, not a print."""
-    columns = [account_column(a) for a in ACCOUNTS]
-    mapped = [a for a in ACCOUNTS if column_for_account(a, columns) is not None]
+    columns = chart.columns
+    mapped = [a for a in chart.accounts if column_for_account(a, columns) is not None]
     return (sums.filter(~F.col("account_number").isin(mapped) | F.col("account_number").isNull())
             .groupBy("account_number")
             .agg(F.count(F.lit(1)).alias("n_sums"), F.sum("flat_fees_isolated").alias("flat_fees_isolated")))
 
 
-def fee_by_account(deals: DataFrame, sums: DataFrame, broadcast_fees: bool = False) -> DataFrame:
+def fee_by_account(deals: DataFrame, sums: DataFrame, broadcast_fees: bool = False, chart: Chart = DEFAULT_CHART) -> DataFrame:
     """J2 + J3: one copy of a deal per matching fee account, with that
     account's column reduced by the fee.  Fee accounts outside the chart
     adjust nothing."""
     joined = left_merge(deals, sums, null_safe=FEE_NULL_SAFE, strict=FEE_STRICT, broadcast_side=broadcast_fees)
     acct, fee = F.col("account_number"), F.col("flat_fees_isolated")
-    columns = [account_column(a) for a in ACCOUNTS]
+    columns = chart.columns
     adjusted = {}
-    for account in ACCOUNTS:
+    for account in chart.accounts:
         target = column_for_account(account, columns)
         if target is not None:
             adjusted[target] = (
@@ -64,12 +64,12 @@ def fee_by_account(deals: DataFrame, sums: DataFrame, broadcast_fees: bool = Fal
 
 
 def fee_isolated_ledger(by_account: DataFrame, totals: DataFrame, broadcast_fees: bool = False,
-                        key_rows: DataFrame | None = None) -> DataFrame:
+                        key_rows: DataFrame | None = None, chart: Chart = DEFAULT_CHART) -> DataFrame:
     """Full outer merge with the per-deal fee totals; the flat-fee account
     gains the total (NULL where either side is missing).  ``key_rows``: the
     deal ledger, whose keys are all that a total can meet (J2 changes no key,
     and an AEP-only row has no department)."""
     merged = outer_merge(by_account, totals, null_safe=FEE_NULL_SAFE, strict=FEE_STRICT,
                          broadcast_side=broadcast_fees, key_rows=key_rows)
-    flat = account_column(FLAT_FEE_ACCOUNT)
+    flat = account_column(chart.flat_fee_account)
     return merged.withColumn(flat, F.col(flat) + F.col("flat_fees_isolated"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ReportConfig
-from ..functions.chart import ACCOUNTS, COMPOSITES, account_column
+from ..functions.chart import Chart, account_column
 from ..functions.columns import deal_key, normalized_region
 from ..functions.money import to_cents
 
@@ -37,11 +37,13 @@ def _conditional_sum(match_sql: str) -> str:
 
 
 def _in_list(accounts) -> str:
-    return "account_number IN (" + ", ".join(f"'{a}'" for a in accounts) + ")"
+    return "account_number IN (" + ", ".join(f"'{a}'" for a in accounts) + ")" if accounts else "false"
 
 
-def deal_ledger(lines: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Aggregate windowed ledger lines to the deal grain (money in cents)."""
+def account_sums(lines: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Ledger lines summed at the deal grain: 12 keys, composites, accounts
+    (money in cents).  A grain has one ``ending_period``, so the sums of a
+    period need no other period's lines."""
     keyed = lines.select(
         normalized_region(F.col("market_region"), F.col("location_name"), cfg.split_region).alias("market_region"),
         deal_key(lines).alias("deal_id"),
@@ -49,15 +51,19 @@ def deal_ledger(lines: DataFrame, cfg: ReportConfig) -> DataFrame:
         F.col("account_number").cast("string").alias("account_number"),
         to_cents(F.col("amount")).alias("amount"),
     )
-    composite_aggs = [F.expr(_conditional_sum(_in_list(accts))).alias(name) for name, accts in COMPOSITES]
-    account_aggs = [F.expr(_conditional_sum(f"account_number = '{a}'")).alias(account_column(a)) for a in ACCOUNTS]
-    grouped = keyed.groupBy(*GRAIN_KEYS).agg(*composite_aggs, *account_aggs)
+    chart = cfg.chart
+    composite_aggs = [F.expr(_conditional_sum(_in_list(accts))).alias(name) for name, accts in chart.composites]
+    account_aggs = [F.expr(_conditional_sum(f"account_number = '{a}'")).alias(account_column(a)) for a in chart.accounts]
+    return keyed.groupBy(*GRAIN_KEYS).agg(*composite_aggs, *account_aggs)
+
 
+def deal_measures(sums: DataFrame, chart: Chart) -> DataFrame:
+    """The deal ledger's columns from its sums."""
     gci, referral = F.col("total_gci"), F.col("total_referral")
     commission, aep = F.col("commission_expense"), F.col("aep")
     gci_less_referral = referral + gci
     company_dollar = gci_less_referral + commission
-    return grouped.select(
+    return sums.select(
         *LEADING,
         gci.alias("total_gci"),
         gci_less_referral.alias("gci_less_referral"),
@@ -65,6 +71,21 @@ def deal_ledger(lines: DataFrame, cfg: ReportConfig) -> DataFrame:
         company_dollar.alias("company_dollar"),
         aep.alias("aep"),
         (company_dollar + aep).alias("company_dollar_plus_aep"),
-        *[account_column(a) for a in ACCOUNTS],
+        *[F.col(f"`{c}`") for c in chart.columns],
         *TRAILING,
     )
+
+
+def deal_ledger(lines: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Aggregate windowed ledger lines to the deal grain (money in cents)."""
+    return deal_measures(account_sums(lines, cfg), cfg.chart)
+
+
+def accounts_outside(lines: DataFrame, chart: Chart) -> DataFrame:
+    """Ledger accounts without a measure column, with their lines and amounts:
+    what the deal ledger leaves out.  The chart is broadcast, its size being
+    bounded by ``MOST_ACCOUNTS``."""
+    by = lines.select(F.col("account_number").cast("string").alias("account_number"), to_cents(F.col("amount")).alias("amount"))
+    by = by.groupBy("account_number").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("amount").alias("amount"))
+    known = lines.sparkSession.createDataFrame([(a,) for a in chart.accounts], "known string")
+    return by.join(F.broadcast(known), F.col("account_number") == F.col("known"), "left_anti")

@@ -7,14 +7,20 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.chart import chart_from_table
 from ..functions.columns import money_to_double
+from ..operators.ledger import accounts_outside, deal_ledger
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks
 from ..sources.extracts import fixture_view_inputs
 from ..sources.fixtures import MAIN
-from .pipeline import run
+from ..sources.ledger_store import LedgerStore
+from .pipeline import Stages, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATE = dt.date(2026, 1, 1)
@@ -42,8 +48,59 @@ def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(n, o["rows"]) for n, o in manifest["outputs"].items()], "output string, n_rows long")
 
 
+def split_ledger(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A first delivery, and a second one with the last quarter of 2020 and
+    late lines: one item's of every March."""
+    late = (F.col("ending_period") >= dt.date(2020, 10, 1)) | ((F.month("ending_period") == 3) & (F.col("item_id") == "799"))
+    late = F.coalesce(late, F.lit(False))
+    return ledger.where(~late), ledger.where(late)
+
+
+def incremental(stage: str) -> Query:
+    """A stage over the kept sums of two deliveries."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inputs = fixture_view_inputs(spark, sf_dir)
+        store = LedgerStore(spark, _folder(spark, "ledger"), MAIN)
+        for name, lines in zip(("first", "second"), split_ledger(inputs.ledger(None))):
+            store.deliver(lines, name)
+        stages = Stages(spark, store.inputs(inputs.roster), MAIN)
+        return money_to_double(stages.extracts.transactions if stage == "transactions" else getattr(stages, stage))
+    return q
+
+
+# --- fixed values -----------------------------------------------------------
+# A second company's chart: position, account, measures, whether it carries flat fees.
+SECOND_CHART = (
+    (1, "439901", ["total_gci"], False), (2, "400001", ["total_gci"], False), (3, "400099", ["total_gci"], False),
+    (4, "510002", ["total_referral"], False), (5, "502001", ["commission_expense"], False),
+    (6, "503001", ["commission_expense"], False), (7, "502006", ["aep"], False), (8, "430003", [], True),
+)
+# ---------------------------------------------------------------------------
+
+
+def second_company(spark: SparkSession):
+    """The configuration with the second chart, read from a table."""
+    table = spark.createDataFrame(SECOND_CHART, "position int, account string, measures array<string>, flat_fee boolean")
+    return replace(MAIN, chart=chart_from_table(table))
+
+
+def deal_ledger_second_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A2: the deal ledger by a chart from a table."""
+    cfg = second_company(spark)
+    return money_to_double(deal_ledger(fixture_view_inputs(spark, sf_dir).ledger((cfg.begin, cfg.end)), cfg))
+
+
+def accounts_outside_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: what the second chart leaves out of the whole ledger."""
+    return money_to_double(accounts_outside(fixture_view_inputs(spark, sf_dir).ledger(None), second_company(spark).chart))
+
+
 def operations() -> dict[str, Query]:
     return {
         **{f"published_{name}": published(name) for name in sinks.OUTPUT_NAMES},
         "published_rows": published_rows,
+        "deal_ledger_incremental": incremental("transactions"),
+        "deal_data_incremental": incremental("deal_data"),
+        "deal_ledger_second_chart": deal_ledger_second_chart,
+        "accounts_outside_chart": accounts_outside_chart,
     }

@@ -342,6 +342,30 @@ fil AS (
 """
 
 
+# The deal ledger by the second chart, its accounts as literals.
+SECOND_CHART_LEDGER = """
+SELECT market_region, side_represented, deal_id, listing_type, location_name, department_name, team_id, close_date, ending_period,
+  CAST(final_close_price AS DOUBLE) AS final_close_price, CAST(gci AS DOUBLE) AS total_gci, CAST(referral + gci AS DOUBLE) AS gci_less_referral,
+  CAST(commission AS DOUBLE) AS commission_expense, CAST(referral + gci + commission AS DOUBLE) AS company_dollar, CAST(aep AS DOUBLE) AS aep,
+  CAST(referral + gci + commission + aep AS DOUBLE) AS company_dollar_plus_aep, CAST(a1 AS DOUBLE) AS acct_439901, CAST(a2 AS DOUBLE) AS acct_400001,
+  CAST(a3 AS DOUBLE) AS acct_400099, CAST(a4 AS DOUBLE) AS acct_510002, CAST(a5 AS DOUBLE) AS acct_502001, CAST(a6 AS DOUBLE) AS acct_503001,
+  CAST(a7 AS DOUBLE) AS acct_502006, CAST(a8 AS DOUBLE) AS acct_430003, vendor_agent_id, company_agent_id
+FROM (
+  SELECT {region} AS market_region, {key} AS deal_id, team_id, side_represented, listing_type, location_name, department_name, ending_period, close_date,
+    final_close_price, vendor_agent_id, company_agent_id,
+    SUM(CASE WHEN account_number IN ('439901', '400001', '400099') THEN amount ELSE 0 END) AS gci,
+    SUM(CASE WHEN account_number = '510002' THEN amount ELSE 0 END) AS referral,
+    SUM(CASE WHEN account_number IN ('502001', '503001') THEN amount ELSE 0 END) AS commission,
+    SUM(CASE WHEN account_number = '502006' THEN amount ELSE 0 END) AS aep,
+    SUM(CASE WHEN account_number = '439901' THEN amount ELSE 0 END) AS a1, SUM(CASE WHEN account_number = '400001' THEN amount ELSE 0 END) AS a2,
+    SUM(CASE WHEN account_number = '400099' THEN amount ELSE 0 END) AS a3, SUM(CASE WHEN account_number = '510002' THEN amount ELSE 0 END) AS a4,
+    SUM(CASE WHEN account_number = '502001' THEN amount ELSE 0 END) AS a5, SUM(CASE WHEN account_number = '503001' THEN amount ELSE 0 END) AS a6,
+    SUM(CASE WHEN account_number = '502006' THEN amount ELSE 0 END) AS a7, SUM(CASE WHEN account_number = '430003' THEN amount ELSE 0 END) AS a8
+  FROM lw GROUP BY 1, 2, team_id, side_represented, listing_type, location_name, department_name, ending_period, close_date, final_close_price,
+    vendor_agent_id, company_agent_id)
+"""
+
+
 def _with(cfg: SimpleNamespace, select: str) -> str:
     return f"WITH {ctes(cfg)}\n{select}"
 
@@ -440,4 +464,9 @@ def oracle_queries(main: SimpleNamespace = MAIN) -> dict[str, str]:
     q["published_principal_mix_data"] = labelled(q["cohort_mix"], GROUP)
     q["published_rows"] = " UNION ALL ".join(f"SELECT {_q(name)} AS output, COUNT(*) AS n_rows FROM ({q[source]})" for name, source in (
         ("deal_data", "deal_data"), ("principal_data", "principal_data"), ("principal_mix_data", "cohort_mix")))
+    q["deal_ledger_incremental"] = q["deal_ledger"]
+    q["deal_data_incremental"] = q["deal_data"]
+    q["deal_ledger_second_chart"] = _with(m, SECOND_CHART_LEDGER.format(region=_region(m), key=DEAL_KEY))
+    q["accounts_outside_chart"] = _with(m, """SELECT account_number, COUNT(*) AS n_lines, CAST(SUM(amount) AS DOUBLE) AS amount FROM ledger_lines
+        WHERE account_number NOT IN ('439901', '400001', '400099', '510002', '502001', '503001', '502006', '430003') GROUP BY account_number""")
     return q

@@ -117,16 +117,16 @@ class Stages:
 
     @cached_property
     def unmapped_fee_accounts(self) -> DataFrame:
-        return fees.unmapped_fee_accounts(self.fee_sums)
+        return fees.unmapped_fee_accounts(self.fee_sums, self.cfg.chart)
 
     @cached_property
     def fee_by_account(self) -> DataFrame:
-        return fees.fee_by_account(self.reclassed, self.fees_stored, self._small(self.fees_stored))
+        return fees.fee_by_account(self.reclassed, self.fees_stored, self._small(self.fees_stored), self.cfg.chart)
 
     @cached_property
     def fee_isolated_ledger(self) -> DataFrame:
         return fees.fee_isolated_ledger(self.fee_by_account, self.fee_totals_stored, self._small(self.fee_totals_stored),
-                                        key_rows=self.extracts.transactions)
+                                        key_rows=self.extracts.transactions, chart=self.cfg.chart)
 
     def store(self, name: str) -> DataFrame:
         """Cut lineage at a stage: store it once; all that builds on it reads

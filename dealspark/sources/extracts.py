@@ -28,6 +28,8 @@ Window = tuple[dt.date, dt.date]
 class Inputs:
     ledger: Callable[[Window | None], DataFrame]  # ledger lines with ending_period in the window (None: all)
     roster: DataFrame  # principal roster history
+    # Kept sums of the window's lines at the deal grain (``ledger_store``), where there are any.
+    account_sums: Callable[[Window], DataFrame] | None = None
 
 
 def fixture_view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -207,8 +209,10 @@ class Extracts:
     @cached_property
     def transactions(self) -> DataFrame:
         """Deal ledger (S1), money in exact long cents."""
-        from ..operators.ledger import deal_ledger
+        from ..operators.ledger import deal_ledger, deal_measures
 
+        if self.inputs.account_sums is not None:
+            return deal_measures(self.inputs.account_sums((self.cfg.begin, self.cfg.end)), self.cfg.chart)
         return deal_ledger(ledger_window(self.inputs, self.cfg), self.cfg)
 
     @cached_property
