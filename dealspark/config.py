@@ -93,8 +93,10 @@ class ReportConfig:
     # (the established report); 'market_total': share of the market's total.
     share_mode: str = "positional"
     # A stored side (AEP totals, fee sums, roster) is broadcast only if its
-    # files hold at most this many bytes; beyond it, shuffle joins.
+    # rows, decoded, hold at most this many bytes; beyond it, shuffle joins.
     broadcast_max_bytes: int = 32 << 20
+    # Most bytes of the key bitmap that filters the ledger keys of a shuffled merge.
+    filter_max_bytes: int = 32 << 20
 
     def __post_init__(self) -> None:
         if self.begin > self.end:

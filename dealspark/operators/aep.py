@@ -15,11 +15,12 @@ def aep_totals(aep_lines: DataFrame) -> DataFrame:
     return aep_lines.groupBy(*AEP_KEYS).agg(F.sum("amount").alias("aep_adjusted"))
 
 
-def deal_aep_outer(deals: DataFrame, totals: DataFrame, broadcast_totals: bool = False) -> DataFrame:
+def deal_aep_outer(deals: DataFrame, totals: DataFrame, broadcast_totals: bool = False, total_rows: int | None = None,
+                   filter_max_bytes: int = 32 << 20) -> DataFrame:
     """Every deal with its AEP total, plus AEP totals no deal has (those
     carry only the 6 keys).  A total lands on every deal row sharing its keys.
     ``broadcast_totals`` only after a size check of the totals."""
-    return outer_merge(deals, totals, null_safe=AEP_KEYS, broadcast_side=broadcast_totals)
+    return outer_merge(deals, totals, null_safe=AEP_KEYS, broadcast_side=broadcast_totals, side_rows=total_rows, filter_max_bytes=filter_max_bytes)
 
 
 def reclass_commission(merged: DataFrame) -> DataFrame:

@@ -64,12 +64,13 @@ def fee_by_account(deals: DataFrame, sums: DataFrame, broadcast_fees: bool = Fal
 
 
 def fee_isolated_ledger(by_account: DataFrame, totals: DataFrame, broadcast_fees: bool = False,
-                        key_rows: DataFrame | None = None, chart: Chart = DEFAULT_CHART) -> DataFrame:
+                        key_rows: DataFrame | None = None, chart: Chart = DEFAULT_CHART, total_rows: int | None = None,
+                        filter_max_bytes: int = 32 << 20) -> DataFrame:
     """Full outer merge with the per-deal fee totals; the flat-fee account
     gains the total (NULL where either side is missing).  ``key_rows``: the
     deal ledger, whose keys are all that a total can meet (J2 changes no key,
     and an AEP-only row has no department)."""
     merged = outer_merge(by_account, totals, null_safe=FEE_NULL_SAFE, strict=FEE_STRICT,
-                         broadcast_side=broadcast_fees, key_rows=key_rows)
+                         broadcast_side=broadcast_fees, key_rows=key_rows, side_rows=total_rows, filter_max_bytes=filter_max_bytes)
     flat = account_column(chart.flat_fee_account)
     return merged.withColumn(flat, F.col(flat) + F.col("flat_fees_isolated"))

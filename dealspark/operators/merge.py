@@ -15,7 +15,8 @@ large side (shuffle joins, adaptive skew splitting of hot keys):
     large LEFT JOIN side
   ∪ side LEFT ANTI (large keys).distinct()
   - the large frame is shuffled once on the keys for the left join, and only
-    its distinct keys (partially aggregated map-side) for the anti join.
+    its distinct keys (partially aggregated map-side) for the anti join, of
+    which a bitmap of the side's keys drops most that meet nothing.
 
 Same rows as a full outer join, NULL keys included.
 """
@@ -28,7 +29,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored_bytes
+from ..session import Measured
 
 SIDE = "__r_"
 
@@ -43,10 +44,34 @@ def _prefixed(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return df.select([F.col(c).alias(SIDE + c) if c in keys else F.col(c) for c in df.columns])
 
 
-def fits_broadcast(stored: DataFrame, max_bytes: int) -> bool:
-    """Size check before broadcasting a stored frame: by the bytes of its
-    files, which no job has to count."""
-    return stored_bytes(stored) <= max_bytes
+def fits_broadcast(side: Measured, max_bytes: int) -> bool:
+    """Size check before broadcasting a stored frame: by the decoded bytes of
+    its rows, which were counted while it was stored."""
+    return side.bytes <= max_bytes
+
+
+BITS_PER_ROW = 16  # of a key bitmap: one row in 16 that meets nothing passes
+_BITMAP = 32768  # bits of one row of bitmap_construct_agg
+
+
+def may_meet(rows: DataFrame, side: DataFrame, keys: tuple[str, ...], side_rows: int, max_bytes: int) -> DataFrame:
+    """``rows`` without most of those whose keys no row of ``side`` has: a
+    bitmap over hashed keys, ``BITS_PER_ROW`` for each side row but at most
+    ``max_bytes``, is broadcast and tested where the rows are read.  Every row
+    that meets the side stays (equal keys, NULL like NULL, hash alike); a
+    bitmap that is too small for the side lets more of the others pass."""
+    slots = max(1, min(-(-side_rows * BITS_PER_ROW // _BITMAP), max_bytes * 8 // _BITMAP))
+
+    def slot(df: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(*[df[k] for k in keys]), F.lit(slots * _BITMAP)) + 1
+
+    marks = slot(side)
+    maps = side.groupBy(F.bitmap_bucket_number(marks).alias(SIDE + "map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(marks)).alias(SIDE + "bits"))
+    at = rows.withColumn(SIDE + "slot", slot(rows))
+    at = at.join(F.broadcast(maps), F.bitmap_bucket_number(F.col(SIDE + "slot")) == F.col(SIDE + "map"))
+    bit = F.bitmap_bit_position(F.col(SIDE + "slot"))
+    byte = F.conv(F.hex(F.substring(F.col(SIDE + "bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return at.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*rows.columns)
 
 
 def left_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broadcast_side: bool = False) -> DataFrame:
@@ -62,12 +87,14 @@ def left_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broad
 
 
 def outer_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broadcast_side: bool = False,
-                key_rows: DataFrame | None = None) -> DataFrame:
+                key_rows: DataFrame | None = None, side_rows: int | None = None, filter_max_bytes: int = 32 << 20) -> DataFrame:
     """Full outer join on the keys; key columns are merged (from whichever side
     has the row).  Columns: the large frame's, then the side's non-key ones.
     ``broadcast_side`` selects the broadcast plan and must follow a size check
     of the side (``fits_broadcast``).  ``key_rows`` may name a cheaper frame
-    that holds the same matchable keys as ``large``."""
+    that holds the same matchable keys as ``large``.  With ``side_rows``, the
+    number of side rows, a key bitmap of at most ``filter_max_bytes`` drops
+    most large keys that meet nothing before they are shuffled."""
     null_safe, strict = tuple(null_safe), tuple(strict)
     keys = null_safe + strict
     matched = left_merge(large, side, null_safe, strict, broadcast_side)
@@ -77,6 +104,8 @@ def outer_merge(large: DataFrame, side: DataFrame, null_safe=(), strict=(), broa
         met = large_keys.join(side_keys, _on(large_keys, side_keys, null_safe, strict), "left_semi").distinct()
         met = F.broadcast(_prefixed(met, keys))  # at most one row per side key
     else:
+        if side_rows is not None:
+            large_keys = may_meet(large_keys, side, keys, side_rows, filter_max_bytes)
         met = _prefixed(large_keys.distinct(), keys)
     side_only = side.join(met, _on(side, met, null_safe, strict), "left_anti")
     return matched.unionByName(side_only, allowMissingColumns=True)

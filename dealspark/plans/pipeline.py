@@ -12,7 +12,7 @@ from ..config import ReportConfig
 from ..functions.columns import money_to_decimal
 from ..operators import aep, cohorts, deals, fees, principals, roster
 from ..operators.merge import fits_broadcast
-from ..session import materialize
+from ..session import Measured, materialize, materialize_measured
 from ..sources import extracts
 from ..sources.extracts import Inputs
 from ..sources.sinks import write_outputs
@@ -21,7 +21,7 @@ from ..sources.sinks import write_outputs
 class Stages:
     """Every intermediate result of the job, built on first use.  Building a
     stage after the AEP or fee merge, or a positional share, runs jobs: it
-    stores the merge's side or the numbered cohort rows.  Money stays exact
+    stores the merge's side, the slim roster or the numbered cohort rows.  Money stays exact
     (long cents) throughout."""
 
     def __init__(self, spark: SparkSession, inputs: Inputs, cfg: ReportConfig):
@@ -35,28 +35,28 @@ class Stages:
     def aep_totals(self) -> DataFrame:
         return aep.aep_totals(self.extracts.aep)
 
-    # The merges read their side frame several times (join, key filter, rows
-    # without a partner), so it is stored once on first use; the size check
-    # before broadcasting then reads its bytes, not its rows.
+    # The merges read their side frame several times, so it is stored once on
+    # first use; its rows and decoded bytes are counted on the way, for the
+    # size check before broadcasting and for the key bitmap.
     @cached_property
-    def aep_stored(self) -> DataFrame:
-        return materialize(self.aep_totals, "aep-totals")
+    def aep_stored(self) -> Measured:
+        return materialize_measured(self.aep_totals, "aep-totals")
 
     @cached_property
-    def fees_stored(self) -> DataFrame:
-        return materialize(self.fee_sums, "fee-sums")
-
-    def _small(self, stored: DataFrame) -> bool:
-        return fits_broadcast(stored, self.cfg.broadcast_max_bytes)
+    def fees_stored(self) -> Measured:
+        return materialize_measured(self.fee_sums, "fee-sums")
 
     @cached_property
-    def roster_small(self) -> bool:
-        """The roster's source files bound what is left of it after filters."""
-        return self._small(self.inputs.roster)
+    def roster_stored(self) -> Measured:
+        return materialize_measured(self.roster_slim, "roster-slim")
+
+    def _small(self, stored: Measured) -> bool:
+        return fits_broadcast(stored, self.cfg.broadcast_max_bytes)
 
     @cached_property
     def deal_aep_outer(self) -> DataFrame:
-        return aep.deal_aep_outer(self.extracts.transactions, self.aep_stored, self._small(self.aep_stored))
+        totals = self.aep_stored
+        return aep.deal_aep_outer(self.extracts.transactions, totals.frame, self._small(totals), totals.rows, self.cfg.filter_max_bytes)
 
     @cached_property
     def reclassed(self) -> DataFrame:
@@ -72,11 +72,11 @@ class Stages:
 
     @cached_property
     def deal_data(self) -> DataFrame:
-        return deals.attach_roster(self.deal_rows, self.roster_slim, self.roster_small)
+        return deals.attach_roster(self.deal_rows, self.roster_stored.frame, self._small(self.roster_stored))
 
     @cached_property
     def principal_year(self) -> DataFrame:
-        return principals.principal_year(self.deal_rows, self.roster_slim, self.roster_small)
+        return principals.principal_year(self.deal_rows, self.roster_stored.frame, self._small(self.roster_stored))
 
     @cached_property
     def principal_pivot(self) -> DataFrame:
@@ -112,8 +112,8 @@ class Stages:
         return fees.fee_totals(self.fee_sums)
 
     @cached_property
-    def fee_totals_stored(self) -> DataFrame:
-        return materialize(fees.fee_totals(self.fees_stored), "fee-totals")
+    def fee_totals_stored(self) -> Measured:
+        return materialize_measured(fees.fee_totals(self.fees_stored.frame), "fee-totals")
 
     @cached_property
     def unmapped_fee_accounts(self) -> DataFrame:
@@ -121,12 +121,13 @@ class Stages:
 
     @cached_property
     def fee_by_account(self) -> DataFrame:
-        return fees.fee_by_account(self.reclassed, self.fees_stored, self._small(self.fees_stored), self.cfg.chart)
+        return fees.fee_by_account(self.reclassed, self.fees_stored.frame, self._small(self.fees_stored), self.cfg.chart)
 
     @cached_property
     def fee_isolated_ledger(self) -> DataFrame:
-        return fees.fee_isolated_ledger(self.fee_by_account, self.fee_totals_stored, self._small(self.fee_totals_stored),
-                                        key_rows=self.extracts.transactions, chart=self.cfg.chart)
+        totals = self.fee_totals_stored
+        return fees.fee_isolated_ledger(self.fee_by_account, totals.frame, self._small(totals), key_rows=self.extracts.transactions,
+                                        chart=self.cfg.chart, total_rows=totals.rows, filter_max_bytes=self.cfg.filter_max_bytes)
 
     def store(self, name: str) -> DataFrame:
         """Cut lineage at a stage: store it once; all that builds on it reads

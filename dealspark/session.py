@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job here relies on; cluster launchers may pass their own.
 SESSION_DEFAULTS = {
@@ -65,11 +68,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def stored_bytes(df) -> int:
-    """Bytes of the files behind a stored frame, as the planner knows them."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` once as a Parquet table in the cluster's
     checkpoint folder and reading it back.  Unlike ``Dataset.checkpoint`` this
@@ -79,3 +77,42 @@ def materialize(df, name: str):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+@dataclass(frozen=True)
+class Measured:
+    """A stored frame with its rows and their decoded size, both counted while
+    it was stored."""
+
+    frame: DataFrame
+    rows: int
+    bytes: int
+
+
+def decoded_bytes(schema: T.StructType) -> Column:
+    """Size of a row in memory, as Spark's rows lay it out: eight bytes a
+    field, a bit for each NULL, and what does not fit into eight bytes behind
+    (texts by their length; nested values by their JSON)."""
+    size = F.lit(8 * (len(schema) + -(-len(schema) // 64)))
+    for f in schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            length = F.octet_length(c)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            length = F.octet_length(F.to_json(F.struct(c)))
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
+            length = F.lit(16)
+        else:
+            continue
+        size = size + F.coalesce(F.ceil(length / 8) * 8, F.lit(0))
+    return size.cast("bigint")
+
+
+def materialize_measured(df, name: str) -> Measured:
+    """``materialize`` that counts rows and decoded bytes while it writes: the
+    files alone do not tell, as dictionaries and compression may shrink a
+    column many times."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(decoded_bytes(df.schema)).alias("bytes"))
+    frame = materialize(observed, name)
+    return Measured(frame, seen.get["rows"], seen.get["bytes"] or 0)

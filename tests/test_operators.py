@@ -302,10 +302,91 @@ def test_unmapped_fee_account_is_reported_not_applied(spark):
     assert row["acct_430003"] == 1000
 
 
-def test_size_check_is_by_stored_bytes(spark):
+def test_size_check_is_by_decoded_bytes(spark):
     from dealspark.operators.merge import fits_broadcast
-    df = materialize(spark.range(10_000), "size-check")
-    assert fits_broadcast(df, 1 << 20) and not fits_broadcast(df, 1000)
+    from dealspark.session import materialize_measured
+    long = materialize_measured(spark.range(10_000), "size-check")
+    assert (long.rows, long.bytes) == (10_000, 160_000) and long.frame.count() == 10_000
+    assert fits_broadcast(long, 1 << 20) and not fits_broadcast(long, 1000)
+    # One long text in every row: a dictionary of one entry in the files, two megabytes decoded.
+    same = materialize_measured(spark.range(2_000).select(F.lit("x" * 1000).alias("t"), F.lit(None).cast("string").alias("n")), "size-check")
+    files = sum(len(open(f.removeprefix("file:"), "rb").read()) for f in same.frame.inputFiles())
+    assert files < 100_000 and same.bytes == 2_000 * (1000 + 24) and not fits_broadcast(same, 1 << 20)
+    nested = materialize_measured(spark.createDataFrame([([1, 2], "é")], "a array<int>, s string"), "size-check")
+    assert nested.bytes == 24 + 16 + 8
+    assert materialize_measured(spark.range(0), "size-check").bytes == 0
+
+
+def test_a_compressible_side_over_the_bound_is_shuffled(spark):
+    import dataclasses
+
+    from dealspark.plans.pipeline import Stages
+    from dealspark.sources.extracts import fixture_view_inputs
+    from dealspark.sources.fixtures import MAIN
+
+    from .conftest import SF_SMALL
+    st = Stages(spark, fixture_view_inputs(spark, SF_SMALL), dataclasses.replace(MAIN, broadcast_max_bytes=30_000))
+    wide = st.roster_slim.withColumn("resource_fee_type", F.lit("y" * 20_000))
+    st.__dict__["roster_slim"] = wide
+    files = sum(len(open(f.removeprefix("file:"), "rb").read()) for f in st.roster_stored.frame.inputFiles())
+    assert files < 30_000 < st.roster_stored.bytes
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = st.deal_data._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [line for line in plan.splitlines() if "SortMergeJoin" in line and "roster_team_id" in line]
+
+
+def test_the_key_bitmap_keeps_all_that_meet(spark):
+    from dealspark.operators.merge import may_meet, outer_merge
+    keys = ("deal_id", "team_id")
+    rows = spark.range(50_000).select(F.when(F.col("id") % 9 > 0, F.col("id").cast("string")).alias("deal_id"),
+                                      F.when(F.col("id") % 5 > 0, F.concat(F.lit("T"), F.col("id") % 40)).alias("team_id"), F.col("id").alias("v"))
+    side = rows.where("v % 100 = 0").select(*keys).distinct().withColumn("s", F.lit(1))
+    side = side.unionByName(spark.createDataFrame([("none", "T1", 1), (None, None, 1), ("none", None, 1)], "deal_id string, team_id string, s int")).distinct()
+    n = side.count()
+    cond = [rows[k].eqNullSafe(side[k]) for k in keys]
+    want = sorted(r["v"] for r in rows.join(side, cond[0] & cond[1], "left_semi").collect())
+    for limit in (1 << 20, 4096, 1):  # the smallest bitmap is one of 4 KiB
+        got = may_meet(rows, side, keys, n, limit)
+        assert got.columns == rows.columns
+        seen = {r["v"] for r in got.collect()}
+        assert set(want) <= seen and len(seen) < len(want) + 50_000 // 8
+    full = outer_merge(rows, side, null_safe=keys)
+    assert rows_key(outer_merge(rows, side, null_safe=keys, side_rows=n).collect()) == rows_key(full.collect())
+    strict = outer_merge(rows, side, null_safe=("deal_id",), strict=("team_id",))
+    assert rows_key(outer_merge(rows, side, null_safe=("deal_id",), strict=("team_id",), side_rows=n).collect()) == rows_key(strict.collect())
+    assert may_meet(rows, side.limit(0), keys, 0, 4096).count() == 0
+
+
+def test_the_key_bitmap_bounds_what_the_anti_join_shuffles(spark):
+    """Of 200,000 distinct ledger keys few reach the shuffle before ``distinct``."""
+    from dealspark.operators.merge import outer_merge
+    rows = spark.range(200_000).select(F.col("id").cast("string").alias("deal_id"), F.col("id").alias("v"))
+    side = spark.range(0, 400_000, 4_000).select(F.col("id").cast("string").alias("deal_id"), F.lit(1).alias("s"))
+
+    def shuffled(**options):
+        only = outer_merge(rows, side, null_safe=("deal_id",), **options).where("v IS NULL")
+        only.collect()
+        most, queue = [], [only._jdf.queryExecution().executedPlan()]
+        while queue:
+            node = queue.pop()
+            if node.nodeName() == "AdaptiveSparkPlan":
+                queue.append(node.executedPlan())
+            elif node.nodeName().endswith("QueryStage"):
+                queue.append(node.plan())
+            elif node.nodeName() == "Exchange":
+                most.append((node.child().toString().count("HashAggregate") > 0, node.metrics().apply("shuffleRecordsWritten").value()))
+            children = node.children()
+            queue += [children.apply(i) for i in range(children.size())]
+        return max(n for aggregated, n in most if aggregated)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffled() >= 200_000 and shuffled(side_rows=100) < 100 + 200_000 // 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("rows", [1, 3000])
