@@ -38,15 +38,29 @@ def deal_rows(reclassed: DataFrame) -> DataFrame:
     return fill_numeric_zero(with_splits(reclassed))
 
 
-def attach_roster(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False) -> DataFrame:
+def roster_join(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False,
+                clustered: tuple[str, DataFrame] | None = None) -> DataFrame:
+    """Left join of rows with the principals of their team.  ``clustered``
+    names the rows' bucket key and gives the roster by that key (column
+    ``__roster_key``); then only the roster moves."""
+    if clustered is not None:
+        key, side = clustered
+        return rows.join(side, F.col(key) == F.col("__roster_key"), "left").drop(key, "__roster_key")
+    roster_side = F.broadcast(slim_roster) if broadcast_roster else slim_roster
+    return rows.join(roster_side, F.col("team_id") == F.col("roster_team_id"), "left")
+
+
+def attach_roster(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False,
+                  clustered: tuple[str, DataFrame] | None = None) -> DataFrame:
     """J5 + N6: every deal row once per principal of its team (NULL team never
     matches); the roster's numeric columns are 0 where no principal matched.
 
     ``broadcast_roster`` (only after a size check of the roster) keeps the
-    deal rows where they are; otherwise both sides are shuffled on the team
-    key, with adaptive skew splitting of the deal side."""
-    roster_side = F.broadcast(slim_roster) if broadcast_roster else slim_roster
-    joined = rows.join(roster_side, F.col("team_id") == F.col("roster_team_id"), "left")
+    deal rows where they are; ``clustered`` (see ``roster_join``) does so with
+    bucketed rows; otherwise both sides are shuffled on the team key, with
+    adaptive skew splitting of the deal side."""
+    joined = roster_join(rows, slim_roster, broadcast_roster, clustered)
+    columns = [c for c in rows.columns if clustered is None or c != clustered[0]]
     numeric = [f.name for f in slim_roster.schema.fields if isinstance(f.dataType, T.NumericType)]
-    return fill_numeric_zero(joined.select(*slim_roster.columns, *rows.columns), only=tuple(numeric))
+    return fill_numeric_zero(joined.select(*slim_roster.columns, *columns), only=tuple(numeric))
 

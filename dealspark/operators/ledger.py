@@ -40,24 +40,26 @@ def _in_list(accounts) -> str:
     return "account_number IN (" + ", ".join(f"'{a}'" for a in accounts) + ")" if accounts else "false"
 
 
-def account_sums(lines: DataFrame, cfg: ReportConfig) -> DataFrame:
+def account_sums(lines: DataFrame, cfg: ReportConfig, extra: tuple[str, ...] = ()) -> DataFrame:
     """Ledger lines summed at the deal grain: 12 keys, composites, accounts
     (money in cents).  A grain has one ``ending_period``, so the sums of a
-    period need no other period's lines."""
+    period need no other period's lines.  ``extra`` columns depend on the grain
+    and are carried."""
     keyed = lines.select(
         normalized_region(F.col("market_region"), F.col("location_name"), cfg.split_region).alias("market_region"),
         deal_key(lines).alias("deal_id"),
         *[c for c in GRAIN_KEYS if c not in ("market_region", "deal_id")],
         F.col("account_number").cast("string").alias("account_number"),
         to_cents(F.col("amount")).alias("amount"),
+        *extra,
     )
     chart = cfg.chart
     composite_aggs = [F.expr(_conditional_sum(_in_list(accts))).alias(name) for name, accts in chart.composites]
     account_aggs = [F.expr(_conditional_sum(f"account_number = '{a}'")).alias(account_column(a)) for a in chart.accounts]
-    return keyed.groupBy(*GRAIN_KEYS).agg(*composite_aggs, *account_aggs)
+    return keyed.groupBy(*GRAIN_KEYS, *extra).agg(*composite_aggs, *account_aggs)
 
 
-def deal_measures(sums: DataFrame, chart: Chart) -> DataFrame:
+def deal_measures(sums: DataFrame, chart: Chart, extra: tuple[str, ...] = ()) -> DataFrame:
     """The deal ledger's columns from its sums."""
     gci, referral = F.col("total_gci"), F.col("total_referral")
     commission, aep = F.col("commission_expense"), F.col("aep")
@@ -73,6 +75,7 @@ def deal_measures(sums: DataFrame, chart: Chart) -> DataFrame:
         (company_dollar + aep).alias("company_dollar_plus_aep"),
         *[F.col(f"`{c}`") for c in chart.columns],
         *TRAILING,
+        *extra,
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import ReportConfig
 from ..functions.columns import ratio
+from .deals import roster_join
 
 YEAR_KEYS = ("team_id", "account_team_name", "ending_year", "market_region", "location_name", "listing_type",
              "market", "original_start_date")
@@ -19,7 +20,8 @@ PIVOTED = ("deal_count", "ncd_margin", "gci_less_referral", "commission_expense"
 LEDGER_SIDE = ("team_id", "ending_year", "market_region", "location_name", "listing_type", "deal_id")
 
 
-def principal_year(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False) -> DataFrame:
+def principal_year(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bool = False,
+                   clustered: tuple[str, DataFrame] | None = None) -> DataFrame:
     """A7 + P18: distinct deals (a NULL deal id counts once) and four sums per
     principal and year over the filled deal output, plus the NCD margin.
 
@@ -28,9 +30,9 @@ def principal_year(rows: DataFrame, slim_roster: DataFrame, broadcast_roster: bo
     deal) and only those sums meet the roster.  Then per principal and deal
     (rows of unmatched teams share the NULL principal) and per principal: two
     small aggregations instead of a distinct aggregate."""
-    per_team_deal = rows.groupBy(*LEDGER_SIDE).agg(*[F.sum(c).alias(c) for c in SUMMED])
-    roster_side = F.broadcast(slim_roster) if broadcast_roster else slim_roster
-    joined = per_team_deal.join(roster_side, F.col("team_id") == F.col("roster_team_id"), "left").select(
+    key = (clustered[0],) if clustered else ()
+    per_team_deal = rows.groupBy(*LEDGER_SIDE, *key).agg(*[F.sum(c).alias(c) for c in SUMMED])
+    joined = roster_join(per_team_deal, slim_roster, broadcast_roster, clustered).select(
         F.col("roster_team_id").alias("team_id"),
         *[c for c in YEAR_KEYS if c != "team_id"],
         "deal_id",

@@ -20,6 +20,7 @@ from ..sources import sinks
 from ..sources.extracts import fixture_view_inputs
 from ..sources.fixtures import MAIN
 from ..sources.ledger_store import LedgerStore
+from .colocated import BucketedStages
 from .pipeline import Stages, run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,12 +96,20 @@ def accounts_outside_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return money_to_double(accounts_outside(fixture_view_inputs(spark, sf_dir).ledger(None), second_company(spark).chart))
 
 
+def colocated(stage: str) -> Query:
+    """A stage over bucketed tables."""
+    return lambda spark, sf_dir: money_to_double(getattr(BucketedStages(spark, fixture_view_inputs(spark, sf_dir), MAIN), stage))
+
+
 def operations() -> dict[str, Query]:
     return {
         **{f"published_{name}": published(name) for name in sinks.OUTPUT_NAMES},
         "published_rows": published_rows,
         "deal_ledger_incremental": incremental("transactions"),
         "deal_data_incremental": incremental("deal_data"),
+        "deal_aep_outer_colocated": colocated("deal_aep_outer"),
+        "deal_data_colocated": colocated("deal_data"),
+        "principal_data_colocated": colocated("principal_data"),
         "deal_ledger_second_chart": deal_ledger_second_chart,
         "accounts_outside_chart": accounts_outside_chart,
     }

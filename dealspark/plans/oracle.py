@@ -466,6 +466,8 @@ def oracle_queries(main: SimpleNamespace = MAIN) -> dict[str, str]:
         ("deal_data", "deal_data"), ("principal_data", "principal_data"), ("principal_mix_data", "cohort_mix")))
     q["deal_ledger_incremental"] = q["deal_ledger"]
     q["deal_data_incremental"] = q["deal_data"]
+    for name in ("deal_aep_outer", "deal_data", "principal_data"):
+        q[f"{name}_colocated"] = q[name]
     q["deal_ledger_second_chart"] = _with(m, SECOND_CHART_LEDGER.format(region=_region(m), key=DEAL_KEY))
     q["accounts_outside_chart"] = _with(m, """SELECT account_number, COUNT(*) AS n_lines, CAST(SUM(amount) AS DOUBLE) AS amount FROM ledger_lines
         WHERE account_number NOT IN ('439901', '400001', '400099', '510002', '502001', '503001', '502006', '430003') GROUP BY account_number""")
