@@ -7,3 +7,5 @@ Entry points:
     dealspark.sources.extracts.table_inputs / fixture_view_inputs            # where the ledger and roster come from
     dealspark.config.ReportConfig                                           # everything else
 """
+
+__version__ = "3.0"  # stored stages of another version are not reused

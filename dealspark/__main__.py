@@ -23,6 +23,7 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 
 from .config import from_mapping
+from .functions.chart import chart_from_table
 from .plans.pipeline import run
 from .session import apply_defaults
 from .sources.extracts import fixture_view_inputs, table_inputs
@@ -42,7 +43,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     p.add_argument("--out", required=True)
     p.add_argument("--run-date", type=dt.date.fromisoformat, default=dt.date.today())
     p.add_argument("--format", choices=("csv", "parquet"), default="csv")
-    p.add_argument("--null-label", default=None, help="text written for NULL in CSV output")
+    p.add_argument("--null-label", default=None, help="text written for NULL in the key columns of the two summaries (CSV)")
+    p.add_argument("--chart", help="chart of accounts: catalog table or Parquet path (position, account, measures, flat_fee)")
+    p.add_argument("--stages", help="shared folder where finished stages are kept, so that a rerun goes on after them")
     p.add_argument("--partition-deals-by-year", action="store_true",
                    help="write the deal output in one folder per ending_year")
     a = p.parse_args(argv)
@@ -59,10 +62,12 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
 
     spark = SparkSession.builder.appName("dealspark").getOrCreate()
     apply_defaults(spark)
+    if a.chart:
+        cfg = replace(cfg, chart=chart_from_table(spark.read.parquet(a.chart) if "/" in a.chart else spark.table(a.chart)))
     inputs = fixture_view_inputs(spark, a.fixtures) if a.fixtures else table_inputs(
         spark, a.ledger, a.roster, a.input_format, **names)
     paths = run(spark, inputs, cfg, a.out, a.run_date, fmt=a.format, null_label=a.null_label,
-                partition_deals_by_year=a.partition_deals_by_year)
+                partition_deals_by_year=a.partition_deals_by_year, stage_root=a.stages)
     print(json.dumps(paths))
     return paths
 

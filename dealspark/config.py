@@ -115,6 +115,11 @@ class ReportConfig:
         """Begin date of the AEP and fee extracts (reset rule)."""
         return self.reset_begin if self.begin > self.reset_after else self.begin
 
+    @property
+    def whole_window(self) -> tuple[dt.date, dt.date]:
+        """From the first to the last period that any extract reads."""
+        return min(self.begin, self.side_begin), max(self.end, self.aep_cutoff, self.fee_cutoff)
+
     @property
     def pivot_years(self) -> tuple[int, ...]:
         """Every year a deal row can have: the ledger window and the AEP window

@@ -17,8 +17,8 @@ from ..functions.columns import money_to_double
 from ..operators.ledger import accounts_outside, deal_ledger
 from ..session import ensure_checkpoint_dir
 from ..sources import sinks
-from ..sources.extracts import fixture_view_inputs
-from ..sources.fixtures import MAIN
+from ..sources.extracts import fixture_view_inputs, quarantined
+from ..sources.fixtures import MAIN, text_id_lines
 from ..sources.ledger_store import LedgerStore
 from .colocated import BucketedStages
 from .pipeline import Stages, run
@@ -101,6 +101,23 @@ def colocated(stage: str) -> Query:
     return lambda spark, sf_dir: money_to_double(getattr(BucketedStages(spark, fixture_view_inputs(spark, sf_dir), MAIN), stage))
 
 
+def _text_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected lines of a ledger with text ids."""
+    return quarantined(text_id_lines(fixture_view_inputs(spark, sf_dir).ledger(None)))
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines set aside, with their reason."""
+    columns = ("reason", "deal_id", "deal_line_id", "account_number", "ending_period", "amount")
+    return money_to_double(_text_lines(spark, sf_dir)[1].select(*columns))
+
+
+def deal_ledger_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 over the lines that are left."""
+    lines = _text_lines(spark, sf_dir)[0].where(F.col("ending_period").between(MAIN.begin, MAIN.end))
+    return money_to_double(deal_ledger(lines, MAIN))
+
+
 def operations() -> dict[str, Query]:
     return {
         **{f"published_{name}": published(name) for name in sinks.OUTPUT_NAMES},
@@ -110,6 +127,8 @@ def operations() -> dict[str, Query]:
         "deal_aep_outer_colocated": colocated("deal_aep_outer"),
         "deal_data_colocated": colocated("deal_data"),
         "principal_data_colocated": colocated("principal_data"),
+        "rejected_lines": rejected_lines,
+        "deal_ledger_accepted": deal_ledger_accepted,
         "deal_ledger_second_chart": deal_ledger_second_chart,
         "accounts_outside_chart": accounts_outside_chart,
     }

@@ -468,6 +468,23 @@ def oracle_queries(main: SimpleNamespace = MAIN) -> dict[str, str]:
     q["deal_data_incremental"] = q["deal_data"]
     for name in ("deal_aep_outer", "deal_data", "principal_data"):
         q[f"{name}_colocated"] = q[name]
+    # Lines with text ids: 'n/a' in every 29th deal, '?' in every 37th line id, amounts times 10^15 and periods left out here and there.
+    text = f"""WITH {ctes(m)}, texts AS (
+      SELECT * REPLACE (
+        CASE WHEN deal_id % 29 = 0 THEN 'n/a' WHEN deal_id IS NOT NULL THEN deal_id || '.0' END AS deal_id,
+        CASE WHEN deal_line_id % 37 = 0 THEN '?' ELSE deal_line_id::VARCHAR END AS deal_line_id,
+        CASE WHEN abs(amount) % 211 < 1 THEN amount::DECIMAL(38,2) * 1000000000000000::DECIMAL(16,0) ELSE amount::DECIMAL(38,2) END AS amount,
+        CASE WHEN final_close_price % 97 < 1 THEN NULL ELSE ending_period END AS ending_period)
+      FROM ledger_lines
+    ), judged AS (
+      SELECT *, CASE WHEN deal_id = 'n/a' OR (deal_id IS NULL AND deal_line_id = '?') THEN 'deal id is not a number'
+        WHEN ending_period IS NULL THEN 'no ending period' WHEN abs(amount) >= 10000000000000000 THEN 'amount too large' END AS reason
+      FROM texts)"""
+    q["rejected_lines"] = text + """
+      SELECT reason, deal_id, deal_line_id, account_number, ending_period, CAST(amount AS DOUBLE) AS amount FROM judged WHERE reason IS NOT NULL"""
+    q["deal_ledger_accepted"] = _with(m, f"SELECT {_out(DL_COLS, DL_MONEY)} FROM dl").replace(f"ledger_lines AS ({LEDGER_LINES_SQL})", f"""ledger_lines AS (
+      SELECT * FROM ({LEDGER_LINES_SQL}) WHERE NOT coalesce(deal_id % 29 = 0, deal_line_id % 37 = 0, FALSE) AND NOT final_close_price % 97 < 1
+        AND NOT coalesce(abs(amount) % 211 < 1, FALSE))""")
     q["deal_ledger_second_chart"] = _with(m, SECOND_CHART_LEDGER.format(region=_region(m), key=DEAL_KEY))
     q["accounts_outside_chart"] = _with(m, """SELECT account_number, COUNT(*) AS n_lines, CAST(SUM(amount) AS DOUBLE) AS amount FROM ledger_lines
         WHERE account_number NOT IN ('439901', '400001', '400099', '510002', '502001', '503001', '502006', '430003') GROUP BY account_number""")

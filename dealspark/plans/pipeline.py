@@ -15,7 +15,8 @@ from ..operators.merge import fits_broadcast
 from ..session import Measured, materialize, materialize_measured
 from ..sources import extracts
 from ..sources.extracts import Inputs
-from ..sources.sinks import write_outputs
+from ..sources.sinks import REJECTED, write_outputs
+from .restart import StageStore
 
 
 class Stages:
@@ -24,8 +25,8 @@ class Stages:
     stores the merge's side, the slim roster or the numbered cohort rows.  Money stays exact
     (long cents) throughout."""
 
-    def __init__(self, spark: SparkSession, inputs: Inputs, cfg: ReportConfig):
-        self.spark, self.inputs, self.cfg = spark, inputs, cfg
+    def __init__(self, spark: SparkSession, inputs: Inputs, cfg: ReportConfig, kept: StageStore | None = None):
+        self.spark, self.inputs, self.cfg, self.kept = spark, inputs, cfg, kept
 
     @cached_property
     def extracts(self) -> extracts.Extracts:
@@ -131,9 +132,11 @@ class Stages:
 
     def store(self, name: str) -> DataFrame:
         """Cut lineage at a stage: store it once; all that builds on it reads
-        the stored table."""
-        self.__dict__[name] = materialize(getattr(self, name), name)
-        return self.__dict__[name]
+        the stored table.  With a stage store, a stage that an earlier run
+        finished is not even built."""
+        stored = self.kept.get(name, lambda: getattr(self, name)) if self.kept else materialize(getattr(self, name), name)
+        self.__dict__[name] = stored
+        return stored
 
 
 @dataclass(frozen=True)
@@ -157,8 +160,10 @@ def build_outputs(stages: Stages) -> Outputs:
 
 
 def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, run_date: dt.date,
-        fmt: str = "csv", null_label: str | None = None, partition_deals_by_year: bool = False) -> dict[str, str]:
-    """Run the job and write the three outputs.
+        fmt: str = "csv", null_label: str | None = None, partition_deals_by_year: bool = False,
+        stage_root: str | None = None) -> dict[str, str]:
+    """Run the job and publish the three outputs, and the rejected lines where
+    the source may have any.
 
     The deal rows (ledger pivot + AEP reclass + splits, before the roster
     fan-out) feed the deal output and both summaries, and the principal summary
@@ -166,10 +171,16 @@ def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, r
     cluster's checkpoint folder: the outputs read those tables - the summaries
     only the columns they use - and a lost executor does not send the job back
     to the raw ledger.  ``partition_deals_by_year`` writes the deal output in
-    one folder per ``ending_year``."""
-    stages = Stages(spark, inputs, cfg)
+    one folder per ``ending_year``.  With ``stage_root`` the stored stages are
+    kept there, and a rerun over the same inputs (their ``version``) and
+    settings goes on after the last one finished."""
+    if stage_root and not inputs.version:
+        raise ValueError("stages are kept for inputs of a known version only")
+    stages = Stages(spark, inputs, cfg, StageStore(spark, stage_root, cfg, inputs.version) if stage_root else None)
     stages.store("deal_rows")
     stages.store("principal_data")
     partition_by = {"deal_data": ("ending_year",)} if partition_deals_by_year else None
-    return write_outputs(build_outputs(stages).as_dict(), out_base, run_date, fmt=fmt, null_label=null_label,
-                         partition_by=partition_by)
+    outputs = build_outputs(stages).as_dict()
+    if inputs.rejected is not None:
+        outputs[REJECTED] = inputs.rejected(cfg.whole_window)
+    return write_outputs(outputs, out_base, run_date, fmt=fmt, null_label=null_label, partition_by=partition_by)

@@ -12,16 +12,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ReportConfig
 from ..functions.columns import deal_key, normalized_region
-from ..functions.money import to_cents
-from . import fixtures
+from ..functions.money import SOURCE_MONEY, to_cents
+from . import files, fixtures
 
 Window = tuple[dt.date, dt.date]
+STORED_ORDER = ("ending_period", "account_number", "item_id")  # of the lines in a stored file
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,10 @@ class Inputs:
     roster: DataFrame  # principal roster history
     # Kept sums of the window's lines at the deal grain (``ledger_store``), where there are any.
     account_sums: Callable[[Window], DataFrame] | None = None
+    # Lines of the window, and those without a period, that the job cannot use, with a reason; where the source may have any.
+    rejected: Callable[[Window], DataFrame] | None = None
+    # What tells one state of the input tables from another (``plans.restart``), where known.
+    version: str | None = None
 
 
 def fixture_view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -47,9 +52,12 @@ def store_inputs(inputs: Inputs, root: str) -> tuple[str, str]:
     """Write ``inputs`` as tables under ``root``: the ledger partitioned by
     ``ending_period`` (how a ledger table is kept), the roster as plain
     Parquet; the paths are returned.  The rebalance hint sizes the write
-    tasks by the data: a large period is split, small ones share a task."""
+    tasks by the data: a large period is split, small ones share a task.  A
+    file's lines are sorted by account and item, so that its statistics let
+    the AEP and fee scans (F2, F3) skip most of it."""
     ledger, roster = f"{root.rstrip('/')}/ledger_lines", f"{root.rstrip('/')}/principal_roster"
-    inputs.ledger(None).hint("rebalance", "ending_period").write.mode("overwrite").partitionBy("ending_period").parquet(ledger)
+    lines = inputs.ledger(None).hint("rebalance", "ending_period").sortWithinPartitions(*STORED_ORDER)
+    lines.write.mode("overwrite").partitionBy("ending_period").parquet(ledger)
     inputs.roster.write.mode("overwrite").parquet(roster)
     return ledger, roster
 
@@ -87,6 +95,39 @@ def checked_ledger(lines: DataFrame) -> DataFrame:
     return lines.select(*LEDGER_COLUMNS)
 
 
+# Reasons for which a line is set aside.
+NO_DEAL, TOO_LARGE, NO_PERIOD = "deal id is not a number", "amount too large", "no ending period"
+
+
+def rejection(lines: DataFrame) -> Column:
+    """Why a line cannot be used, NULL if it can: its deal id (or the line id
+    in its place) is a text that is no number, its amount does not fit
+    ``decimal(18,2)``, or it has no period and so is in no window.  Columns
+    whose type rules a reason out cost nothing."""
+    types = {f.name: f.dataType for f in lines.schema.fields}
+    reason = F.when(F.col("ending_period").isNull(), F.lit(NO_PERIOD))
+    if isinstance(types["deal_id"], T.StringType) or isinstance(types["deal_line_id"], T.StringType):
+        key = F.coalesce(F.col("deal_id").cast("string"), F.col("deal_line_id").cast("string"))
+        number = F.round(key.try_cast("decimal(38,6)"), 0).try_cast("bigint")
+        reason = F.when(key.isNotNull() & number.isNull(), F.lit(NO_DEAL)).otherwise(reason)
+    if not isinstance(types["amount"], T.DecimalType) or types["amount"].precision - types["amount"].scale > 16:
+        large = F.col("amount").isNotNull() & F.col("amount").try_cast(SOURCE_MONEY).isNull()
+        reason = F.when(large & reason.isNull(), F.lit(TOO_LARGE)).otherwise(reason)
+    return reason
+
+
+def quarantined(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines the job can use, and the others with their ``reason``; both
+    read the source on their own.  Where the types rule all reasons but the
+    missing period out, the first are the lines as they are: a window drops
+    lines without a period anyway, and its filter alone reaches the scan."""
+    reason = rejection(lines)
+    types = {f.name: f.dataType for f in lines.schema.fields}
+    safe = not any(isinstance(types[c], T.StringType) for c in ("deal_id", "deal_line_id")) and (
+        isinstance(types["amount"], T.DecimalType) and types["amount"].precision - types["amount"].scale <= 16)
+    return lines if safe else lines.where(reason.isNull()), lines.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def renamed(df: DataFrame, names: dict[str, str] | None) -> DataFrame:
     """``df`` with source column names mapped to the job's."""
     if missing := [c for c in names or {} if c not in df.columns]:
@@ -98,15 +139,23 @@ def table_inputs(spark: SparkSession, ledger: str, roster: str, fmt: str = "parq
                  ledger_names: dict[str, str] | None = None, roster_names: dict[str, str] | None = None) -> Inputs:
     """Inputs over stored tables: a catalog name, or a path read with ``fmt``,
     with columns renamed from the source's names.  Storing the ledger
-    partitioned by ``ending_period`` makes the window a partition filter."""
+    partitioned by ``ending_period`` makes the window a partition filter.
+    Lines that cannot be used are set aside (``rejected``)."""
 
     def load(name: str) -> DataFrame:
         return spark.read.format(fmt).load(name) if "/" in name else spark.table(name)
 
-    base = checked_ledger(renamed(load(ledger), ledger_names))
+    base, rejected = quarantined(checked_ledger(renamed(load(ledger), ledger_names)))
+    paths = [name for name in (ledger, roster) if "/" in name]
+
+    def within(w: Window) -> Column:
+        return F.col("ending_period").between(F.lit(w[0]), F.lit(w[1]))
+
     return Inputs(
-        ledger=lambda w: base if w is None else base.filter(F.col("ending_period").between(F.lit(w[0]), F.lit(w[1]))),
+        ledger=lambda w: base if w is None else base.filter(within(w)),
         roster=renamed(load(roster), roster_names),
+        rejected=lambda w: rejected.filter(F.col("ending_period").isNull() | within(w)),
+        version=files.fingerprint(spark, paths) if len(paths) == 2 else None,
     )
 
 

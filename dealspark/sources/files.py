@@ -4,6 +4,7 @@ removing folders)."""
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from dataclasses import dataclass
 
@@ -64,5 +65,17 @@ def listed(spark: SparkSession, folder: str) -> list[Entry]:
     return sorted(found, key=lambda e: e.name)
 
 
+def fingerprint(spark: SparkSession, folders: list[str]) -> str:
+    """A digest of the files below the folders: path, size and time of change."""
+    seen = hashlib.sha256()
+    for folder in folders:
+        found, lines = _fs(spark, folder).listFiles(_path(spark, folder), True), []
+        while found.hasNext():
+            s = found.next()
+            lines.append(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}")
+        seen.update("\n".join(sorted(lines)).encode() + b"\n\n")
+    return seen.hexdigest()
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     _fs(spark, folder).delete(_path(spark, folder), True)

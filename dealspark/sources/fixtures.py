@@ -150,6 +150,19 @@ def ledger_lines(spark: SparkSession, sf_dir: str, period: tuple[dt.date, dt.dat
     return window(ledger_base(spark, sf_dir), period)
 
 
+def text_id_lines(lines: DataFrame) -> DataFrame:
+    """Ledger lines as a source with text ids may deliver them: numbers with
+    decimals, now and then a text that is none, and amounts of any size
+    (FIXTURES.md section 6)."""
+    deal, amount = F.col("deal_id"), F.col("amount").cast("decimal(38,2)")
+    return lines.withColumns({
+        "deal_id": F.when(deal % 29 == 0, F.lit("n/a")).otherwise(F.concat(deal.cast("string"), F.lit(".0"))),
+        "deal_line_id": F.when(F.col("deal_line_id") % 37 == 0, F.lit("?")).otherwise(F.col("deal_line_id").cast("string")),
+        "amount": F.when(F.abs(amount) % 211 < 1, amount * F.lit(10**15).cast("decimal(16,0)")).otherwise(amount).cast("decimal(38,2)"),
+        "ending_period": _null_when(F.col("final_close_price") % 97 < 1, F.col("ending_period")),
+    })
+
+
 def principal_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Principal-agent roster history (schema: FIXTURES.md section 1)."""
     s = _table(spark, sf_dir, "supplier")

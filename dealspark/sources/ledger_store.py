@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from ..config import ReportConfig
 from ..operators.ledger import account_sums
 from . import files
-from .extracts import LEDGER_COLUMNS, Inputs, Window, checked_ledger
+from .extracts import LEDGER_COLUMNS, STORED_ORDER, Inputs, Window, checked_ledger
 
 MANIFEST = "ledger.json"
 
@@ -68,7 +68,7 @@ class LedgerStore:
         the recomputed periods."""
         folder = f"lines/{name}-{uuid.uuid4().hex}"
         # A period's files are sorted by account and item, so that their statistics rule pages out.
-        rows = checked_ledger(lines).hint("rebalance", "ending_period").sortWithinPartitions("ending_period", "account_number", "item_id")
+        rows = checked_ledger(lines).hint("rebalance", "ending_period").sortWithinPartitions(*STORED_ORDER)
         rows.write.partitionBy("ending_period").parquet(f"{self.root}/{folder}")
         manifest = self._manifest()
         # One row for each period: as many as the calendar has months.
@@ -142,7 +142,9 @@ class LedgerStore:
 
     def inputs(self, roster: DataFrame) -> Inputs:
         """The job's inputs, the deal ledger from the kept sums."""
-        return Inputs(ledger=self.lines, roster=roster, account_sums=self.account_sums)
+        self.close_open()
+        version = hashlib.sha256(json.dumps(self._manifest(), sort_keys=True).encode()).hexdigest()
+        return Inputs(ledger=self.lines, roster=roster, account_sums=self.account_sums, version=version)
 
 
 def _is_date(text: str) -> bool:

@@ -25,6 +25,7 @@ from ..operators.principals import INDEX
 from . import files
 
 OUTPUT_NAMES = ("deal_data", "principal_data", "principal_mix_data")
+REJECTED = "rejected_lines"
 # Columns that carry the label for NULL: the keys of the two summaries.  The
 # deal output and all measures keep NULL.
 LABELLED = {"principal_data": INDEX, "principal_mix_data": GROUP}
@@ -60,9 +61,10 @@ def write_frame(df: DataFrame, path: str, fmt: str = "csv", null_label: str | No
 
 def write_outputs(outputs: dict[str, DataFrame], base: str, run_date: dt.date, fmt: str = "csv",
                   null_label: str | None = None, partition_by: dict[str, tuple[str, ...]] | None = None) -> dict[str, str]:
-    """Write the outputs and publish them together; their folders."""
+    """Write the outputs, and what else is given (``rejected_lines``), and
+    publish them together; their folders."""
     spark, run, written = next(iter(outputs.values())).sparkSession, uuid.uuid4().hex, {}
-    for name in OUTPUT_NAMES:
+    for name in (*OUTPUT_NAMES, *sorted(set(outputs) - set(OUTPUT_NAMES))):
         path, counted = run_path(base, name, run_date, run), Observation(f"rows-{name}-{run}")
         df = outputs[name].observe(counted, F.count(F.lit(1)).alias("rows"))
         df = write_frame(df, path, fmt, null_label, LABELLED.get(name, ()), (partition_by or {}).get(name, ()))
@@ -99,7 +101,7 @@ def remove_unpublished(spark: SparkSession, base: str, older_than_hours: float)
     root, gone = base.rstrip("/"), []
     named = {read_manifest(spark, base, dt.date.fromisoformat(e.name.removesuffix(".json")))["run"]
              for e in files.listed(spark, f"{root}/{MANIFESTS}") if e.name.endswith(".json")}
-    for name in OUTPUT_NAMES:
+    for name in (*OUTPUT_NAMES, REJECTED):
         for day in files.listed(spark, f"{root}/{name}"):
             for run in files.listed(spark, day.path):
                 if run.name.removeprefix("run=") not in named and time.time() - run.changed > older_than_hours * 3600:

@@ -181,3 +181,42 @@ def test_null_teams_are_split_too(skew_session):
     slim = spark.createDataFrame([("T3", "C", 3)], "roster_team_id string, account_team_name string, number_of_agents int")
     out = attach_roster(rows, slim, broadcast_roster=False)
     assert len(out.collect()) == 200000
+
+
+def rows_read(df):
+    df.collect()
+    found, queue = 0, [df._jdf.queryExecution().executedPlan()]
+    while queue:
+        node = queue.pop()
+        if node.nodeName().startswith("Scan"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        queue += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_sorted_files_let_the_side_scans_skip_lines(spark, tmp_path):
+    """One period of 300,000 lines: pages without the AEP account or a fee item are not read."""
+    from pyspark.sql import functions as F
+
+    from dealspark.sources.extracts import Extracts, Inputs, checked_ledger, STORED_ORDER
+    small = fixture_view_inputs(spark, SF_SMALL)
+    line = small.ledger(None).limit(3000).drop("ending_period", "account_number", "item_id", "item_type_name")
+    many = line.crossJoin(spark.range(100).select((F.col("id") * 7919 % 100).alias("n"))).select(
+        "*", F.to_date(F.lit("2020-03-31")).alias("ending_period"),
+        F.when(F.col("n") % 10 == 0, "502001").otherwise(F.concat(F.lit("4000"), F.col("n"))).alias("account_number"),
+        F.when(F.col("n") == 7, "799").otherwise("1").alias("item_id"), F.when(F.col("n") % 20 == 0, "AEP").otherwise("STD").alias("item_type_name")).drop("n")
+    read = {}
+    for name, df in (("as they come", many.repartition(1)), ("stored", None)):
+        if df is None:
+            path = store_inputs(Inputs(ledger=lambda w: many.coalesce(1), roster=small.roster), str(tmp_path))[0]
+        else:
+            path = f"{tmp_path}/plain"
+            df.write.partitionBy("ending_period").parquet(path)
+        base = checked_ledger(spark.read.parquet(path))
+        got = Extracts(Inputs(ledger=lambda w: base.where(F.col("ending_period").between(*w)), roster=small.roster), MAIN)
+        read[name] = [(rows_read(x), x.count()) for x in (got.aep, got.fees)]
+    plain, stored = read["as they come"], read["stored"]
+    assert [n for _, n in plain] == [n for _, n in stored] == [15_000, 3_000]
+    assert all(a == 300_000 for a, _ in plain) and stored[0][0] < 100_000 and stored[1][0] < 100_000
+    assert STORED_ORDER[0] == "ending_period"

@@ -1,0 +1,70 @@
+"""Lines that cannot be used are set aside with a reason; the others go on."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from dealspark.plans.pipeline import Stages, run
+from dealspark.sources import extracts as E
+from dealspark.sources.extracts import fixture_view_inputs, store_inputs, table_inputs
+from dealspark.sources.fixtures import MAIN, text_id_lines
+from dealspark.sources.sinks import read_manifest, read_outputs
+
+from .conftest import SF_SMALL
+from .test_plans import plan_text
+
+D = dt.date(2020, 1, 31)
+
+
+def rows(df):
+    return sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+
+
+def test_reasons(spark):
+    cases = [("12", "n/a", "5.00", D, None), ("12.0", None, "5.00", D, None), (" 7 ", None, None, D, None), (None, "8", "1.00", D, None),
+             (None, None, "1.00", D, None), ("n/a", "8", "1.00", D, E.NO_DEAL), ("", None, "1.00", D, E.NO_DEAL), (None, "x", "1.00", D, E.NO_DEAL),
+             ("9" * 30, None, "1.00", D, E.NO_DEAL), ("12", None, "1.00", None, E.NO_PERIOD), ("12", None, "9999999999999999.99", D, None),
+             ("12", None, "10000000000000000.00", D, E.TOO_LARGE), ("n/a", None, "10000000000000000.00", None, E.NO_DEAL)]
+    df = spark.createDataFrame([(a, b, None if c is None else Decimal(c), d, r) for a, b, c, d, r in cases],
+                               "deal_id string, deal_line_id string, amount decimal(38,2), ending_period date, want string")
+    got = df.withColumn("got", E.rejection(df)).collect()
+    assert [(r["deal_id"], r["got"]) for r in got] == [(r["deal_id"], r["want"]) for r in got]
+    kept, gone = E.quarantined(df)
+    assert kept.count() + gone.count() == len(cases) and gone.where("reason <> want OR want IS NULL").count() == 0
+
+
+@pytest.fixture(scope="module")
+def text_inputs(spark, tmp_path_factory):
+    views = fixture_view_inputs(spark, SF_SMALL)
+    text = text_id_lines(views.ledger(None))
+    return table_inputs(spark, *store_inputs(E.Inputs(ledger=lambda w: text, roster=views.roster), str(tmp_path_factory.mktemp("texts"))))
+
+
+def test_the_job_runs_over_a_ledger_with_broken_lines(spark, text_inputs, tmp_out):
+    run(spark, text_inputs, MAIN, tmp_out, dt.date(2026, 1, 1), fmt="parquet")
+    back = read_outputs(spark, tmp_out)
+    rejected = back["rejected_lines"]
+    assert {r["reason"] for r in rejected.select("reason").distinct().collect()} == {E.NO_DEAL, E.TOO_LARGE, E.NO_PERIOD}
+    assert read_manifest(spark, tmp_out)["outputs"]["rejected_lines"]["rows"] == rejected.count()
+    # The other outputs are those of the lines that are left, given with numbers as ids.
+    views = fixture_view_inputs(spark, SF_SMALL)
+    good = views.ledger(None).where("NOT coalesce(deal_id % 29 = 0, deal_line_id % 37 = 0, false) AND NOT final_close_price % 97 < 1 "
+                                    "AND NOT coalesce(abs(amount) % 211 < 1, false)")
+    clean = E.Inputs(ledger=lambda w: good if w is None else good.where(F.col("ending_period").between(*w)), roster=views.roster)
+    run(spark, clean, MAIN, f"{tmp_out}/clean", dt.date(2026, 1, 1), fmt="parquet")
+    want = read_outputs(spark, f"{tmp_out}/clean")
+    assert "rejected_lines" not in want
+    for name in want:
+        assert rows(back[name]) == rows(want[name]), name
+
+
+def test_sound_types_cost_no_filter(spark, tmp_out):
+    views = fixture_view_inputs(spark, SF_SMALL)
+    inputs = table_inputs(spark, *store_inputs(views, tmp_out))
+    text = plan_text(inputs.ledger((MAIN.begin, MAIN.end)))
+    assert "try_cast" not in text and "CASE WHEN" not in text
+    gone = inputs.rejected(MAIN.whole_window)
+    assert gone.count() == 0 and "PartitionFilters: [" in plan_text(gone)
+    assert Stages(spark, inputs, MAIN).deal_rows.count() > 0
