@@ -18,7 +18,7 @@ from ..operators.ledger import GRAIN_KEYS, account_sums, deal_measures
 from ..sources.extracts import Inputs, ledger_window
 from .pipeline import Stages
 
-BUCKETS, SALTS = 16, 4
+BUCKETS, SALTS = 16, 16
 OTHER_GRAIN = tuple(k for k in GRAIN_KEYS if k not in AEP_KEYS)
 TEAM = ("team_id",)
 TEAM_OTHERS = ("deal_id", "ending_period", "market_region", "location_name", "listing_type")
