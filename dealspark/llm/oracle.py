@@ -23,7 +23,7 @@ WITH words AS (
     coalesce(n_lines, 0)::BIGINT AS n_lines,
     len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1]))::BIGINT AS n_adjacent_words,
     length(regexp_replace(text, '[^A-Za-z]+', '', 'g'))::BIGINT AS n_letters,
-    length(regexp_replace(text, '[^A-Z]+', '', 'g'))::BIGINT AS n_capitals
+    length(regexp_replace(text, '[^A-Z]+', '', 'g'))::BIGINT AS n_capitals, (strlen(text) - length(text))::BIGINT AS n_wide
   FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
 ), judged AS (
   SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END
@@ -32,10 +32,18 @@ WITH words AS (
     + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
     + CASE WHEN 100 * n_adjacent_words > 30 * n_words THEN 16 ELSE 0 END
     + CASE WHEN 100 * n_capitals > 50 * n_letters THEN 32 ELSE 0 END
-    + CASE WHEN word_chars < 2 * n_words OR word_chars > 40 * n_words THEN 64 ELSE 0 END)::BIGINT AS fail_bits
+    + CASE WHEN word_chars < 2 * n_words OR word_chars > 40 * n_words THEN 64 ELSE 0 END
+    + CASE WHEN 100 * n_capitals > 50 * n_letters AND 2 * n_wide <= word_chars THEN 128 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words OR (word_chars > 40 * n_words AND 2 * n_wide <= word_chars) THEN 256 ELSE 0 END)::BIGINT AS fail_bits
   FROM measured
+), named AS (
+  SELECT *, CASE fail_bits & 415 WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_windows' WHEN 4 THEN 'symbols' WHEN 8 THEN 'duplicate_lines'
+    WHEN 16 THEN 'adjacent_repeats' WHEN 128 THEN 'ascii_capitals' WHEN 256 THEN 'ascii_word_length' END AS only_rule
+  FROM judged
 )
-SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM judged
+SELECT *, (fail_bits & 3) <> 0 AS base_failed, (fail_bits & 415) = 0 AS kept, (fail_bits & 127) = 0 AS kept_clean_1,
+  CASE WHEN only_rule IS NOT NULL THEN count(*) OVER (PARTITION BY only_rule) END AS given_back
+FROM named
 """
 
 WATER_FILLING = r"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (exact_dedup, hilbert, html_extract, jaccard_join, mixing, packing, prefix_trie, quality_classifier, rule_ledger, simhash,
                toxicity, vector_codes, warc)
+from ..session import materialize
 from .common import table
 
 
@@ -28,13 +29,12 @@ def op2_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = rule_ledger.build_ledger(table(spark, sf_dir, "documents"))
-    ledger = ledger.withColumn("base_failed", rule_ledger.fails(F.col("fail_bits"), rule_ledger.BASE))
-    judged = rule_ledger.apply_policy(ledger, rule_ledger.CLEAN)
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         "kept", "n_lines", "n_adjacent_words", "n_letters", "n_capitals",
-                         # The column has the bits of version 1; ``kept`` follows the current version.
-                         F.col("fail_bits").bitwiseAND(F.lit(rule_ledger.CLEAN_1.mask).cast("bigint")).alias("fail_bits"))
+    # Stored once: policies and ablations read the ledger, not the texts.
+    ledger = materialize(rule_ledger.build_ledger(table(spark, sf_dir, "documents")), "rule-ledger")
+    judged = rule_ledger.judged(ledger, (rule_ledger.CLEAN_1,), rule_ledger.CLEAN)
+    judged = judged.withColumn("base_failed", rule_ledger.fails(F.col("fail_bits"), rule_ledger.BASE))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines",
+                         "n_adjacent_words", "n_letters", "n_capitals", "n_wide", "fail_bits", "kept_clean_1", "only_rule", "given_back")
 
 
 def op4_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:

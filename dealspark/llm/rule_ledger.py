@@ -161,6 +161,22 @@ def ablations(ledger: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> Dat
         count(hit.bitwiseAND(F.col("bit")) != 0).alias("failed_rule"), count(hit == F.col("bit")).alias("only_this_rule"))
 
 
+def judged(ledger: DataFrame, policies: tuple[Policy, ...], current: Policy) -> DataFrame:
+    """A stored ledger with the verdict of every policy (``kept_<name>_<version>``;
+    ``kept``: of the current one) and, from the ablations of the current one:
+    ``only_rule``, the rule that alone rejects the document, and ``given_back``,
+    how many documents dropping that rule would give back.  The ablations have
+    one row per rule and are broadcast."""
+    bits = {r.name: 1 << r.bit for r in RULES}
+    hit = F.col("fail_bits").bitwiseAND(F.lit(current.mask).cast("bigint"))
+    only = F.coalesce(*[F.when(hit == bits[r], F.lit(r)) for r in current.rules])
+    back = ablations(ledger, (current,)).select(F.col("rule").alias("only_rule"), F.col("only_this_rule").alias("given_back"))
+    out = apply_policy(ledger, current)
+    for p in policies:
+        out = apply_policy(out, p, f"kept_{p.name}_{p.version}")
+    return out.withColumn("only_rule", only).join(F.broadcast(back), "only_rule", "left")
+
+
 def filter_documents(docs: DataFrame, policy: Policy = CLEAN, text: str = "text") -> DataFrame:
     """The documents the policy keeps, all their columns unchanged."""
     measured = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), measure(F.col(text)).alias("m"),

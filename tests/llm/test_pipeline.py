@@ -18,10 +18,13 @@ def test_stages():
 
 
 def keeps(text):
+    """The clean policy, version 2."""
     m = brute_measures(text)
+    ascii_text = 2 * (len((text or "").encode()) - len(text or "")) <= m["word_chars"]
     return not (m["n_words"] < 20 or 100 * m["n_repeat_words"] > 30 * m["n_words"] or 100 * m["n_symbols"] > 30 * m["n_words"]
                 or 100 * m["n_dup_lines"] > 50 * m["n_lines"] or 100 * m["n_adjacent_words"] > 30 * m["n_words"]
-                or 100 * m["n_capitals"] > 50 * m["n_letters"] or not 2 * m["n_words"] <= m["word_chars"] <= 40 * m["n_words"])
+                or (ascii_text and 100 * m["n_capitals"] > 50 * m["n_letters"]) or m["word_chars"] < 2 * m["n_words"]
+                or (ascii_text and m["word_chars"] > 40 * m["n_words"]))
 
 
 def test_pipeline_against_brute_force(spark):
