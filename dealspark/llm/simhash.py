@@ -179,7 +179,8 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: in
     chosen = linked.groupBy("component").agg(F.min("best").alias("chosen"))
     chosen = linked.join(chosen, "component").select(F.col("fp").alias("linked_fp"), "chosen")
     of_print = distinct.join(chosen, distinct["fp"] == chosen["linked_fp"], "left").select("fp", F.coalesce("chosen", "best").alias("best"))
-    return prints.join(of_print, "fp")
+    # Stored, so that the join has shuffles of its own and can split a fingerprint that many rows share.
+    return prints.join(materialize(of_print, "simhash-named"), "fp")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
