@@ -56,7 +56,7 @@ SHINGLE, PERCENT = 3, 90
 MACRO = 64  # shingles a macro segment holds, and bits of its bitmap
 GROWTH = 1.5  # of one band's least size to the next one's
 WINDOW = 3  # neighbours a row is tried with at first
-LIMIT = 2048  # rows of a tile, or of a block of it, compared in one go
+LIMIT = 256  # rows of a tile, or of a block of it, compared in one go
 STEP = 256  # rows of a block compared with all others at once
 SMALL = 8  # rows of units that are compared many at once
 SIGNATURE = 1024  # bits of a whole set's bitmap
