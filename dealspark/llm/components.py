@@ -15,7 +15,8 @@ def _towards_min(edges: DataFrame, large: bool) -> DataFrame:
         around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # Stored, so that the join below can broadcast it or split a node with very many neighbours.
+    least = materialize(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "components-least")
     moved = around.join(least, "a")
     if large:
         moved = moved.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

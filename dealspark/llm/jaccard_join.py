@@ -378,7 +378,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found, classes, components = _classes(docs, doc_id, text, shingle, percent, limit)
     linked = classes.select("digest", "best").join(components, F.col("digest") == F.col("node")).select("digest", "component", "best")
     linked = materialize(linked, "jaccard-linked")
-    chosen = linked.groupBy("component").agg(F.min("best").alias("chosen"))
+    chosen = materialize(linked.groupBy("component").agg(F.min("best").alias("chosen")), "jaccard-chosen")
     chosen = linked.join(chosen, "component").select(F.col("digest").alias("linked"), "chosen")
     of_class = classes.select("digest", "best").join(chosen, F.col("digest") == F.col("linked"), "left")
     # Stored, so that the join has shuffles of its own and can split a large group of copies.

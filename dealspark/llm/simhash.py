@@ -176,7 +176,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: in
     # Only fingerprints with a link can take their row from another one.
     linked = distinct.join(root, distinct["fp"] == root["node"]).select("fp", "component", "best")
     linked = materialize(linked, "simhash-linked")
-    chosen = linked.groupBy("component").agg(F.min("best").alias("chosen"))
+    chosen = materialize(linked.groupBy("component").agg(F.min("best").alias("chosen")), "simhash-chosen")
     chosen = linked.join(chosen, "component").select(F.col("fp").alias("linked_fp"), "chosen")
     of_print = distinct.join(chosen, distinct["fp"] == chosen["linked_fp"], "left").select("fp", F.coalesce("chosen", "best").alias("best"))
     # Stored, so that the join has shuffles of its own and can split a fingerprint that many rows share.
