@@ -79,4 +79,4 @@ def test_queries_are_registered():
     import __spark_entry__ as e
     names = e.queries()
     assert {*QUERIES, "pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
