@@ -13,7 +13,8 @@ import sys
 from ..session import local_session
 from .registry import registry
 
-HEADLINE = ("deal_ledger", "deal_data", "principal_data", "cohort_mix", "fee_isolated_ledger")
+HEADLINE = ("deal_ledger", "deal_data", "principal_data", "cohort_mix", "fee_isolated_ledger", "deal_ledger_incremental",
+            "deal_aep_outer_colocated", "deal_data_colocated")
 SCAN_FIELDS = ("Location", "PartitionFilters", "PushedFilters", "ReadSchema")
 
 
