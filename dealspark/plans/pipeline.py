@@ -176,7 +176,7 @@ def run(spark: SparkSession, inputs: Inputs, cfg: ReportConfig, out_base: str, r
     settings goes on after the last one finished."""
     if stage_root and not inputs.version:
         raise ValueError("stages are kept for inputs of a known version only")
-    stages = Stages(spark, inputs, cfg, StageStore(spark, stage_root, cfg, inputs.version) if stage_root else None)
+    stages = Stages(spark, inputs, cfg, StageStore(spark, stage_root, cfg, inputs.version()) if stage_root else None)
     stages.store("deal_rows")
     stages.store("principal_data")
     partition_by = {"deal_data": ("ending_year",)} if partition_deals_by_year else None

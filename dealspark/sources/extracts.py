@@ -33,8 +33,8 @@ class Inputs:
     account_sums: Callable[[Window], DataFrame] | None = None
     # Lines of the window, and those without a period, that the job cannot use, with a reason; where the source may have any.
     rejected: Callable[[Window], DataFrame] | None = None
-    # What tells one state of the input tables from another (``plans.restart``), where known.
-    version: str | None = None
+    # What tells one state of the input tables from another (``plans.restart``), where known; called when needed.
+    version: Callable[[], str] | None = None
 
 
 def fixture_view_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -155,7 +155,7 @@ def table_inputs(spark: SparkSession, ledger: str, roster: str, fmt: str = "parq
         ledger=lambda w: base if w is None else base.filter(within(w)),
         roster=renamed(load(roster), roster_names),
         rejected=lambda w: rejected.filter(F.col("ending_period").isNull() | within(w)),
-        version=files.fingerprint(spark, paths) if len(paths) == 2 else None,
+        version=(lambda: files.fingerprint(spark, paths)) if len(paths) == 2 else None,
     )
 
 

@@ -140,12 +140,17 @@ class LedgerStore:
             out = part if out is None else out.unionByName(part)
         return out
 
-    def inputs(self, roster: DataFrame) -> Inputs:
-        """The job's inputs, the deal ledger from the kept sums."""
-        self.close_open()
-        version = hashlib.sha256(json.dumps(self._manifest(), sort_keys=True).encode()).hexdigest()
+    def inputs(self, roster: DataFrame, roster_version: str | None = None) -> Inputs:
+        """The job's inputs, the deal ledger from the kept sums.  With a
+        version of the roster they have one themselves, so that stages can be
+        kept over them."""
+        version = None if roster_version is None else lambda: self.version(roster_version)
         return Inputs(ledger=self.lines, roster=roster, account_sums=self.account_sums, version=version)
 
+    def version(self, roster_version: str) -> str:
+        """A digest of the deliveries and the roster's version."""
+        return hashlib.sha256(json.dumps([self._manifest()["deliveries"], roster_version], sort_keys=True).encode()).hexdigest()
+
 
 def _is_date(text: str) -> bool:
     try:

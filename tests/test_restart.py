@@ -19,13 +19,13 @@ DAY = dt.date(2026, 1, 1)
 
 @pytest.fixture(scope="module")
 def inputs(spark):
-    return replace(fixture_view_inputs(spark, SF_SMALL), version="v1")
+    return replace(fixture_view_inputs(spark, SF_SMALL), version=lambda: "v1")
 
 
 def unreadable(inputs, version="v1"):
     def fails(window):
         raise AssertionError("the ledger was read")
-    return replace(inputs, ledger=fails, version=version)
+    return replace(inputs, ledger=fails, version=lambda: version)
 
 
 def rows(df):
@@ -77,6 +77,19 @@ def test_old_stages_of_other_keys_are_removed(spark, tmp_out):
     assert os.listdir(tmp_out) == [now.key] and now.finished("s") and not old.finished("s")
 
 
+def test_the_version_of_a_ledger_store_follows_its_deliveries(spark, inputs, tmp_out):
+    from dealspark.sources.ledger_store import LedgerStore
+    lines = inputs.ledger((dt.date(2020, 1, 1), dt.date(2020, 2, 29)))
+    store = LedgerStore(spark, tmp_out, MAIN)
+    store.deliver(lines, "one")
+    kept = store.inputs(inputs.roster, "r1")
+    first = kept.version()
+    assert first == kept.version() != store.inputs(inputs.roster, "r2").version()
+    assert store.inputs(inputs.roster).version is None
+    store.deliver(lines.limit(3), "two")
+    assert kept.version() != first
+
+
 def test_the_version_of_stored_tables_follows_their_files(spark, tmp_out):
     from dealspark.sources.files import fingerprint
     spark.range(3).write.parquet(f"{tmp_out}/a")
