@@ -1,21 +1,31 @@
 """Main text of HTML pages; boilerplate found by a suffix array per host.
 
-A page's blocks outside its marked article, and all blocks where none is
-marked, form its token stream.  The streams of a host make up one text whose
-suffixes are ordered by their first ``RUN`` tokens: suffixes with equal
-prefixes are neighbours, and a neighbourhood is a substring repeated across
-pages.  Boilerplate is what belongs to the host and not to its texts: a
-substring on at least ``LEAST`` distinct page bodies and on the share ``SHARE``
-of all distinct bodies of the host.  Pages with equal blocks are one body, so
-copies of an article, and passages or phrases that some pages share, stay.
-The array is distributed by (host, prefix, body), then counted by (host,
-prefix) from partial counts, so one large host or one line on all of its pages
-is no hot spot.  The unique runs between boilerplate stay.
-
-What the markup says outright is checked afterwards: nothing stays from menus,
-page headers, footers, sidebars, notices, adverts, forms, comments or scripts,
+All blocks of a page, its article included, form its token stream, and the
+streams of a host one text.  ``repeated_blocks`` builds the array of its
+suffixes at block starts: one range sort by (host, suffix, page body), so a
+suffix that a third of all pages share is spread over many tasks.  Each task
+reads its stretch in order and takes the common prefix of neighbours; the
+stretches with a common prefix of whole blocks are the repeats.  Of each it
+keeps up to ``LEAST`` distinct bodies and its places on the pages, which add up
+where the ends of tasks cut a stretch.  A repeat of whole blocks (the entries
+of a menu are one run) with ``RUN`` tokens or more on ``LEAST`` distinct bodies
+is boilerplate if it belongs to the page and not to the text: ``FIXED`` of its
+occurrences are equally many blocks from the page's start, or from its end.
+Passages that texts share move about, and stay.  A suffix holds its first block
+and what follows up to ``RUN`` more tokens: every block of any longer repeat
+lies in such a prefix of it.
+
+Inside blocks outside a marked article, ``repeated`` groups the suffixes at
+every token by their first ``RUN`` tokens in the block; a run there is boilerplate if it is
+on ``LEAST`` bodies and on the share ``SHARE`` of the host's, so passages and
+phrases that some texts share stay.  The unique runs between stay.
+
+Pages with equal blocks are one body, so copies of an article stay.  What the
+markup says outright is checked afterwards: nothing stays from menus, page
+headers, footers, sidebars, notices, adverts, forms, comments or scripts,
 however unique; and nothing goes from inside a marked article, however often
-it is repeated (copies and quoted passages are content).
+it is repeated (copies and quoted passages are content).  ``main`` protects
+nothing, as many sites wrap whole pages in it.
 
 Defined results: a null or empty html gives an empty text; markup that ends
 early (a cut page) ends the text there; rows that repeat id, url and html are
@@ -28,6 +38,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +50,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import small_batches
 
-RUN = 6  # tokens a repeated substring has at least
-LEAST, SHARE = 3, 0.5  # distinct bodies of a host that boilerplate is on
+RUN = 6  # tokens a repeated substring has at least, at most 7
+LEAST, SHARE = 3, 0.5  # distinct bodies of a host that boilerplate is on; share of them inside blocks
+FIXED = 0.9  # share of a repeat's occurrences at one distance from an end of the page
+CODE = 8  # bytes of a block in a suffix
 
 # --- fixed values: HTML element and attribute names ----------------------------
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes")
@@ -133,23 +146,28 @@ def _parse(page: str, around: set[int]) -> tuple[list[tuple[int, str]], set[int]
     article; those in ``around`` are none."""
     out: list[tuple[int, str]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, chrome, main: with all around it; place if called chrome
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, chrome, main, article: with all around it
+    opened: Counter[str] = Counter()  # tags in the stack
+    named_at: list[tuple[int, int]] = []  # depth and place of elements called chrome, not yet found to enclose an article
     found: set[int] = set()
-    chrome = main = False
+    chrome = main = article = False
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append((CHROMED if chrome else TRUSTED if main else LOOSE, text))
+            out.append((CHROMED if chrome else TRUSTED if article else LOOSE, text))
 
     def close(i: int) -> None:
-        nonlocal chrome, main
+        nonlocal chrome, main, article
+        opened.subtract(s[0] for s in stack[i:])
         del stack[i:]
-        chrome, main = stack[-1][1:3] if stack else (False, False)
+        while named_at and named_at[-1][0] >= i:
+            named_at.pop()
+        chrome, main, article = stack[-1][1:] if stack else (False, False, False)
 
     def close_implied(tag: str) -> None:
-        if tag not in KEEPS_P:
+        if tag not in KEEPS_P and opened["p"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
                     close(i)
@@ -157,7 +175,7 @@ def _parse(page: str, around: set[int]) -> tuple[list[tuple[int, str]], set[int]
                 if stack[i][0] in BREAK:
                     break
         ends = ENDS.get(tag, ())
-        if ends:
+        if any(opened[e] for e in ends):
             last = None
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in ends:
@@ -184,7 +202,7 @@ def _parse(page: str, around: set[int]) -> tuple[list[tuple[int, str]], set[int]
         elif tag == "br":
             parts.append(" ")
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1 if opened[tag] else -1, -1, -1):
                 if stack[i][0] == tag:
                     if tag not in BREAK and stack[i][1] != (stack[i - 1][1] if i else False):
                         flush()
@@ -200,17 +218,20 @@ def _parse(page: str, around: set[int]) -> tuple[list[tuple[int, str]], set[int]
         if tag in VOID or attributes.endswith("/"):
             continue
         if tag == "body":  # a head that was not closed ends here
-            stack.clear()
-            chrome = main = False
+            close(0)
         named = _is_named(tag, attributes, main)
-        if tag in MAIN and not _is_reply(attributes):
-            found.update(f[3] for f in stack if f[3] >= 0)
+        if tag in MAIN and named_at and not _is_reply(attributes):
+            found.update(place for _, place in named_at)
+            named_at.clear()
         now_chrome = chrome or (named and at not in around) or _is_marked(tag, attributes, main)
         if now_chrome or tag in BREAK or tag == "span":
             if now_chrome != chrome and tag not in BREAK:
                 flush()
-            stack.append((tag, now_chrome, main or tag in MAIN, at if named else -1))
-            chrome, main = stack[-1][1:3]
+            if named:
+                named_at.append((len(stack), at))
+            stack.append((tag, now_chrome, main or tag in MAIN, article or tag == "article"))
+            opened[tag] += 1
+            chrome, main, article = stack[-1][1:]
     flush()
     return out, found
 
@@ -218,23 +239,33 @@ def _parse(page: str, around: set[int]) -> tuple[list[tuple[int, str]], set[int]
 def stream(found: list[tuple[int, str]], run: int) -> tuple[list[int], list[int], np.ndarray]:
     """Of the blocks outside the article: their numbers, their first tokens'
     places, and the hash of the ``run`` tokens from each place (0 where the
-    article or the end comes first)."""
-    which, first, tokens, ends = [], [], [], []
+    block ends first)."""
+    which, first, hashes, n = [], [], [], 0
     for i, (kind, text) in enumerate(found):
         if kind == TRUSTED:
-            if tokens and (not ends or ends[-1] != len(tokens)):
-                ends.append(len(tokens))
             continue
+        tokens = text.split(" ")
         which.append(i)
-        first.append(len(tokens))
-        tokens += text.split(" ")
-    ends.append(len(tokens))
-    hashes, low = np.zeros(len(tokens), np.int64), 0
-    for end in ends:
-        for j in range(low, end - run + 1):
-            hashes[j] = np.uint64(xxhash.xxh64_intdigest(" ".join(tokens[j:j + run])) | 1).astype(np.int64)
-        low = end
-    return which, first, hashes
+        first.append(n)
+        n += len(tokens)
+        hashes += [xxhash.xxh64_intdigest(" ".join(tokens[j:j + run])) | 1 if j + run <= len(tokens) else 0 for j in range(len(tokens))]
+    return which, first, np.array(hashes, np.uint64).astype(np.int64)
+
+
+def block_suffixes(found: list[tuple[int, str]]) -> list[bytes]:
+    """The suffix at each block: codes of the block and of those that follow up
+    to ``RUN`` more tokens.  A code is the text's hash, its last three bits the
+    number of tokens, at most 7."""
+    sizes = [text.count(" ") + 1 for _, text in found]
+    codes = [(xxhash.xxh64_intdigest(text) & ~7 | min(n, 7)).to_bytes(CODE, "big") for (_, text), n in zip(found, sizes)]
+    out = []
+    for i in range(len(codes)):
+        end, more = i + 1, 0
+        while end < len(codes) and more < RUN:
+            more += sizes[end]
+            end += 1
+        out.append(b"".join(codes[i:end]))
+    return out
 
 
 def unique_runs(found: list[tuple[int, str]], which: list[int], first: list[int], starts: list[int], run: int) -> list[tuple[int, str]]:
@@ -259,7 +290,7 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-STREAM = "page long, host string, loose boolean, body long, hashes array<long>"
+STREAM = "page long, host string, loose boolean, body long, hashes array<long>, suffixes array<binary>"
 
 
 def _pages(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
@@ -279,13 +310,93 @@ def streams(pages: DataFrame, run: int = RUN) -> DataFrame:
             rows = []
             for h in batch.column("html"):
                 found = blocks(h.as_py())
-                rows.append((any(k == LOOSE for k, _ in found), _body(found), stream(found, run)[2]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page"), batch.column("host"), pa.array([x for x, _, _ in rows], pa.bool_()),
-                 pa.array([x for _, x, _ in rows], pa.int64()), pa.array([x for _, _, x in rows], pa.list_(pa.int64()))],
-                names=["page", "host", "loose", "body", "hashes"])
-
-    return pages.select("page", host_of(F.col("url")).alias("host"), "html").mapInArrow(scan, STREAM)
+                rows.append((any(k == LOOSE for k, _ in found), _body(found), stream(found, run)[2], block_suffixes(found)))
+            kinds = (pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()))
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("page"), batch.column("host"), *columns],
+                                             names=["id", "page", "host", "loose", "body", "hashes", "suffixes"])
+
+    ids = pages.select(F.col("page_id").alias("id"), "page", host_of(F.col("url")).alias("host"), "html")
+    return ids.mapInArrow(scan, f"id {dict(ids.dtypes)['id']}, {STREAM}")
+
+
+def repeats_in_order(rows: Iterator[tuple[str, bytes, int, int, int]], least: int = LEAST) -> Iterator[tuple]:
+    """(host, prefix, bodies, heads, foots) of the repeats of ``RUN`` tokens or
+    more in a sorted stretch of the array of (host, suffix, body, head, foot):
+    up to ``least`` distinct bodies, and the occurrences by number of blocks
+    before and after.  Those of fewer bodies are told only at the ends of the
+    stretch, where they may go on.  Equal rows are copies and count once."""
+    last_row, last_host, last = None, None, b""
+    nodes: list[tuple[bool, set[int], Counter, Counter]] = []  # by depth: whether open since the first row, bodies, heads, foots
+
+    def closed(depth: int, all_of_them: bool = False) -> Iterator[tuple]:
+        while len(nodes) > depth:
+            prefix = last[:len(nodes) * CODE]
+            early, bodies, heads, foots = nodes.pop()
+            if (len(bodies) >= least or early or all_of_them) and sum(c & 7 for c in prefix[CODE - 1::CODE]) >= RUN:
+                yield last_host, prefix, sorted(bodies), dict(heads), dict(foots)
+
+    for row in rows:
+        if row == last_row:
+            continue
+        host, key, body, head, foot = row
+        common = 0
+        if host == last_host:
+            while common < min(len(key), len(last)) and key[common:common + CODE] == last[common:common + CODE]:
+                common += CODE
+        yield from closed(common // CODE)
+        nodes += [(last_row is None, set(), Counter(), Counter()) for _ in range(len(key) // CODE - len(nodes))]
+        last_row, last_host, last = row, host, key
+        for depth, (_, bodies, heads, foots) in enumerate(nodes, 1):
+            if len(bodies) < least:
+                bodies.add(body)
+            heads[head] += 1
+            foots[foot - depth] += 1
+    yield from closed(0, True)
+
+
+def repeated_blocks(found: DataFrame, least: int = LEAST) -> DataFrame:
+    """(host, prefix): runs of whole blocks on ``least`` distinct bodies of a
+    host, at a fixed place of the page."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        kinds = (pa.string(), pa.binary(), pa.list_(pa.int64()), pa.map_(pa.int32(), pa.int64()), pa.map_(pa.int32(), pa.int64()))
+        out: list[tuple] = []
+
+        def batch() -> pa.RecordBatch:
+            columns = [[r[i] for r in out] for i in range(3)] + [[list(r[i].items()) for r in out] for i in (3, 4)]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "prefix", "bodies", "heads", "foots"])
+
+        for node in repeats_in_order(rows, least):
+            out.append(node)
+            if len(out) == 1000:
+                yield batch()
+                out = []
+        yield batch()
+
+    suffixes = found.select("host", "body", F.size("suffixes").alias("n"), F.posexplode("suffixes").alias("head", "suffix"))
+    suffixes = suffixes.select("host", "suffix", "body", "head", (F.col("n") - F.col("head")).alias("foot"))
+    order = suffixes.repartitionByRange("host", "suffix", "body").sortWithinPartitions("host", "suffix", "body", "head", "foot")
+    nodes = order.mapInArrow(scan, "host string, prefix binary, bodies array<long>, heads map<int,long>, foots map<int,long>")
+    # A repeat cut by the ends of tasks comes from each with its part.
+    nodes = materialize(nodes, "html-nodes")
+    bodies = nodes.select("host", "prefix", F.explode("bodies").alias("body")).distinct().groupBy("host", "prefix").agg(F.count("*").alias("bodies"))
+    places = nodes.select("host", "prefix", F.lit(True).alias("top"), F.explode("heads").alias("place", "n")).unionByName(
+        nodes.select("host", "prefix", F.lit(False).alias("top"), F.explode("foots").alias("place", "n")))
+    places = places.groupBy("host", "prefix", "top", "place").agg(F.sum("n").alias("n"))
+    fixed = places.groupBy("host", "prefix").agg(F.max("n").alias("most"), F.sum(F.when(F.col("top"), F.col("n"))).alias("n"))
+    fixed = fixed.where(F.col("most") >= F.col("n") * F.lit(FIXED)).select("host", "prefix")
+    return bodies.where(F.col("bodies") >= least).select("host", "prefix").join(fixed, ["host", "prefix"])
+
+
+def _covered_blocks(found: DataFrame, common: DataFrame) -> DataFrame:
+    """(id, page, first, blocks) of the longest repeat at each block of the
+    pages with loose blocks."""
+    starts = found.where("loose").select("id", "page", "host", F.posexplode("suffixes").alias("first", "suffix"))
+    depths = F.expr(f"sequence(1, CAST(length(suffix) DIV {CODE} AS INT))")
+    ways = starts.select("id", "page", "host", "first", "suffix", F.explode(depths).alias("blocks"))
+    ways = ways.select("id", "page", "host", "first", "blocks", F.expr(f"substring(suffix, 1, blocks * {CODE})").alias("prefix"))
+    return ways.join(common, ["host", "prefix"]).groupBy("id", "page", "first").agg(F.max("blocks").alias("blocks"))
 
 
 def repeated(found: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
@@ -303,31 +414,41 @@ def repeated(found: DataFrame, least: int = LEAST, share: float = SHARE) -> Data
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", run: int | None = None) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``.  With ``run`` given,
-    every substring of so many tokens that two distinct bodies of a host share
-    is boilerplate; otherwise ``RUN``, ``LEAST`` and ``SHARE`` tell it."""
+    every substring of a block of so many tokens that two distinct bodies of a
+    host share is boilerplate; otherwise the rules above tell it."""
     least, share = (LEAST, SHARE) if run is None else (2, 0.0)
-    run = run or RUN
     rows = _pages(pages, page_id, url, html)
-    found = materialize(streams(rows, run), "html-streams")
+    found = materialize(streams(rows, run or RUN), "html-streams")
     common = materialize(repeated(found, least, share), "html-repeated")
-    loose = found.where("loose").select("page", "host", F.posexplode("hashes").alias("at", "hash"))
-    covered = loose.join(common, ["host", "hash"]).groupBy("page").agg(F.collect_set("at").alias("covered"))
+    loose = found.where("loose").select("id", "page", "host", F.posexplode("hashes").alias("at", "hash"))
+    covered = loose.join(common, ["host", "hash"]).select("id", "page", "at", F.lit(0).alias("blocks"))
+    if run is None:
+        runs = materialize(repeated_blocks(found, least), "html-repeats")
+        covered = covered.unionByName(_covered_blocks(found, runs).withColumnRenamed("first", "at"))
+    # Rows that are one page count once; a place of tokens has no blocks.
+    covered = covered.groupBy("id", "page").agg(F.collect_set(F.struct("at", "blocks")).alias("covered"))
     # Pages all of whose blocks the markup explains are not among them.
     covered = materialize(covered, "html-covered")
+    run = run or RUN
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for h, starts in zip(batch.column("html"), batch.column("covered")):
-                page = blocks(h.as_py())
+            for h, c in zip(batch.column("html"), batch.column("covered")):
+                page, spans = blocks(h.as_py()), c.as_py() or []
                 which, first, _ = stream(page, run) if any(k == LOOSE for k, _ in page) else ([], [], None)
-                kept = dict(unique_runs(page, which, first, starts.as_py() or [], run))
+                kept = dict(unique_runs(page, which, first, [s["at"] for s in spans if not s["blocks"]], run))
+                for s in spans:
+                    for i in range(s["at"], s["at"] + s["blocks"]):
+                        kept.pop(i, None)
                 kept.update((i, t) for i, (k, t) in enumerate(page) if k == TRUSTED)
                 texts.append("\n\n".join(kept[i] for i in sorted(kept)))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
 
     kind = dict(rows.dtypes)
-    out = rows.join(covered, "page", "left").select("page_id", "url", "html", "covered")
+    # The id as well, as two of very many pages may share a hash.
+    same = (rows["page"] == covered["page"]) & rows["page_id"].eqNullSafe(covered["id"])
+    out = rows.join(covered, same, "left").select("page_id", "url", "html", "covered")
     out = out.mapInArrow(write, f"page_id {kind['page_id']}, url {kind['url']}, text string")
     return out.withColumn("n_chars", F.char_length("text").cast("bigint"))

@@ -115,3 +115,102 @@ def test_copies_and_shared_passages_stay(spark):
     got = extract(spark, rows)
     assert [got[i] for i in range(len(texts))] == texts
     assert got[900] == got[901] == copy and got[950] == f"one {quote}" and got[951] == f"two {quote}"
+
+
+def brute_text(rows):
+    """Unmarked pages of one block a ``p``: the text by the production settings, from all runs of whole blocks and all windows of tokens."""
+    hosts = {}
+    for i, host, found in rows:
+        hosts.setdefault(host, []).append((i, found))
+    out = {}
+    for members in hosts.values():
+        pages = {tuple(found) for _, found in members}
+        places, windows = {}, {}
+        for found in pages:
+            for i in range(len(found)):
+                for j in range(i + 1, len(found) + 1):
+                    if sum(len(b.split()) for b in found[i:j]) >= X.RUN:
+                        places.setdefault(found[i:j], []).append((found, i, len(found) - j))
+            for tokens in map(str.split, found):
+                for i in range(len(tokens) - X.RUN + 1):
+                    windows.setdefault(tuple(tokens[i:i + X.RUN]), set()).add(found)
+        runs = set()
+        for run, where in places.items():
+            most = max(sum(w[k] == v[k] for w in where) for v in where for k in (1, 2))
+            if len({w[0] for w in where}) >= X.LEAST and most >= X.FIXED * len(where):
+                runs.add(run)
+        often = {w for w, v in windows.items() if len(v) >= X.LEAST and len(v) >= X.SHARE * len(pages)}
+        for page, found in members:
+            gone = {k for i in range(len(found)) for j in range(i + 1, len(found) + 1) if tuple(found[i:j]) in runs for k in range(i, j)}
+            kept = []
+            for k, tokens in enumerate(map(str.split, found)):
+                cut = {n for i in range(len(tokens)) if tuple(tokens[i:i + X.RUN]) in often for n in range(i, i + X.RUN)}
+                words = [w for n, w in enumerate(tokens) if n not in cut]
+                if words and k not in gone:
+                    kept.append(" ".join(words))
+            out[page] = "\n\n".join(kept)
+    return out
+
+
+def test_whole_blocks_match_brute_force(spark):
+    """Production settings: menus, notices and footers from small pools, shared passages anywhere, copies, two hosts."""
+    import random
+    rng = random.Random(7)
+    menus = [["Home", "News", "About us", "Our shop", "Contact", "Help"], ["Start", "All of our offers today", "Imprint"], ["A", "B"]]
+    feet = ["all rights reserved by the owner of this site", "made with care by the people of the town", "(c) us"]
+    passages = [f"passage {p} that some of the texts share word for word" for p in range(3)] + ["so it goes"]
+    rows = []
+    for i in range(150):
+        body = [f"text {i} paragraph {k} " + " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 12))) for k in range(rng.randint(0, 4))]
+        for p in passages:
+            if rng.random() < 0.2:
+                body.insert(rng.randint(0, len(body)), p)
+        rows.append((i, rng.choice(["h", "h", "h", "g"]), [b.strip() for b in [*rng.choice(menus), *body, rng.choice(feet)]]))
+    rows += [(1000 + i, host, found) for i, host, found in rows[:30]]
+    got = extract(spark, [(i, f"https://{host}/{i}", "".join(f"<p>{b}</p>" for b in found)) for i, host, found in rows])
+    want = brute_text(rows)
+    assert got == want
+    assert sum("passage" in t for t in want.values()) > 20 and not any("Contact" in t for t in want.values())
+
+
+def test_repeats_do_not_depend_on_where_tasks_are_cut():
+    import random
+    rng = random.Random(3)
+    blocks = ["one two three", "four", "five six seven", "eight nine ten eleven twelve thirteen fourteen"]
+    rows = []
+    for body in range(60):
+        page = [(X.LOOSE, rng.choice(blocks)) for _ in range(rng.randint(1, 8))]
+        rows += [(rng.choice("gh"), s, body % 40, i, len(page) - i) for i, s in enumerate(X.block_suffixes(page))]
+    rows.sort()
+
+    def merged(parts):
+        out = {}
+        for part in parts:
+            for host, prefix, bodies, heads, foots in X.repeats_in_order(iter(part)):
+                b, h, f = out.setdefault((host, prefix), (set(), {}, {}))
+                b.update(bodies)
+                for mine, more in ((h, heads), (f, foots)):
+                    for k, n in more.items():
+                        mine[k] = mine.get(k, 0) + n
+        return {k: (h, f) for k, (b, h, f) in out.items() if len(b) >= X.LEAST}
+
+    whole = merged([rows])
+    assert whole
+    # Equal rows lie in one task, as the range sort is by host, suffix and body.
+    for cuts in ([5, 9, 100], [50], list(range(1, len(rows), 3))):
+        ends = [0, *(c for c in cuts if rows[c][:3] != rows[c - 1][:3]), len(rows)]
+        assert merged([rows[a:b] for a, b in zip(ends, ends[1:])]) == whole
+
+
+def test_main_protects_nothing_an_article_does(spark):
+    line = "read our ten best tips for the garden"
+    rows = [(i, "h", f"<main><div class='teaser'>{line}</div><p>own text {i} of the page</p></main>") for i in range(5)]
+    assert extract(spark, rows) == {i: f"own text {i} of the page" for i in range(5)}
+
+
+def test_tags_are_matched_in_linear_time():
+    import time
+    start = time.process_time()
+    X.blocks("<div>" * 100_000 + "x</a>" * 100_000 + "<p>y</p>" * 20_000 + "<td>z</td>" * 20_000)
+    X.blocks("<article><div class=sidebar>" * 20_000)
+    assert time.process_time() - start < 10
