@@ -13,13 +13,15 @@ is filled with documents in a seeded hash order.  The document on the boundary
 is taken in part, so a source's taken words equal its target to one word.
 
 The boundary is found by sums over hash prefixes, then by the order within one
-prefix; no task ever holds a source.  The seeded order depends on seed and id
-alone, so reruns and other partitionings agree.
+prefix, in which rows equal in id and text are counted first and told apart
+afterwards; no task ever holds a source, nor all rows that lack an id, nor a
+large group of copies.  The seeded order depends on seed, id and text alone, so
+reruns and other partitionings agree.
 
 Defined results: null and empty texts have size 0 and take 0; the null source
-is a source, last in order; rows that share an id share a place in the order,
-the smaller size first; an empty table gives an empty result; a source of size
-0 has target 0.
+is a source, last in order; rows that share an id are ordered by their texts'
+hashes, and of rows that share both, which are alike here, any are taken; an
+empty table gives an empty result; a source of size 0 has target 0.
 """
 
 from __future__ import annotations
@@ -36,16 +38,17 @@ SHARE, MAX_EPOCHS, SEED = 1.5, 2.0, "mix-1"
 PREFIX = 12  # bits of each of the two prefix levels of the 60-bit order
 
 
-def seeded_order(doc_id: Column, seed: str) -> Column:
-    """A 60-bit number from seed and id."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+def seeded_order(doc_id: Column, text: Column, seed: str) -> Column:
+    """A 60-bit number from seed, id and text."""
+    key = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
           seed: str = SEED) -> DataFrame:
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
-                       word_count(F.col(f"`{text}`")).alias("size"), seeded_order(F.col(f"`{doc_id}`"), seed).alias("at"))
+                       word_count(F.col(f"`{text}`")).alias("size"),
+                       seeded_order(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), seed).alias("at"))
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
@@ -97,18 +100,32 @@ def plan(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     return out.withColumn("cut", F.coalesce("cut", end)).withColumn("left", F.coalesce("left", F.lit(0)))
 
 
-def _taken(sizes: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``sizes`` with the plan of its source and ``extra``, the words taken
-    beyond the whole repetitions."""
+def _meet(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``rows`` with the prefix of their order and the plan of their source."""
     chosen = chosen.withColumnRenamed("source", "goal")
-    out = sizes.withColumn("cell", F.shiftright("at", 60 - 2 * PREFIX))
-    out = out.join(chosen, out["source"].eqNullSafe(chosen["goal"])).drop("goal")
+    out = rows.withColumn("cell", F.shiftright("at", 60 - 2 * PREFIX))
+    return out.join(chosen, out["source"].eqNullSafe(chosen["goal"])).drop("goal")
+
+
+def _edge(rows: DataFrame, order: list[str], *carried: Column) -> DataFrame:
+    """The rows of the boundary prefix, one per source, each with ``extra``, the
+    words it takes beyond the whole repetitions.  Rows equal in ``order`` are
+    one row with a count until the words before them are known."""
+    groups = rows.where("cell = cut").groupBy("source", "source_size", "target", "whole", "left", *order)
+    groups = groups.agg(F.count("*").alias("n"), *carried)
+    before = Window.partitionBy("source").orderBy(*[F.col(c).asc_nulls_last() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(before), F.lit(0)))
+    each = groups.withColumn("copy", F.explode(F.expr("sequence(0L, n - 1)")))
+    left = F.col("left") - F.col("before") - F.col("copy") * F.col("size")
+    return each.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), left)))
+
+
+def _taken(sizes: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``sizes`` with the plan of their source and ``extra``."""
+    out = _meet(sizes, chosen)
     clear = out.where("cell <> cut").withColumn("extra", F.when(F.col("cell") < F.col("cut"), F.col("size")).otherwise(0))
-    # One prefix per source: a few documents.
-    order = Window.partitionBy("source").orderBy("at", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
-    edge = out.where("cell = cut").withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    edge = edge.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("before")))).drop("before")
-    return clear.unionByName(edge)
+    columns = ["doc_id", "size", "source_size", "target", "whole", "extra"]
+    return clear.select(*columns).unionByName(_edge(out, ["at", "doc_id", "size"]).select(*columns))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
@@ -132,12 +149,13 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "sour
     a document counting as a whole one from one half on; columns unchanged."""
     sizes = materialize(sized(docs, doc_id, source, text, seed), "mix-sizes")
     chosen = materialize(plan(sizes, targets(sizes, weights, share, max_epochs)), "mix-plan")
-    edge = _taken(sizes, chosen).where("cell = cut AND 2 * extra >= size AND extra > 0")
-    edge = materialize(edge.select(F.col("source").alias("edge_source"), F.col("at").alias("edge_at")).distinct(), "mix-edge")
-    chosen = chosen.select(F.col("source").alias("goal"), "whole", "cut")
-    rows = packed(docs).withColumn("source", F.col(f"row.`{source}`")).withColumn("at", seeded_order(F.col(f"row.`{doc_id}`"), seed))
-    rows = rows.join(chosen, rows["source"].eqNullSafe(chosen["goal"]))
-    rows = rows.join(edge, rows["source"].eqNullSafe(edge["edge_source"]) & (rows["at"] == edge["edge_at"]), "left")
-    once_more = (F.shiftright("at", 60 - 2 * PREFIX) < F.col("cut")) | F.col("edge_at").isNotNull()
-    times = (F.col("whole") + F.when(once_more, 1).otherwise(0)).cast("int")
-    return rows.select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")
+    rows = packed(docs)
+    where = {name: F.col(f"row.`{column}`") for name, column in (("id", doc_id), ("source", source), ("text", text))}
+    rows = rows.withColumn("source", where["source"]).withColumn("at", seeded_order(where["id"], where["text"], seed))
+    rows = _meet(rows, chosen)
+    clear = rows.where("cell <> cut").withColumn("times", F.col("whole") + F.when(F.col("cell") < F.col("cut"), 1).otherwise(0))
+    edge = rows.withColumn("doc_id", where["id"]).withColumn("size", word_count(where["text"])).withColumn("same", F.xxhash64("row"))
+    edge = _edge(edge, ["at", "doc_id", "size", "same"], F.first("row").alias("row"))
+    once_more = F.when((F.col("extra") > 0) & (2 * F.col("extra") >= F.col("size")), 1).otherwise(0)
+    rows = clear.select("row", "times").unionByName(edge.select("row", (F.col("whole") + once_more).alias("times")))
+    return rows.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))).select("row.*")

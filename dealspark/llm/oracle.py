@@ -49,7 +49,7 @@ FROM named
 WATER_FILLING = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS pos
+    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS pos
   FROM documents
 ), by_source AS (
   SELECT source, sum(size)::BIGINT AS source_size,

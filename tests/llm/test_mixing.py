@@ -40,14 +40,17 @@ def test_targets_below_the_caps(spark):
 
 
 def brute_mix(rows):
-    sized = [(r[0], r[3], len(WORD.findall(r[1] or ""))) for r in rows]
+    sized = [((r[0], r[1] or ""), r[3], len(WORD.findall(r[1] or ""))) for r in rows]
+
+    def place(i, text):
+        return int(hashlib.md5(f"mix-1:{'' if i is None else i}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()[:15], 16)
     sizes = {}
     for _, s, n in sized:
         sizes[s] = sizes.get(s, 0) + n
     goal = brute_targets(sizes)
     out = []
     for s in sizes:
-        own = [(int(hashlib.md5(f"mix-1:{'' if i is None else i}".encode()).hexdigest()[:15], 16), i is None, i or 0, n, i) for i, t, n in sized if t == s]
+        own = [(place(*k), k[0] is None, k[0] or 0, n, k[0]) for k, t, n in sized if t == s]
         whole = int(goal[s] // sizes[s]) if sizes[s] else 0
         left = int(goal[s] + 0.5) - whole * sizes[s]
         for *_, n, i in sorted(own):
@@ -87,6 +90,34 @@ def test_mixed_documents(spark):
         assert copies.get(i, 0) == whole + (2 * extra >= size and extra > 0)
 
 
+@pytest.mark.parametrize("rows", [
+    [doc(None, f"text {i} " + "w " * (i % 20), source="ab"[i % 4 == 0]) for i in range(3000)],  # no ids
+    [doc(7, f"text {i} " + "w " * (i % 20), source="ab"[i % 4 == 0]) for i in range(3000)],  # one id
+    [doc(None, "the same text of seven words here", source="ab"[i % 4 == 0]) for i in range(3000)],  # one row, repeated
+], ids=["null", "one", "copies"])
+def test_rows_that_share_an_id_meet_their_targets(spark, rows):
+    docs = documents(spark, rows)
+    by = {}
+    for r in M.mix(docs).collect():
+        t = by.setdefault((r["source_size"], r["target"]), [0, 0])
+        t[0] += r["taken"]
+        t[1] = max(t[1], r["size"])
+    assert len(by) == 2 and all(abs(t - target) <= 1 for (_, target), (t, _) in by.items())
+    words = {}
+    for r in M.mixed_documents(docs).collect():
+        words[r["source"]] = words.get(r["source"], 0) + len(WORD.findall(r["text"]))
+    assert sorted(words.values()) == pytest.approx(sorted(target for _, target in by), abs=max(longest for _, longest in by.values()))
+
+
+def test_no_task_sorts_copies(spark):
+    """Rows that are equal reach the window as one row with a count."""
+    docs = documents(spark, [doc(None, "one text", source="a")] * 500 + [doc(1, "other", source="b")])
+    sizes = M.sized(docs)
+    chosen = M.plan(sizes, M.targets(sizes))
+    assert M._edge(M._meet(sizes, chosen), ["at", "doc_id", "size"]).select("source", "at", "n").distinct().count() <= 2
+    assert M.mix(docs).count() == 501
+
+
 def test_empty_and_wordless_tables(spark):
     assert M.mix(empty(spark)).count() == 0 == M.mixed_documents(empty(spark)).count()
     blank = documents(spark, [doc(1, None), doc(2, " ", source=None)])
