@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .common import small_batches
@@ -93,8 +94,10 @@ def bags(docs: DataFrame) -> DataFrame:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int]) -> DataFrame:
-    """(text, label): the first labelled rows of each class in hash order.
-    The bound makes the sample small enough to send to every task."""
+    """(text, label): the first labelled documents of each class in hash order,
+    at most ``per_class`` rows each, so that the sample is small enough to send
+    to every task.  Rows that share an id are documents with that id's label;
+    an id with both labels is a document of both classes."""
     known = labels.select(F.col("doc_id").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
     known = known.where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id"))).distinct()
     chosen = None
@@ -102,7 +105,12 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int,
         part = known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = small_batches(docs).select(F.col("doc_id").alias("id"), F.col("text"))
-    return texts.join(F.broadcast(chosen), "id").select("text", "label")
+    # An id may stand on many rows: the bound holds for the rows, in every task and in all.
+    rows = texts.join(F.broadcast(chosen), "id").withColumn("tie", F.xxhash64("text"))
+    place = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "tie")
+    rows = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= max(per_class.values()))
+    bound = F.create_map(*[F.lit(x) for pair in per_class.items() for x in pair])
+    return rows.where(F.col("place") <= bound[F.col("label")]).select("text", "label")
 
 
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dealspark.llm import hashing, quality_classifier as Q, toxicity as T
 from dealspark.llm.common import table
 
-from .helpers import documents, empty, hard_documents
+from .helpers import doc, documents, empty, hard_documents
 
 SF = "/root/testdata/sf0.01"
 
@@ -69,6 +69,36 @@ def test_toxicity_on_held_out_documents(spark):
     assert (out["toxic"] == (out["mark"] == 1)).mean() > 0.9
 
 
+def test_sample_is_bounded_where_ids_repeat(spark):
+    docs = documents(spark, [doc(i % 3, f"text {i}") for i in range(300)] + [doc(10, "alone")])
+    labels = spark.createDataFrame([(0, 0), (1, 1), (1, 0), (2, 1), (10, 1)], "doc_id long, quality int")  # 2 is held out
+    got = [(r["label"], r["text"]) for r in Q.sample(docs, labels, "quality", {0: 5, 1: 7}).collect()]
+    assert [sum(y == k for y, _ in got) for k in (0, 1)] == [5, 7]
+    again = [(r["label"], r["text"]) for r in Q.sample(docs.repartition(5), labels, "quality", {0: 5, 1: 7}).collect()]
+    assert sorted(got) == sorted(again)
+
+
+def test_copies_lie_in_one_fold(monkeypatch):
+    """No link that gives a text's probability out of fold was fitted on a copy of the text."""
+    fitted, told = [], []
+
+    class Spy:
+        def __init__(self, seen):
+            self.seen = seen
+
+        def probability(self, bag, earlier):
+            told.append(bag.tobytes() not in self.seen)
+            return 0.5
+
+    def spy(bags, earlier, y, seed):
+        fitted.append(Spy({b.tobytes() for b in bags}))
+        return fitted[-1]
+
+    monkeypatch.setattr(T, "fit_link", spy)
+    T.fit([(i % 2, i % 2, T.features(f"word{i % 10} and more")) for i in range(60)])
+    assert told and all(told)
+
+
 def test_chain_uses_earlier_links():
     rng = np.random.default_rng(0)
     rows = []
