@@ -30,6 +30,7 @@ LEADING = (
 MEASURES = ("total_gci", "gci_less_referral", "commission_expense", "company_dollar", "aep",
             "company_dollar_plus_aep")
 TRAILING = ("vendor_agent_id", "company_agent_id")
+GRAIN_DIGEST = "__grain"
 
 
 def _conditional_sum(match_sql: str) -> str:
@@ -40,6 +41,17 @@ def _in_list(accounts) -> str:
     return "account_number IN (" + ", ".join(f"'{a}'" for a in accounts) + ")" if accounts else "false"
 
 
+def by_grain(lines: DataFrame) -> DataFrame:
+    """``lines`` dealt out by a digest of their grain, for sums over lines read
+    straight from files: there one task reads what the scan's split holds, up
+    to 128 MB packed, and its partial sums hold a wide row for each grain of
+    it.  The rebalance deals in pieces of the advisory size, and cuts a grain
+    with very many lines by the tasks that sent them.  The digest is no grain
+    key, so the sums are still combined before they are shuffled."""
+    grain = [deal_key(lines), *[F.col(c) for c in GRAIN_KEYS if c != "deal_id"]]
+    return lines.withColumn(GRAIN_DIGEST, F.xxhash64(*grain)).hint("rebalance", GRAIN_DIGEST)
+
+
 def account_sums(lines: DataFrame, cfg: ReportConfig, extra: tuple[str, ...] = ()) -> DataFrame:
     """Ledger lines summed at the deal grain: 12 keys, composites, accounts
     (money in cents).  A grain has one ``ending_period``, so the sums of a

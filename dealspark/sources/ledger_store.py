@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ReportConfig
-from ..operators.ledger import account_sums
+from ..operators.ledger import account_sums, by_grain
 from . import files
 from .extracts import LEDGER_COLUMNS, STORED_ORDER, Inputs, Window, checked_ledger
 
@@ -89,7 +89,7 @@ class LedgerStore:
             lines = self.changed_lines(manifest, open_)
             if lines is not None:
                 folder = f"sums/{uuid.uuid4().hex}"
-                sums = account_sums(lines, self.cfg).hint("rebalance", "ending_period")
+                sums = account_sums(by_grain(lines), self.cfg).hint("rebalance", "ending_period")
                 sums.write.partitionBy("ending_period").parquet(f"{self.root}/{folder}")
                 for e in files.listed(self.spark, f"{self.root}/{folder}"):
                     if e.is_folder:
@@ -132,7 +132,7 @@ class LedgerStore:
             if _within(period, window):
                 periods.setdefault(folder, []).append(period)
         if not periods:
-            return account_sums(self.lines(window), self.cfg)
+            return account_sums(by_grain(self.lines(window)), self.cfg)
         out = None
         for folder, some in sorted(periods.items()):
             part = self.spark.read.parquet(f"{self.root}/{folder}").withColumn("ending_period", F.col("ending_period").cast("date"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dealspark.functions.chart import Chart
-from dealspark.operators.ledger import deal_ledger
+from dealspark.operators.ledger import account_sums, by_grain, deal_ledger
 from dealspark.plans.operations import split_ledger
 from dealspark.sources import ledger_store as L
 from dealspark.sources.extracts import fixture_view_inputs
@@ -66,6 +66,58 @@ def test_untouched_periods_are_pruned(spark, ledger, tmp_out):
     assert files_read(early) == 2  # one of each period
 
 
+def made_lines(spark, n, hot=False):
+    """Ledger lines of two periods from four tasks, two lines a deal, some
+    deals without ids; ``hot``: all of one grain."""
+    i = F.col("id")
+    deal = F.lit(7).cast("bigint") if hot else F.when(F.floor(i / 2) % 50 != 0, F.floor(i / 2))
+    values = {"deal_id": deal, "deal_line_id": deal, "team_id": F.lit("T1"), "market_region": F.lit(None).cast("string"),
+              "close_date": F.lit(dt.date(2020, 3, 2)), "final_close_price": F.lit(5).cast("decimal(18,2)"),
+              "ending_period": F.when((F.floor(i / 2) % 3 == 0) & F.lit(not hot), F.lit(dt.date(2020, 4, 30))).otherwise(F.lit(dt.date(2020, 3, 31))),
+              "account_number": F.when(i % 2 == 0, F.lit("400001")).otherwise(F.lit("502001")),
+              "amount": F.when(i % 9 != 0, (i % 1000).cast("decimal(18,2)"))}
+    return spark.range(0, n, 1, 4).select(*[values.get(c, F.lit("x")).alias(c) for c in L.LEDGER_COLUMNS])
+
+
+@pytest.fixture()
+def small_pieces(spark):
+    """Settings under which a scan packs all it finds, and pieces are small."""
+    settings = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "0",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sums_take_lines_in_pieces_whatever_the_scan_packs(spark, tmp_out, monkeypatch, small_pieces):
+    """A task's partial sums hold a row for each grain of the lines it reads."""
+    lines, seen, real = made_lines(spark, 20000), [], L.account_sums
+    monkeypatch.setattr(L, "account_sums", lambda lines, cfg: seen.append(lines) or real(lines, cfg))
+    store = L.LedgerStore(spark, tmp_out, MAIN)
+    store.deliver(lines, "all")
+    assert len(dealt(store.lines())) == 1  # one task scans all of it
+    parts = dealt(seen[0])
+    assert sum(parts) == 20000 and max(parts) <= 10000
+    assert kept(store) == expected(lines)
+
+
+def test_a_grain_of_very_many_lines_is_cut(spark, small_pieces):
+    """Its lines, sent by several tasks, do not all land in one."""
+    lines = made_lines(spark, 100000, hot=True)
+    parts = dealt(by_grain(lines))
+    assert sum(parts) == 100000 and max(parts) <= 50000
+    assert rows(account_sums(by_grain(lines), MAIN)) == rows(account_sums(lines, MAIN))
+
+
+def dealt(df):
+    """Rows of each partition of a frame that has some."""
+    at = df.select(*df.columns, F.spark_partition_id().alias("__at")).localCheckpoint()
+    return [r["count"] for r in at.groupBy("__at").count().collect()]
+
+
 def files_read(df):
     """Files that the scans of a frame opened, by their metrics."""
     df.collect()
