@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -79,6 +81,30 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings that hold for what is planned inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles_freed(spark: SparkSession):
+    """What is written inside removes its shuffle files when it ends (Spark 4.1
+    on; earlier versions ignore the setting).  Otherwise they stay on the
+    executors' disks until the driver happens to collect its garbage, so that
+    a job of several writes holds the shuffles of all of them."""
+    return settings(spark, {FREE_SHUFFLES: "true"})
+
+
 @dataclass(frozen=True)
 class Measured:
     """A stored frame with its rows and their decoded size, both counted while

@@ -65,6 +65,11 @@ def listed(spark: SparkSession, folder: str) -> list[Entry]:
     return sorted(found, key=lambda e: e.name)
 
 
+def size(spark: SparkSession, folder: str) -> int:
+    """Bytes of the files below a folder."""
+    return _fs(spark, folder).getContentSummary(_path(spark, folder)).getLength()
+
+
 def fingerprint(spark: SparkSession, folders: list[str]) -> str:
     """A digest of the files below the folders: path, size and time of change."""
     seen = hashlib.sha256()

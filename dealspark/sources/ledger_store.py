@@ -20,6 +20,12 @@ its lines (periods they no longer have are recomputed too).  Sums of another
 configuration (split region, chart) are all recomputed.  One writer at a time.
 
 Lines without a period belong to no window: they are stored and summed nowhere.
+
+Disk: a delivery's lines are first stored as they come (``staged``), which ends
+the source's own shuffles, and both the lines' layout by period and the sums go
+some periods at a time (``in_pieces``); each write removes its shuffle files.
+So the shuffles that lie on disk at a time are the source's own, or those of
+about an eighth of the lines, or of a period with more.
 """
 
 from __future__ import annotations
@@ -35,10 +41,16 @@ from pyspark.sql import types as T
 
 from ..config import ReportConfig
 from ..operators.ledger import account_sums, by_grain
+from ..session import settings, shuffles_freed
 from . import files
 from .extracts import LEDGER_COLUMNS, STORED_ORDER, Inputs, Window, checked_ledger
 
 MANIFEST = "ledger.json"
+# Staged lines lie in as many folders, each of whole months; a task writes to all of them at once, in row groups of so
+# many bytes, so that it need not sort its lines.
+STAGED_BY, STAGED_FOLDERS, STAGED_BLOCK = "__folder", 16, 8 << 20
+# Stored bytes handled at a time: this share of all, and not less than the second.
+PIECES, LEAST_PIECE = 8, 8 << 20
 
 
 class LedgerStore:
@@ -67,9 +79,8 @@ class LedgerStore:
         """Store the lines of a delivery and recompute the sums of its periods;
         the recomputed periods."""
         folder = f"lines/{name}-{uuid.uuid4().hex}"
-        # A period's files are sorted by account and item, so that their statistics rule pages out.
-        rows = checked_ledger(lines).hint("rebalance", "ending_period").sortWithinPartitions(*STORED_ORDER)
-        rows.write.partitionBy("ending_period").parquet(f"{self.root}/{folder}")
+        rows = checked_ledger(lines)
+        self._store(rows, f"{self.root}/{folder}")
         manifest = self._manifest()
         # One row for each period: as many as the calendar has months.
         periods = [e.name.partition("=")[2] for e in files.listed(self.spark, f"{self.root}/{folder}") if e.is_folder and "=" in e.name]
@@ -80,24 +91,52 @@ class LedgerStore:
         self._replace(manifest)
         return self.close_open()
 
+    def _store(self, rows: DataFrame, folder: str) -> None:
+        """Lines partitioned by period.  A source may be joined and shuffled
+        itself: its rows are staged, so that its shuffles are gone when the
+        lines are dealt by period."""
+        staged = f"{self.root}/staged/{uuid.uuid4().hex}"
+        month = F.year("ending_period") * 12 + F.month("ending_period")
+        out = rows.withColumn(STAGED_BY, F.coalesce(F.pmod(month, F.lit(STAGED_FOLDERS)), F.lit(0)))
+        try:
+            with shuffles_freed(self.spark), settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": str(STAGED_FOLDERS)}):
+                out.write.option("parquet.block.size", STAGED_BLOCK).partitionBy(STAGED_BY).parquet(staged)
+            found = {e.path: files.size(self.spark, e.path) for e in files.listed(self.spark, staged) if e.is_folder}
+            for paths in in_pieces(found) or [[staged]]:  # without lines: an empty folder
+                some = self.spark.read.schema(rows.schema).parquet(*paths)
+                # A period's files are sorted by account and item, so that their statistics rule pages out.
+                some = some.hint("rebalance", "ending_period").sortWithinPartitions(*STORED_ORDER)
+                with shuffles_freed(self.spark):
+                    some.write.mode("append").partitionBy("ending_period").parquet(folder)
+        finally:
+            files.remove(self.spark, staged)
+
     def close_open(self) -> list[str]:
         """Recompute the sums of the open periods."""
         manifest = self._manifest()
         open_ = manifest["open"]
         if open_:
             manifest["sums"] = {p: f for p, f in manifest["sums"].items() if p not in open_}
-            lines = self.changed_lines(manifest, open_)
-            if lines is not None:
-                folder = f"sums/{uuid.uuid4().hex}"
-                sums = account_sums(by_grain(lines), self.cfg).hint("rebalance", "ending_period")
-                sums.write.partitionBy("ending_period").parquet(f"{self.root}/{folder}")
-                for e in files.listed(self.spark, f"{self.root}/{folder}"):
-                    if e.is_folder:
-                        manifest["sums"][e.name.partition("=")[2]] = folder
+            folder = f"sums/{uuid.uuid4().hex}"
+            for some in in_pieces(self._bytes(manifest, open_)):
+                sums = account_sums(by_grain(self.changed_lines(manifest, some)), self.cfg).hint("rebalance", "ending_period")
+                with shuffles_freed(self.spark):
+                    sums.write.mode("append").partitionBy("ending_period").parquet(f"{self.root}/{folder}")
+            for e in files.listed(self.spark, f"{self.root}/{folder}"):
+                if e.is_folder:
+                    manifest["sums"][e.name.partition("=")[2]] = folder
             manifest["open"] = []
             self._replace(manifest)
         return open_
 
+    def _bytes(self, manifest: dict, periods: list[str]) -> dict[str, int]:
+        """Stored bytes of the lines of the given periods that have some."""
+        found: dict[str, int] = {}
+        for d in manifest["deliveries"].values():
+            for p in sorted({*d["periods"]} & {*periods}):
+                found[p] = found.get(p, 0) + files.size(self.spark, f"{self.root}/{d['folder']}/ending_period={p}")
+        return found
+
     def changed_lines(self, manifest: dict, periods: list[str]) -> DataFrame | None:
         """The lines of the given periods: only deliveries that have some, and
         of these only the periods' partitions."""
@@ -152,6 +191,19 @@ class LedgerStore:
         return hashlib.sha256(json.dumps([self._manifest()["deliveries"], roster_version], sort_keys=True).encode()).hexdigest()
 
 
+def in_pieces(sizes: dict[str, int]) -> list[list[str]]:
+    """Names in their order, as many together as hold an eighth of all bytes."""
+    most, out, held = max(LEAST_PIECE, sum(sizes.values()) // PIECES), [], 0
+    for name in sorted(sizes):
+        if out and held + sizes[name] <= most:
+            out[-1].append(name)
+        else:
+            out.append([name])
+            held = 0
+        held += sizes[name]
+    return out
+
+
 def _is_date(text: str) -> bool:
     try:
         dt.date.fromisoformat(text)

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import re
+import time
 from dataclasses import replace
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from dealspark.functions.chart import Chart
 from dealspark.operators.ledger import account_sums, by_grain, deal_ledger
 from dealspark.plans.operations import split_ledger
+from dealspark.session import FREE_SHUFFLES
 from dealspark.sources import ledger_store as L
 from dealspark.sources.extracts import fixture_view_inputs
 from dealspark.sources.fixtures import MAIN
@@ -188,3 +190,90 @@ def test_empty_deliveries_and_missing_periods(spark, ledger, tmp_out):
     assert store.lines().count() == some.count() + nowhere.count()
     assert kept(store) == expected(store.lines())
     assert os.path.isdir(tmp_out)
+
+
+def shuffle_files(spark):
+    """Shuffle files on this session's disks."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while found.hasNext():
+        names.add(found.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def left(spark, before):
+    """Shuffle files that came and stay; they are removed in the background."""
+    for _ in range(50):
+        if not (more := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return more
+
+
+def uncached(spark):
+    """The ledger as a plan of its own, that finds nothing in the cache."""
+    return fixture_view_inputs(spark, SF_SMALL).ledger((dt.date(2010, 1, 1), dt.date(2030, 12, 31)))
+
+
+def test_deliveries_leave_no_shuffle_files(spark, tmp_out):
+    """Else they stay until the driver collects garbage: those of every step lie on disk together."""
+    before, was = shuffle_files(spark), spark.conf.get(FREE_SHUFFLES, None)
+    store = L.LedgerStore(spark, tmp_out, MAIN)
+    for name, lines in zip(("day1", "day2"), split_ledger(uncached(spark))):
+        store.deliver(lines, name)
+    assert not left(spark, before)
+    assert spark.conf.get(FREE_SHUFFLES, None) == was
+
+
+def test_lines_and_sums_go_some_periods_at_a_time(spark, tmp_out, monkeypatch):
+    """So that the shuffles on disk are those of a part; whole periods, each once."""
+    monkeypatch.setattr(L, "LEAST_PIECE", 1)
+    month = F.last_day(F.add_months(F.lit(dt.date(2018, 11, 1)), (F.col("__n") % 26).cast("int")))
+    lines = made_lines(spark, 4000).withColumn("__n", F.floor(F.coalesce(F.col("deal_id"), F.lit(0)) / 3))
+    lines = lines.withColumn("ending_period", F.when(F.col("__n") % 27 != 26, month)).drop("__n")
+    seen, laid, real, pieces = [], [], L.account_sums, L.in_pieces
+    monkeypatch.setattr(L, "account_sums", lambda lines, cfg: seen.append(lines) or real(lines, cfg))
+    monkeypatch.setattr(L, "in_pieces", lambda sizes: laid.append((sizes, pieces(sizes))) or laid[-1][1])
+    store = L.LedgerStore(spark, tmp_out, MAIN)
+    periods = store.deliver(lines, "all")
+    staged, summed = laid
+    assert len(staged[1]) >= 6 and len(summed[1]) >= 6 and len(periods) == 26
+    for sizes, found in laid:
+        assert [n for some in found for n in some] == sorted(sizes)
+        assert all(len(some) == 1 or sum(sizes[n] for n in some) <= sum(sizes.values()) // L.PIECES for some in found)
+    of_each = [{r[0].isoformat() for r in some.select("ending_period").distinct().collect()} for some in seen]
+    assert of_each == [set(some) for some in summed[1]]
+    assert rows(store.lines()) == rows(lines)
+    assert kept(store) == expected(lines)
+    assert not L.files.listed(spark, f"{tmp_out}/staged")
+
+
+def test_pieces():
+    mb = 1 << 20
+    assert L.in_pieces({}) == []
+    assert L.in_pieces({"b": 5 * mb, "a": 1, "c": 4 * mb}) == [["a", "b"], ["c"]]  # not less than 8 MB
+    assert L.in_pieces({f"{k:02d}": 100 * mb for k in range(16)}) == [[f"{k:02d}", f"{k + 1:02d}"] for k in range(0, 16, 2)]
+    assert L.in_pieces({"a": 1, "b": 900 * mb, "c": 1, "d": 1}) == [["a"], ["b"], ["c", "d"]]
+
+
+def test_staged_lines_of_a_broken_delivery_are_removed(spark, ledger, tmp_out, monkeypatch):
+    store = L.LedgerStore(spark, tmp_out, MAIN)
+
+    def fails(sizes):
+        assert L.files.listed(spark, f"{tmp_out}/staged")
+        raise RuntimeError("broken")
+    with monkeypatch.context() as m:
+        m.setattr(L, "in_pieces", fails)
+        with pytest.raises(RuntimeError, match="broken"):
+            store.deliver(ledger, "day1")
+    assert not L.files.listed(spark, f"{tmp_out}/staged")
+    assert store.deliver(ledger, "day1") and kept(store) == expected(ledger)
+
+
+def test_late_lines_are_picked_before_the_join(spark):
+    """What the split asks of an order's period reaches the orders' side; lines without a period are first ones."""
+    second = split_ledger(uncached(spark))[1]
+    assert re.search(r"Filter .*month\(.*\n[^\n]*Scan parquet .*o_orderdate", second._jdf.queryExecution().executedPlan().toString())
+    i = spark.range(4).withColumn("ending_period", F.when(F.col("id") == 1, F.lit(dt.date(2020, 11, 30))).when(F.col("id") > 1, F.lit(dt.date(2020, 3, 31))))
+    i = i.withColumn("item_id", F.when(F.col("id") == 2, F.lit("799")))
+    assert [sorted(r[0] for r in part.select("id").collect()) for part in split_ledger(i)] == [[0, 3], [1, 2]]
