@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dealspark.functions.chart import Chart
 from dealspark.operators.ledger import account_sums, by_grain, deal_ledger
-from dealspark.plans.operations import split_ledger
+from dealspark.plans.operations import incremental, split_ledger
 from dealspark.session import FREE_SHUFFLES
 from dealspark.sources import ledger_store as L
 from dealspark.sources.extracts import fixture_view_inputs
@@ -225,6 +225,11 @@ def test_deliveries_leave_no_shuffle_files(spark, tmp_out):
     assert spark.conf.get(FREE_SHUFFLES, None) == was
 
 
+def test_the_roster_join_reads_stored_deal_rows(spark):
+    """So that the shuffles of the AEP merge do not lie on disk with its own."""
+    assert all("/tables/" in f for f in incremental("deal_data")(spark, SF_SMALL).inputFiles())
+
+
 def test_lines_and_sums_go_some_periods_at_a_time(spark, tmp_out, monkeypatch):
     """So that the shuffles on disk are those of a part; whole periods, each once."""
     monkeypatch.setattr(L, "LEAST_PIECE", 1)
