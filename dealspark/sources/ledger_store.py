@@ -50,7 +50,7 @@ MANIFEST = "ledger.json"
 # many bytes, so that it need not sort its lines.
 STAGED_BY, STAGED_FOLDERS, STAGED_BLOCK = "__folder", 16, 8 << 20
 # Stored bytes handled at a time: this share of all, and not less than the second.
-PIECES, LEAST_PIECE = 8, 8 << 20
+PIECES, LEAST_PIECE = 8, 16 << 20
 
 
 class LedgerStore:

@@ -256,7 +256,7 @@ def test_lines_and_sums_go_some_periods_at_a_time(spark, tmp_out, monkeypatch):
 def test_pieces():
     mb = 1 << 20
     assert L.in_pieces({}) == []
-    assert L.in_pieces({"b": 5 * mb, "a": 1, "c": 4 * mb}) == [["a", "b"], ["c"]]  # not less than 8 MB
+    assert L.in_pieces({"b": 10 * mb, "a": 1, "c": 7 * mb}) == [["a", "b"], ["c"]]  # not less than 16 MB
     assert L.in_pieces({f"{k:02d}": 100 * mb for k in range(16)}) == [[f"{k:02d}", f"{k + 1:02d}"] for k in range(0, 16, 2)]
     assert L.in_pieces({"a": 1, "b": 900 * mb, "c": 1, "d": 1}) == [["a"], ["b"], ["c", "d"]]
 
